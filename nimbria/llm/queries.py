@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbria.llm import linededup, mixing, quality, simhash
+from nimbria.llm import ann, linededup, mixing, pieces, quality, simhash, tokenfile, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,32 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file; it is never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(_read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_read(spark, sf_dir, "embeddings"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_read(spark, sf_dir, "pages"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs, tokenizer("piece_bpe_32k.model"), decode=True)
+    decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return coded.select("doc_id", "n_pieces", "ids_crc32", decoded, (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
@@ -56,7 +82,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": op1_simhash,
         "op3_line_dedup": op3_line_dedup,
         "op4_mixing": op4_mixing,
+        "op5_token_files": op5_token_files,
+        "op6_ann": op6_ann,
+        "op8_url_filter": op8_url_filter,
         "op9_quality": op9_quality,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 
@@ -64,4 +94,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": OP3_SQL,
         "op4_mixing": mixing.PLAN_SQL.format(docs="documents"),
+        "op8_url_filter": urlfilter.judge_sql(),
     }

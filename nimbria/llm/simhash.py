@@ -97,6 +97,8 @@ def links(distinct: DataFrame, distance: int = 2, segments: int = 8, bucket_cap:
         raise ValueError("segments must divide 64 and exceed distance")
     width = 64 // segments
     free = sum(b == 0 for b in chain_budgets(segments, distance))
+    if 2 ** (free * width) * segments > 2**62:
+        raise ValueError("the exact part of a chain leaves no room for the segment's number")
     turned = [F.expr(f"(shiftleft(fp, {i * width}) | shiftrightunsigned(fp, {64 - i * width}))" if i else "fp") for i in range(segments)]
     key = [F.shiftrightunsigned(t, 64 - free * width) * segments + i for i, t in enumerate(turned)]
     keys = distinct.select("fp", F.explode(F.array(*key)).alias("key"))
