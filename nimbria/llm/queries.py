@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbria.llm import ann, linededup, mixing, pieces, quality, simhash, tokenfile, urlfilter
+from nimbria.llm import ann, linededup, lm, mixing, pieces, quality, simhash, tokenfile, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_read(spark, sf_dir, "embeddings"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_read(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_read(spark, sf_dir, "pages"))
 
@@ -84,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_token_files": op5_token_files,
         "op6_ann": op6_ann,
+        "op7_lm_score": op7_lm_score,
         "op8_url_filter": op8_url_filter,
         "op9_quality": op9_quality,
         "op10_sentencepiece": op10_sentencepiece,
