@@ -96,7 +96,7 @@ def labelled_findings(spark: SparkSession, n: int = MOST_LABELLED) -> DataFrame:
         (0, plain, F.concat_ws(" ", word, word, word), F.substring(long, 1, 40)),
     ]
     made = [spark.range(k, n, len(cases)).select(p.alias("path"), near.alias("near"), c.alias("candidate"), F.lit(float(y)).alias("secret")) for k, (y, p, near, c) in enumerate(cases)]
-    return cut(reduce(DataFrame.unionByName, made))
+    return cut(reduce(DataFrame.unionByName, made).coalesce(4))
 
 
 def fit(labelled: DataFrame, most: int = MOST_LABELLED, trees: int = TREES, depth: int = DEPTH):
