@@ -44,11 +44,12 @@ class WaveletMatrix:
         levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         planes, zeros = [], []
         for level in reversed(range(levels)):
-            ones = (ids >> level & 1).astype(bool)
-            planes.append(np.packbits(ones, bitorder="little").tobytes())
-            low = ids[~ones]
+            bits = (ids >> ids.dtype.type(level)).astype(np.uint8) & np.uint8(1)
+            planes.append(np.packbits(bits, bitorder="little").tobytes())
+            ones = bits.view(bool)
+            low = np.compress(~ones, ids)
             zeros.append(len(low))
-            ids = np.concatenate([low, ids[ones]])
+            ids = np.concatenate([low, np.compress(ones, ids)])
         return cls(len(ids), planes, zeros)
 
     def _plane(self, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,12 +165,15 @@ class Encoder:
     generations of about ``most`` entries), which spares encoding the same word over and over.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self.line_bytes = self._whole("\n")
+        self.line = int.from_bytes(self.line_bytes, "little")
         self.opens = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)  # ids that begin with the space before a part
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")
@@ -177,43 +181,60 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
-        """Remember the ids of parts without white space inside: the library encodes them in one text, and the ids that
-        open with a space tell where each begins."""
-        for first in range(0, len(parts), 5000):
-            some = parts[first : first + 5000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(self.opens[ids])
+    def _learn(self, words: list[str], gap: str, held: dict[str, bytes]) -> None:
+        """Remember the ids of words without white space: the library encodes them in one text with ``gap`` between, and
+        the ids tell where each begins: a space opens a word's first id, a line's end is an id of its own."""
+        for first in range(0, len(words), 5000):
+            some = words[first : first + 5000]
+            ids = np.array(self.tokenizer.encode(gap + gap.join(some), add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(self.opens[ids] if gap == " " else ids == self.line)
             if len(cuts) != len(some):
-                raise ValueError("this tokenizer does not begin each part with a space")
-            raw, cuts = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-            self.young.update(zip(some, (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+                raise ValueError("this tokenizer does not keep words apart")
+            raw, skip = ids.tobytes(), 0 if gap == " " else 4
+            cuts = [*(4 * cuts).tolist(), len(raw)]
+            held.update(zip(some, [raw[a + skip : b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
     def _add(self, parts: set[str]) -> None:
-        young, old, new = self.young, self.old, []
-        for part in parts:
-            if part in old:
-                young[part] = old[part]
-            else:
-                new.append(part)
-        plain, spaced, marked = set(), [], []
-        for part in new:
+        """Remember parts (each after a space) that no generation holds; a single line's end inside is taken apart."""
+        young, old = self.young, self.old
+        again = parts.intersection(old)
+        young.update(zip(again, map(old.__getitem__, again), strict=True))
+        plain, bare, spaced, marked, ended = set(), set(), [], [], []
+        for part in parts.difference(again):
+            if part.isalpha():
+                plain.add(part)
+                continue
             stem = part.rstrip(".,;:!?")
-            if stem.isalpha():
-                plain.add(stem)  # a letter ends the word that marks follow
-                if len(stem) < len(part):
-                    marked.append((part, stem, part[len(stem) :]))
-            elif len(part.split()) > 1 or part[-1].isspace() or "<|" in part:
+            if stem.isalpha():  # a letter ends the word that marks follow
+                plain.add(stem)
+                marked.append((part, stem, part[len(stem) :]))
+                continue
+            line, end, rest = part.partition("\n")
+            words = part.split()
+            if "<|" in part or words != ([line, rest] if end else [part]) or end and not part.isascii():
                 spaced.append(part)
+            elif end:
+                plain.add(line)
+                bare.add(rest)
+                ended.append((part, line, rest))
             else:
                 plain.add(part)
-        self._learn(list(plain.difference(young)))
+        self._learn(list(plain.difference(young)), " ", young)
+        self._learn_bare(bare)
         tails = {tail: self._whole(tail) for tail in {m[2] for m in marked}}
         for part, stem, tail in marked:
             young[part] = young[stem] + tails[tail]
+        for part, line, rest in ended:
+            young[part] = young[line] + self.line_bytes + self.bare[rest]
         for part in spaced:
             young[part] = self._whole(" " + part)
 
+    def _learn_bare(self, words: set[str]) -> None:
+        """Words that follow no space: at a text's or a line's beginning."""
+        if len(self.bare) > self.most // 4:
+            self.bare = {}
+        self._learn(list(words.difference(self.bare)), "\n", self.bare)
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         out, split, size = [], [], 0
@@ -242,8 +263,10 @@ class Encoder:
                     new.update(glued[1:])
             new = new.difference(bad)
         self._add(new)
-        young = self.young
-        return [(self._whole(parts[0]) if parts[0] else b"") + b"".join(map(young.__getitem__, parts[1:])) for parts in split]
+        firsts = {p for parts in split if (p := parts[0]) and p.isascii() and "<|" not in p and p.split() == [p]}
+        self._learn_bare(firsts)
+        bare, at = self.bare, self.young.__getitem__
+        return [(bare[p] if (p := parts[0]) in bare else self._whole(p) if p else b"") + b"".join(map(at, parts[1:])) for parts in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
