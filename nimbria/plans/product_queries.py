@@ -230,7 +230,15 @@ JOIN (SELECT point_id, quantile_cont(value, 0.9) AS q90, quantile_cont(value, 0.
 
 
 def cpf(spark, sf):
-    return X.cpf(C.forecast(spark, sf), C.climate_quantiles(spark, sf), ["point_id"])
+    return X.cpf(C.forecast(spark, sf), C.climate_quantiles(spark, sf), ["point_id"]).select("point_id", F.round("cpf", 6).alias("cpf"))
+
+
+CPF_SQL = f"""WITH {C.ORDERS_SQL}, {QUANTILES_SQL},
+g AS (SELECT q.point_id, quantile AS i, avg(CASE WHEN fc.value <= q.value THEN 1.0::DOUBLE ELSE 0 END) - quantile / 100.0::DOUBLE AS gap FROM q JOIN fc USING (point_id) GROUP BY q.point_id, quantile),
+l AS (SELECT point_id, i, lag(gap) OVER (PARTITION BY point_id ORDER BY i) AS before, gap AS after_, sum(gap) OVER (PARTITION BY point_id) AS total FROM g),
+c AS (SELECT point_id, min(i) AS i FROM l WHERE before > 0 AND after_ <= 0 OR before < 0 AND after_ >= 0 GROUP BY ALL)
+SELECT t.point_id, round(CASE WHEN c.i IS NULL THEN CASE WHEN t.total > 0 THEN 0.0 ELSE 1.0 END ELSE (c.i - 1 + l.before / (l.before - l.after_)) / 100 END, 6) AS cpf
+FROM (SELECT DISTINCT point_id, any_value(total) OVER (PARTITION BY point_id) AS total FROM l) t LEFT JOIN c USING (point_id) LEFT JOIN l ON l.point_id = c.point_id AND l.i = c.i"""
 
 
 def significance(spark, sf):
@@ -297,7 +305,7 @@ QUERIES = {
     "anomaly_probability": (anomaly_probabilities, ANOMALY_PROB_SQL),
     "efi": (efi, EFI_SQL),
     "sot": (sot, SOT_SQL),
-    "cpf": (cpf, None),
+    "cpf": (cpf, CPF_SQL),
     "significance": (significance, SIGNIFICANCE_SQL),
     "field_statistics": (missing_round_trip, f"WITH {C.FIELDS_SQL}\nSELECT step, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (value < 60) AS BIGINT) AS missing, round(min(value) FILTER (value >= 60), 6) AS minimum, round(max(value) FILTER (value >= 60), 6) AS maximum, round(avg(value) FILTER (value >= 60), 6) AS mean FROM fields GROUP BY ALL"),
     "mean_spread_priority": (spread, SPREAD_SQL),

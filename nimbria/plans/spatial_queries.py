@@ -52,6 +52,20 @@ def radiant_temperature(spark, sf):
     return thermal.indices(out, ["globe_temperature", "wet_bulb_globe"]).select("l_orderkey", "l_linenumber", *[F.round(n, 4).alias(n) for n in ("mean_radiant_temperature", "globe_temperature", "wet_bulb_globe")])
 
 
+RADIANT_SQL = """WITH i AS (SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, 250 + l_quantity AS t, 245 + l_quantity AS td, l_discount * 100 + 1 AS ws, l_extendedprice / 100 AS ssrd, l_extendedprice / 130 AS ssr, l_extendedprice / 200 AS fdir, 300.0::DOUBLE + l_quantity AS strd, -50.0::DOUBLE - l_quantity AS strr, l_tax * 10 + 0.1::DOUBLE AS z FROM lineitem),
+s AS (SELECT *, degrees(asin(greatest(least(z, 1.0::DOUBLE), -1.0::DOUBLE))) AS gamma, CASE WHEN z > 0.01 THEN fdir / z ELSE 0 END AS sun FROM i),
+m AS (SELECT *, pow((0.5 * strd + 0.5 * (strd - strr) + 0.7 / 0.97::DOUBLE * (0.5 * (ssrd - fdir) + 0.5 * (ssrd - ssr) + CASE WHEN z > 0.01 THEN 0.308 * cos(radians(gamma * (0.998 - gamma * gamma / 50000))) * sun ELSE 0 END)) / 5.67e-8, 0.25) AS mrt FROM s),
+f AS (SELECT *, 1.1e8 * pow(ws, 0.6) / (0.95 * pow(0.15, 0.4)) AS f, 1.1e8 * pow(ws, 0.6) / (0.95 * pow(0.15, 0.4)) * t + pow(mrt, 4) AS goal FROM m),
+g AS (SELECT *, list_reduce(list_concat([greatest(t, mrt)], [1.0::DOUBLE, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]), lambda a, k: a - (a * a * a * a + f * a - goal) / (4 * a * a * a + f)) AS globe, t - 273.15::DOUBLE AS c,
+  100 * pow(10.0, 7.5 * (td - 273.15) / (237.3 + td - 273.15)) / pow(10.0, 7.5 * (t - 273.15) / (237.3 + t - 273.15)) AS rh FROM f)
+SELECT l_orderkey, l_linenumber, round(mrt, 4) AS mean_radiant_temperature, round(globe, 4) AS globe_temperature,
+  round(0.7 * (c * atan(0.151977 * sqrt(rh + 8.313659)) + atan(c + rh) - atan(rh - 1.676331) + 0.00391838 * pow(rh, 1.5) * atan(0.023101 * rh) - 4.686035 + 273.15) + 0.2 * globe + 0.1 * t, 4) AS wet_bulb_globe FROM g"""
+
+
+UTCI_SQL = f"""WITH {WEATHER_SQL}
+SELECT round(ws, 6) AS ws, CAST(count(*) FILTER (t - 273.15 BETWEEN -70 AND 70 AND ws < 25 AND 0.5 * 6.105 * exp(17.27 * (t - 273.15) / (237.7 + t - 273.15)) <= 50 AND 4 * ws < 150 AND 4 * ws > -30) AS BIGINT) AS valid, CAST(count(*) AS BIGINT) AS n FROM weather GROUP BY ALL"""
+
+
 def utci_validity(spark, sf):
     w = _weather(spark, sf)
     valid = thermal.utci_valid(F.col("t"), F.col("ws"), F.col("t") + 4 * F.col("ws"), thermal.vapour_pressure(F.col("t"), F.lit(50.0)))
@@ -349,8 +363,8 @@ h AS (SELECT l_orderkey, l_linenumber, (t + 15 - 273.15) * 1.8::DOUBLE + 32 AS f
 s AS (SELECT *, 0.5 * (f + 61 + (f - 68) * 1.2 + rh * 0.094) AS simple, -42.379 + 2.04901523 * f + 10.14333127 * rh - 0.22475541 * f * rh - 6.83783e-3 * f * f - 5.481717e-2 * rh * rh + 1.22874e-3 * f * f * rh + 8.5282e-4 * f * rh * rh - 1.99e-6 * f * f * rh * rh AS full_ FROM h),
 a AS (SELECT *, CASE WHEN rh < 13 AND f BETWEEN 80 AND 112 THEN full_ - (13 - rh) / 4 * sqrt(greatest((17 - abs(f - 95)) / 17, 0)) WHEN rh > 85 AND f BETWEEN 80 AND 87 THEN full_ + (rh - 85) / 10 * ((87 - f) / 5) ELSE full_ END AS adj FROM s)
 SELECT l_orderkey, l_linenumber, round((CASE WHEN (simple + f) / 2 < 80 THEN simple ELSE adj END - 32) / 1.8 + 273.15, 5) AS heat_index FROM a"""),
-    "radiant_temperature": (radiant_temperature, None),
-    "utci_validity": (utci_validity, None),
+    "radiant_temperature": (radiant_temperature, RADIANT_SQL),
+    "utci_validity": (utci_validity, UTCI_SQL),
     "rain_weather_types": (rain_weather_types, f"WITH {RAIN_SQL}\nSELECT coalesce(wt, -1) AS wt, CAST(count(*) AS BIGINT) AS n, sum(rain) AS rain FROM typed GROUP BY ALL"),
     "rain_point_quantiles": (rain_point_quantiles, f"{POINTS_SQL}\nSELECT step, point_id, [0.1::DOUBLE, 0.5, 0.9][i] AS level, round(q[i], 5) AS value FROM (SELECT step, point_id, quantile_cont(p, [0.1, 0.5, 0.9]) AS q FROM points GROUP BY ALL), range(1, 4) t(i)"),
     "rain_grid_scale": (rain_grid_scale, f"WITH {RAIN_SQL},\ng AS (SELECT step, point_id, CASE WHEN wt = 99999 OR wt IS NULL THEN rain ELSE (SELECT avg(greatest(rain * (-0.5 + 0.1 * k + 0.01 * wt + 1), 0)) FROM range(0, 5) t(k)) END AS g FROM typed)\nSELECT step, point_id, round(avg(g), 5) AS grid_scale FROM g GROUP BY ALL"),
