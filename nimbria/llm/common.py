@@ -8,10 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,28 +44,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, most: int = 8 << 20) -> DataFrame:
+    """``df`` itself; its session's Arrow batches are held to ``most`` bytes (a lower setting stays), so that a Python
+    worker never has more than a few megabytes of texts at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(df.sparkSession.conf.get(name).rstrip("b")) > most:
+        df.sparkSession.conf.set(name, str(most))
+    return df
+
+
 def texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return column.cast(pa.binary()).to_pylist()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that each holds about ``most_bytes`` of text (one document at least)."""
-    for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
-        if column.nbytes <= most_bytes:
-            yield batch
-            continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
-        first, held = 0, 0
-        for i, n in enumerate(sizes):
-            if held and held + n > most_bytes:
-                yield batch.slice(first, i - first)
-                first, held = i, 0
-            held += n
-        yield batch.slice(first)
-
-
 def word_count(text: str = "text"):
     """Number of words as a native column; null counts 0."""
     flat = F.trim(F.translate(F.col(text), "\t\n\x0b\x0c\r", "     "))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nimbria.llm.common import cut, texts
+from nimbria.llm.common import cut, small_batches, texts
 
 MIN_CHARS, MIN_DOCS, SHARD_KEYS, BROADCAST_BYTES = 20, 3, 1 << 16, 64 << 20
 
@@ -132,7 +132,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids, k1, k2 = _reference_rows(batch.column(0), texts(batch.column(1)), min_chars, keep)
             yield pa.RecordBatch.from_arrays([ids, pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, k1 bigint, k2 bigint")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, k1 bigint, k2 bigint")
 
 
 def _prober(filters: dict):
@@ -265,7 +265,7 @@ class LineIndex:
                 columns[at] = pa.array(kept, pa.binary()).cast(columns[at].type)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=names)
 
-        return joined.mapInArrow(run, T.StructType(fields))
+        return small_batches(joined).mapInArrow(run, T.StructType(fields))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from nimbria.llm.common import small_batches
+
 MARK = "▁"
 
 
 class Pieces:
     """A SentencePiece BPE model with byte fallback; ids equal the library's."""
 
-    def __init__(self, path: str, most_words: int = 800_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -66,7 +68,7 @@ class Pieces:
         if held is None:
             text = self.names[right] if left < 0 else self.names[left] + self.names[right]
             held = self._merge(text) == ([right] if left < 0 else [left, right])
-            if len(self.joint) > 2_000_000:
+            if len(self.joint) > 300_000:
                 self.joint.clear()
             self.joint[key] = held
         return held
@@ -79,7 +81,7 @@ class Pieces:
         while node and node not in self.starts:
             node = node[1:]
         found = tuple((self.ids[node[k:]], len(node) - k) for k in range(len(node)) if node[k:] in self.ids)
-        if len(self.steps) > 1_000_000:
+        if len(self.steps) > 300_000:
             self.steps.clear()
         self.steps[text] = node, found
         return node, found
@@ -214,7 +216,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decode: bool = Fa
                 columns.append(pa.array([pieces.decode(x) for x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, T.StructType(fields))
+    return small_batches(docs).mapInArrow(run, T.StructType(fields))
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "piece_ids") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from nimbria.llm.common import shared_path
+from nimbria.llm.common import shared_path, small_batches
 
 MAGIC, WORD = b"NWM1", 64
 
@@ -310,7 +310,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             yield shard()
 
     ordered = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).repartitionByRange("__id").sortWithinPartitions("__id", "__text")
-    ordered.mapInArrow(run, "part int, seq int, n_tokens bigint, shard binary").write.option("compression", "none").parquet(path)
+    small_batches(ordered).mapInArrow(run, "part int, seq int, n_tokens bigint, shard binary").write.option("compression", "none").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = False, id_col: str = "doc_id") -> DataFrame:
