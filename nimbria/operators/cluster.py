@@ -224,3 +224,9 @@ def day_of_season(day, months: list[int]):
         out = F.when(F.month(shown) == m, F.dayofmonth(shown) + before).otherwise(out)
         before += lengths[m]
     return out
+
+
+def climatology_on(fields, climatology, months: list[int], day: str = "date"):
+    """``fields`` with ``clim``: the climatological value of their day of season (``climatology``: dos, point_id, value)."""
+    clim = climatology.select("dos", "point_id", F.col("value").alias("clim"))
+    return fields.withColumn("dos", day_of_season(F.col(day), months)).join(clim, ["dos", "point_id"])

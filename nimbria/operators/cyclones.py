@@ -110,3 +110,41 @@ def joined_predictions(predictions: DataFrame, annotations: DataFrame, keys: lis
     joined = p.join(a, [*keys, "pos"])
     fits = F.when(F.col("np") != F.col("na"), F.raise_error(F.lit("predictions and annotations differ in length"))).otherwise(F.col("pos"))
     return joined.select(*keys, fits.cast("int").alias("pos"), "prediction", "annotation")
+
+
+def crop_normalise(cells: DataFrame, factors: DataFrame, rows: tuple[int, int], columns: tuple[int, int]) -> DataFrame:
+    """Cells (param, i, j, value) of a window of the grid, re-indexed from 0, as (value - shift) / norm with ``factors``
+    (param, shift, norm): a row a parameter, broadcast after a count."""
+    inside = cells.where(F.col("i").between(rows[0], rows[1] - 1) & F.col("j").between(columns[0], columns[1] - 1))
+    few = factors.limit(10_001).count() <= 10_000
+    joined = inside.join(F.broadcast(factors) if few else factors, "param")
+    out = joined.withColumns({"i": F.col("i") - rows[0], "j": F.col("j") - columns[0], "value": (F.col("value") - F.col("shift")) / F.col("norm")})
+    return out.select(*cells.columns)
+
+
+def detect(packed: DataFrame, model, keys: list[str], values: str = "values") -> DataFrame:
+    """(keys, score array<double>) of a user's model over packed input arrays; ``model`` maps a (rows, size) matrix to a
+    (rows, n) one and is called once a batch."""
+    fields = ", ".join(f"`{k}` {packed.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                out = batch[keys].copy()
+                out["score"] = [r.tolist() for r in np.asarray(model(np.stack(batch[values].to_numpy())), float)]
+                yield out
+
+    return packed.select(*keys, values).mapInPandas(run, f"{fields}, score array<double>")
+
+
+def snapshot(tracks: DataFrame, time=None, column: str = "time") -> DataFrame:
+    """Best-track rows at one time, or all."""
+    return tracks if time is None else tracks.where(F.col(column) == F.lit(time))
+
+
+def summaries(tables: list[DataFrame]) -> DataFrame:
+    """Per-file tables of several basins and days as one."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out

@@ -97,3 +97,11 @@ def statistics(fields: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n, missing, minimum, maximum, mean, std) without NaN."""
     v = F.when(~F.isnan("value"), F.col("value"))
     return fields.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.isnan("value")).alias("missing"), F.min(v).alias("minimum"), F.max(v).alias("maximum"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+
+
+def same_in_group(fields: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """``fields`` themselves; raises if ``column`` (a valid time, a step's length) differs within a key."""
+    bad = fields.groupBy(*keys).agg(F.countDistinct(column).alias("n")).where("n > 1").take(1)
+    if bad:
+        raise ValueError(f"{column} differs within {bad[0].asDict()}")
+    return fields

@@ -181,3 +181,23 @@ def test_stream_equals_batch(spark, tmp_path):
     query.awaitTermination()
     key = lambda rows: sorted((r.window_id, r.number, r.value) for r in rows)
     assert key(spark.table("streamed").collect()) == key(accumulate(df, windows, ["number"]).collect())
+
+
+def test_detection_inputs(spark):
+    cells = spark.createDataFrame([("a", 1, 2, 10.0), ("a", 5, 2, 99.0)], "param string, i int, j int, value double")
+    factors = spark.createDataFrame([("a", 4.0, 2.0)], "param string, shift double, norm double")
+    assert [tuple(r) for r in Y.crop_normalise(cells, factors, (1, 4), (0, 4)).collect()] == [("a", 0, 2, 3.0)]
+    packed = spark.createDataFrame([(0, [1.0, 2.0]), (6, [3.0, 4.0])], "step int, values array<double>")
+    got = {r.step: r.score for r in Y.detect(packed, lambda x: x.sum(axis=1, keepdims=True), ["step"]).collect()}
+    assert got == {0: [3.0], 6: [7.0]}
+    assert Y.summaries([packed, packed]).count() == 4 and Y.snapshot(packed, 6, "step").count() == 1
+    assert E.same_in_group(cells, ["param"], "j").count() == 2
+    with pytest.raises(ValueError):
+        E.same_in_group(cells, ["param"], "i")
+
+
+def test_climatology_by_season_day(spark):
+    f = spark.createDataFrame([("2024-02-29", 0, 1.0), ("2024-06-01", 0, 1.0)], "d string, point_id int, value double").withColumn("date", F.to_date("d"))
+    clim = spark.createDataFrame([(151, 0, 7.0)], "dos int, point_id int, value double")
+    got = K.climatology_on(f, clim, K.season("10-4")).collect()
+    assert [(r.d, r.clim) for r in got] == [("2024-02-29", 7.0)]
