@@ -29,7 +29,7 @@ MARK = "▁"
 class Pieces:
     """A SentencePiece BPE model with byte fallback; ids equal the library's."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 200_000):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -68,7 +68,7 @@ class Pieces:
         if held is None:
             text = self.names[right] if left < 0 else self.names[left] + self.names[right]
             held = self._merge(text) == ([right] if left < 0 else [left, right])
-            if len(self.joint) > 300_000:
+            if len(self.joint) > 150_000:
                 self.joint.clear()
             self.joint[key] = held
         return held
@@ -81,7 +81,7 @@ class Pieces:
         while node and node not in self.starts:
             node = node[1:]
         found = tuple((self.ids[node[k:]], len(node) - k) for k in range(len(node)) if node[k:] in self.ids)
-        if len(self.steps) > 300_000:
+        if len(self.steps) > 150_000:
             self.steps.clear()
         self.steps[text] = node, found
         return node, found
@@ -158,7 +158,7 @@ class Pieces:
         for text in texts:
             split.append(self.marked(text or ""))
             size += len(text or "")
-            if size > 1 << 22:  # so much text is cut into words at a time
+            if size > 1 << 20:  # so much text is cut into words at a time
                 out += self._encode(split)
                 split, size = [], 0
         return out + self._encode(split)
