@@ -174,6 +174,10 @@ class Pieces:
         self.encode_sorted(sorted(new))
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
+    def forget(self) -> None:
+        """Drop what was remembered: a worker that waits for other tasks holds the model alone."""
+        self.words, self.steps, self.joint = {}, {}, {}
+
     def decode(self, ids: bytes) -> str:
         """The text of ids; invalid UTF-8 becomes U+FFFD. The first mark is the one that encoding added."""
         raw = self.raw
@@ -215,6 +219,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decode: bool = Fa
             if decode:
                 columns.append(pa.array([pieces.decode(x) for x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        pieces.forget()
 
     return small_batches(docs).mapInArrow(run, T.StructType(fields))
 
