@@ -1,8 +1,9 @@
 """Quality rules: base statistics and robust multivariate outliers per language and source.
 
 Each text becomes a vector of transformed statistics; per (language, source) group a minimum covariance determinant
-estimate is found by concentration steps from a deterministic robust start (medians and scaled absolute deviations),
-and documents far from the centre by the reweighted Mahalanobis distance are rejected.
+estimate is found by concentration steps from a deterministic robust start (medians and scaled quartile ranges) and
+reweighted: it is made consistent for normal data by the share it keeps, then centre and covariance are taken anew from
+all documents within its 0.975 point of chi-square. Documents far from that centre are rejected.
 
 Scale: texts are read once; after that only short vectors move. A concentration step is two grouped aggregates (an
 approximate percentile sketch of distances, then moments), both combined map-side, so a source with a third of all
@@ -11,6 +12,7 @@ rows costs no more than its share; all documents count. Groups travel as one row
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,13 +27,41 @@ from nimbria.llm.common import cut, small_batches, texts
 SYMBOLS = b"#*$%&|<>"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 VECTOR = ["x_words", "x_length", "x_symbols", "x_lines", "x_repeats"]
-#: Share of a group that a concentration step keeps, steps, least group, and the square of the rejecting distance: for five
-#: normal statistics the 1 - 1e-12 point of chi-square is about 63; texts have heavier tails, so that times eight.
-SUPPORT, STEPS, LEAST_GROUP, CUTOFF = 0.75, 4, 50, 504.0
+#: Share of a group that a concentration step keeps, steps, least group.
+SUPPORT, STEPS, LEAST_GROUP = 0.75, 4, 50
 #: Added to variances, so that a statistic that hardly varies in a group cannot reject by itself.
 FLOOR = 0.05
 
 
+def _beyond(x: float, df: int) -> float:
+    """The share of chi-square with an odd ``df`` beyond ``x``."""
+    term = total = 1.0
+    for j in range(3, df, 2):
+        term *= x / j
+        total += term
+    return math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * total
+
+
+def _point(beyond: float, df: int) -> float:
+    """Where chi-square with an odd ``df`` has the share ``beyond`` above it."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _beyond(middle, df) > beyond else (low, middle)
+    return high
+
+
+def _consistency(share: float) -> float:
+    """What the covariance of the nearest ``share`` of normal data is multiplied by to be that of all of it."""
+    n = len(VECTOR)
+    return share / (1 - _beyond(_point(1 - share, n), n + 2)) if share < 1 else 1.0
+
+
+#: The reweighting step takes documents within this share of chi-square; the square of the rejecting distance is the 1 - 1e-12
+#: point of chi-square, about 65 for five statistics.
+INNER, CUTOFF = 0.975, _point(1e-12, len(VECTOR))
+
+
 def text_stats(text: bytes | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one UTF-8 text (null: none)."""
     text = text or b""
@@ -96,7 +126,7 @@ def _moments() -> list[Column]:
 
 
 def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and inverse covariance of each group from its moments; one row a group."""
+    """Centre and inverse covariance of each group from its moments and the share of it they cover; one row a group."""
     n = len(VECTOR)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,7 +136,7 @@ def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
             inverse = []
             for at, mean in zip(rows.itertuples(index=False), centre, strict=True):
                 cov = np.array([[getattr(at, f"p{min(i, j)}{max(i, j)}") for j in range(n)] for i in range(n)]) / at.n - np.outer(mean, mean)
-                inverse.append(np.linalg.inv(cov + FLOOR * np.eye(n)).ravel().tolist())
+                inverse.append(np.linalg.inv(cov * _consistency(at.share) + FLOOR * np.eye(n)).ravel().tolist())
             out["centre"], out["inverse"] = [c.tolist() for c in centre], inverse
             yield out
 
@@ -115,7 +145,7 @@ def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def estimate(vectors: DataFrame, keys: tuple[str, ...] = ("lang", "source"), support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """(keys, n, centre, inverse): the minimum covariance determinant estimate of each group of ``vectors``."""
+    """(keys, centre, inverse): the reweighted minimum covariance determinant estimate of each group of ``vectors``."""
     keys = list(keys)
     few = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"q{i}") for i, v in enumerate(VECTOR)]
     start = vectors.groupBy(*keys).agg(*few)
@@ -124,10 +154,11 @@ def estimate(vectors: DataFrame, keys: tuple[str, ...] = ("lang", "source"), sup
     shape = start.select(*keys, F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(n)]).alias("centre"), F.array(*diagonal).alias("inverse"))
     for _ in range(steps):
         far = _with(vectors, cut(shape), keys).withColumn("d", _distance())
-        bound = far.groupBy(*keys).agg(F.percentile_approx("d", F.lit(support), F.lit(1000)).alias("bound"))
+        bound = far.groupBy(*keys).agg(F.percentile_approx("d", F.lit(support), F.lit(1000)).alias("bound"), F.count("*").alias("all"))
         kept = _with(far.drop("centre", "inverse"), cut(bound), keys).where(F.col("d") <= F.col("bound"))
-        shape = _shape(kept.groupBy(*keys).agg(*_moments()), keys)
-    return cut(shape)
+        shape = _shape(kept.groupBy(*keys).agg(*_moments(), (F.count("*") / F.max("all")).alias("share")), keys)
+    near = _with(vectors, cut(shape), keys).where(_distance() <= _point(1 - INNER, n))
+    return cut(_shape(near.groupBy(*keys).agg(*_moments(), F.lit(INNER).alias("share")), keys))
 
 
 def _with(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:

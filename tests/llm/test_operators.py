@@ -359,6 +359,22 @@ def test_mcd_matches_numpy(spark):
     assert np.abs(made.centre).max() < 0.3  # a tenth of far rows does not move the centre
 
 
+def test_quality_cutoff_is_the_chi_square_point(spark):
+    assert abs(quality.CUTOFF - 65.2386) < 1e-3 and abs(quality._consistency(0.75) - 1.4121) < 1e-3
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (4000, 5))
+    df = spark.createDataFrame([("e", "s", *map(float, r)) for r in x], "lang string, source string, " + ", ".join(f"{v} double" for v in quality.VECTOR))
+    inverse = np.array(quality.estimate(df).first().inverse).reshape(5, 5)
+    assert np.abs(inverse - np.eye(5) / (1 + quality.FLOOR)).max() < 0.1  # consistent for normal data
+    vocab = [f"w{i}" for i in range(500)]
+    clean = [(i, " ".join(rng.choice(vocab, int(rng.integers(60, 400)))), "en", "s", 0) for i in range(300)]
+    bars = [(1000 + i, " | ".join(" ".join(p) for p in rng.choice(vocab, (60, 2))), "en", "s", 0) for i in range(5)]  # a third of the words
+    repeats = [(2000 + i, " ".join([*rng.choice(vocab, 70), *["w1 w2 w3 w4 w5 w6"] * 10]), "en", "s", 0) for i in range(5)]  # under half
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(clean + bars + repeats, SCHEMA)).collect()}
+    assert all(got[i].kept for i, *_ in clean)
+    assert not any(got[i].kept or got[i].base_failed for i, *_ in bars + repeats)
+
+
 @pytest.mark.parametrize("table", ["edge", "docs", "empty"])
 def test_sentencepiece(request, table):
     import sentencepiece
