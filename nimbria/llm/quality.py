@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -169,22 +170,52 @@ def _with(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(F.broadcast(renamed) if few else renamed, on).drop(*[f"__{k}" for k in keys])
 
 
+def _shapes(sound: DataFrame, keys: tuple[str, ...], least_group: int) -> DataFrame:
+    """(keys, centre, inverse) of every group of ``sound``; small groups have the estimate of their first large enough pool.
+
+    Pools share the first keys, from all of them down to none; only pools that some group needs are estimated. In a pool's
+    key the rest is null, and ``__level``, the number of its keys, tells it from groups with null keys.
+    """
+    groups = cut(sound.groupBy(*keys).agg(F.count("*").alias("__n")).withColumn("__level", F.lit(0)))
+    for level in range(1, len(keys) + 1):
+        pools = groups.groupBy(*keys[:level]).agg(F.sum("__n").alias("__pool"))
+        groups = cut(_with(groups, cut(pools), list(keys[:level])).withColumn("__level", F.when(F.col("__pool") >= least_group, level).otherwise(F.col("__level"))).drop("__pool"))
+
+    def pool(rows: DataFrame, level: int) -> DataFrame:
+        return rows.withColumns({"__level": F.lit(level)} | {k: F.lit(None).cast(rows.schema[k].dataType) for k in keys[level:]})
+
+    needed, rows = [r[0] for r in groups.select("__level").distinct().collect()], sound.select(*keys, *VECTOR)
+    if not needed:
+        return groups.select(*keys, F.array(F.lit(0.0)).alias("centre"), F.array(F.lit(0.0)).alias("inverse"))
+    learn = []
+    for level in needed:
+        used = groups.where(F.col("__level") == level).select(*keys[:level]).distinct()
+        learn.append(pool(_with(rows, cut(used), list(keys[:level])) if level else rows, level))
+    shape = estimate(cut(reduce(DataFrame.unionByName, learn)), ("__level", *keys))
+    made = []
+    for level in needed:
+        own = shape.where(F.col("__level") == level).select(*keys[:level], "centre", "inverse")
+        mine = groups.where(F.col("__level") == level).select(*keys)
+        made.append((_with(mine, own, list(keys[:level])) if level else mine.crossJoin(F.broadcast(own))).select(*keys, "centre", "inverse"))
+    return cut(reduce(DataFrame.unionByName, made))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF, least_group: int = LEAST_GROUP) -> DataFrame:
     """One row per row of ``docs``: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     base_failed: under 50 words, or more than half of them in repeated 3-word windows. The outlier rule learns from
     documents that pass the base rules and rejects on the far side only of what marks bad text: a document beyond
     ``cutoff`` (squared distance) whose symbols, repeats, repeated lines or word length lie outside its group's centre; a
-    text that is merely long or short stays. Groups of fewer than ``least_group`` such documents, null keys included as
-    groups of their own, reject nothing beyond the base rules. Null and empty texts have no words and fail. Rows that
+    text that is merely long or short stays. Null keys are groups of their own. A group of fewer than ``least_group`` such
+    documents is judged by the estimate of all documents with its leading keys (by default its language), and where those
+    are fewer too by that of the whole table, whatever its size. Null and empty texts have no words and fail. Rows that
     repeat an id each return a row. An empty table gives an empty result.
     """
     base = stats(docs, id_col, text_col, keys)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     base = cut(base.withColumn("base_failed", failed).withColumns(vector()))
     sound = base.where(~F.col("base_failed"))
-    sizes = sound.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") >= least_group)
-    shape = estimate(_with(sound, cut(sizes), list(keys)), keys)
+    shape = _shapes(sound, keys, least_group)
     renamed = shape.select(*[F.col(k).alias(f"__{k}") for k in keys], "centre", "inverse")
     few = shape.limit(10_001).count() <= 10_000
     joined = base.join(F.broadcast(renamed) if few else renamed, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")

@@ -375,6 +375,16 @@ def test_quality_cutoff_is_the_chi_square_point(spark):
     assert not any(got[i].kept or got[i].base_failed for i, *_ in bars + repeats)
 
 
+def test_quality_judges_small_groups(spark):
+    rng = np.random.default_rng(9)
+    vocab = [f"w{i}" for i in range(500)]
+    places = [("en", "a"), ("en", "b"), ("en", "c"), ("de", None), (None, "a")]  # 20, 20, 20, 8 and 8 documents: by language, then by all
+    clean = [(100 * g + i, " ".join(rng.choice(vocab, int(rng.integers(60, 400)))), *places[g], 0) for g in range(5) for i in range(20 if g < 3 else 8)]
+    junk = [(1000 + g, " ".join(f"{a}###|||<<<" for a in rng.choice(vocab, 100)), *places[g], 0) for g in range(5)]
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(clean + junk, SCHEMA)).collect()}
+    assert all(got[i] for i, *_ in clean) and not any(got[i] for i, *_ in junk)
+
+
 @pytest.mark.parametrize("table", ["edge", "docs", "empty"])
 def test_sentencepiece(request, table):
     import sentencepiece
