@@ -281,7 +281,7 @@ QUERIES = {
     "acc_maximum": (_acc("maximum"), _acc_sql("max(value)")),
     "acc_mean": (_acc("mean"), _acc_sql("avg(value)")),
     "acc_standard_deviation": (_acc("standard_deviation"), _acc_sql("stddev_pop(value)")),
-    "acc_weighted_mean": (_acc("weighted_mean"), _acc_sql("sum(CASE WHEN step > first_c THEN value / 3 END)")),
+    "acc_weighted_mean": (_acc("weighted_mean"), _acc_sql("sum(CASE WHEN step > first_c THEN value / 3 END)", "count(*) FILTER (step > first_c) = 3")),
     "acc_integral": (_acc("integral"), _acc_sql("sum(CASE WHEN step > first_c THEN value * (step - coalesce(prev, first_c)) END)", "max(step) = first_c + 3").replace("point_id, value FROM fields JOIN w ON step = coord)", "point_id, value, lag(step) OVER (PARTITION BY window_id, number, point_id ORDER BY step) AS prev FROM fields JOIN w ON step = coord)")),
     "acc_difference": (acc_ends("difference"), _ends_sql("1", "1")),
     "acc_difference_rate": (acc_ends("difference_rate", 0.5), _ends_sql("(0.5::DOUBLE * 4)", "(0.5::DOUBLE * 5)")),
