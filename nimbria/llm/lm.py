@@ -1,14 +1,15 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
 A count is stored as its level on a logarithmic scale: the n-gram is entered once for each level up to its own, and a
-lookup probes level after level until one is missing. Uni- and bigrams share the filter, which is broadcast; smoothed
-probabilities come from those probes: P(w | h) = (c(hw) + mu P(w)) / (c(h) + mu), P(w) = (c(w) + 1) / (N + V + 1).
-
-Scale: texts are read once and become blocks of token numbers, written to the shared folder. Exact word counts for the
-base score travel as one row per block and distinct word (so a frequent word is one row a block). N-gram counts travel
-as packed arrays by segment of the hash space; the number of segments grows with the corpus, so a segment's merge stays
-small. The filter is bounded by ``filter_bytes``: where the events would get fewer than BITS_PER_EVENT, each segment
-raises the least count it keeps (its threshold) until they fit, as count cutoffs do in any n-gram model.
+lookup probes level after level until one is missing. Uni- and bigrams share the filter; smoothed probabilities come
+from those probes: P(w | h) = (c(hw) + mu P(w)) / (c(h) + mu), P(w) = (c(w) + 1) / (N + V + 1).
+
+Scale: every training n-gram of the corpus is kept, so the filter grows with it. It is therefore cut into segments of
+the n-grams' hash space, one for about ``segment_tokens`` tokens, and instead of all segments being broadcast the probes
+are sent to their segment: what a task holds is bounded whatever the corpus. Texts are read once and become blocks of
+token numbers in the shared folder. A block sends each of its distinct words and bigrams once to their segments, with
+its own training counts (so a frequent one is one entry a block); the segment sums them, builds its part of the filter,
+probes it for each block's keys and sends back a byte a key, and the words' exact counts for the base score.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from nimbria.llm.common import small_batches, texts, written
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_TOKENS, SEGMENT_TOKENS, FILTER_BYTES, BITS_PER_EVENT, PROBES, MU = 2_000_000, 1_000_000, 64 << 20, 8, 4, 1000.0
+BLOCK_TOKENS, SEGMENT_TOKENS, BITS_PER_EVENT, PROBES, MU = 1_000_000, 1_000_000, 12, 5, 200.0
 #: The counts at which levels begin: powers of 5/4, rounded down.
 LEVELS = np.unique(np.floor(1.25 ** np.arange(180)).astype(np.int64))
 #: What a level stands for: the middle of its counts.
@@ -65,11 +66,11 @@ def _pack(a: np.ndarray) -> bytes:
 
 def _pack_planes(a: np.ndarray) -> bytes:
     """Compressed byte by byte place: high bytes of small numbers vanish."""
-    return _pack(a.view(np.uint8).reshape(len(a), -1).T)
+    return _pack(a.view(np.uint8).reshape(len(a), a.itemsize).T)
 
 
 def _open_planes(raw: bytes, kind) -> np.ndarray:
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    flat = _open(raw, np.uint8)
     return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
@@ -121,176 +122,164 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) -> Da
     return small_batches(docs.select(id_col, text_col)).mapInArrow(run, schema)
 
 
-def word_counts(made: DataFrame) -> DataFrame:
-    """(block, place, c, known): each block's distinct words with their exact count in training, END included; ``known`` is
-    the hash of a word of the training documents at its first row, else null."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                h, n = _open(hashes, np.int64), _open(counts, np.int64)
-                for i in range(0, len(h), 100_000):
-                    own = h[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array(np.arange(i, i + len(own), dtype=np.int32)), pa.array(own), pa.array(n[i : i + len(own)])], names=["block", "place", "hash", "n"])
-
-    rows = made.select("block", "hashes", "counts").mapInArrow(run, "block bigint, place int, hash bigint, n bigint")
-    same = Window.partitionBy("hash")
-    c = F.sum("n").over(same)
-    first = F.row_number().over(same.orderBy("block")) == 1
-    counted = rows.select("block", "place", "hash", c.alias("c"), first.alias("first"))
-    return counted.select("block", "place", "c", F.when(F.col("first") & (F.col("c") > 0), F.col("hash")).alias("known"))
-
-
 @dataclass
 class Filter:
-    """The log-frequency Bloom filter: packed bits of all segments, where each begins and how many bits it has."""
+    """A segment's log-frequency Bloom filter: packed bits, their number and the highest level entered."""
 
     bits: np.ndarray
-    starts: np.ndarray
-    sizes: np.ndarray
+    size: int
+    top: int
 
     @staticmethod
-    def spots(keys: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
+    def _first(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first probe of a level and the step to the next."""
         first = mixed(keys + np.uint64(level * 0xD1342543DE82EF95 % 2**64))
-        step = mixed(first) | np.uint64(1)
-        for _ in range(PROBES):
-            yield first % size
-            first = first + step
+        return first, mixed(first) | np.uint64(1)
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray) -> Filter:
+        """The filter of distinct ``keys`` with their ``counts``; a key without a count is not entered."""
+        levels = np.searchsorted(LEVELS, counts, side="right")
+        size, top = max(64, -(-int(levels.sum()) * BITS_PER_EVENT // 64) * 64), int(levels.max(initial=0))
+        flags = np.zeros(size, np.uint8)
+        for level in range(1, top + 1):
+            spot, step = cls._first(keys[levels >= level], level)
+            for _ in range(PROBES):
+                flags[spot % np.uint64(size)] = 1
+                spot = spot + step
+        return cls(np.packbits(flags, bitorder="little"), size, top)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key: probes go on while a level is found; 0 for a key that was not entered."""
-        out, live = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        if not len(self.sizes):
-            return out
-        segment = (keys % np.uint64(len(self.sizes))).astype(np.int64)
-        for level in range(1, len(LEVELS) + 1):
-            own, size, start = keys[live], self.sizes[segment[live]], self.starts[segment[live]]
-            held = np.ones(len(live), bool)
-            for spot in self.spots(own, level, size):
-                at = spot + start
-                held &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            live = live[held]
+        out, live = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+        for level in range(1, self.top + 1):
+            spot, step = self._first(keys[live], level)
+            for _ in range(PROBES):
+                at = spot % np.uint64(self.size)
+                hit = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                live, spot, step = live[hit], spot[hit] + step[hit], step[hit]
             if not len(live):
                 break
             out[live] = level
         return out
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        return MIDDLES[self.level(keys)]
-
-
-def segment_bits(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[np.ndarray, int]:
-    """Packed bits and their number for one segment's n-grams."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, counts = keys[begins], np.add.reduceat(counts, begins)
-    levels = np.searchsorted(LEVELS, counts, side="right")
-    events = np.bincount(levels, minlength=len(LEVELS) + 1) * np.arange(len(LEVELS) + 1)
-    room, least = most_bits // BITS_PER_EVENT, 1
-    while least < len(LEVELS) and events[least:].sum() > room:
-        least += 1
-    keys, levels = keys[levels >= least], levels[levels >= least]
-    size = max(64, int(min(most_bits, levels.sum() * BITS_PER_EVENT)) // 64 * 64)
-    flags = np.zeros(size, np.uint8)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        for spot in Filter.spots(keys[levels >= level], level, np.uint64(size)):
-            flags[spot] = 1
-    return np.packbits(flags, bitorder="little"), size
-
-
-def ngram_filter(made: DataFrame, counted: DataFrame, n_tokens: int, filter_bytes: int) -> Filter:
-    """The filter over all training bigrams and unigrams; at most ``filter_bytes`` reach the driver."""
-    segments = max(1, -(-n_tokens // SEGMENT_TOKENS))
-    most_bits = max(64, filter_bytes * 8 // segments // 64 * 64)
-
-    def dealt(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        place = (keys % np.uint64(segments)).astype(np.int64)
-        order = np.lexsort((keys, place))
-        keys, counts, place = keys[order], counts[order], place[order]
-        edges = np.searchsorted(place, np.arange(segments + 1))
-        full = np.flatnonzero(np.diff(edges))
-        for first in range(0, len(full), 64):
-            some = full[first : first + 64]
-            packed = [[_pack_planes(np.diff(keys[edges[s] : edges[s + 1]], prepend=np.uint64(0))) for s in some], [_pack_planes(counts[edges[s] : edges[s + 1]]) for s in some]]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[pa.array(p, pa.binary()) for p in packed]], names=["segment", "keys", "counts"])
-
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for sizes, out, tokens, hashes in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                sizes, out, h = _open(sizes, np.int64), _open(out, bool), _open(hashes, np.uint64)
-                words = h[_open_planes(tokens, np.uint32)]
-                before = np.roll(words, 1)
-                before[np.cumsum(sizes) - sizes] = BEGIN
-                stay = ~np.repeat(out, sizes)
-                if stay.any():
-                    yield from dealt(*np.unique(pair(before[stay], words[stay]), return_counts=True))
-
-    def unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+@dataclass
+class Block:
+    """A block opened again: its documents, token numbers, word hashes (the begin of a document last) and distinct bigrams."""
+
+    sizes: np.ndarray
+    out: np.ndarray
+    at: np.ndarray
+    words: np.ndarray
+    pairs: np.ndarray
+    pair_of: np.ndarray
+
+    @classmethod
+    def of(cls, sizes: bytes, out: bytes, tokens: bytes, hashes: bytes) -> Block:
+        sizes, out, at, words = _open(sizes, np.int64), _open(out, bool), _open_planes(tokens, np.uint32), np.append(_open(hashes, np.uint64), BEGIN)
+        before = np.roll(at, 1)
+        before[np.cumsum(sizes) - sizes] = len(words) - 1
+        return cls(sizes, out, at, words, *np.unique(pair(words[before], words[at]), return_inverse=True))
+
+    def orders(self, segments: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """For words and bigrams: the order by segment, in which they travel, and each segment's edges in it."""
+        made = []
+        for keys, place in ((self.words, single(self.words)), (self.pairs, self.pairs)):
+            place = (place % np.uint64(segments)).astype(np.int64)
+            order = np.lexsort((keys, place))
+            made.append((order, np.searchsorted(place[order], np.arange(segments + 1))))
+        return made[0], made[1]
+
+
+def asked(made: DataFrame, segments: int) -> DataFrame:
+    """(block, segment, words, word_counts, pairs, pair_counts): each block's distinct keys by segment, with its own training
+    counts, packed; a row for each segment that has any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from dealt(single(batch.column(0).to_numpy().view(np.uint64)), batch.column(1).to_numpy())
-
-    def merge(key: tuple, rows: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_open_planes(x, np.uint64), dtype=np.uint64) for x in rows["keys"].to_pylist()]
-        counts = [_open_planes(x, np.int64) for x in rows["counts"].to_pylist()]
-        bits, size = segment_bits(np.concatenate(keys), np.concatenate(counts), most_bits)
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "size": pa.array([size], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-    shape = "segment int, keys binary, counts binary"
-    pairs = made.select("sizes", "out", "tokens", "hashes").mapInArrow(bigrams, shape)
-    singles = counted.where("known is not null").select("known", "c").mapInArrow(unigrams, shape)
-    begin = made.select("out").mapInArrow(lambda batches: (b for batch in batches for x in batch.column(0).to_pylist() if (n := int((~_open(x, bool)).sum())) for b in dealt(single(np.array([BEGIN])), np.array([n]))), shape)
-    done = pairs.unionByName(singles).unionByName(begin).groupBy("segment").applyInArrow(merge, "segment int, size bigint, bits binary")
-    sizes, parts = np.full(segments, 64, np.uint64), {}
-    for row in done.collect():  # at most filter_bytes
-        sizes[row.segment], parts[row.segment] = row.size, bytes(row.bits)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.uint64)
-    return Filter(np.frombuffer(b"".join(parts.get(s, b"\0" * 8) for s in range(segments)), np.uint8), starts, sizes)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, filter_bytes: int = FILTER_BYTES, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+            for block, *packed, counts in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                own = Block.of(*packed)
+                counts = np.append(_open(counts, np.int64), (~own.out).sum())
+                stay = np.repeat(~own.out, own.sizes)
+                pair_counts = np.bincount(own.pair_of[stay], minlength=len(own.pairs))
+                (words, word_edges), (pairs, pair_edges) = own.orders(segments)
+                sides = [(own.words[words], counts[words], word_edges), (own.pairs[pairs], pair_counts[pairs], pair_edges)]
+                full = np.flatnonzero(np.diff(word_edges) + np.diff(pair_edges))
+                for first in range(0, len(full), 64):
+                    some, columns = full[first : first + 64], []
+                    for keys, n, edges in sides:
+                        spans = [slice(edges[s], edges[s + 1]) for s in some]
+                        columns += [[_pack_planes(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], [_pack_planes(n[s]) for s in spans]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], names=["block", "segment", "words", "word_counts", "pairs", "pair_counts"])
+
+    return made.select("block", "sizes", "out", "tokens", "hashes", "counts").mapInArrow(run, "block bigint, segment int, words binary, word_counts binary, pairs binary, pair_counts binary")
+
+
+def answered(questions: DataFrame) -> DataFrame:
+    """(block, segment, counts, word_levels, pair_levels, known) for every row of ``asked``: the words' exact counts and the
+    levels of words and bigrams in the segment's filter, packed in the order of the keys; ``known`` is the number of the
+    segment's distinct training words at its first row, else 0."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        opened = [[x if i % 2 else np.cumsum(x, dtype=np.uint64) for i, c in enumerate(("words", "word_counts", "pairs", "pair_counts")) for x in [_open_planes(row[c], np.int64 if i % 2 else np.uint64)]] for row in rows.select(["words", "word_counts", "pairs", "pair_counts"]).to_pylist()]
+        words, back = np.unique(np.concatenate([o[0] for o in opened]), return_inverse=True)
+        counts = np.zeros(len(words), np.int64)
+        np.add.at(counts, back, np.concatenate([o[1] for o in opened]))
+        pairs, pair_back = np.unique(np.concatenate([o[2] for o in opened]), return_inverse=True)
+        pair_counts = np.zeros(len(pairs), np.int64)
+        np.add.at(pair_counts, pair_back, np.concatenate([o[3] for o in opened]))
+        held = Filter.of(np.concatenate([single(words), pairs]), np.concatenate([counts, pair_counts]))
+        word_levels, pair_levels = held.level(single(words)), held.level(pairs)
+        ends, pair_ends = np.cumsum([len(o[0]) for o in opened]), np.cumsum([len(o[2]) for o in opened])
+        spans = [(back[b - len(o[0]) : b], pair_back[d - len(o[2]) : d]) for o, b, d in zip(opened, ends, pair_ends, strict=True)]
+        known = int(((counts > 0) & (words != BEGIN)).sum())
+        return pa.table({
+            "block": rows["block"], "segment": rows["segment"], "counts": pa.array([_pack_planes(counts[w]) for w, _ in spans], pa.binary()),
+            "word_levels": pa.array([_pack(word_levels[w]) for w, _ in spans], pa.binary()), "pair_levels": pa.array([_pack(pair_levels[p]) for _, p in spans], pa.binary()),
+            "known": pa.array([known] + [0] * (len(spans) - 1), pa.int64()),
+        })
+
+    return questions.groupBy("segment").applyInArrow(run, "block bigint, segment int, counts binary, word_levels binary, pair_levels binary, known bigint")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, block_tokens: int = BLOCK_TOKENS, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words (A-Z lower-cased) and one end a document. Documents whose crc32(id as text) mod 7 is 2 are held
     out; the rest train the counts and the filter. base_score adds log10((c + 1) / (N + V + 1)) over tokens with exact
-    counts (words are told apart by 64-bit hashes); score is the model's log10 probability. A null or empty text is its
-    end alone; a null id trains; rows that repeat an id each count and each return a row. Without training documents
-    N and V are 0. An empty table gives an empty result.
+    counts (words are told apart by 64-bit hashes, n-grams in the filter by 48 bits); score is the model's log10
+    probability: its counts are the middles of the filter's levels, a bigram's no more than its words'. A null or empty
+    text is its end alone; bytes that are no UTF-8 are words like others; a null id trains; rows that repeat an id each
+    count and each return a row. Without training documents N and V are 0. Other columns, whatever their names, are not
+    read. An empty table gives an empty result. Memory a task: a block, and a document is never split.
     """
-    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    kind = docs.schema[id_col].dataType.simpleString()
     made = written(blocks(docs, id_col, text_col, block_tokens), "lm-blocks")
-    counted = written(word_counts(made), "lm-words")
-    total, train = made.agg(F.sum("n_tokens"), F.sum("n_train")).first()
-    total, train = total or 0, train or 0
-    distinct = counted.where("known is not null").count()
-    known = spark.sparkContext.broadcast(ngram_filter(made, counted, total, filter_bytes))
-    whole = float(train + distinct + 1)
-
-    def run(own: pa.Table, words: pa.Table) -> pa.Table:
-        held, ids, out, numbers = known.value, own["ids"].combine_chunks().values, _open(own["out"][0].as_py(), bool), _open_planes(own["tokens"][0].as_py(), np.uint32)
-        sizes, h = _open(own["sizes"][0].as_py(), np.int64), _open(own["hashes"][0].as_py(), np.uint64)
-        c = np.empty(len(h), np.int64)
-        c[words["place"].to_numpy()] = words["c"].to_numpy()
+    total, train = (x or 0 for x in made.agg(F.sum("n_tokens"), F.sum("n_train")).first())
+    segments = max(1, -(-total // segment_tokens))
+    answers = written(answered(asked(made, segments)), "lm-answers")
+    whole = float(train + (answers.agg(F.sum("known")).first()[0] or 0) + 1)
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        block = Block.of(*(own[c][0].as_py() for c in ("sizes", "out", "tokens", "hashes")))
+        found = found.sort_by("segment")
+        (words, _), (pairs, _) = block.orders(segments)
+        c, near, together = np.empty(len(words), np.int64), np.empty(len(words)), np.empty(len(pairs))
+        c[words] = np.concatenate([_open_planes(x, np.int64) for x in found["counts"].to_pylist()])
+        near[words] = MIDDLES[np.concatenate([_open(x, np.uint8) for x in found["word_levels"].to_pylist()])]
+        together[pairs] = MIDDLES[np.concatenate([_open(x, np.uint8) for x in found["pair_levels"].to_pylist()])]
+        sizes, at = block.sizes, block.at
         starts = np.cumsum(sizes) - sizes
-        base = np.add.reduceat(np.log10((c + 1) / whole)[numbers], starts)
-        n_known = np.add.reduceat((c > 0)[numbers].astype(np.int64), starts)
-        near = held.count(single(h))
+        base = np.add.reduceat(np.log10((c + 1) / whole)[at], starts)
+        n_known = np.add.reduceat((c > 0)[at].astype(np.int64), starts)
         alone = np.minimum(near + 1, whole) / whole  # a level may stand for more than was counted
-        begins = held.count(single(np.array([BEGIN])))[0]
-        logs = np.empty(len(numbers))
-        first = np.zeros(len(numbers), bool)
-        first[starts] = True
-        for i in range(0, len(numbers), 1 << 19):
-            at = numbers[i : i + (1 << 19)]
-            left = numbers[max(i - 1, 0) : i + len(at) - 1] if i else np.concatenate([at[:1], at[:-1]])
-            edge = first[i : i + len(at)]
-            keys, back = np.unique(pair(np.where(edge, BEGIN, h[left]), h[at]), return_inverse=True)
-            history = np.where(edge, begins, near[left])
-            together = np.minimum(held.count(keys)[back], np.minimum(history, near[at]))  # a bigram is no more frequent than its words
-            logs[i : i + len(at)] = np.log10((together + mu * alone[at]) / (history + mu))
+        history = np.roll(near[at], 1)
+        history[starts] = near[-1]
+        both = np.minimum(together[block.pair_of], np.minimum(history, near[at]))  # a bigram is no more frequent than its words
+        logs = np.log10((both + mu * alone[at]) / (history + mu))
         n = len(sizes)
-        return pa.table({id_col: ids, "held_out": pa.array(out), "n_tokens": pa.array(sizes), "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(n, train, np.int64)), "base_score": pa.array(base), "score": pa.array(np.add.reduceat(logs, starts))})
+        return pa.table({id_col: own["ids"].combine_chunks().values, "held_out": pa.array(block.out), "n_tokens": pa.array(sizes), "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(n, train, np.int64)), "base_score": pa.array(base), "score": pa.array(np.add.reduceat(logs, starts))})
 
     result = f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return made.drop("counts").groupBy("block").cogroup(counted.select("block", "place", "c").groupBy("block")).applyInArrow(run, result)
+    return made.drop("counts", "n_tokens", "n_train").groupBy("block").cogroup(answers.drop("known").groupBy("block")).applyInArrow(run, result)

@@ -283,16 +283,50 @@ def test_lm(request, table):
         assert mean("score") > mean("base_score")
 
 
+def brute_lm(rows, mu):
+    """Scores of a model with exact counts, each replaced by the middle of its level."""
+    out = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    tokens = [[*words((r.text or "").translate(LOWER)), 0] for r in rows]
+    single, double, begins = Counter(), Counter(), 0
+    for r, ts in zip(rows, tokens, strict=True):
+        if not out(r.doc_id):
+            begins += 1
+            single.update(ts)
+            double.update(zip([1, *ts[:-1]], ts, strict=True))
+    middle = lambda n: lm.MIDDLES[np.searchsorted(lm.LEVELS, n, side="right")]
+    whole = sum(single.values()) + len(single) + 1
+    scores = []
+    for ts in tokens:
+        total = 0.0
+        for h, t in zip([1, *ts[:-1]], ts, strict=True):
+            ch, cw = middle(begins if h == 1 else single[h]), middle(single[t])
+            total += math.log10((min(middle(double[h, t]), ch, cw) + mu * min(cw + 1, whole) / whole) / (ch + mu))
+        scores.append(total)
+    return scores
+
+
+@pytest.mark.parametrize("table", ["edge", "docs"])
+@pytest.mark.parametrize("parts,segment", [(1, 1 << 20), (7, 5000), (3, 500)])
+def test_lm_equals_exact_counts(request, table, parts, segment):
+    """Whatever the number of partitions, blocks and segments, no n-gram is lost: only the filter's rare false levels remain."""
+    df = request.getfixturevalue(table)
+    rows = df.collect()
+    want = sorted(zip([str(r.doc_id) for r in rows], brute_lm(rows, 50.0), strict=True))
+    got = sorted((str(r.doc_id), r.score) for r in lm.score(df.repartition(parts).withColumn("score", F.lit("clash")), mu=50.0, block_tokens=3000, segment_tokens=segment).collect())
+    n = sum(len(words(r.text)) + 1 for r in rows)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    off = sum(abs(a - b) for (_, a), (_, b) in zip(got, want, strict=True))
+    assert off < 0.01 * n  # under a hundredth of a decimal a token
+
+
 def test_lm_filter():
     keys = np.unique(np.random.default_rng(4).integers(0, 2**48, 4000, dtype=np.uint64))
     counts = np.random.default_rng(5).zipf(1.5, len(keys)).clip(1, 10**6)
-    bits, size = lm.segment_bits(keys, counts, 1 << 22)
-    f = lm.Filter(bits, np.zeros(1, np.uint64), np.array([size], np.uint64))
+    f = lm.Filter.of(keys, counts)
     levels = np.searchsorted(lm.LEVELS, counts, side="right")
-    assert (f.level(keys) >= levels).all() and (f.level(keys) == levels).mean() > 0.9  # never below, seldom above
-    assert (f.level(keys + np.uint64(1 << 50)) == 0).mean() > 0.9
-    small, size = lm.segment_bits(keys, counts, 8000)
-    assert size <= 8000 and len(small) * 8 == size
+    assert (f.level(keys) >= levels).all() and (f.level(keys) == levels).mean() > 0.98  # never below, seldom above
+    assert (f.level(keys + np.uint64(1 << 50)) == 0).mean() > 0.98
+    assert (lm.Filter.of(keys, 0 * counts).level(keys) == 0).all() and len(lm.Filter.of(keys[:0], counts[:0]).level(keys[:0])) == 0
 
 
 def test_url_filter(spark):
