@@ -2,14 +2,13 @@
 
 A fingerprint's 64 bits form a ring of ``segments`` equal segments. If two fingerprints differ in at most ``t`` bits,
 then by the pigeonring principle some start ``i`` exists such that, for every length ``l``, the segments i..i+l-1
-differ in at most ``floor(l * t / segments)`` bits together. All lengths with a budget of zero form an exact key
-(24 of 64 bits for t = 2 and 8 segments), which is an equi-join key; the longer chains prune a bucket's candidates
-before the full Hamming check.
-
-Scale: texts are read once and never shuffled; exact copies collapse to one fingerprint before any pairing; a bucket
-emits the edges of a spanning forest (at most its size), never its pairs. Buckets over ``bucket_cap`` fingerprints go
-another exact way: for t <= 2, two fingerprints are linked exactly if some 64-bit word lies within one bit of both, so
-65 keys a fingerprint with a star round each key's least member give the same components without comparing pairs.
+differ in at most ``floor(l * t / segments)`` bits together. All lengths with a budget of zero are equal; of the segments
+up to the last length with a budget of one, all but one are. Both together are the equi-join key (48 of 64 bits for t = 2
+and 8 segments, 32 keys a fingerprint); the longer chains prune a bucket's candidates before the full Hamming check.
+
+Scale: texts are read once and never shuffled; exact copies collapse to one fingerprint before any pairing, so a bucket
+holds at most as many fingerprints as the bits outside its key can tell apart (65,536 for t = 2), whatever the corpus; it
+emits the edges of a spanning forest (at most its size), never its pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,11 +37,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    digest, ones, n = xxhash.xxh64_digest, np.zeros(64, np.int64), max(1, len(words) - shingle + 1)
-    hashes = np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), np.uint8).reshape(-1, 8)
-    for first in range(0, len(hashes), 1 << 15):  # bounded memory for very long texts
-        ones += np.unpackbits(hashes[first : first + (1 << 15)], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big", signed=True)
+    digest = xxhash.xxh64_digest
+    return simhash_of(np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), ">u8"))
+
+
+def simhash_of(hashes: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: the bits set in over half of them, as a signed integer; 0 without any."""
+    raw, ones = hashes.astype(">u8").view(np.uint8).reshape(-1, 8), np.zeros(64, np.int64)
+    for first in range(0, len(raw), 1 << 15):  # bounded memory for very long texts
+        ones += np.unpackbits(raw[first : first + (1 << 15)], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(raw)).tobytes(), "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -91,76 +94,49 @@ def _forest(start: int, fps: np.ndarray, segments: int, distance: int, out: tupl
                 left = left[~hit]
 
 
-def links(distinct: DataFrame, distance: int = 2, segments: int = 8, bucket_cap: int = 16384) -> DataFrame:
-    """``distinct`` (fp long, no repeats) -> edges (a, b) whose components are those of all links at ``distance``."""
+def links(distinct: DataFrame, distance: int = 2, segments: int = 8) -> DataFrame:
+    """``distinct`` (fp long, no repeats) -> edges (a, b) whose components are those of all links at ``distance``.
+
+    Meant for small distances: the fewer bits a key has, the more fingerprints share it by chance.
+    """
     if 64 % segments or not 0 < distance < segments:
         raise ValueError("segments must divide 64 and exceed distance")
-    width = 64 // segments
-    free = sum(b == 0 for b in chain_budgets(segments, distance))
-    if 2 ** (free * width) * segments > 2**62:
-        raise ValueError("the exact part of a chain leaves no room for the segment's number")
-    turned = [F.expr(f"(shiftleft(fp, {i * width}) | shiftrightunsigned(fp, {64 - i * width}))" if i else "fp") for i in range(segments)]
-    key = [F.shiftrightunsigned(t, 64 - free * width) * segments + i for i, t in enumerate(turned)]
-    keys = distinct.select("fp", F.explode(F.array(*key)).alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width, budgets = 64 // segments, chain_budgets(segments, distance)
+    free, run = sum(b == 0 for b in budgets), max(1, sum(b == 1 for b in budgets))
+    long = free + run if run > 1 else free  # segments of the key; with run > 1 one of the last ``run`` is left out
+    if 2 ** (long * width) * segments * run > 2**62:
+        raise ValueError("a chain's key leaves no room for its number")
+    keys = []
+    for start in range(segments):
+        ring = F.expr(f"(shiftleft(fp, {start * width}) | shiftrightunsigned(fp, {64 - start * width}))" if start else "fp")
+        for out in range(run):
+            kept = F.shiftrightunsigned(ring, 64 - long * width)
+            if run > 1:
+                kept = kept.bitwiseAND(F.lit((2 ** (long * width) - 1) & ~((2**width - 1) << (out * width))))
+            keys.append(kept * (segments * run) + (start * run + out))
+    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
+
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list] = ([], [])
             for k, fps in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                _forest(k % segments, np.sort(fps.values.to_numpy().view(np.uint64)), segments, distance, out)
+                _forest(k % (segments * run) // run, np.sort(fps.values.to_numpy().view(np.uint64)), segments, distance, out)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in out], names=["a", "b"])
 
-    sized = keys.join(sizes, "key")
-    edges = sized.where(F.col("n") <= bucket_cap).groupBy("key").agg(F.collect_list("fp").alias("fps")).mapInArrow(run, "a bigint, b bigint")
-    return edges.unionByName(_hot_links(sized.where(F.col("n") > bucket_cap).select("fp").distinct(), distance))
+    return keyed.groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).mapInArrow(forests, "a bigint, b bigint")
 
 
-def _hot_links(hot: DataFrame, distance: int) -> DataFrame:
-    """Star edges of fingerprints in oversized buckets. Sharing a word within one bit means at most two differing bits;
-    for a distance of one, sharing the fingerprint with the same bit cleared means that this bit alone may differ."""
-    bits = [F.expr(f"shiftleft(1L, {i})") for i in range(64)]
-    if distance == 1:
-        shared = [F.col("fp").bitwiseAND(F.bitwise_not(b)) for b in bits]
-        near = hot.select("fp", F.posexplode(F.array(*shared)).alias("place", "z"))
-    elif distance == 2:
-        near = hot.select("fp", F.lit(0).alias("place"), F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(b) for b in bits])).alias("z"))
-    else:
-        raise ValueError(f"the exact way for oversized buckets covers distances 1 and 2, not {distance}")
-    stars = near.groupBy("place", "z").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return near.join(stars, ["place", "z"]).where("fp <> b").select(F.col("fp").alias("a"), "b")
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, segments: int = 8, bucket_cap: int = 16384) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, segments: int = 8) -> DataFrame:
     """One row per document: id, fp, root (the class's least fingerprint), component_id (its smallest id).
 
     Documents are linked if their fingerprints differ in at most ``distance`` bits; components are the transitive
     closure. Null or empty texts have fingerprint 0 and link like any other. Rows that repeat an id each return a row;
-    null ids never become a component_id unless the whole component has none (then it is null). Other columns of
-    ``docs`` are not read. Empty tables give an empty result.
+    null ids never become a component_id unless the whole component has none (then it is null). Bytes that are no UTF-8
+    are words like others. Other columns of ``docs`` are not read. Empty tables give an empty result.
     """
     fps = cut(fingerprints(docs, id_col, text_col))
     groups = cut(fps.groupBy("fp").agg(F.min(id_col).alias("least_id")))
-    roots = components(links(groups.select("fp"), distance, segments, bucket_cap)).withColumnRenamed("node", "fp")
+    roots = components(links(groups.select("fp"), distance, segments)).withColumnRenamed("node", "fp")
     groups = groups.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     classes = groups.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return fps.join(groups.join(classes, "root").select("fp", "root", "component_id"), "fp").select(id_col, "fp", "root", "component_id")
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Keep one document of each near-duplicate class, the one with the smallest id, with all columns of ``docs``.
-
-    Rows with a null id stay only where their whole class has none. Of rows that repeat a kept id, one stays.
-    """
-    found = cut(near_duplicates(docs, id_col, text_col, **options))
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    named = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-
-    @F.pandas_udf("bigint")
-    def fp(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: fingerprint(None if t is None else t.encode())).astype("int64")
-
-    nameless = found.where(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
-    lost = docs.where(F.col(id_col).isNull()).withColumn("__own", fp(text_col))
-    lost = lost.join(nameless, F.col("__own") == F.col("__fp")).dropDuplicates(["__root"]).drop("__own", "__fp", "__root")
-    return named.unionByName(lost)

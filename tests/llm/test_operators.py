@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from nimbria.llm import ann, components, linededup, lm, mixing, pieces, quality, secrets, simhash, tokenfile, urlfilter
+from nimbria.llm import ann, components, linededup, lm, mixing, pieces, quality, secrets, similar, simhash, tokenfile, urlfilter
 from nimbria.llm.queries import tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -95,26 +95,86 @@ def test_simhash_buckets(spark):
     fps = sorted(fps)
     df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp long")
     want = brute_components(list(range(len(fps))), fps)
-    for cap in (16384, 5):
-        roots = {r.node & (2**64 - 1): r.root & (2**64 - 1) for r in components.components(simhash.links(df, bucket_cap=cap)).collect()}
-        groups = defaultdict(set)
-        for i, f in enumerate(fps):
-            groups[roots.get(f, f)].add(i)
-        expected = defaultdict(set)
-        for i, c in enumerate(want):
-            expected[c].add(i)
-        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+    roots = {r.node & (2**64 - 1): r.root & (2**64 - 1) for r in components.components(simhash.links(df)).collect()}
+    groups, expected = defaultdict(set), defaultdict(set)
+    for i, (f, c) in enumerate(zip(fps, want, strict=True)):
+        groups[roots.get(f, f)].add(i)
+        expected[c].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
     assert simhash.chain_budgets(8, 2) == [0, 0, 0, 1, 1, 1, 1, 2]
     with pytest.raises(ValueError):
         simhash.links(df, distance=9)
 
 
-def test_simhash_dedup(edge, empty):
-    kept = simhash.dedup(edge)
-    assert kept.columns == edge.columns
+def brute_classes(rows):
+    """The least id of each row's class of texts whose 5-word shingle sets are alike to 0.8; all pairs are compared."""
+    sets = []
+    for r in rows:
+        w = words((r.text or "").translate(LOWER))
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if not a | b or len(a & b) / len(a | b) >= 0.8:
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, r in enumerate(rows):
+        if r.doc_id is not None:
+            least[find(i)].append(r.doc_id)
+    return [min(least[find(i)], default=None) for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("table", ["edge", "docs", "near"])
+@pytest.mark.parametrize("blocks", [{}, {"block_docs": 3, "block_shingles": 200}])
+def test_similar(request, spark, table, blocks):
+    """The classes are those of all pairs, whether groups fit a block or are cut into many."""
+    if table == "near":  # chains of ever more changed copies, a group of near copies, texts that share a passage
+        rng = np.random.default_rng(12)
+        vocab, made = [f"w{i}" for i in range(900)], []
+        for g in range(4):
+            w = list(rng.choice(vocab, 150))
+            for k in range(14):
+                if g % 2 == 0:
+                    w = [*w[5:], *rng.choice(vocab, 5)]
+                copy = list(w)
+                for at in rng.integers(0, 150, g):
+                    copy[at] = "changed"
+                made.append((100 * g + k, " ".join(copy), "en", "s", 0))
+        passage = " ".join(rng.choice(vocab, 60))
+        made += [(1000 + i, f"{' '.join(rng.choice(vocab, 60))} {passage}", "en", "s", 0) for i in range(12)]
+        df = spark.createDataFrame(made, SCHEMA)
+    else:
+        df = request.getfixturevalue(table)
+    rows = df.collect()
+    want = sorted((str(r.doc_id), str(c)) for r, c in zip(rows, brute_classes(rows), strict=True))
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in similar.classes(df, **blocks).collect()) == want
+
+
+def test_similar_dedup(edge, empty):
+    odd = edge.withColumns({"__own": F.lit(1), "row": F.lit(2), "id": F.lit(3), "root": F.lit(4)})
+    kept = similar.dedup(odd)
+    assert kept.columns == odd.columns
     ids = sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect())
     assert ids == [-1, 0, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13]  # empty texts are one class, 9 and 11/12 collapse
-    assert simhash.near_duplicates(empty).count() == 0 and simhash.dedup(empty).count() == 0
+    assert similar.classes(empty).count() == 0 and similar.dedup(empty).count() == 0
+
+
+def test_similar_chains_keep_all_within_distance():
+    """By the pigeonring principle no pair within the distance is pruned."""
+    rng = np.random.default_rng(13)
+    x = np.zeros(3000, np.uint64)
+    for i, row in enumerate(rng.random((3000, 64)).argsort(axis=1)):
+        for b in row[: i % 40]:
+            x[i] |= np.uint64(1) << np.uint64(b)
+    kept = similar._chained(x, similar.DISTANCE)
+    assert kept[np.bitwise_count(x) <= similar.DISTANCE].all() and not kept[np.bitwise_count(x) > 36].any()
 
 
 def test_components(spark):

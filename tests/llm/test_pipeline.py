@@ -10,7 +10,7 @@ import corpus_pipeline as P
 from nimbria.llm import mixing, quality
 from nimbria.llm.queries import oracle_sql, queries, tokenizer
 from tests.compare import connect, same
-from tests.llm.test_operators import brute_components, brute_fingerprint, brute_lines
+from tests.llm.test_operators import brute_classes, brute_lines
 
 
 def test_stages(spark, sf):
@@ -34,8 +34,7 @@ def test_stages(spark, sf):
     assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in after} == want
     assert all(r.n_chars == len(r.text) for r in after)
     before, after = held["simhash near-dedup"]
-    comp = brute_components([r.doc_id for r in before], [brute_fingerprint(r.text) for r in before])
-    assert sorted(r.doc_id for r in after) == sorted(set(comp))
+    assert sorted(r.doc_id for r in after) == sorted(set(brute_classes(before)))
     before, after = held["mixing"]
     copies = {r.doc_id: r.copies for r in mixing.plan(spark.createDataFrame(before, P.COLUMNS and docs.sparkSession.read.parquet(f"{sf}/documents.parquet").schema)).collect()}
     assert Counter(r.doc_id for r in after) == Counter(copies) - Counter()
