@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbria.llm import linededup, mixing, pieces, quality, simhash
+from nimbria.llm import linededup, mixing, pieces, quality, similar
 from nimbria.llm.common import shared_path
 from nimbria.llm.queries import tokenizer
 
@@ -28,8 +28,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays, the one with the smallest id."""
-    return simhash.dedup(docs.select(COLUMNS)).select(COLUMNS)
+    """One document of each near-duplicate class stays, the one with the smallest id: classes link texts whose sets of 5-word
+    shingles are alike to 0.8 or more. Texts without words are one class. Null ids and repeats: as ``similar.dedup`` says."""
+    return similar.dedup(docs.select(COLUMNS)).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
