@@ -58,6 +58,22 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def strings(column: pa.Array) -> list[str | None]:
+    """The texts of a string column; bytes that are no UTF-8 become U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if t is None else t.decode(errors="replace") for t in texts(column)]
+
+
+CONTINUING = bytes(range(0x80, 0xC0))
+
+
+def code_points(text: bytes) -> int:
+    """The number of code points of UTF-8 bytes: of those that do not continue one."""
+    return len(text.translate(None, CONTINUING))
+
+
 def word_count(text: str = "text"):
     """Number of words as a native column; null counts 0."""
     flat = F.trim(F.translate(F.col(text), "\t\n\x0b\x0c\r", "     "))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from nimbria.llm.common import small_batches
+from nimbria.llm.common import small_batches, strings
 
 MARK = "▁"
 
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", decode: bool = Fa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for batch in batches:
-            found = pieces.encode_batch(batch.column(at).to_pylist())
+            found = pieces.encode_batch(strings(batch.column(at)))
             sizes = [len(x) // 4 for x in found]
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbria.llm.common import cut, small_batches, texts
+from nimbria.llm.common import code_points, cut, small_batches, texts
 
 SYMBOLS = b"#*$%&|<>"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -67,7 +67,7 @@ def text_stats(text: bytes | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one UTF-8 text (null: none)."""
     text = text or b""
     words = text.split()
-    chars = len(b"".join(words).decode())
+    chars = code_points(b"".join(words))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     seen, dup = set(), 0
     if b"\n" in text:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from nimbria.llm.common import shared_path, small_batches
+from nimbria.llm.common import shared_path, small_batches, strings
 
 MAGIC, WORD = b"NWM1", 64
 
@@ -296,7 +296,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
         size = 0
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(strings(batch.column(1))), strict=True):
                 ids += end
                 held.append(ids)
                 docs_.append(doc)

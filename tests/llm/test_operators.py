@@ -199,10 +199,12 @@ def brute_lines(rows):
 
 
 @pytest.mark.parametrize("table", ["edge", "docs"])
-@pytest.mark.parametrize("limit", [linededup.BROADCAST_BYTES, 0])
-def test_line_dedup(request, table, limit):
+@pytest.mark.parametrize("task_refs", [linededup.TASK_REFS, 2])
+def test_line_dedup(request, monkeypatch, table, task_refs):
+    """The same with one task a shard and with many."""
+    monkeypatch.setattr(linededup, "TASK_REFS", task_refs)
     df = request.getfixturevalue(table).withColumn("n_lines", F.lit("clash"))
-    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in linededup.line_dedup(df, broadcast_bytes=limit).collect())
+    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in linededup.line_dedup(df).collect())
     assert got == brute_lines([(r.doc_id, r.text) for r in df.collect()])
 
 
@@ -218,6 +220,28 @@ def test_line_dedup_is_reversible(spark, docs):
     grown = base.insert(second)
     assert shown(grown, docs) == shown(linededup.LineIndex.of(docs), docs)
     assert shown(grown.delete(second.select("doc_id")), first) == before
+    with pytest.raises(ValueError):
+        grown.insert(second)
+
+
+def test_line_dedup_deals_shards_anew(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 1)
+    monkeypatch.setattr(linededup, "LEAST_SHARDS", 1)
+    rows = lambda n, first: spark.createDataFrame([(first + i, "\n".join(f"a line that is long enough {k}" for k in range(n))) for i in range(3)], "doc_id long, text string")
+    base, more = rows(2, 0), rows(12, 10)
+    grown = linededup.LineIndex.of(base).insert(more)
+    assert grown.shards == 12
+    assert sorted(r.n_dropped for r in grown.apply(base.union(more)).collect()) == [0, 2, 2, 2, 12, 12]
+
+
+def test_texts_that_are_no_utf8(spark):
+    """Such bytes stop no operator; line dedup keeps them as they are."""
+    line = "'" + "a line that is long enough" + "'"
+    df = spark.range(4).selectExpr("id as doc_id", f"cast(concat(cast({line} as binary), unhex('0AFF20C3')) as string) as text", "'en' as lang", "'s' as source", "0L as n_chars")
+    kept = linededup.line_dedup(df).selectExpr("doc_id", "hex(cast(text as binary)) as t", "n_dropped").collect()
+    assert sorted((r.doc_id, r.t[-6:], r.n_dropped) for r in kept) == [(0, "FF20C3", 1), (1, "FF20C3", 1), (2, "FF20C3", 1), (3, "FF20C3", 0)]
+    assert simhash.near_duplicates(df).count() == quality.judge(df).count() == lm.score(df).count() == similar.classes(df).count() == 4
+    assert pieces.encode(df, tokenizer("piece_bpe_32k.model")).count() == tokenfile.round_trip(df, tokenizer("byte_bpe_50k.json")).count() == 4
 
 
 def test_cuckoo_filter():
