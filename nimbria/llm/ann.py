@@ -4,11 +4,12 @@ A vector is cut into subspaces of a few dimensions with 16 centroids each. The q
 parallel to the vector by ``eta`` = (d - 1) t^2 / (1 - t^2) times the orthogonal one, since only the parallel part
 moves large inner products. Codebooks and codes both minimise that loss by coordinate descent. A query scans packed
 four-bit codes with its table of 16 partial products a subspace; each block's best are reranked with exact double
-products.
+products, and so is every row whose rough score and the bound of its error, the residual's length times the query's,
+reach the last of those: no row that belongs to the result is cut off, however many have nearly equal codes.
 
 Scale: codebooks (fixed size) are fitted on a bounded sample and broadcast; every row is coded. Rows form blocks of
 about ``block_rows``; packed queries travel to every block by an equi-join on the block's number, so no pair of rows
-is a row of a table; a block returns 20 candidates a query, cut to the best 20 before the final shuffle.
+is a row of a table; a block returns its 20 best a query, cut to the best 20 before the final shuffle.
 """
 
 from __future__ import annotations
@@ -103,36 +104,36 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     largest inner product found, nearest first, ties to the smaller id; score is exact in double precision.
 
     Rows with null ids or with vectors that are null, empty, zero, or hold null or non-finite components take no part;
-    neither do rows whose length is not that of most rows of the sample. Rows that repeat an id are candidates each
-    once and queries once; a query is never its own candidate, by id. An empty table gives no rows.
+    neither do rows whose length is not the table's commonest (of equally common ones the shortest). Rows that repeat an id
+    are candidates each once and queries once; a query is never its own candidate, by id. Other columns are not read. An
+    empty table gives no rows. A block is about ``block_rows`` rows, so its size grows with the vectors' length alone.
     """
     spark = vectors.sparkSession
     rows = cut(usable(vectors, id_col, vector_col))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()["v"]  # bounded by sample_rows
     empty = "query_id bigint, rank int, vec_id bigint, score double"
-    if not len(sample):
+    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    if common is None:
         return spark.createDataFrame([], empty)
-    size = int(np.bincount([len(v) for v in sample]).argmax())
-    quantiser = fit(np.stack([v for v in sample if len(v) == size]))
-    books = spark.sparkContext.broadcast(quantiser)  # spaces * 16 * width doubles
-    rows = rows.where(F.size("v") == size)
-    n = rows.count()
-    blocks = max(1, -(-n // block_rows))
-    wide = -(-n // every) if n else 0
-    groups = max(1, -(-wide // QUERY_ROWS))
+    rows = rows.where(F.size("v") == common.n)
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()["v"]  # bounded by sample_rows
+    books = spark.sparkContext.broadcast(fit(np.stack(list(sample))))  # spaces * 16 * width doubles
+    blocks = max(1, -(-common["count"] // block_rows))
+    queries = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
+    groups = max(1, -(-queries.count() // QUERY_ROWS))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = books.value.encode(_matrix(batch.column(2)))
+            x = _matrix(batch.column(2))
+            codes = books.value.encode(x)
             packed = codes if codes.shape[1] % 2 == 0 else np.pad(codes, ((0, 0), (0, 1)))
             packed = packed[:, ::2] | packed[:, 1::2] << 4
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([p.tobytes() for p in packed], pa.binary())], names=["block", "id", "v", "code"])
+            error = np.linalg.norm(x - books.value.decode(codes)[:, : x.shape[1]], axis=1) + 1e-5 * np.linalg.norm(x, axis=1)  # the tables are in single precision
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(error)], names=["block", "id", "v", "code", "error"])
 
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
-    index = dealt.mapInArrow(coded, "block int, id bigint, v array<double>, code binary")
-    index = index.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "code", "v"))).alias("rows"))  # about block_rows each
-    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
-    asked = asked.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).alias("g")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
+    dealt = rows.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"), "id", "v")
+    index = dealt.mapInArrow(coded, "block int, id bigint, v array<double>, code binary, error double")
+    index = index.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("id", "code", "v", "error"))).alias("rows"))  # about block_rows each
+    asked = queries.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).alias("g")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +141,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         for batch in batches:
             for r in range(batch.num_rows):
                 held, queries = batch.column(0)[r].values, batch.column(1)[r].values
-                ids, x = held.field("id").to_numpy(), _matrix(held.field("v"))
+                ids, x, error = held.field("id").to_numpy(), _matrix(held.field("v")), held.field("error").to_numpy()
                 raw = np.frombuffer(b"".join(held.field("code").to_pylist()), np.uint8).reshape(len(ids), -1)
                 codes = np.stack([raw & 15, raw >> 4], axis=2).reshape(len(ids), -1)[:, : len(q.books)]
                 asked_ids, asked_x = queries.field("id").to_numpy(), _matrix(queries.field("v"))
@@ -151,15 +152,17 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                     rough = np.zeros((len(own), len(ids)), np.float32)
                     for m in range(len(q.books)):
                         rough += table[:, m].take(codes[:, m], axis=1)
-                    most = min(rerank + 1, len(ids))
-                    # whole ranks: ties in the rough score go to the smaller id, as rows are sorted by id
-                    edge = -np.partition(-rough, most - 1, axis=1)[:, most - 1]
+                    lengths = np.linalg.norm(qx, axis=1)
                     for i, me in enumerate(own):
-                        close = np.flatnonzero(rough[i] >= edge[i])
-                        if len(close) > 4 * most:
-                            sure = np.flatnonzero(rough[i] > edge[i])
-                            close = np.sort(np.concatenate([sure, np.flatnonzero(rough[i] == edge[i])[: 4 * most - len(sure)]]))
-                        close = close[ids[close] != me]
+                        fair = ids != me
+                        rough[i, ~fair] = -np.inf
+                        most = min(rerank, int(fair.sum()))
+                        if not most:
+                            continue
+                        best = np.argpartition(-rough[i], most - 1)[:most]
+                        exact = np.sort((x[best] * qx[i]).sum(axis=1))
+                        least = exact[-min(top, most)]
+                        close = np.flatnonzero(fair & (rough[i] + error * lengths[i] >= least))
                         score = (x[close] * qx[i]).sum(axis=1)
                         best = np.lexsort((ids[close], -score))[:top]
                         out[0].append(np.full(len(best), me))
