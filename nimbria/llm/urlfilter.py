@@ -5,10 +5,12 @@ the listed keys; the second holds the unlisted keys that pass the first, the thi
 second, and so on until no key passes wrongly. A key's first failing level tells its membership exactly, so pages are
 judged by bit tests alone, without a join.
 
-Scale: keys are the domains of distinct hosts, deduplicated before any level is built; a level's bits are grouped to
-64-bit words with a map-side OR. The first level's false-positive rate is about listed / unlisted, so the total size
-is about listed * (1.44 * log2(unlisted / listed) + 4) bits: bounded by the list, not by the corpus. It is checked
-against ``max_bytes`` before it is sent to the executors as a literal; a longer list is joined instead (a semi-join).
+Scale: keys are the domains of distinct hosts, deduplicated before any level is built. Keys are dealt to parts by hash,
+about ``PART_KEYS`` listed ones each, so that a part's words are a small array at any size of the list; a level's bits are
+OR-ed to 64-bit words map-side. The first level's false-positive rate is about listed / unlisted, so all words together
+take about listed * (1.44 * log2(unlisted / listed) + 4) bits: bounded by the list, not by the corpus. Up to
+``max_bytes``, which is checked, they are one broadcast row and pages are judged as they are read; the words of a longer
+list stay distributed and the distinct domains are sent to their parts.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbria.llm.common import cut
@@ -25,7 +27,7 @@ from nimbria.llm.common import cut
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Domains of link farms, advertisers and pill shops that are blocked with all their subdomains.
 LISTED = ("ads-track.example.com", "cheap-pills.example.com", "spam-farm.example.org", "casino-bonus.example.net", "free-downloads.example.org")
-LONGEST_DOMAIN = 253
+LONGEST_DOMAIN, PART_KEYS, MAX_BYTES = 253, 1 << 16, 32 << 20
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -61,81 +63,99 @@ def domains(name: str = "host") -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
+def _spots(key: Column, depth: int, bits: int, hashes: int) -> list[Column]:
+    first, step = (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 10) for seed in (depth, -1 - depth))
+    return [F.pmod(first + F.lit(i) * step if i else first, F.lit(bits)) for i in range(hashes)]
+
+
+def _holds(words: Column, key: Column, depth: int, bits: int, hashes: int) -> Column:
+    held = F.lit(True)
+    for s in _spots(key, depth, bits, hashes):
+        held = held & (F.getbit(F.get(words, F.shiftright(s, 6).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return F.coalesce(held, F.lit(False))
+
+
 @dataclass(frozen=True)
-class Level:
-    """One Bloom filter: 64-bit words as comma-separated text, its number of bits and hashes."""
+class Cascade:
+    """Bits and hashes of each level (the same in all parts) and the table (part, levels array<array<bigint>>) of words."""
 
-    words: str
-    bits: int
-    hashes: int
-    seed: int
+    shapes: list[tuple[int, int]]
+    parts: int
+    table: DataFrame
 
-    def spots(self, key: Column) -> list[Column]:
-        first, step = (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 10) for seed in (self.seed, -1 - self.seed))
-        return [F.pmod(first + F.lit(i) * step if i else first, F.lit(self.bits)) for i in range(self.hashes)]
+    @property
+    def bytes(self) -> int:
+        return self.parts * sum(bits for bits, _ in self.shapes) // 8
 
-    def holds(self, key: Column) -> Column:
-        words = F.split(F.lit(self.words), ",").cast("array<bigint>")  # folded to one literal array when planned
-        tests = [F.getbit(F.get(words, F.shiftright(s, 6).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1 for s in self.spots(key)]
-        held = tests[0]
-        for t in tests[1:]:
-            held = held & t
-        return F.coalesce(held, F.lit(False))
+    def part(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit("part")), F.lit(self.parts)).cast("int")
 
+    def member(self, levels: Column, key: Column) -> Column:
+        """Exact membership of a key of the universe, given its part's words: its first failing level is of listed keys (even:
+        not listed) or of unlisted ones (odd: listed); passing all levels means being in the last one's own set."""
+        out = F.lit(bool(len(self.shapes) % 2))
+        for depth in range(len(self.shapes) - 1, -1, -1):
+            out = F.when(~_holds(F.get(levels, F.lit(depth)), key, depth, *self.shapes[depth]), F.lit(depth % 2 == 1)).otherwise(out)
+        return out
 
-def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
-    """A level over ``keys`` (key) for that false-positive rate: bits are OR-ed to words map-side first."""
-    bits = max(64, math.ceil(n * 1.4427 * math.log2(1 / rate) / 64) * 64)
-    shape = Level("", bits, max(1, round(math.log2(1 / rate))), seed)
-    spots = keys.select(F.explode(F.array(*shape.spots(F.col("key")))).alias("s"))
-    words = spots.groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("b"))
-    held = {r.w: r.b for r in words.collect()}  # at most bits / 64 rows
-    return Level(",".join(str(held.get(i, 0)) for i in range(bits // 64)), bits, shape.hashes, seed)
+    def found(self, keys: DataFrame) -> DataFrame:
+        """The listed ones among distinct ``keys`` (key) of the universe: each meets the words of its part."""
+        return keys.withColumn("part", self.part(F.col("key"))).join(self.table, "part").where(self.member(F.col("levels"), F.col("key"))).select("key")
 
 
-class TooLong(ValueError):
-    """The list needs more than the bound of bytes."""
+def _level(keys: DataFrame, parts: int, depth: int, bits: int, hashes: int) -> DataFrame:
+    """(part, words) of a level over ``keys`` (key, part): every part has bits / 64 words, the empty ones too."""
+    spots = keys.select("part", F.explode(F.array(*_spots(F.col("key"), depth, bits, hashes))).alias("s"))
+    words = spots.select("part", F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b"))
+    blank = keys.sparkSession.range(parts).select(F.col("id").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(bits // 64 - 1))).alias("w"), F.lit(0).cast("long").alias("b"))
+    whole = words.union(blank).groupBy("part", "w").agg(F.expr("bit_or(b)").alias("b"))
+    return whole.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("x")).select("part", F.transform("x", lambda e: e["b"]).alias("words"))
 
 
-def cascade(universe: DataFrame, listed: DataFrame, max_bytes: int = 32 << 20, max_levels: int = 64) -> list[Level]:
-    """Levels that separate ``listed`` (key) from the rest of ``universe`` (distinct key), both distinct and not null."""
+def cascade(universe: DataFrame, listed: DataFrame, part_keys: int = PART_KEYS, max_levels: int = 64) -> Cascade | None:
+    """Levels that separate ``listed`` (key) from the rest of ``universe`` (distinct key), both distinct and not null; None
+    if no key of the universe is listed."""
     inside = cut(universe.join(listed, "key", "left_semi"))
-    outside = universe.join(listed, "key", "left_anti")
-    n, others = inside.count(), outside.count()
-    levels: list[Level] = []
-    total = 0
-    rate = min(0.5, max(n, 1) / max(others, 1) / 2)
+    n = inside.count()
     if not n:
-        return levels
-    while n and len(levels) < max_levels:
-        total += n * 1.4427 * math.log2(1 / rate) / 8
-        if total > max_bytes:
-            raise TooLong(f"the cascade needs over {max_bytes} bytes")
-        level = _level(inside, n, rate, len(levels))
-        levels.append(level)
-        outside = cut(outside.where(level.holds(F.col("key"))))
-        inside, outside, n, rate = outside, inside, outside.count(), 0.5
+        return None
+    parts = max(1, -(-n // part_keys))
+    made = Cascade([], parts, universe.sparkSession.createDataFrame([], "part int, levels array<array<bigint>>"))
+    inside, outside = (df.withColumn("part", made.part(F.col("key"))) for df in (inside, universe.join(listed, "key", "left_anti")))
+    rate = min(0.5, n / max(outside.count(), 1) / 2)
+    tables: list[DataFrame] = []
+    while n and len(tables) < max_levels:
+        depth, bits = len(tables), max(64, math.ceil(1.1 * n / parts * 1.4427 * math.log2(1 / rate) / 64) * 64)
+        hashes = max(1, round(math.log2(1 / rate)))
+        level = cut(_level(inside, parts, depth, bits, hashes))
+        made.shapes.append((bits, hashes))
+        tables.append(level.withColumn("depth", F.lit(depth)))
+        passed = outside.join(level, "part").where(_holds(F.col("words"), F.col("key"), depth, bits, hashes)).select("key", "part")
+        inside, outside, rate = cut(passed), inside, 0.5
+        n = inside.count()
     if n:
         raise ValueError(f"the cascade did not close in {max_levels} levels")
-    return levels
+    rows = tables[0]
+    for table in tables[1:]:
+        rows = rows.union(table)
+    table = rows.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("depth", "words"))).alias("x"))
+    return Cascade(made.shapes, parts, cut(table.select("part", F.transform("x", lambda e: e["words"]).alias("levels"))))
 
 
-def member(levels: list[Level], key: Column) -> Column:
-    """Exact membership of a key of the universe: its first failing level is of listed keys (even: not listed) or of
-    unlisted ones (odd: listed); passing all levels means being in the last one's own set."""
-    out = F.lit(bool(len(levels) % 2))
-    for depth in range(len(levels) - 1, -1, -1):
-        out = F.when(~levels[depth].holds(key), F.lit(depth % 2 == 1)).otherwise(out)
-    return out
+def read_list(spark: SparkSession, path: str) -> DataFrame:
+    """(key) from a text file or folder of domains, one a line; A-Z are lower-cased, blank lines and ``#`` comments left out."""
+    line = F.trim(F.regexp_replace("value", "#.*", ""))
+    return spark.read.text(path).select(F.translate(line, *LOWER).alias("key")).where("key <> ''").distinct()
 
 
-def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, url_col: str = "url", id_col: str = "page_id", max_bytes: int = 32 << 20) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, url_col: str = "url", id_col: str = "page_id", max_bytes: int = MAX_BYTES, part_keys: int = PART_KEYS) -> DataFrame:
     """id, host, path, rule, verdict of every row of ``pages``.
 
     The verdict is that of the longest fitting rule, else block for hosts that are a listed domain or below one
     (``listed``: key; lower-case, at most 253 characters; default ``LISTED``), else allow. A null url or one without
     ``://`` has empty host and path and is allowed unless the empty key is listed. Rows that repeat an id each return
-    a row. Empty tables give an empty result.
+    a row. Very long urls are matched whole; only their host's last 253 characters can hold a listed domain. Other
+    columns, whatever their names, are not read. Empty tables give an empty result.
     """
     spark = pages.sparkSession
     listed = listed if listed is not None else spark.createDataFrame([(d,) for d in LISTED], "key string")
@@ -144,12 +164,16 @@ def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, url_co
     universe = cut(parsed.select("host").distinct().select(F.explode(domains()).alias("key")).distinct())
     name, verdict = rule(rules)
     ruled = parsed.withColumn("rule", name).withColumn("__verdict", verdict)
-    try:
-        levels = cascade(universe, listed, max_bytes)
-        bad = F.exists(domains(), lambda d: member(levels, d)) if levels else F.lit(False)
-        out = ruled.withColumn("__bad", bad)
-    except TooLong:
-        hosts = parsed.select("host").distinct().withColumn("key", F.explode(domains())).join(listed, "key", "left_semi").select(F.col("host").alias("__h")).distinct()
+    held = cascade(universe, listed, part_keys)
+    if held is None:
+        out = ruled.withColumn("__bad", F.lit(False))
+    elif held.bytes <= max_bytes:  # one row of at most max_bytes, which every page meets by an equi-join on 0
+        one = held.table.groupBy(F.lit(0).cast("long").alias("__zero")).agg(F.sort_array(F.collect_list(F.struct("part", "levels"))).alias("__parts"))
+        words = lambda d: F.get(F.col("__parts"), held.part(d))["levels"]
+        bad = F.exists(domains(), lambda d: held.member(words(d), d))
+        out = ruled.withColumn("__zero", F.pmod(F.xxhash64("host"), F.lit(1))).join(F.broadcast(one), "__zero").withColumn("__bad", bad)
+    else:
+        hosts = parsed.select("host").distinct().withColumn("key", F.explode(domains())).join(held.found(universe), "key", "left_semi").select(F.col("host").alias("__h")).distinct()
         out = ruled.join(hosts, F.col("host") == F.col("__h"), "left").withColumn("__bad", F.col("__h").isNotNull())
     return out.select(id_col, "host", "path", "rule", F.coalesce("__verdict", F.when(F.col("__bad"), "block").otherwise("allow")).alias("verdict"))
 
