@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding over a trie of distinct marked words.
 
-A BPE model's result is not the best-scoring path, so plain Viterbi over piece scores would give other ids than the
-library. The forward pass here keeps the shape of Viterbi (a state per prefix, a back pointer each) with the relation
-that is exact for BPE: the last piece of a prefix is the one piece t ending there whose neighbour, the last piece of
-the prefix before t, would not have merged differently with it (encoding both together gives just these two). States
-depend on the prefix alone; distinct marked words are sorted, which walks their trie depth-first, and a word reuses
-the states of the prefix it shares with the one before.
+Distinct marked words are sorted, which walks their trie depth-first; the forward state of every prefix is kept while
+the walk is below it, so a word reuses the states of the prefix that it shares with the one before. A unigram model's state
+is the score of the best path to the prefix and its last piece (Viterbi). A BPE model's result is not the best-scoring path,
+so that score would give other ids than the library; there the state is the last piece alone, found by the relation that is
+exact for BPE: it is the one piece t ending at the prefix whose neighbour, the last piece of the prefix before t, would not
+have merged differently with it (encoding both together gives just these two).
 
 Scale: one pass over texts without a shuffle; a worker holds one batch's distinct words and a bounded cache.
 """
@@ -26,8 +26,40 @@ from nimbria.llm.common import small_batches, strings
 MARK = "▁"
 
 
+#: What an unknown character costs beyond the least score of a unigram model's pieces: fixed by the format.
+UNKNOWN = 10.0
+
+
+def walk(words: list[str], scores: dict[str, float], unknown: float) -> Iterator[tuple[str, list[str]]]:
+    """Each of ``words`` (sorted, distinct) with the pieces of its best-scoring path; forward scores are shared by prefix.
+
+    ``unknown`` is the score of a character that is no piece; of equal paths the one with the shorter last piece wins.
+    """
+    longest = max(map(len, scores), default=1)
+    best, size, before = [0.0], [0], ""
+    for word in words:
+        shared, limit = 0, min(len(before), len(word))
+        while shared < limit and before[shared] == word[shared]:
+            shared += 1
+        del best[shared + 1 :], size[shared + 1 :]
+        for end in range(shared + 1, len(word) + 1):
+            top, last = best[end - 1] + scores.get(word[end - 1], unknown), 1
+            for length in range(2, min(longest, end) + 1):
+                score = scores.get(word[end - length : end])
+                if score is not None and best[end - length] + score > top:
+                    top, last = best[end - length] + score, length
+            best.append(top)
+            size.append(last)
+        pieces, end = [], len(word)
+        while end:
+            pieces.append(word[end - size[end] : end])
+            end -= size[end]
+        yield word, pieces[::-1]
+        before = word
+
+
 class Pieces:
-    """A SentencePiece BPE model with byte fallback; ids equal the library's."""
+    """A SentencePiece model with byte fallback; a BPE model's ids equal the library's."""
 
     def __init__(self, path: str, most_words: int = 200_000):
         import sentencepiece
@@ -38,6 +70,8 @@ class Pieces:
         self.names = [m.id_to_piece(i) for i in range(n)]
         self.ids = {self.names[i]: i for i in range(n) if not special[i]}
         self.rank = {i: -m.get_score(i) for i in self.ids.values()}
+        self.unigram = any(score != round(score) for score in self.rank.values())  # merges are ranked by whole numbers
+        self.scores = {name: m.get_score(i) for name, i in self.ids.items()} if self.unigram else {}
         self.bytes = [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.raw = [b"" if m.is_control(i) else self.names[i].replace(MARK, " ").encode() for i in range(n)]
         self.raw[m.unk_id()] = " ⁇ ".encode()
@@ -92,6 +126,11 @@ class Pieces:
         ``nodes``, ``last`` and ``size`` hold the forward state of every prefix: where the piece automaton stands, the
         last piece and its length. An unknown character is a piece of its own, -1.
         """
+        if self.unigram:
+            for word, pieces in walk(words, self.scores, min(self.scores.values()) - UNKNOWN):
+                ids = [[self.ids[p]] if p in self.ids else [self.bytes[b] for b in p.encode()] for p in pieces]
+                self.words[word] = array("I", [i for own in ids for i in own]).tobytes()
+            return
         nodes, last, size = [""], [-1], [0]
         steps, joint, held, byte = self.steps, self.joint, self.words, self.bytes
         before = ""

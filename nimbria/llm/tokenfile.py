@@ -1,8 +1,9 @@
 """Token-id output as wavelet matrices, one per shard.
 
 A shard holds the ids of consecutive documents as bit planes: plane 0 has each id's highest bit in text order, each
-further plane the next bit after a stable partition by the bits before. With a rank directory over every plane one
-compressed file answers access, counting and occurrence lookup without being expanded.
+further plane the next bit after a stable partition by the bits before. Planes are compressed in blocks of 65,536 bits,
+and the file holds a directory of where each block lies and how many ones precede it. Access, counting and occurrence
+lookup open the few blocks that they touch, so one compressed file answers them without being expanded.
 
 Scale: documents are range-partitioned by id once (the only shuffle of texts), then encoded and packed in a streaming
 pass that holds one shard of about ``shard_tokens`` ids; files are written by Spark to any file system it knows (a row
@@ -26,16 +27,65 @@ from pyspark.taskcontext import TaskContext
 
 from nimbria.llm.common import shared_path, small_batches, strings
 
-MAGIC, WORD = b"NWM1", 64
+MAGIC, BLOCK = b"NWM2", 1 << 16
+
+
+class Plane:
+    """One bit plane in blocks: ``blocks`` are packed bits, compressed or not; ``ones`` has the ones before each and in all."""
+
+    def __init__(self, blocks: list[bytes], ones: np.ndarray, compressed: bool = True):
+        self.blocks, self.ones, self.compressed, self.opened = blocks, ones, compressed, 0
+        self._held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    @classmethod
+    def of(cls, raw: bytes) -> Plane:
+        blocks = [raw[i : i + BLOCK // 8] for i in range(0, len(raw), BLOCK // 8)]
+        return cls(blocks, np.cumsum([0, *(int(np.bitwise_count(np.frombuffer(b, np.uint8)).sum()) for b in blocks)]), False)
+
+    def raw(self, block: int) -> bytes:
+        self.opened += len(self.blocks[block])
+        return zstandard.ZstdDecompressor().decompress(self.blocks[block]) if self.compressed else self.blocks[block]
+
+    def _open(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block's 64-bit words and the ones of the plane before each."""
+        if block not in self._held:
+            raw = self.raw(block)
+            words = np.frombuffer(raw + b"\0" * (-len(raw) % 8 + 8), np.uint64)
+            self._held[block] = words, self.ones[block] + np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+        return self._held[block]
+
+    def look(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bits at positions ``at`` (one past the end is 0) and the number of ones before each."""
+        bits, ranks = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        if self.blocks:
+            block = np.minimum(at // BLOCK, len(self.blocks) - 1)
+            for b in np.unique(block).tolist():
+                mine = np.flatnonzero(block == b)
+                words, before = self._open(b)
+                off = at[mine] - b * BLOCK
+                word, bit = words[off >> 6], (off & 63).astype(np.uint64)
+                bits[mine] = (word >> bit & np.uint64(1)).astype(np.int64)
+                ranks[mine] = before[off >> 6] + np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
+        return bits, ranks
+
+    def select(self, bit: int, nth: np.ndarray) -> np.ndarray:
+        """Positions of the nth (from 0) bits of that value; the directory tells in which block each lies."""
+        before = self.ones if bit else np.arange(len(self.ones)) * BLOCK - self.ones
+        block, out = np.searchsorted(before, nth, side="right") - 1, np.zeros(len(nth), np.int64)
+        block = np.minimum(block, len(self.blocks) - 1)
+        for b in np.unique(block).tolist():
+            mine = np.flatnonzero(block == b)
+            words, _ = self._open(b)
+            bits = np.unpackbits(words[: BLOCK // 64].view(np.uint8), bitorder="little")
+            out[mine] = b * BLOCK + np.flatnonzero(bits == bit)[nth[mine] - before[b]]
+        return out
 
 
 class WaveletMatrix:
-    """Succinct sequence of non-negative integers. ``planes`` are packed bits (most significant first), ``zeros`` the
-    number of zero bits in each; rank directories (ones before each 64-bit word) are made on first use."""
+    """Succinct sequence of non-negative integers: ``planes`` (most significant first) and the number of zero bits in each."""
 
-    def __init__(self, length: int, planes: list[bytes], zeros: list[int]):
+    def __init__(self, length: int, planes: list[Plane], zeros: list[int]):
         self.length, self.planes, self.zeros = length, planes, zeros
-        self._words: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -45,34 +95,25 @@ class WaveletMatrix:
         planes, zeros = [], []
         for level in reversed(range(levels)):
             bits = (ids >> ids.dtype.type(level)).astype(np.uint8) & np.uint8(1)
-            planes.append(np.packbits(bits, bitorder="little").tobytes())
+            planes.append(Plane.of(np.packbits(bits, bitorder="little").tobytes()))
             ones = bits.view(bool)
             low = np.compress(~ones, ids)
             zeros.append(len(low))
             ids = np.concatenate([low, np.compress(ones, ids)])
         return cls(len(ids), planes, zeros)
 
-    def _plane(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        if level not in self._words:
-            raw = self.planes[level]
-            words = np.frombuffer(raw + b"\0" * (-len(raw) % 8 + 8), np.uint64)
-            self._words[level] = words, np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
-        return self._words[level]
-
-    def _rank1(self, level: int, at: np.ndarray) -> np.ndarray:
-        words, before = self._plane(level)
-        word, bit = at >> 6, (at & 63).astype(np.uint64)
-        return before[word] + np.bitwise_count(words[word] & ((np.uint64(1) << bit) - np.uint64(1)))
+    @property
+    def opened(self) -> int:
+        """Bytes of the planes that were read so far."""
+        return sum(p.opened for p in self.planes)
 
     def access(self, at) -> np.ndarray:
         """The values at positions ``at``."""
         at = np.asarray(at, np.int64)
         out = np.zeros(at.shape, np.int64)
-        for level in range(len(self.planes)):
-            words, _ = self._plane(level)
-            bit = (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64)
-            ones = self._rank1(level, at)
-            at = np.where(bit == 1, self.zeros[level] + ones, at - ones)
+        for plane, zeros in zip(self.planes, self.zeros, strict=True):
+            bit, ones = plane.look(at)
+            at = np.where(bit == 1, zeros + ones, at - ones)
             out = out << 1 | bit
         return out
 
@@ -80,9 +121,9 @@ class WaveletMatrix:
         if not 0 <= symbol < 1 << len(self.planes):
             return 0, 0
         edge = np.array([first, last], np.int64)
-        for level in range(len(self.planes)):
-            ones = self._rank1(level, edge)
-            edge = self.zeros[level] + ones if symbol >> (len(self.planes) - 1 - level) & 1 else edge - ones
+        for level, (plane, zeros) in enumerate(zip(self.planes, self.zeros, strict=True)):
+            _, ones = plane.look(edge)
+            edge = zeros + ones if symbol >> (len(self.planes) - 1 - level) & 1 else edge - ones
         return int(edge[0]), int(edge[1])
 
     def count(self, symbol: int, first: int = 0, last: int | None = None) -> int:
@@ -93,31 +134,22 @@ class WaveletMatrix:
     def rank(self, symbol: int, at: int) -> int:
         return self.count(symbol, 0, at)
 
-    def _select(self, level: int, bit: int, nth: np.ndarray) -> np.ndarray:
-        """Position of the nth (from 0) bit of that value in a plane, by bisection over the rank directory."""
-        low, high = np.zeros_like(nth), np.full_like(nth, self.length)
-        while (low < high).any():
-            middle = (low + high) >> 1
-            ones = self._rank1(level, middle + 1)
-            enough = (ones if bit else middle + 1 - ones) > nth
-            high, low = np.where(enough, middle, high), np.where(enough, low, middle + 1)
-        return low
-
     def locate(self, symbol: int) -> np.ndarray:
         """All positions of ``symbol``, ascending."""
         low, high = self._range(symbol, 0, self.length)
         at = np.arange(low, high, dtype=np.int64)
         for level in reversed(range(len(self.planes))):
             if symbol >> (len(self.planes) - 1 - level) & 1:
-                at = self._select(level, 1, at - self.zeros[level])
+                at = self.planes[level].select(1, at - self.zeros[level])
             else:
-                at = self._select(level, 0, at)
+                at = self.planes[level].select(0, at)
         return np.sort(at)
 
     def values(self) -> np.ndarray:
         """The whole sequence: the stable partitions are undone from the last plane up."""
         levels = len(self.planes)
-        bits = [np.unpackbits(np.frombuffer(p, np.uint8), count=self.length, bitorder="little").astype(bool) for p in self.planes]
+        whole = [b"".join([p.raw(b) for b in range(len(p.blocks))]) for p in self.planes]
+        bits = [np.unpackbits(np.frombuffer(raw, np.uint8), count=self.length, bitorder="little").view(bool) for raw in whole]
         out = np.zeros(self.length, np.uint16 if levels <= 16 else np.uint32)
         for level in reversed(range(levels)):
             up = np.empty_like(out)
@@ -128,33 +160,38 @@ class WaveletMatrix:
 
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
-    """One shard file: magic, header, compressed document table, compressed planes."""
+    """One shard file: magic, header, compressed document table, each plane's directory, compressed blocks."""
     matrix, press = WaveletMatrix.of(ids), zstandard.ZstdCompressor(level=1)
     table = press.compress(np.array([d or 0 for d in doc_ids], np.int64).tobytes() + np.array([d is None for d in doc_ids], np.uint8).tobytes() + np.array(lengths, np.int64).tobytes())
-    planes = [press.compress(p) for p in matrix.planes]
-    head = struct.pack("<4sQQII", MAGIC, matrix.length, len(doc_ids), len(planes), len(table))
-    return head + b"".join(struct.pack("<QQ", z, len(p)) for z, p in zip(matrix.zeros, planes, strict=True)) + table + b"".join(planes)
+    blocks = [[press.compress(b) for b in p.blocks] for p in matrix.planes]
+    head = struct.pack("<4sQQIII", MAGIC, matrix.length, len(doc_ids), len(blocks), len(blocks[0]), len(table))
+    directory = b"".join(struct.pack("<Q", z) + p.ones.astype("<u4").tobytes() + np.array([len(b) for b in own], "<u4").tobytes() for z, p, own in zip(matrix.zeros, matrix.planes, blocks, strict=True))
+    return head + table + directory + b"".join(b for own in blocks for b in own)
 
 
 def unpack(blob: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
-    """The matrix, the document ids and the number of ids of each document of a shard file."""
-    magic, length, n, levels, size = struct.unpack_from("<4sQQII", blob)
+    """The matrix, the document ids and the number of ids of each document of a shard file. Planes stay compressed."""
+    magic, length, n, levels, count, size = struct.unpack_from("<4sQQIII", blob)
     if magic != MAGIC:
         raise ValueError("not a shard file")
-    at, spans = struct.calcsize("<4sQQII"), []
-    for _ in range(levels):
-        spans.append(struct.unpack_from("<QQ", blob, at))
-        at += 16
-    open_ = zstandard.ZstdDecompressor()
-    table = open_.decompress(blob[at : at + size])
-    at += size
-    planes = []
-    for _, length_ in spans:
-        planes.append(open_.decompress(blob[at : at + length_]))
-        at += length_
+    at = struct.calcsize("<4sQQIII")
+    table = zstandard.ZstdDecompressor().decompress(blob[at : at + size])
     ids, none = np.frombuffer(table, np.int64, n).tolist(), np.frombuffer(table, np.uint8, n, 8 * n)
     docs = [None if x else d for d, x in zip(ids, none, strict=True)]
-    return WaveletMatrix(length, planes, [z for z, _ in spans]), docs, np.frombuffer(table, np.int64, n, 9 * n)
+    at += size
+    heads = []
+    for _ in range(levels):
+        zeros = struct.unpack_from("<Q", blob, at)[0]
+        heads.append((zeros, np.frombuffer(blob, "<u4", count + 1, at + 8).astype(np.int64), np.frombuffer(blob, "<u4", count, at + 12 + 4 * count).tolist()))
+        at += 12 + 8 * count
+    planes = []
+    for _, ones, sizes in heads:
+        blocks = []
+        for size in sizes:
+            blocks.append(blob[at : at + size])
+            at += size
+        planes.append(Plane(blocks, ones))
+    return WaveletMatrix(length, planes, [z for z, _, _ in heads]), docs, np.frombuffer(table, np.int64, n, 9 * n)
 
 
 class Encoder:
@@ -282,7 +319,8 @@ def encoder(path: str) -> Encoder:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = 2, shard_tokens: int = 1 << 20) -> None:
     """Encode every whole text and write shard files under ``path``, documents in ascending id order.
 
-    ``id_col`` must be integral. Null ids come first; rows that repeat an id are ordered by text. Null and empty texts
+    ``id_col`` must be integral. Null ids come first; rows that repeat an id are ordered by a hash of
+    their text, so that many of them need not share a partition. Null and empty texts
     are the end id alone. An empty table writes no shard.
     """
 
@@ -309,7 +347,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         if docs_:
             yield shard()
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).repartitionByRange("__id").sortWithinPartitions("__id", "__text")
+    ordered = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).withColumn("__hash", F.xxhash64("__text"))
+    ordered = ordered.repartitionByRange("__id", "__hash").sortWithinPartitions("__id", "__hash", "__text").select("__id", "__text")
     small_batches(ordered).mapInArrow(run, "part int, seq int, n_tokens bigint, shard binary").write.option("compression", "none").parquet(path)
 
 
@@ -335,9 +374,10 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False, id_col: str =
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = files.select("part", "seq", "shard").mapInArrow(run, "doc_id bigint, part int, seq int, before bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * ids)
-    earlier = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
-    bases = files.select("part", "seq", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("base"))
-    rows = rows.join(bases, ["part", "seq"])
+    sums = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select("part", sums(Window.orderBy("part")).alias("first"))  # one row a writing task
+    bases = files.select("part", "seq", sums(Window.partitionBy("part").orderBy("seq")).alias("base")).join(parts, "part")
+    rows = rows.join(bases.select("part", "seq", (F.col("first") + F.col("base")).alias("base")), ["part", "seq"])
     return rows.select(F.col("doc_id").alias(id_col), (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))
 
 

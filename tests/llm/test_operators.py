@@ -72,6 +72,27 @@ def brute_components(ids, fps):
     return [min(least[find(i)], default=None) for i in range(len(ids))]
 
 
+def brute_path(word, scores, unknown):
+    """The best score over all ways to cut a word."""
+    best = -math.inf
+    for cuts in range(1 << (len(word) - 1)):
+        ends = [i + 1 for i in range(len(word) - 1) if cuts >> i & 1] + [len(word)]
+        parts = [word[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        if all(len(p) == 1 or p in scores for p in parts):
+            best = max(best, sum(scores.get(p, unknown) for p in parts))
+    return best
+
+
+def test_viterbi_walk_equals_brute_force():
+    rng = np.random.default_rng(15)
+    scores = {p: float(-rng.uniform(1, 9)) for p in {"".join(rng.choice(list("abc"), rng.integers(1, 5))) for _ in range(40)}}
+    words_ = sorted({"".join(rng.choice(list("abcd"), rng.integers(1, 11))) for _ in range(300)})
+    got = dict(pieces.walk(words_, scores, -20.0))
+    assert sorted(got) == words_
+    for word, parts in got.items():
+        assert "".join(parts) == word and sum(scores.get(p, -20.0) for p in parts) == pytest.approx(brute_path(word, scores, -20.0))
+
+
 @pytest.mark.parametrize("table", ["edge", "docs"])
 def test_simhash(request, table):
     df = request.getfixturevalue(table)
@@ -324,6 +345,21 @@ def test_wavelet_matrix():
         tokenfile.unpack(b"X" * 64)
 
 
+def test_wavelet_matrix_opens_few_blocks():
+    """Looking a token up, counting and locating read a small part of the file."""
+    ids = np.random.default_rng(3).zipf(1.3, 700_000).clip(1, 50_000) - 1
+    ids[123_456] = 49_999
+    blob = tokenfile.pack(ids, [1], [len(ids)])
+    for ask, want in (
+        (lambda m: m.access([123_456]).tolist(), [49_999]), (lambda m: m.locate(49_999).tolist(), np.flatnonzero(ids == 49_999).tolist()),
+        (lambda m: m.count(7, 1000, 650_000), int((ids[1000:650_000] == 7).sum())),
+    ):
+        m = tokenfile.unpack(blob)[0]
+        assert m.opened == 0 and ask(m) == want and 0 < m.opened < len(blob) / 3
+    edge = tokenfile.unpack(tokenfile.pack(ids[:131072], [1], [131072]))[0]  # whole blocks
+    assert edge.count(7) == int((ids[:131072] == 7).sum()) and edge.locate(7).tolist() == np.flatnonzero(ids[:131072] == 7).tolist()
+
+
 def test_ann(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = df.collect()
