@@ -1,7 +1,8 @@
 """Quality rules: base statistics and robust multivariate outliers per language and source.
 
 Each text becomes a vector of transformed statistics; per (language, source) group a minimum covariance determinant
-estimate is found by concentration steps from a deterministic robust start (medians and scaled quartile ranges) and
+estimate is found by concentration steps from two deterministic starts (medians and scaled quartile ranges; mean and
+covariance), of which the one with the smaller determinant stays, and
 reweighted: it is made consistent for normal data by the share it keeps, then centre and covariance are taken anew from
 all documents within its 0.975 point of chi-square. Documents far from that centre are rejected.
 
@@ -22,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbria.llm.common import code_points, cut, small_batches, texts
 
@@ -88,7 +90,7 @@ def text_stats(text: bytes | None) -> tuple[int, int, int, int, int]:
 
 
 def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """id, keys and the five statistics (long) of every row; one pass over whole texts."""
+    """id (a column of any type), keys and the five statistics (long) of every row; one pass over whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,8 +99,7 @@ def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *STATS])
 
     picked = docs.select(id_col, *keys, F.col(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    return small_batches(picked).mapInArrow(run, f"{fields}, " + ", ".join(f"{s} bigint" for s in STATS))
+    return small_batches(picked).mapInArrow(run, T.StructType([*picked.schema.fields[:-1], *[T.StructField(s, T.LongType()) for s in STATS]]))
 
 
 def vector() -> dict[str, Column]:
@@ -127,7 +128,7 @@ def _moments() -> list[Column]:
 
 
 def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and inverse covariance of each group from its moments and the share of it they cover; one row a group."""
+    """Centre, inverse covariance and its log determinant of each group from its moments and the share of it they cover."""
     n = len(VECTOR)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,27 +140,32 @@ def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
                 cov = np.array([[getattr(at, f"p{min(i, j)}{max(i, j)}") for j in range(n)] for i in range(n)]) / at.n - np.outer(mean, mean)
                 inverse.append(np.linalg.inv(cov * _consistency(at.share) + FLOOR * np.eye(n)).ravel().tolist())
             out["centre"], out["inverse"] = [c.tolist() for c in centre], inverse
+            out["precision"] = [np.linalg.slogdet(np.reshape(x, (n, n)))[1] for x in inverse]
             yield out
 
     fields = ", ".join(f"`{k}` {moments.schema[k].dataType.simpleString()}" for k in keys)
-    return moments.mapInPandas(run, f"{fields}, centre array<double>, inverse array<double>")
+    return moments.mapInPandas(run, f"{fields}, centre array<double>, inverse array<double>, precision double")
 
 
 def estimate(vectors: DataFrame, keys: tuple[str, ...] = ("lang", "source"), support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """(keys, centre, inverse): the reweighted minimum covariance determinant estimate of each group of ``vectors``."""
-    keys = list(keys)
+    """(keys, centre, inverse): the reweighted minimum covariance determinant estimate of each group of ``vectors``.
+
+    Both starts are groups of the same aggregates, so a step is one pass over the vectors for each of its two sums."""
+    keys, n = list(keys), len(VECTOR)
+    both = [*keys, "__start"]
     few = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"q{i}") for i, v in enumerate(VECTOR)]
-    start = vectors.groupBy(*keys).agg(*few)
-    n = len(VECTOR)
+    start = cut(vectors.groupBy(*keys).agg(*few, *_moments(), F.lit(1.0).alias("share")))
     diagonal = [F.lit(0.0) if i != j else 1 / (F.pow((F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349, 2) + FLOOR) for i in range(n) for j in range(n)]
-    shape = start.select(*keys, F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(n)]).alias("centre"), F.array(*diagonal).alias("inverse"))
+    robust = start.select(*keys, F.lit(0).alias("__start"), F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(n)]).alias("centre"), F.array(*diagonal).alias("inverse"), F.lit(0.0).alias("precision"))
+    shape = robust.union(_shape(start.withColumn("__start", F.lit(1)), both))
     for _ in range(steps):
         far = _with(vectors, cut(shape), keys).withColumn("d", _distance())
-        bound = far.groupBy(*keys).agg(F.percentile_approx("d", F.lit(support), F.lit(1000)).alias("bound"), F.count("*").alias("all"))
-        kept = _with(far.drop("centre", "inverse"), cut(bound), keys).where(F.col("d") <= F.col("bound"))
-        shape = _shape(kept.groupBy(*keys).agg(*_moments(), (F.count("*") / F.max("all")).alias("share")), keys)
-    near = _with(vectors, cut(shape), keys).where(_distance() <= _point(1 - INNER, n))
-    return cut(_shape(near.groupBy(*keys).agg(*_moments(), F.lit(INNER).alias("share")), keys))
+        bound = far.groupBy(*both).agg(F.percentile_approx("d", F.lit(support), F.lit(1000)).alias("bound"), F.count("*").alias("all"))
+        kept = _with(far.drop("centre", "inverse"), cut(bound), both).where(F.col("d") <= F.col("bound"))
+        shape = _shape(kept.groupBy(*both).agg(*_moments(), (F.count("*") / F.max("all")).alias("share")), both)
+    best = cut(shape).groupBy(*keys).agg(F.max_by(F.struct("centre", "inverse"), F.struct("precision", -F.col("__start"))).alias("b")).select(*keys, "b.*")
+    near = _with(vectors, cut(best), keys).where(_distance() <= _point(1 - INNER, n))
+    return cut(_shape(near.groupBy(*keys).agg(*_moments(), F.lit(INNER).alias("share")), keys).drop("precision"))
 
 
 def _with(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -211,6 +217,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys:
     are fewer too by that of the whole table, whatever its size. Null and empty texts have no words and fail. Rows that
     repeat an id each return a row. An empty table gives an empty result.
     """
+    return _judged(docs, id_col, text_col, keys, cutoff, least_group).select(id_col, *STATS, "base_failed", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, keys: tuple[str, ...], cutoff: float = CUTOFF, least_group: int = LEAST_GROUP) -> DataFrame:
+    """``judge`` with the keys."""
     base = stats(docs, id_col, text_col, keys)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     base = cut(base.withColumn("base_failed", failed).withColumns(vector()))
@@ -222,20 +233,17 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys:
     worse = sum((F.when(F.col(v) > F.get("centre", F.lit(i)), 1).otherwise(0) for i, v in enumerate(VECTOR) if v in ("x_symbols", "x_lines", "x_repeats")), F.lit(0))
     strange = (_distance() > cutoff) & ((worse > 0) | (F.abs(F.col("x_length") - F.get("centre", F.lit(1))) > 0.5))
     kept = ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))
-    return joined.select(id_col, *STATS, "base_failed", kept.alias("kept"))
+    return joined.select(id_col, *keys, *STATS, "base_failed", kept.alias("kept"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: tuple[str, ...] = ("lang", "source"), **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged. Rows that repeat an id stay only if all of them pass;
-    rows with a null id are judged by the base rules alone."""
-    verdict = judge(docs, id_col, text_col, keys, **options)
+    rows with a null id stay if their own statistics pass."""
+    verdict = cut(_judged(docs, id_col, text_col, keys, **options))
     gone = verdict.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct()
-    stay = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
-
-    @F.pandas_udf("boolean")
-    def passes(text: pd.Series) -> pd.Series:
-        rows = [text_stats(None if t is None else t.encode()) for t in text]
-        return pd.Series([not (r[0] < 50 or 100 * r[4] > 50 * r[0]) for r in rows])
-
-    named = stay.where(F.col(id_col).isNotNull())
-    return named.unionByName(docs.where(F.col(id_col).isNull()).where(passes(text_col)))
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    nameless = docs.where(F.col(id_col).isNull()).withColumn("__row", F.struct(*[docs[c] for c in docs.columns]))
+    own, same = stats(nameless, "__row", text_col, keys), [*keys, *STATS]
+    fine = verdict.where(F.col("kept") & F.col(id_col).isNull()).select(*[F.col(c).alias(f"__{c}") for c in same]).distinct()
+    passed = own.join(fine, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in same], "left_semi")
+    return named.unionByName(passed.select("__row.*"))

@@ -531,12 +531,64 @@ def test_quality_rejects_outliers(spark):
     assert sum(got[i] for i, *_ in clean) == 300 and not any(got[i] for i, *_ in junk)
 
 
+def fast_mcd(x, support, steps, floor, starts=60):
+    """NumPy's FAST-MCD: concentration steps from many random starts, consistency factor, one reweighting."""
+    rng, n, best = np.random.default_rng(0), x.shape[1], None
+    for _ in range(starts):
+        pick = x[rng.choice(len(x), 2 * n, replace=False)]
+        centre, cov = pick.mean(0), np.cov(pick.T, bias=True) + floor * np.eye(n)
+        for _ in range(steps + 6):
+            d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+            own = x[d <= np.sort(d)[math.ceil(support * len(x)) - 1]]
+            centre, cov = own.mean(0), np.cov(own.T, bias=True) * quality._consistency(support) + floor * np.eye(n)
+        if best is None or np.linalg.slogdet(cov)[1] < best[0]:
+            best = np.linalg.slogdet(cov)[1], centre, cov
+    d = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    own = x[d <= quality._point(1 - quality.INNER, n)]
+    return own.mean(0), np.cov(own.T, bias=True) * quality._consistency(quality.INNER) + floor * np.eye(n)
+
+
 def test_mcd_matches_numpy(spark):
     rng = np.random.default_rng(7)
-    x = np.concatenate([rng.normal(0, 1, (900, 5)), rng.normal(20, 1, (100, 5))])
+    mix = rng.normal(0, 1, (5, 5))
+    x = np.concatenate([rng.normal(0, 1, (900, 5)) @ mix, rng.normal(8, 1, (150, 5))])
     df = spark.createDataFrame([("e", "s", *map(float, r)) for r in x], "lang string, source string, " + ", ".join(f"{v} double" for v in quality.VECTOR))
     made = quality.estimate(df).first()
-    assert np.abs(made.centre).max() < 0.3  # a tenth of far rows does not move the centre
+    centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOOR)
+    ours = np.linalg.inv(np.reshape(made.inverse, (5, 5)))
+    assert np.abs(np.array(made.centre) - centre).max() < 0.05 and np.abs(ours - cov).max() < 0.05 * np.abs(cov).max()
+    far = lambda c, v: np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(v), x - c) > quality.CUTOFF
+    assert (far(np.array(made.centre), ours) == far(centre, cov)).all()
+
+
+def test_kept_matches_numpy(spark):
+    """Verdicts of the corpus against NumPy's estimate of each group large enough for its own."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("source", F.lit("one"))
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    rows = [(r, brute_stats(r.text)) for r in df.collect()]
+    vec = lambda s: [math.log1p(s[0]), math.log1p(s[1] / max(s[0], 1)), math.log1p(100 * s[2] / max(s[0], 1)), math.log1p(s[3]), math.log1p(100 * s[4] / max(s[0], 1))]
+    same = total = 0
+    for lang in {r.lang for r, _ in rows}:
+        own = [(r.doc_id, vec(s)) for r, s in rows if r.lang == lang and not got[r.doc_id].base_failed]
+        if len(own) < quality.LEAST_GROUP:
+            continue
+        x = np.array([v for _, v in own])
+        centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOOR)
+        far = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre) > quality.CUTOFF
+        worse = (x[:, 2:] > centre[2:]).any(axis=1) | (np.abs(x[:, 1] - centre[1]) > 0.5)
+        same += sum(got[d].kept == (not (f and w)) for (d, _), f, w in zip(own, far, worse, strict=True))
+        total += len(own)
+    assert total > 500 and same >= 0.99 * total
+
+
+def test_quality_null_ids(spark):
+    """A row without an id is judged by the outlier rule like any other."""
+    rng = np.random.default_rng(16)
+    vocab = [f"w{i}" for i in range(500)]
+    clean = [(i if i % 3 else None, " ".join(rng.choice(vocab, int(rng.integers(60, 400)))), "en", None, 0) for i in range(200)]
+    junk = [(None, " ".join(f"{a}###|||<<<" for a in rng.choice(vocab, 100)), "en", None, 0)]
+    kept = quality.keep(spark.createDataFrame(clean + junk, SCHEMA).withColumns({"n_words": F.lit("clash"), "kept": F.lit(1), "centre": F.lit(2)}))
+    assert kept.columns[-3:] == ["n_words", "kept", "centre"] and sorted(r.text for r in kept.collect()) == sorted(t for _, t, *_ in clean)
 
 
 def test_quality_cutoff_is_the_chi_square_point(spark):
