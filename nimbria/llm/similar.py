@@ -30,7 +30,7 @@ from nimbria.llm.simhash import SEED, chain_budgets, simhash_of
 
 SHINGLE, SIMILARITY, DISTANCE, SEGMENTS = 5, 0.8, 24, 8
 BANDS, ROWS = 24, 3
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 18
+BLOCK_DOCS, BLOCK_SHINGLES, MOST_NUMBERS = 1024, 1 << 18, 1 << 20
 _ODD = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.random.default_rng(SEED + 1).integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -55,7 +55,8 @@ def bands(held: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, at, node, fp, bands, held) of every row: a number of its own, its set's hash, fingerprint, band keys and set."""
+    """(id, at, node, fp, n, bands, held) of every row: a number of its own, its set's hash, fingerprint, size, band keys and
+    the set."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,12 +65,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
             sets = [shingles(t, shingle) for t in texts(batch.column(1))]
             columns = [
                 pa.array(np.arange(at, at + len(sets))), pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], pa.uint64()).view(pa.int64()),
-                pa.array([simhash_of(s) for s in sets], pa.int64()), pa.array([bands(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([simhash_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([bands(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary()),
             ]
             at += len(sets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "at", "node", "fp", "bands", "held"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "at", "node", "fp", "n", "bands", "held"])
 
-    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"id {kind}, at bigint, node bigint, fp bigint, bands array<bigint>, held binary")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"id {kind}, at bigint, node bigint, fp bigint, n bigint, bands array<bigint>, held binary")
 
 
 class Side:
@@ -169,18 +170,24 @@ def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = D
     """Edges (a, b) between nodes of ``sketched`` whose components are those of all links between their sets."""
     groups = candidate_groups(sketched)
     groups = cut(groups.unionByName(groups.select(F.col("root").alias("node"), "root")).distinct())
-    one = sketched.groupBy("node").agg(F.min("at").alias("at"))
-    chosen = one.join(groups, "node").select("at", "root")
-    members = written(sketched.join(chosen, "at").select("root", "node", "fp", "held", F.lit(0).cast("long").alias("label")), "near-members")
-    weights = members.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.length("held") / 8).cast("long").alias("w"))
-    weights = cut(weights.select("root", F.greatest(F.ceil(F.col("n") / block_docs), F.ceil(F.col("w") / block_shingles)).cast("int").alias("blocks")))
+    one = sketched.groupBy("node").agg(F.min("at").alias("at"), F.max("n").alias("n"))
+    chosen = cut(one.join(groups, "node").select("at", "root", "n"))
+    blocks = F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_shingles)).cast("int")
+    weights = cut(chosen.groupBy("root").agg(blocks.alias("blocks")))
     member = F.struct("node", "fp", "held", "label")
-    small = members.join(weights.where("blocks = 1"), "root", "left_semi").groupBy("root").agg(F.collect_list(member).alias("members"))
+
+    def members(groups: DataFrame) -> DataFrame:
+        """(root, blocks, node, fp, held, label) of the nodes of ``groups``. Their numbers are broadcast after counting them."""
+        asked = chosen.join(groups, "root").select("at", "root", "blocks")
+        few = asked.limit(MOST_NUMBERS + 1).count() <= MOST_NUMBERS
+        return sketched.select("at", "node", "fp", "held").join(F.broadcast(asked) if few else asked, "at").select("root", "blocks", "node", "fp", "held", F.lit(0).cast("long").alias("label"))
+
+    small = members(weights.where("blocks = 1")).groupBy("root").agg(F.collect_list(member).alias("members"))
     found = small.select("members").mapInArrow(_within(similarity, distance), "a bigint, b bigint")
     if weights.where("blocks > 1").isEmpty():
         return found
-    large = members.join(weights.where("blocks > 1"), "root")
-    leaders = large.groupBy("root").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "fp", "held")).alias(f"l{i}") for i in (0, 1)])
+    large = written(members(weights.where("blocks > 1")), "near-members")
+    leaders = cut(large.groupBy("root").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "fp", "held")).alias(f"l{i}") for i in (0, 1)]))
     tested = large.join(leaders.select("root", *[F.array(F.struct(f"l{i}.node", f"l{i}.fp", f"l{i}.held", F.lit(i).cast("long").alias("label"))).alias(f"m{i}") for i in (0, 1)]), "root")
     stars = [written(tested.select(F.array(member).alias("one"), f"m{i}").mapInArrow(_between(similarity, distance), "a bigint, b bigint"), "near-stars") for i in (0, 1)]
     first = leaders.select(F.col("l0.node").alias("node"))
