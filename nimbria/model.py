@@ -13,7 +13,7 @@ from functools import total_ordering
 FIELDS = "param string, levtype string, levelist int, stream string, type string, date int, time int, number int, step int, hdate int, quantile int, point_id int, value double, meta map<string,string>"
 GRID = "point_id int, lat double, lon double"
 TRACKS = "number int, id int, step int, lat double, lon double, wind double, msl double"
-CHECKPOINTS = "config string, window_id string"
+CHECKPOINTS = "config string, window_id string, at bigint"
 
 
 @total_ordering

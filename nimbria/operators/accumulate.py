@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from nimbria.functions.columns import NAN, any_nan, bin_index, floor_mod, least
 from nimbria.plans import windows as W
 
-MOST_ROWS = 100_000
+MOST_ROWS, MOST_LITERALS = 100_000, 200
 
 
 def _members(fields: DataFrame, windows: list[W.Window], dim: str) -> DataFrame:
     table = W.frame(fields.sparkSession, windows).withColumnRenamed("coord", "__coord")
     small = sum(len(w.coords) for w in windows) <= MOST_ROWS
-    needed = fields.where(F.col(dim).isin(W.needed_coords(windows))) if small else fields  # reaches the scan
+    coords = W.needed_coords(windows)
+    needed = fields.where(F.col(dim).between(coords[0], coords[-1]))  # reaches the scan
+    if len(coords) <= MOST_LITERALS:
+        needed = needed.where(F.col(dim).isin(coords))
     return needed.join(F.broadcast(table) if small else table, F.col(dim) == F.col("__coord")).drop("__coord")
 
 

@@ -21,13 +21,20 @@ def track_motion(tracks: DataFrame, keys: list[str], time: str = "step") -> Data
 
 
 def candidates(observed: DataFrame, predicted: DataFrame, threshold_km: float) -> DataFrame:
-    """(step, obs, pred, dist): pairs of one step within the threshold; an equi-join on step and on latitude bands as wide
-    as the threshold, so that only neighbours meet."""
+    """(step, obs, pred, dist): pairs of one step nearer than the threshold; an equi-join on step and on cells as wide as
+    the threshold in latitude and, at the latitude of their band, in longitude, so that only neighbours meet."""
     band = threshold_km / 111.0
-    o = observed.select("step", F.col("id").alias("obs"), F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.floor(F.col("lat") / band).alias("band"))
-    p = predicted.select("step", F.col("id").alias("pred"), F.col("lat").alias("plat"), F.col("lon").alias("plon"), F.explode(F.array(*[F.floor(F.col("lat") / band) + d for d in (-1, 0, 1)])).alias("band"))
-    pairs = o.join(p, ["step", "band"]).withColumn("dist", haversine_km(F.col("olat"), F.col("olon"), F.col("plat"), F.col("plon")))
-    return pairs.where(F.col("dist") <= threshold_km).select("step", "obs", "pred", "dist")
+    farthest = F.least(F.lit(89.9), (F.abs(F.col("band")) + 2) * band)  # of any point in the band or next to it
+    width = F.when(farthest >= 89.9, F.lit(360.0)).otherwise(2 * F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.lit(threshold_km / 6371.0 / 2)) / F.cos(F.radians(farthest))))))
+    cells = F.greatest(F.floor(360.0 / width), F.lit(1))
+    cell = F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / (360.0 / cells))
+    o = observed.select("step", F.col("id").alias("obs"), "lat", "lon", F.floor(F.col("lat") / band).alias("band"))
+    o = o.select("step", "obs", "band", cell.alias("cell"), F.col("lat").alias("olat"), F.col("lon").alias("olon"))
+    p = predicted.select("step", F.col("id").alias("pred"), "lat", "lon", F.explode(F.array(*[F.floor(F.col("lat") / band) + d for d in (-1, 0, 1)])).alias("band"))
+    near = F.explode(F.array_distinct(F.array(*[F.pmod(cell + d, cells) for d in (-1, 0, 1)])))
+    p = p.select("step", "pred", "band", near.alias("cell"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    pairs = o.join(p, ["step", "band", "cell"]).withColumn("dist", haversine_km(F.col("olat"), F.col("olon"), F.col("plat"), F.col("plon")))
+    return pairs.where(F.col("dist") < threshold_km).select("step", "obs", "pred", "dist")
 
 
 def match(observed: DataFrame, predicted: DataFrame, threshold_km: float) -> DataFrame:

@@ -1,7 +1,8 @@
 """Calibrated point rainfall: grid-box values become a distribution of point values by weather type.
 
-Breakpoints and forecast-error ratios are lookup tables of a calibration, broadcast after a check of their rows; the
-range join is on them alone, and each member's distribution stays one array a cell until it is aggregated.
+Breakpoints and forecast-error ratios are lookup tables of a calibration, broadcast after a check of their rows. Cells meet
+weather types by an equi-join on the bins of the first two predictors, whose edges are those of the types, and each
+member's distribution stays one array a cell until it is aggregated.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from nimbria.functions.columns import NAN
 
 PREDICTORS = 5
-MOST_TYPES = 20_000
+MOST_TYPES, MOST_ROWS, BINNED = 20_000, 200_000, 2
 DRY_CODE = 99999
 
 
@@ -21,11 +22,21 @@ def weather_types(cells: DataFrame, breakpoints: DataFrame, predictors: list[str
     Cells with less rain than ``min_rain`` get DRY_CODE; cells that no type holds get null."""
     if breakpoints.limit(MOST_TYPES + 1).count() > MOST_TYPES:
         raise ValueError(f"more than {MOST_TYPES} weather types")
-    inside = F.lit(True)
-    for i, p in enumerate(predictors, 1):
-        inside = inside & (F.col(p) >= F.col(f"inf_{i}")) & (F.col(p) < F.col(f"sup_{i}"))
     table = breakpoints.select(F.col("wt").alias("__wt"), *[c for i in range(1, len(predictors) + 1) for c in (f"inf_{i}", f"sup_{i}")])
-    joined = cells.join(F.broadcast(table), inside, "left")
+    binned, inside = cells, F.lit(True)
+    for i, p in enumerate(predictors[:BINNED], 1):
+        ends = [c for c in (f"inf_{i}", f"sup_{i}")]
+        edges = sorted({float(e) for r in table.select(*ends).distinct().collect() for e in r})  # of at most MOST_TYPES types
+        steps = F.array(*[F.lit(e) for e in edges])
+        place = lambda x, steps=steps: F.size(F.filter(steps, lambda e: e <= x))
+        binned = binned.withColumn(f"__b{i}", place(F.col(p).cast("double")))
+        low, high = (F.array_position(steps, F.col(c).cast("double")) for c in ends)
+        table = table.withColumn(f"__t{i}", F.explode(F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))))
+        inside = inside & (F.col(f"__b{i}") == F.col(f"__t{i}"))
+    for i, p in enumerate(predictors[BINNED:], BINNED + 1):
+        inside = inside & (F.col(p) >= F.col(f"inf_{i}")) & (F.col(p) < F.col(f"sup_{i}"))
+    few = table.limit(MOST_ROWS + 1).count() <= MOST_ROWS
+    joined = binned.join(F.broadcast(table) if few else table, inside, "left")
     dry = (F.col(rain) < min_rain) & ~F.isnan(rain)
     return joined.select(*cells.columns, F.when(dry, F.lit(DRY_CODE)).otherwise(F.col("__wt")).alias("wt"))
 

@@ -66,7 +66,7 @@ def windows_of(config: dict) -> list[W.Window]:
         elif kind == "ranges":
             out += W.step_ranges(op=op, **s)
         elif kind == "legacy":
-            out += W.legacy(s.pop("ranges"), op, **s)
+            out += W.legacy({"windows": [s | ({"operation": op} if "operation" in spec else {})]})[0]
         elif kind == "monthly":
             import datetime as dt
 
@@ -160,7 +160,11 @@ def _regrid(spark, config, found, by):
 
 
 def run(spark: SparkSession, config: dict) -> DataFrame:
-    """Compute a job, write it if it has a target, and return the result."""
+    """Compute a job, write it if it has a target, and return the result.
+
+    With ``recover`` (a table) and a keyed target, each ``checkpoint_every`` windows are written and noted together; a job
+    that was stopped goes on with the rest, and what it writes again replaces what it wrote. Success clears the notes.
+    """
     name = config.get("product")
     if name not in PRODUCTS:
         raise ValueError(f"unknown product {name!r}; known: {sorted(PRODUCTS)}")
@@ -173,13 +177,18 @@ def run(spark: SparkSession, config: dict) -> DataFrame:
         raise ValueError("no window is left to do")
     fields = prepared(config, source(spark, config["source"]), keys)
     by = ["window_id", *keys, "point_id"]
-    out = PRODUCTS[name](spark, config, members(config, fields, keys, todo), by)
+    made = lambda windows: PRODUCTS[name](spark, config, members(config, fields, keys, windows), by)
     if config.get("target"):
-        options = {"keys": ["window_id"]} if config["target"].startswith(("table:", "fileset:")) else {}
-        sinks.sink_for(config["target"], **options)(out)
+        keyed = config["target"].startswith(("table:", "fileset:"))
+        write = sinks.sink_for(config["target"], **({"keys": ["window_id"]} if keyed else {}))
+        size = config.get("checkpoint_every", len(todo)) if recovery and keyed else len(todo)
+        for first in range(0, len(todo), size):
+            write(made(todo[first : first + size]))
+            if recovery:
+                recovery.add([w.window_id for w in todo[first : first + size]])
         if recovery:
-            recovery.add([w.window_id for w in todo])
-    return out
+            recovery.clean()  # all is done: the next run starts anew
+    return made(todo)
 
 
 def listing(config: dict) -> dict:

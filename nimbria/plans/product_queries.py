@@ -84,7 +84,7 @@ def acc_deaccumulate(spark, sf):
 
 
 def acc_sequential(spark, sf):
-    windows = W.legacy([[0, 9], [5, 14], [10, 29]], "mean")
+    windows, _ = W.legacy({"windows": [{"operation": "mean", "coords": [{"to": 9}, {"from": 5, "to": 14}, [10, 15, 20, 29]]}, {"operation": "mean", "coords": [[3, 7]], "include_start": True}]})
     return A.accumulate(C.event_fields(spark, sf), windows, ["number", "point"]).select("window_id", "number", "point", F.round("value", 6).alias("value"))
 
 
@@ -289,7 +289,7 @@ QUERIES = {
     "acc_histogram_mod": (acc_histogram_mod, ACC_HISTOGRAM_MOD_SQL),
     "acc_aggregation": (acc_aggregation, f"{JOINED_SQL}\nSELECT window_id, number, point_id, step, value FROM j QUALIFY count(*) OVER (PARTITION BY window_id, number, point_id) = 4"),
     "acc_deaccumulate_mean": (acc_deaccumulate, f"{JOINED_SQL},\nd AS (SELECT *, value - lag(value) OVER (PARTITION BY window_id, number, point_id ORDER BY step) AS delta FROM j)\nSELECT window_id, number, point_id, round(avg(delta), 6) AS value FROM d GROUP BY ALL HAVING count(delta) = 3"),
-    "acc_sequential_mean": (acc_sequential, f"WITH {C.EVENTS_SQL},\nw AS (SELECT * FROM (VALUES ('0-9_mean_0', 1, 9), ('5-14_mean_1', 6, 14), ('10-29_mean_2', 11, 29)) v(window_id, a, b))\nSELECT window_id, number, point, round(avg(value), 6) AS value FROM fields JOIN w ON step BETWEEN a AND b GROUP BY window_id, number, point, b HAVING max(step) = b"),
+    "acc_sequential_mean": (acc_sequential, f"WITH {C.EVENTS_SQL},\nw AS (SELECT * FROM (VALUES ('0-9_0', range(1, 10), 9), ('5-14_0', range(6, 15), 14), ('10-29_0', [15, 20, 29], 29), ('3-7_1', [3, 7], 7)) v(window_id, coords, b))\nSELECT window_id, number, point, round(avg(value), 6) AS value FROM fields JOIN w ON list_contains(coords, step) GROUP BY window_id, number, point, b HAVING max(step) = b"),
     "acc_multi_dim": (acc_multi_dim, ACC_MULTI_SQL),
     "monthly_stats": (monthly_stats, f"WITH {C.EVENTS_SQL}\nSELECT '0-744' AS window_id, number, point, round(avg(value), 6) AS value FROM fields WHERE step BETWEEN 0 AND 30 GROUP BY ALL HAVING max(step) = 30"),
     "ensms_mean_std": (ensms, ENSMS_SQL),

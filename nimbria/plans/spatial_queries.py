@@ -106,7 +106,7 @@ def rain_point_quantiles(spark, sf):
 def rain_grid_scale(spark, sf):
     bp, fer = _types(spark)
     typed = R.weather_types(_rain(spark, sf), bp, ["l_quantity", "p2", "p3", "p4", "p5"])
-    return R.calibrate(typed, fer).groupBy("step", "point_id").agg(F.round(F.avg("grid_scale"), 5).alias("grid_scale"))
+    return R.calibrate(typed, fer).groupBy("step", "point_id").agg(F.round(F.avg("grid_scale"), 6).alias("grid_scale"))
 
 
 POINTS_SQL = f"""WITH {RAIN_SQL},
@@ -127,7 +127,7 @@ def region_weights(spark, sf):
 
 
 def _tracks(spark, sf):
-    e = C.table(spark, sf, "events").where(F.col("event_id") % 4 == 0)
+    e = C.table(spark, sf, "events")
     return e.select((F.col("user_id") % 25).cast("int").alias("number"), (F.col("event_id") % 3).cast("int").alias("id"), F.col("event_id").cast("int").alias("step"), ((F.col("event_id") * 7) % 120 - 60).cast("double").alias("lat"), ((F.col("event_id") * 11) % 360).cast("double").alias("lon"), F.col("value").alias("wind"))
 
 
@@ -137,29 +137,47 @@ def strike_probability(spark, sf):
 
 
 STRIKE_SQL = f"""WITH {GRID_SQL},
-t AS (SELECT user_id % 25 AS number, ((event_id * 7) % 120 - 60)::DOUBLE AS tlat, ((event_id * 11) % 360)::DOUBLE AS tlon FROM events WHERE event_id % 4 = 0),
+t AS (SELECT user_id % 25 AS number, ((event_id * 7) % 120 - 60)::DOUBLE AS tlat, ((event_id * 11) % 360)::DOUBLE AS tlon FROM events),
 u AS (SELECT DISTINCT * FROM t),
 h AS (SELECT DISTINCT number, point_id FROM u, grid
   WHERE 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(lat - tlat) / 2), 2) + cos(radians(lat)) * cos(radians(tlat)) * pow(sin(radians(lon - tlon) / 2), 2)))) <= 700)
 SELECT point_id, round(100.0::DOUBLE * count(*) / 25, 6) AS probability FROM h GROUP BY ALL"""
 
 
+def _gridded(spark, sf):
+    """Fields of the events: each type is a step, its events' mean value at a point is the field."""
+    e = C.table(spark, sf, "events")
+    return e.groupBy(F.col("event_type").alias("step"), (F.col("event_id") % 648).cast("int").alias("point_id")).agg(F.avg("value").alias("value"))
+
+
+GRIDDED_SQL = "fields AS (SELECT event_type AS step, CAST(event_id % 648 AS INTEGER) AS point_id, avg(value) AS value FROM events GROUP BY ALL)"
+
+
 def regrid_box(spark, sf):
-    weights = S.box_weights(_grid(spark), 30.0)
-    fields = _grid(spark).withColumn("value", F.col("lat") * 2 + F.col("lon"))
-    mean = S.regrid(fields.withColumn("step", F.lit(1)), weights, ["step"]).withColumnRenamed("value", "mean")
-    top = S.regrid(fields.withColumn("step", F.lit(1)), weights, ["step"], "maximum").withColumnRenamed("value", "top")
-    return mean.join(top, ["step", "point_id"]).select("point_id", F.round("mean", 6).alias("mean"), F.round("top", 6).alias("top"))
+    weights, fields = S.box_weights(_grid(spark), 30.0), _gridded(spark, sf)
+    mean = S.regrid(fields, weights, ["step"]).withColumnRenamed("value", "mean")
+    top = S.regrid(fields, weights, ["step"], "maximum").withColumnRenamed("value", "top")
+    return mean.join(top, ["step", "point_id"]).select("step", "point_id", F.round("mean", 6).alias("mean"), F.round("top", 6).alias("top"))
+
+
+REGRID_BOX_SQL = f"""WITH {GRID_SQL}, {GRIDDED_SQL},
+b AS (SELECT point_id, CAST(floor((lat + 90) / 30) * 12 + floor(lon / 30) AS INTEGER) AS box FROM grid)
+SELECT step, box AS point_id, round(avg(value), 6) AS mean, round(max(value), 6) AS top FROM fields JOIN b USING (point_id) GROUP BY ALL"""
 
 
 def regrid_bilinear(spark, sf):
     target = spark.range(50).select(F.col("id").cast("int").alias("point_id"), (F.col("id") * 2.0 - 51).alias("lat"), (F.col("id") * 5.0 + 3).alias("lon"))
-    source = _grid(spark).withColumn("lat", F.col("lat") + 5)
-    w = S.bilinear_weights(source, target, 10.0, 10.0)
-    fields = source.withColumn("value", F.col("lat") * 3 - F.col("lon"))
+    w = S.bilinear_weights(_grid(spark).withColumn("lat", F.col("lat") + 5), target, 10.0, 10.0)
+    fields = C.table(spark, sf, "events").groupBy((F.col("event_id") % 648).cast("int").alias("point_id")).agg(F.avg("value").alias("value"))
     return S.regrid(fields.withColumn("step", F.lit(1)), w, ["step"]).select("point_id", F.round("value", 6).alias("value"))
 
 
+REGRID_BILINEAR_SQL = """WITH v AS (SELECT event_id % 648 AS p, avg(value) AS v FROM events GROUP BY ALL),
+t AS (SELECT id, (id * 2.0::DOUBLE - 51 + 80) / 10 AS y, (id * 5.0::DOUBLE + 3) / 10 AS x FROM range(0, 50) r(id)),
+c AS (SELECT id, floor(y) + dy AS r, (floor(x) + dx) % 36 AS k, CASE dy WHEN 0 THEN 1 - (y - floor(y)) ELSE y - floor(y) END * CASE dx WHEN 0 THEN 1 - (x - floor(x)) ELSE x - floor(x) END AS w FROM t, range(0, 2) a(dy), range(0, 2) b(dx))
+SELECT CAST(id AS INTEGER) AS point_id, round(sum(w * v), 6) AS value FROM c JOIN v ON p = r * 36 + k GROUP BY ALL"""
+
+
 def spectrum(spark, sf):
     """Energy by wavenumber of coefficients made from embeddings: n = position div 8, m = position mod 8."""
     e = C.table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("p", "re"))
@@ -172,18 +190,18 @@ FROM embeddings, range(0, 64) t(p) GROUP BY ALL"""
 
 
 def _storms(spark, sf):
-    e = C.table(spark, sf, "events").where(F.col("event_id") % 8 == 0)
-    step = (F.floor(F.col("event_id") / 80)).cast("int")
-    lat, lon = ((F.col("event_id") * 13) % 700) / 10.0 - 35, ((F.col("event_id") * 17) % 900) / 10.0
-    o = e.select(step.alias("step"), F.col("event_id").alias("id"), lat.alias("lat"), lon.alias("lon"))
-    p = e.where(F.col("event_id") % 24 != 0).select(step.alias("step"), (F.col("event_id") + 1).alias("id"), (lat + (F.col("event_id") % 5) * 0.4).alias("lat"), (lon - (F.col("event_id") % 7) * 0.3).alias("lon"))
-    return o, p
+    """Observed storms from every event, forty a step, and a prediction near each; every third is far off."""
+    e = C.table(spark, sf, "events").select((F.floor(F.col("event_id") / 40)).cast("int").alias("step"), F.col("event_id").alias("id"))
+    lat, lon = ((F.col("id") * 13) % 700) / 10.0 - 35, ((F.col("id") * 17) % 900) / 10.0
+    off = F.when(F.col("id") % 3 == 0, 170.0).otherwise(0.0)
+    p = e.select("step", (F.col("id") + 1).alias("id"), (lat + (F.col("id") % 5) * 0.4).alias("lat"), (lon - (F.col("id") % 7) * 0.3 + off).alias("lon"))
+    return e.select("step", "id", lat.alias("lat"), lon.alias("lon")), p
 
 
-STORMS_SQL = """o AS (SELECT CAST(event_id // 80 AS INTEGER) AS step, event_id AS id, ((event_id * 13) % 700) / 10.0::DOUBLE - 35 AS lat, ((event_id * 17) % 900) / 10.0::DOUBLE AS lon FROM events WHERE event_id % 8 = 0),
-p AS (SELECT step, id + 1 AS id, lat + (id % 5) * 0.4::DOUBLE AS lat, lon - (id % 7) * 0.3::DOUBLE AS lon FROM o WHERE id % 24 <> 0),
+STORMS_SQL = """o AS (SELECT CAST(event_id // 40 AS INTEGER) AS step, event_id AS id, ((event_id * 13) % 700) / 10.0::DOUBLE - 35 AS lat, ((event_id * 17) % 900) / 10.0::DOUBLE AS lon FROM events),
+p AS (SELECT step, id + 1 AS id, lat + (id % 5) * 0.4::DOUBLE AS lat, lon - (id % 7) * 0.3::DOUBLE + CASE WHEN id % 3 = 0 THEN 170 ELSE 0 END AS lon FROM o),
 d AS (SELECT o.step, o.id AS obs, p.id AS pred, 2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(p.lat - o.lat) / 2), 2) + cos(radians(o.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - o.lon) / 2), 2)))) AS dist FROM o JOIN p ON o.step = p.step),
-n AS (SELECT * FROM d WHERE dist <= 300 QUALIFY row_number() OVER (PARTITION BY step, obs ORDER BY dist, pred) = 1),
+n AS (SELECT * FROM d WHERE dist < 300 QUALIFY row_number() OVER (PARTITION BY step, obs ORDER BY dist, pred) = 1),
 hits AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY step, pred ORDER BY obs) = 1)"""
 
 
@@ -226,7 +244,7 @@ def track_motion(spark, sf):
     return out.select("number", "id", "step", F.round("dist", 4).alias("dist"), F.round("speed", 5).alias("speed"), F.round("accdist", 3).alias("accdist"), F.round("dpdt", 9).alias("dpdt"))
 
 
-MOTION_SQL = """WITH t AS (SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id % 3 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, ((event_id * 7) % 120 - 60)::DOUBLE AS lat, ((event_id * 11) % 360)::DOUBLE AS lon, 1000 - value AS pres FROM events WHERE event_id % 4 = 0),
+MOTION_SQL = """WITH t AS (SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id % 3 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, ((event_id * 7) % 120 - 60)::DOUBLE AS lat, ((event_id * 11) % 360)::DOUBLE AS lon, 1000 - value AS pres FROM events),
 l AS (SELECT *, lag(lat) OVER o AS plat, lag(lon) OVER o AS plon, step - lag(step) OVER o AS h, pres - lag(pres) OVER o AS dp FROM t WINDOW o AS (PARTITION BY number, id ORDER BY step)),
 d AS (SELECT *, 2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))) AS dist FROM l)
 SELECT number, id, step, round(dist, 4) AS dist, round(dist * 1000 / (h * 3600), 5) AS speed, round(coalesce(sum(dist) OVER (PARTITION BY number, id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0), 3) AS accdist, round(dp / h, 9) AS dpdt FROM d"""
@@ -367,11 +385,11 @@ SELECT l_orderkey, l_linenumber, round((CASE WHEN (simple + f) / 2 < 80 THEN sim
     "utci_validity": (utci_validity, UTCI_SQL),
     "rain_weather_types": (rain_weather_types, f"WITH {RAIN_SQL}\nSELECT coalesce(wt, -1) AS wt, CAST(count(*) AS BIGINT) AS n, sum(rain) AS rain FROM typed GROUP BY ALL"),
     "rain_point_quantiles": (rain_point_quantiles, f"{POINTS_SQL}\nSELECT step, point_id, [0.1::DOUBLE, 0.5, 0.9][i] AS level, round(q[i], 5) AS value FROM (SELECT step, point_id, quantile_cont(p, [0.1, 0.5, 0.9]) AS q FROM points GROUP BY ALL), range(1, 4) t(i)"),
-    "rain_grid_scale": (rain_grid_scale, f"WITH {RAIN_SQL},\ng AS (SELECT step, point_id, CASE WHEN wt = 99999 OR wt IS NULL THEN rain ELSE (SELECT avg(greatest(rain * (-0.5 + 0.1 * k + 0.01 * wt + 1), 0)) FROM range(0, 5) t(k)) END AS g FROM typed)\nSELECT step, point_id, round(avg(g), 5) AS grid_scale FROM g GROUP BY ALL"),
+    "rain_grid_scale": (rain_grid_scale, f"WITH {RAIN_SQL},\ng AS (SELECT step, point_id, CASE WHEN wt = 99999 OR wt IS NULL THEN rain ELSE (SELECT avg(greatest(rain * (-0.5 + 0.1 * k + 0.01 * wt + 1), 0)) FROM range(0, 5) t(k)) END AS g FROM typed)\nSELECT step, point_id, round(avg(g), 6) AS grid_scale FROM g GROUP BY ALL"),
     "region_weights": (region_weights, f"WITH {GRID_SQL},\nw AS (SELECT point_id, CASE WHEN lat BETWEEN 15 AND 65 AND (lon >= 300 OR lon <= 40) THEN cos(radians(lat)) ELSE 0 END AS w FROM grid)\nSELECT point_id, round(w / (SELECT sum(w) FROM w), 8) AS weight FROM w"),
     "strike_probability": (strike_probability, STRIKE_SQL),
-    "regrid_box": (regrid_box, f"WITH {GRID_SQL}\nSELECT CAST(floor((lat + 90) / 30) * 12 + floor(lon / 30) AS INTEGER) AS point_id, round(avg(lat * 2 + lon), 6) AS mean, round(max(lat * 2 + lon), 6) AS top FROM grid GROUP BY ALL"),
-    "regrid_bilinear": (regrid_bilinear, "SELECT CAST(id AS INTEGER) AS point_id, round((id * 2.0::DOUBLE - 51) * 3 - (id * 5.0::DOUBLE + 3), 6) AS value FROM range(0, 50) t(id)"),
+    "regrid_box": (regrid_box, REGRID_BOX_SQL),
+    "regrid_bilinear": (regrid_bilinear, REGRID_BILINEAR_SQL),
     "spectrum": (spectrum, SPECTRUM_SQL),
     "storm_matching": (storm_matching, f"{MATCH_SQL}\nSELECT step, outcome, coalesce(obs, -1) AS obs, coalesce(pred, -1) AS pred, round(dist, 5) AS dist FROM m"),
     "storm_confusion": (storm_confusion, f"{MATCH_SQL}\nSELECT step, CAST(count(*) FILTER (outcome = 'TP') AS BIGINT) AS tp, CAST(count(*) FILTER (outcome = 'FN') AS BIGINT) AS fn, CAST(count(*) FILTER (outcome = 'FP') AS BIGINT) AS fp, round(avg(dist), 5) AS mean_dist FROM m GROUP BY ALL"),
@@ -389,5 +407,5 @@ SELECT l_orderkey, l_linenumber, round((CASE WHEN (simple + f) / 2 < 80 THEN sim
     "latest_run": (latest_run, "SELECT o_custkey, o_orderstatus, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"),
     "pending_windows": (pending_windows, f"WITH {C.FIELDS_SQL}\nSELECT DISTINCT step FROM fields WHERE step NOT IN (SELECT CAST((year(o_orderdate) - 1995) * 4 + quarter(o_orderdate) - 1 AS INTEGER) FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 40 = 0)"),
     "comparisons": (comparisons, f"WITH {C.FIELDS_SQL}\nSELECT step, CAST(count(*) FILTER (point_id <> 3 AND value < 120) AS BIGINT) AS lt, CAST(count(*) FILTER (point_id <> 3 AND value > 120) AS BIGINT) AS gt, CAST(count(*) FILTER (point_id <> 3 AND value <= 120) AS BIGINT) AS le, CAST(count(*) FILTER (point_id <> 3 AND value >= 120) AS BIGINT) AS ge, CAST(count(*) FILTER (point_id <> 3 AND value = 120) AS BIGINT) AS eq, CAST(count(*) FILTER (point_id = 3 OR value <> 120) AS BIGINT) AS ne FROM fields GROUP BY ALL"),
-    "grid_cells": (grid_cells, "SELECT CAST(floor((90 - lat) / 2.5) AS BIGINT) AS i, CAST(floor(lon / 2.5) AS BIGINT) AS j, CAST(count(*) AS BIGINT) AS n FROM (SELECT ((event_id * 7) % 120 - 60)::DOUBLE AS lat, ((event_id * 11) % 360)::DOUBLE AS lon FROM events WHERE event_id % 4 = 0) GROUP BY ALL"),
+    "grid_cells": (grid_cells, "SELECT CAST(floor((90 - lat) / 2.5) AS BIGINT) AS i, CAST(floor(lon / 2.5) AS BIGINT) AS j, CAST(count(*) AS BIGINT) AS n FROM (SELECT ((event_id * 7) % 120 - 60)::DOUBLE AS lat, ((event_id * 11) % 360)::DOUBLE AS lon FROM events) GROUP BY ALL"),
 }

@@ -108,27 +108,72 @@ def forecast_month(date: dt.date, step: Step) -> int:
     return (begin.year - date.year) * 12 + begin.month - date.month + (1 if date.day == 1 else 0)
 
 
-def legacy(ranges: list, op: str, by: int = 1, include_start: bool = False, start_index: int = 0, **options) -> list[Window]:
-    """Windows of older configurations: ``"a-b"`` text, [a, b] pairs or single steps. They are sequential, and for all
-    folding operations the first coordinate is left out unless ``include_start`` or it is the only one."""
-    out = []
-    folding = op in ("sum", "minimum", "maximum", "mean", "aggregation", "standard_deviation")
-    for i, r in enumerate(ranges, start_index):
-        step = Step.parse(r) if isinstance(r, str | int) else Step(*r)
-        coords = tuple(range(step.start, step.end + 1, by))
-        if folding and len(coords) > 1 and not include_start:
-            coords = coords[1:]
-        suffix = f"_{op}" if op not in ("aggregation",) else ""
-        out.append(Window(f"{step}{suffix}_{i}", coords, op, sequential=True, **options))
-    return out
+#: Operations that leave out a range's first coordinate, and how a header codes a window's time.
+FOLDING = ("sum", "minimum", "maximum", "mean", "aggregation", "standard_deviation")
+LONG_STEP, LONG_RANGE_UNIT, LONG_INSTANT, FIRST_INSTANT, INSTANT = 256, 11, 10, 1, 0
+
+
+def _legacy_header(first: int, last: int, given: dict) -> dict:
+    """The time keys of a window's header; keys that are given stay, but for the range itself."""
+    if first == last:
+        code = LONG_INSTANT if last >= LONG_STEP else FIRST_INSTANT if last == 0 else INSTANT
+        header = {"timeRangeIndicator": code} | given
+        if "step" not in given:
+            return header | {"step": str(last)}
+        return {"stepType": "max"} | header | {"stepRange": str(last)}
+    long = last >= LONG_STEP and given.get("edition", 1) == 1
+    return {"stepType": "max"} | ({"unitOfTimeRange": LONG_RANGE_UNIT} if long else {}) | given | {"stepRange": f"{first}-{last}"}
+
+
+def legacy(config: dict, keys: dict | None = None) -> tuple[list[Window], list[dict]]:
+    """Windows of older configurations and the thresholds of each: ``windows`` and, named with the prefix ``std_``,
+    ``std_anomaly_windows``, lists of {coords, operation?, thresholds?, include_start?, factor?, deaccumulate?, metadata?}.
+
+    ``coords`` is a list of windows, each a list of coordinates (taken as they are), the text "a-b" in a list (the one coordinate "a-b")
+    or {from, to, by}. Windows are sequential. A folding operation leaves out the first coordinate unless it is the only one,
+    ``include_start`` is set or the window is text. Without an operation the thresholds' sense decides; thresholds of
+    unlike sense make a window for each. ``keys`` and metadata go to the header, which windows carry as ``meta``.
+    """
+    made, thresholds = [], []
+    for prefix, part in (("", "windows"), ("std_", "std_anomaly_windows")):
+        for number, spec in enumerate(config.get(part, [])):
+            limits = [{**t, "value": float(t["value"])} for t in spec.get("thresholds", [])]
+            if "operation" in spec:
+                by_op = {spec["operation"]: limits}
+            else:
+                by_op = {}
+                for t in limits:
+                    by_op.setdefault(infer_operation(t["comparison"]), []).append(t)
+                by_op = by_op or {"aggregation": []}
+            for op, own in by_op.items():
+                for coords in spec["coords"]:
+                    start = bool(spec.get("include_start", False))
+                    if isinstance(coords, dict):
+                        coords = coordinates({"from": 0} | coords)
+                        first, last = coords[0], coords[-1]
+                    elif len(coords) == 1 and isinstance(coords[0], str):
+                        (first, last), start = map(int, coords[0].split("-")), True
+                    else:
+                        first, last = coords[0], coords[-1]
+                    label = name((first, last))
+                    if op in FOLDING and first != last and not start:
+                        coords = coords[1:]
+                    window_id = f"{prefix}{label}_{op}_{number}" if len(by_op) > 1 else f"{prefix}{label}_{number}"
+                    meta = _legacy_header(first, last, {**(keys or {}), **spec.get("metadata", {})})
+                    factor = float(spec.get("factor", 1.0)) if op == "difference_rate" else 1.0
+                    made.append(Window(window_id, tuple(coords), op, sequential=True, deaccumulate=spec.get("deaccumulate", False), factor=factor, meta=meta))
+                    thresholds += [{"window_id": window_id, "comparison": t["comparison"], "threshold": t["value"]} for t in own]
+    return made, thresholds
 
 
 def infer_operation(comparison: str | None, op: str | None = None) -> str:
-    """The operation of a threshold window: given, else by the comparison's sense."""
+    """The operation of a threshold window: given, else by the comparison's sense; without a comparison aggregation."""
     if op:
         return op
     sign = (comparison or "").strip()
-    return "minimum" if sign.startswith("<") else "maximum" if sign.startswith(">") else "aggregation"
+    if sign and not set(sign) & {"<", ">"}:
+        raise ValueError(f"unknown threshold comparison {comparison!r}")
+    return "minimum" if "<" in sign else "maximum" if ">" in sign else "aggregation"
 
 
 def threshold_windows(specs: list[dict]) -> tuple[list[Window], list[dict]]:
@@ -200,6 +245,8 @@ def frame(spark: SparkSession, windows: list[Window]) -> DataFrame:
         for i, c in enumerate(w.coords):
             if w.op == "weighted_mean" and c not in weights or w.op == "integral" and i == 0:
                 continue
+            if isinstance(c, str):
+                raise ValueError(f"window {w.window_id} has the coordinate {c!r}: its fields are keyed by text, not by number")
             rows.append((w.window_id, int(c), i, weights.get(c), len(w.coords), int(w.coords[0]), int(w.coords[-1]), w.sequential))
     return spark.createDataFrame(rows, "window_id string, coord int, ord int, weight double, n_coords int, first_coord int, last_coord int, sequential boolean")
 

@@ -28,18 +28,23 @@ def split_location(location: str, default: str = "table") -> tuple[str, str]:
 
 
 def key_filter(request: dict) -> Column:
-    """Equality or membership for each key, all together."""
+    """Equality or membership for each key, all together. A null key is equal to nothing."""
     out = F.lit(True)
     for key, value in request.items():
         out = out & (F.col(key).isin(list(value)) if isinstance(value, list | tuple | set | range) else F.col(key) == value)
     return out
 
 
+def matching(df: DataFrame, request: dict) -> DataFrame:
+    """The rows that match a request. No row has a key that the table lacks, so such a request matches nothing."""
+    return df.where(key_filter(request)) if set(request) <= set(df.columns) else df.where(F.lit(False))
+
+
 @reader("table")
 def read_table(spark: SparkSession, path: str, request: dict | None = None) -> DataFrame:
     """A field table (Parquet, partitioned by its keys); the request becomes partition and pushed filters."""
     df = spark.read.parquet(path)
-    return df.where(key_filter({k: v for k, v in (request or {}).items() if k in df.columns}))
+    return matching(df, request or {})
 
 
 @reader("fileset")
@@ -51,7 +56,7 @@ def read_fileset(spark: SparkSession, template: str, request: dict | None = None
     used = [k for k in request if f"{{{k}" in template]
     paths = sorted({template.format(**r) for r in expand({k: request[k] for k in used}, used)})
     df = spark.read.parquet(*paths)
-    return df.where(key_filter({k: v for k, v in request.items() if k in df.columns and k not in used}))
+    return matching(df, {k: v for k, v in request.items() if k not in used})
 
 
 @reader("json")

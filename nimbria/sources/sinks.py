@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,8 +26,8 @@ def file_sink(path: str, kind: str = "parquet", append: bool = False) -> Writer:
 
 
 def fileset_sink(path: str, keys: list[str]) -> Writer:
-    """A folder for each combination of keys."""
-    return lambda df: df.write.mode("append").partitionBy(*keys).parquet(path)
+    """A folder for each combination of keys. A rerun replaces the folders that it writes, so that rows never double."""
+    return table_sink(path, keys)
 
 
 def table_sink(path: str, keys: list[str]) -> Writer:
@@ -71,33 +72,42 @@ def encode_missing(fields: DataFrame, sentinel: float = -9999.0) -> DataFrame:
 
 
 class Recovery:
-    """Checkpoints of finished windows of one configuration, in a shared table; restarts skip what is done."""
+    """Checkpoints of finished windows of one configuration, in a shared table; restarts skip what is done.
+
+    The table is only ever appended to, so that jobs may share it: a row without a window forgets what its configuration
+    wrote before it.
+    """
 
     def __init__(self, spark: SparkSession, path: str, config: dict, enabled: bool = True):
         self.spark, self.path, self.enabled = spark, path, enabled
         self.key = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()
 
-    def _all(self) -> DataFrame:
+    def _own(self) -> DataFrame:
         try:
-            return self.spark.read.schema(CHECKPOINTS).parquet(self.path)
+            return self.spark.read.schema(CHECKPOINTS).parquet(self.path).where(F.col("config") == self.key)
         except Exception as e:  # no checkpoint was written yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return self.spark.createDataFrame([], CHECKPOINTS)
 
     def done(self) -> DataFrame:
-        return self._all().where(F.col("config") == self.key).select("window_id").distinct()
+        """(window_id) of the windows finished since the configuration was last cleaned."""
+        last = F.max(F.when(F.col("window_id").isNull(), F.col("at"))).alias("cleaned")
+        own = self._own().groupBy("window_id").agg(F.max("at").alias("at"))
+        cleaned = self._own().agg(last).first().cleaned or 0
+        return own.where(F.col("window_id").isNotNull() & (F.col("at") > cleaned)).select("window_id")
 
     def remaining(self, windows: DataFrame) -> DataFrame:
         return windows.join(self.done(), "window_id", "left_anti") if self.enabled else windows
 
-    def add(self, window_ids: list[str]) -> None:
+    def _write(self, window_ids: list[str | None]) -> None:
         if self.enabled and window_ids:
-            self.spark.createDataFrame([(self.key, w) for w in window_ids], CHECKPOINTS).coalesce(1).write.mode("append").parquet(self.path)
+            now = time.time_ns()
+            self.spark.createDataFrame([(self.key, w, now) for w in window_ids], CHECKPOINTS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def add(self, window_ids: list[str]) -> None:
+        self._write(list(window_ids))
 
     def clean(self) -> None:
-        """Forget this configuration: the others' checkpoints are rewritten."""
-        rest = self._all().where(F.col("config") != self.key)
-        if self.enabled:
-            kept = rest.collect()  # a row a window of running jobs
-            self.spark.createDataFrame(kept, CHECKPOINTS).coalesce(1).write.mode("overwrite").parquet(self.path)
+        """Forget this configuration."""
+        self._write([None])

@@ -1,14 +1,17 @@
 """The same windows on Structured Streaming.
 
 ``stream_accumulate`` keeps a running state per key and window and emits a window once it is complete, like the batch
-operator; a coordinate that arrives again, or after its window was emitted, is dropped. ``stream_windows`` is the
-event-time form (tumbling or sliding) with a watermark that bounds state.
+operator; a coordinate that arrives again, or after its window was emitted, is dropped. State goes when the watermark
+passes the window's last field by ``late``, complete or not, so it is bounded by the stream's recent past. ``stream_windows``
+is the event-time form (tumbling or sliding), whose watermark bounds state alike. ``run_once`` writes what a stream
+emits as Parquet, with its checkpoint beside it, so that a stopped query goes on where it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,36 +30,55 @@ def stream_windows(events: DataFrame, time: str, keys: list[str], width: str, sl
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total", "mean", "low", "high")
 
 
-def stream_accumulate(fields: DataFrame, windows: list[W.Window], keys: list[str], dim: str = "step") -> DataFrame:
-    """(keys, window_id, value) of completed windows; operations sum, minimum, maximum and mean."""
+def stream_accumulate(fields: DataFrame, windows: list[W.Window], keys: list[str], time: str, dim: str = "step", late: str = "1 day") -> DataFrame:
+    """(keys, window_id, value) of completed windows; operations sum, minimum, maximum and mean. ``time`` is the fields'
+    event time. Of fields that repeat a coordinate the first to arrive counts; sequential windows drop coordinates that
+    come after a later one and end with their last."""
     if any(w.op not in FOLDS or w.deaccumulate for w in windows):
         raise ValueError(f"streams fold {FOLDS} only")
     small = sum(len(w.coords) for w in windows) <= 100_000
     table = W.frame(fields.sparkSession, windows).join(fields.sparkSession.createDataFrame([(w.window_id, w.op) for w in windows], "window_id string, op string"), "window_id")
     table = table.withColumnRenamed("coord", "__coord")
-    joined = fields.join(F.broadcast(table) if small else table, F.col(dim) == F.col("__coord")).drop("__coord").withColumnRenamed(dim, "coord")
+    timed = fields.withColumn("__t", F.col(time).cast("timestamp")).withWatermark("__t", late)
+    joined = timed.join(F.broadcast(table) if small else table, F.col(dim) == F.col("__coord")).select("window_id", *keys, F.col(dim).alias("coord"), "value", "op", "sequential", "n_coords", "last_coord", "__t")
     kinds = ", ".join(f"`{k}` {fields.schema[k].dataType.simpleString()}" for k in keys)
+    grace = int(pd.Timedelta(late).total_seconds() * 1000)
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, total, low, high, done, last = state.get if state.exists else ("", 0.0, float("inf"), float("-inf"), False, -1)
-        held = set(filter(None, seen.split(",")))
-        out = []
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, total, low, high, done, last, until = state.get if state.exists else ("", 0.0, float("inf"), float("-inf"), False, -(2**31), 0)
+        held, emitted = {int(c) for c in seen.split(",") if c}, []
         for batch in batches:
-            for r in batch.sort_values("coord").itertuples(index=False):
-                if done or str(r.coord) in held or (r.sequential and r.coord < last):
-                    continue
-                held.add(str(r.coord))
-                last = int(r.coord)
-                total += r.value
-                low = r.value if r.value != r.value or r.value < low else low
-                high = r.value if r.value != r.value or r.value > high else high
-                done = r.coord == r.last_coord if r.sequential else len(held) == r.n_coords
-                if done:
-                    value = {"sum": total, "mean": total / len(held), "minimum": low, "maximum": high}[r.op]
-                    out.append((*key, float(value)))
-        state.update(("" if done else ",".join(sorted(held)), total, low, high, done, last))
-        if out:
-            yield pd.DataFrame(out, columns=["window_id", *keys, "value"])
+            until = max(until, int(batch["__t"].max().timestamp() * 1000) + grace)
+            if done:
+                continue
+            way = batch.iloc[0]
+            new = batch.drop_duplicates("coord")
+            new = new[~new.coord.isin(held)]
+            if way.sequential:
+                new = new[(new.coord > last) & (new.coord == new.coord.cummax())]
+            if new.empty:
+                continue
+            held |= set(new.coord.tolist())
+            last, total = int(new.coord.max()), total + new.value.sum(skipna=False)
+            low, high = np.minimum(low, new.value.to_numpy().min()), np.maximum(high, new.value.to_numpy().max())  # a missing value stays
+            done = last == way.last_coord if way.sequential else len(held) == way.n_coords
+            if done:
+                emitted.append((*key, float({"sum": total, "mean": total / len(held), "minimum": low, "maximum": high}[way.op])))
+        state.update(("" if done else ",".join(map(str, sorted(held))), float(total), float(low), float(high), bool(done), last, until))
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        if emitted:
+            yield pd.DataFrame(emitted, columns=["window_id", *keys, "value"])
 
     grouped = joined.groupBy("window_id", *keys)
-    return grouped.applyInPandasWithState(fold, f"window_id string, {kinds}, value double", "seen string, total double, low double, high double, done boolean, last int", "append", GroupStateTimeout.NoTimeout)
+    kept = "seen string, total double, low double, high double, done boolean, last int, until long"
+    return grouped.applyInPandasWithState(fold, f"window_id string, {kinds}, value double", kept, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a stream over what is there, in append mode, into Parquet files at ``path``; what those hold in all."""
+    query = out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out.sparkSession.read.schema(out.schema).parquet(path)

@@ -38,10 +38,31 @@ def test_climatology_products(spark, fields, tmp_path):
 
 
 def test_recovery_and_target(spark, fields, tmp_path):
-    job = config(fields, product="ensms", target=f"table:{tmp_path / 'out'}", recover=str(tmp_path / "done"))
-    assert jobs.run(spark, job).count() == 9 and spark.read.parquet(str(tmp_path / "out")).count() == 9
-    with pytest.raises(ValueError):
-        jobs.run(spark, job)
+    """A job that is stopped goes on with the windows left, and no run doubles rows."""
+    out, rest = str(tmp_path / "out"), {"recover": str(tmp_path / "done"), "checkpoint_every": 1}
+    for kind in ("table", "fileset"):
+        job = config(fields, product="ensms", target=f"{kind}:{out}-{kind}", **rest)
+        stop, made = [], jobs.PRODUCTS["ensms"]
+
+        def stopping(spark, config, found, by, stop=stop, made=made):
+            stop.append(1)
+            if len(stop) == 3:
+                raise RuntimeError("the machine is gone")
+            return made(spark, config, found, by)
+
+        jobs.PRODUCTS["ensms"] = stopping
+        try:
+            with pytest.raises(RuntimeError):
+                jobs.run(spark, job)
+            assert spark.read.parquet(f"{out}-{kind}").select("window_id").distinct().count() == 2
+            jobs.run(spark, job)
+            assert len(stop) == 5  # the third window and the result itself
+        finally:
+            jobs.PRODUCTS["ensms"] = made
+        whole = jobs.run(spark, config(fields, product="ensms"))
+        assert spark.read.parquet(f"{out}-{kind}").count() == whole.count() == 9
+        jobs.run(spark, job)  # after success it starts anew
+        assert spark.read.parquet(f"{out}-{kind}").count() == 9
     with pytest.raises(ValueError):
         jobs.run(spark, config(fields, product="nothing"))
     with pytest.raises(EOFError):

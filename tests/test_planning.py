@@ -30,9 +30,8 @@ def test_months():
 
 def test_windows():
     assert [w.window_id for w in W.step_ranges(0, 48, 24, 12)] == ["0-24", "12-36", "24-48"]
-    assert W.legacy(["0-6"], "mean", by=3)[0].coords == (3, 6)
-    assert W.legacy(["0-6"], "mean", by=3, include_start=True)[0].coords == (0, 3, 6)
-    assert W.legacy([6], "mean")[0].coords == (6,) and W.legacy(["0-6"], "difference", by=6)[0].coords == (0, 6)
+    with pytest.raises(ValueError):
+        W.infer_operation("=")
     windows, thresholds = W.threshold_windows([{"coords": {"to": 2}, "thresholds": [{"comparison": "<", "value": 1}, {"comparison": ">", "value": 2}], "std": True}])
     assert [w.window_id for w in windows] == ["std_0-2_minimum", "std_0-2_maximum"] and len(thresholds) == 2
     with pytest.raises(ValueError):
@@ -89,3 +88,20 @@ def test_scalars():
     with pytest.raises(ValueError):
         K.choose_components([10.0, 20.0], 50)
     assert K.choose_partition({2: 90.0, 3: 99.0, 4: 99.0}, 95) == 3 and K.choose_partition({2: 10.0}, 95) == 1
+
+
+def test_legacy_windows():
+    """Lists are coordinates as they are, ids carry the window's number and, if it has several, the operation."""
+    w, t = W.legacy({"windows": [{"coords": [[0], [0, 3], [300, 306], {"from": 6, "to": 12, "by": 3}]}]}, {"expver": "1"})
+    assert [(x.window_id, x.coords, x.op) for x in w] == [("0_0", (0,), "aggregation"), ("0-3_0", (3,), "aggregation"), ("300-306_0", (306,), "aggregation"), ("6-12_0", (9, 12), "aggregation")]
+    assert w[0].meta == {"expver": "1", "timeRangeIndicator": 1, "step": "0"} and w[1].meta == {"expver": "1", "stepType": "max", "stepRange": "0-3"}
+    assert w[2].meta["unitOfTimeRange"] == 11 and all(x.sequential for x in w) and not t
+    w, _ = W.legacy({"windows": [{"operation": "difference", "coords": [[0, 6], [3, 9]], "metadata": {"stepType": "diff"}}, {"operation": "mean", "coords": [["0-24"]]}, {"operation": "difference_rate", "factor": 2, "coords": [[0, 6]]}]})
+    assert [(x.window_id, x.coords) for x in w] == [("0-6_0", (0, 6)), ("3-9_0", (3, 9)), ("0-24_1", ("0-24",)), ("0-6_2", (0, 6))]
+    assert w[0].meta["stepType"] == "diff" and w[3].factor == 2 and w[2].meta == {"stepType": "max", "stepRange": "0-24"}
+    limits = [{"comparison": "<=", "value": "1"}, {"comparison": ">", "value": 5}]
+    w, t = W.legacy({"windows": [{"coords": [[12]]}], "std_anomaly_windows": [{"coords": [[0, 6, 12]], "thresholds": limits, "include_start": True}]})
+    assert [(x.window_id, x.coords, x.op) for x in w] == [("12_0", (12,), "aggregation"), ("std_0-12_minimum_0", (0, 6, 12), "minimum"), ("std_0-12_maximum_0", (0, 6, 12), "maximum")]
+    assert t == [{"window_id": "std_0-12_minimum_0", "comparison": "<=", "threshold": 1.0}, {"window_id": "std_0-12_maximum_0", "comparison": ">", "threshold": 5.0}]
+    with pytest.raises(ValueError):
+        W.legacy({"windows": [{"coords": [[1]], "thresholds": [{"comparison": "==", "value": 1}]}]})

@@ -13,7 +13,7 @@ from nimbria.operators import preprocess as P
 from nimbria.operators import spatial as S
 from nimbria.plans import windows as W
 from nimbria.sources import readers, sinks
-from nimbria.streaming.windows import stream_accumulate
+from nimbria.streaming.windows import run_once, stream_accumulate
 
 
 def cells(spark, rows):
@@ -140,14 +140,19 @@ def test_sinks_and_recovery(spark, tmp_path):
         readers.open_single(spark, path, [{}, {}])
     with pytest.raises(ValueError):
         readers.not_empty(read.where("step = 99"))
+    assert readers.open_source(spark, f"table:{path}", {"paran": "t"}).count() == 0  # no row has that key
     r = sinks.Recovery(spark, str(tmp_path / "done"), {"a": 1})
     w = W.frame(spark, W.default([{"to": 1}, {"to": 2}]))
     assert r.remaining(w).select("window_id").distinct().count() == 2
     r.add(["0-1"])
     assert {x.window_id for x in r.remaining(w).collect()} == {"0-2"}
     assert sinks.Recovery(spark, str(tmp_path / "done"), {"a": 2}).done().count() == 0
+    other = sinks.Recovery(spark, str(tmp_path / "done"), {"a": 2})
+    other.add(["0-2"])
     r.clean()
-    assert r.done().count() == 0
+    assert r.done().count() == 0 and other.done().count() == 1
+    r.add(["0-2"])
+    assert r.done().count() == 1
 
 
 def test_metadata_and_packing(spark):
@@ -173,14 +178,23 @@ def test_track_readers(spark, tmp_path):
 def test_stream_equals_batch(spark, tmp_path):
     from nimbria.operators.accumulate import accumulate
 
-    df = spark.createDataFrame([(n, s, float(s * n)) for n in range(3) for s in range(8)], "number int, step int, value double")
-    df.write.parquet(str(tmp_path / "in"))
-    windows = W.step_ranges(0, 7, 3, 2, op="mean")
-    out = stream_accumulate(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), windows, ["number"])
-    query = out.writeStream.format("memory").queryName("streamed").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
+    rows = [(n, s, float(s * n), f"2024-01-01 0{s}:00:00") for n in range(3) for s in range(8)]
+    df = spark.createDataFrame(rows, "number int, step int, value double, t string").withColumn("ts", F.to_timestamp("t")).drop("t")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    windows = W.step_ranges(0, 7, 3, 2, op="mean") + W.default([{"to": 7}], "maximum", sequential=True)
     key = lambda rows: sorted((r.window_id, r.number, r.value) for r in rows)
-    assert key(spark.table("streamed").collect()) == key(accumulate(df, windows, ["number"]).collect())
+    want = key(accumulate(df.drop("ts"), windows, ["number"]).collect())
+    stream = lambda: stream_accumulate(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), windows, ["number"], "ts", late="2 hours")
+    place = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    assert key(run_once(stream(), *place).collect()) == want
+    df.withColumn("value", F.lit(99.0)).write.mode("append").parquet(str(tmp_path / "in"))  # the same coordinates again
+    assert key(run_once(stream(), *place).collect()) == want  # the query goes on from its checkpoint and drops them
+    df.selectExpr("number", "step", "value", "ts + interval 3 days as ts").write.mode("append").parquet(str(tmp_path / "in"))
+    run_once(stream(), *place)  # the watermark passes all windows so far
+    df.selectExpr("number", "step + 100 as step", "value", "ts + interval 6 days as ts").write.mode("append").parquet(str(tmp_path / "in"))
+    query = stream().writeStream.format("parquet").option("path", place[0]).option("checkpointLocation", place[1]).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0  # no state is left
 
 
 def test_detection_inputs(spark):
@@ -201,3 +215,13 @@ def test_climatology_by_season_day(spark):
     clim = spark.createDataFrame([(151, 0, 7.0)], "dos int, point_id int, value double")
     got = K.climatology_on(f, clim, K.season("10-4")).collect()
     assert [(r.d, r.clim) for r in got] == [("2024-02-29", 7.0)]
+
+
+def test_shared_folder(spark):
+    from nimbria.sources import shared
+
+    assert shared.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    shared.clean_up(spark)
+    path = shared.shared_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and shared.clean_up(spark) == 1 and shared.clean_up(spark) == 0
