@@ -6,37 +6,22 @@ Words are maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``: exactly what ``b
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nimbria.sources.shared import shared_dir, shared_path
+
 #: The white space that separates words, as a regular expression class.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; only where that is unset, a local folder of our own."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="nimbria-"))
-    return configured or sc.getCheckpointDir()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: cuts the lineage, survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again; smaller on disk than a checkpoint."""
     path = shared_path(df.sparkSession, name)
@@ -46,7 +31,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def small_batches(df: DataFrame, most: int = 8 << 20) -> DataFrame:
     """``df`` itself; its session's Arrow batches are held to ``most`` bytes (a lower setting stays), so that a Python
-    worker never has more than a few megabytes of texts at once."""
+    worker never has more than a few megabytes of texts at once. The setting is read when the result is planned, so it stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(df.sparkSession.conf.get(name).rstrip("b")) > most:
         df.sparkSession.conf.set(name, str(most))

@@ -54,3 +54,51 @@ def test_sql(spark, sf):
 def test_queries_are_named():
     names = list(queries())
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and np.unique(names).size == 10
+
+
+EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def edge_rows(spark):
+    fine = lambda k: " ".join(f"w{(k * 37 + i * (k + 7)) % 4001}" for i in range(70))
+    line = "a line that is long enough to count"
+    rows = [
+        (0, None, None, None, None), (1, "", "en", "a", 0), (2, " \n\t", "en", "b", 3), (3, "short", "en", "a", 5), (None, fine(3), "en", None, 300), (None, fine(3), "en", None, 300),
+        (4, fine(4), None, "a", None), (5, fine(5), "en", "a", 300), (5, fine(5), "en", "a", 300), (6, fine(6), "en", "a", 300), (7, fine(6) + " end", "en", "a", 304), (8, "word " * 40_000, "en", "a", 200_000),
+        (9, " ".join(f"x{i}" for i in range(60_000)), "de", "b", 0), *[(20 + i, f"{fine(20 + i)}\n{line}", "en", "a", 0) for i in range(4)], (30, line, "en", "a", 0),
+    ]
+    return spark.createDataFrame(rows, EDGE_SCHEMA).selectExpr("*", "'clash' as n_words", "1 as kept", "2 as root", "3 as at", "'clash' as piece_ids", "4 as __row")
+
+
+def test_stages_on_edge_rows(spark, sf):
+    """Nulls, empty and very long texts, ties, repeats and clashing columns in every stage, and empty tables."""
+    edge = edge_rows(spark)
+    before = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in edge.collect()]
+    shown = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    first = P.quality_rules(spark, edge, sf)
+    assert first.columns == P.COLUMNS
+    got = shown(first)
+    assert got[None, before[4][1]] == 2 and got[5, before[7][1]] == 2 and {d for d, _ in got} >= {4, 6, 7, 9, 20} and not {d for d, _ in got} & {0, 1, 2, 3, 8, 30}
+    second = P.line_dedup(spark, edge, sf)
+    assert second.columns == P.COLUMNS
+    want = {(d, s) for d, _, _, s in brute_lines([(d, t) for d, t, *_ in before])}
+    import hashlib
+
+    rows = second.collect()
+    assert {(str(r.doc_id), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in rows} == want and len(rows) == len(before)
+    assert {r.n_chars for r in rows if r.doc_id == 21} == {len(next(r.text for r in rows if r.doc_id == 21))} and next(r.text for r in rows if r.doc_id == 0) is None
+    third = P.near_dedup(spark, edge, sf)
+    assert third.columns == P.COLUMNS
+    near = Counter(r.doc_id for r in third.collect())
+    assert near == Counter([None, 0, 3, 4, 5, 6, 8, 9, 20, 21, 22, 23, 30])  # 1 and 2 are like 0, 7 like 6; 5 and the null id repeat
+    fourth = P.mix(spark, edge, sf)
+    assert fourth.columns == P.COLUMNS and max(Counter(r.doc_id for r in fourth.where("doc_id not in (5)").collect()).values()) <= 6
+    copies = Counter()
+    for r in mixing.plan(edge.select(P.COLUMNS)).collect():
+        copies[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in fourth.collect()) == +copies
+    last = P.sentencepiece(spark, edge, sf)
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
+    assert sorted((str(r.doc_id), r.n_pieces, r.round_trip) for r in last.collect()) == sorted((str(d), len(sp.encode(t or "")), True) for d, t, *_ in before)
+    for _, stage in P.STAGES:
+        assert stage(spark, edge.where("doc_id > 1000"), sf).count() == 0
