@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbria.functions.geo import in_box
+from nimbria.functions.geo import haversine_km, in_box
 
 
 def region_weights(grid: DataFrame, north: float, west: float, south: float, east: float) -> DataFrame:
@@ -42,6 +42,17 @@ def bilinear_weights(grid: DataFrame, target: DataFrame, dlat: float, dlon: floa
     return wanted.where("w > 0").join(source, ["i", "j"]).select("in_point", "out_point", "w")
 
 
+def nearest_weights(grid: DataFrame, target: DataFrame, dlat: float, dlon: float) -> DataFrame:
+    """Weights that give each target point the value of the nearest point of a regular grid, by great-circle distance (ties:
+    the smaller number): of the corners of its cell, met by an equi-join on cell indices that wrap at the date line."""
+    turn = round(360 / dlon)
+    source = grid.select(F.col("point_id").alias("in_point"), F.col("lat").alias("__la"), F.col("lon").alias("__lo"), F.round(F.col("lat") / dlat).cast("long").alias("i"), F.pmod(F.round(F.col("lon") / dlon).cast("long"), F.lit(turn)).alias("j"))
+    corner = lambda a, b: F.struct((F.floor(F.col("lat") / dlat) + a).alias("i"), F.pmod(F.floor(F.col("lon") / dlon) + b, F.lit(turn)).alias("j"))
+    wanted = target.select(F.col("point_id").alias("out_point"), "lat", "lon", F.explode(F.array(*[corner(a, b) for a in (0, 1) for b in (0, 1)])).alias("c")).select("out_point", "lat", "lon", "c.i", "c.j")
+    near = F.min(F.struct(haversine_km(F.col("lat"), F.col("lon"), F.col("__la"), F.col("__lo")), "in_point"))
+    return wanted.join(source, ["i", "j"]).groupBy("out_point").agg(near.alias("n")).select("n.in_point", "out_point", F.lit(1.0).alias("w"))
+
+
 def box_weights(grid: DataFrame, factor: float) -> DataFrame:
     """Grid-box averaging: every source point falls in the target box of ``factor`` degrees."""
     box = F.floor((F.col("lat") + 90) / factor) * F.lit(int(360 / factor)) + F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / factor)
