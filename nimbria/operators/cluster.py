@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,11 +32,25 @@ def mean_spread(std: DataFrame, weights: DataFrame) -> float:
 
 
 def gram(anomaly: DataFrame, weights: DataFrame) -> DataFrame:
-    """(a, b, value): weighted inner products of members, a <= b. Each cell becomes one array of its members' values, so
-    cells never self-join; partial sums of the upper triangle combine before the shuffle."""
-    cells = anomaly.join(weights, "point_id").groupBy("step", "point_id").agg(F.sort_array(F.collect_list(F.struct("number", "value"))).alias("m"), F.first("weight").alias("w"))
-    pairs = cells.select("w", "m", F.explode("m").alias("x")).select("w", "x", F.explode(F.filter("m", lambda y: y["number"] >= F.col("x.number"))).alias("y"))
-    return pairs.groupBy(F.col("x.number").alias("a"), F.col("y.number").alias("b")).agg(F.sum(F.col("w") * F.col("x.value") * F.col("y.value")).alias("value"))
+    """(a, b, value): weighted inner products of members, a <= b, over the cells that both have. Each cell becomes one array of
+    its members' values; a batch of cells is one matrix product, and the batches' triangles are summed."""
+    cells = anomaly.join(weights, "point_id").groupBy("step", "point_id").agg(F.collect_list(F.struct("number", F.col("value").cast("double").alias("value"))).alias("m"), F.first("weight").cast("double").alias("w"))
+
+    def run(batches):
+        for batch in batches:
+            held = batch.column(1)
+            values = held.flatten()
+            cell = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
+            members, at = np.unique(values.field("number").to_numpy(), return_inverse=True)
+            x, there = np.zeros((len(held), len(members))), np.zeros((len(held), len(members)))
+            x[cell, at], there[cell, at] = values.field("value").to_numpy(zero_copy_only=False), 1
+            product = (x * batch.column(0).to_numpy(zero_copy_only=False)[:, None]).T @ x
+            a, b = np.nonzero(np.triu(there.T @ there))
+            yield pa.RecordBatch.from_arrays([pa.array(members[a], pa.int64()), pa.array(members[b], pa.int64()), pa.array(product[a, b])], names=["a", "b", "value"])
+
+    kind = anomaly.schema["number"].dataType.simpleString()
+    triangles = cells.select("w", "m").mapInArrow(run, "a bigint, b bigint, value double")
+    return triangles.groupBy(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")).agg(F.sum("value").alias("value"))
 
 
 @dataclass

@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from itertools import product
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 
 def expand(request: dict, dims: list[str] | None = None) -> list[dict]:
     """One request per combination of the list values of ``dims`` (default all); the last key varies fastest."""
@@ -63,14 +66,21 @@ def unique_requests(requests: list[dict]) -> list[dict]:
     return out
 
 
-def common_requests(sides: list[list[dict]]) -> list[dict]:
-    """Requests of the first side matched on common keys by every other one; none at all if one of them is missed."""
-    first, *others = sides
-    for other in others:
-        for r in first:
-            if not any(all(o.get(k) == v for k, v in r.items() if k in o) for o in other):
-                return []
-    return first
+def common_requests(required: list[dict], available: list[dict]) -> list[dict]:
+    """The available requests that match a required one on all of its keys but the member's number; none at all if one of the
+    required ones is missed."""
+    wanted = unique_requests([{k: v for k, v in r.items() if k != "number"} for r in required])
+    found = [[a for a in available if all(k in a and a[k] == v for k, v in r.items())] for r in wanted]
+    return [a for own in found for a in own] if all(found) else []
+
+
+def intersect(required: DataFrame, available: DataFrame) -> DataFrame:
+    """The same for tables of requests: the rows of ``available`` that match a row of ``required`` on its columns (number
+    apart), or none if a row of ``required`` has no match."""
+    on = [c for c in required.columns if c != "number"]
+    wanted = required.select(on).distinct()
+    missed = wanted.join(available, on, "left_anti").limit(1).select(F.lit(1).alias("__missed"))
+    return available.join(wanted, on, "left_semi").where(F.lit(missed.isEmpty()))
 
 
 def _text(value) -> str:

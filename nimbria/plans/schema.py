@@ -176,7 +176,7 @@ class Schema:
     def from_inputs(self, available: list[dict], outputs: list[dict]) -> list[dict]:
         """Those of the candidate outputs all of whose inputs are available."""
         have = [one for r in available for one in expand(r)]
-        return [o for o in outputs for one in [o] if all(common_requests([expand(i), have]) for i in self.inputs_for(one))]
+        return [o for o in outputs for one in [o] if all(common_requests(expand(i), have) for i in self.inputs_for(one))]
 
 
 def total_fields(sources: list[dict]) -> int:

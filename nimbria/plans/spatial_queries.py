@@ -106,7 +106,7 @@ def rain_point_quantiles(spark, sf):
 def rain_grid_scale(spark, sf):
     bp, fer = _types(spark)
     typed = R.weather_types(_rain(spark, sf), bp, ["l_quantity", "p2", "p3", "p4", "p5"])
-    return R.calibrate(typed, fer).groupBy("step", "point_id").agg(F.round(F.avg("grid_scale"), 6).alias("grid_scale"))
+    return R.calibrate(typed, fer).groupBy("step", "point_id").agg(F.round(F.avg("grid_scale") + 1e-9, 6).alias("grid_scale"))
 
 
 POINTS_SQL = f"""WITH {RAIN_SQL},
@@ -157,12 +157,12 @@ def regrid_box(spark, sf):
     weights, fields = S.box_weights(_grid(spark), 30.0), _gridded(spark, sf)
     mean = S.regrid(fields, weights, ["step"]).withColumnRenamed("value", "mean")
     top = S.regrid(fields, weights, ["step"], "maximum").withColumnRenamed("value", "top")
-    return mean.join(top, ["step", "point_id"]).select("step", "point_id", F.round("mean", 6).alias("mean"), F.round("top", 6).alias("top"))
+    return mean.join(top, ["step", "point_id"]).select("step", "point_id", F.round(F.col("mean") + 1e-9, 6).alias("mean"), F.round("top", 6).alias("top"))
 
 
 REGRID_BOX_SQL = f"""WITH {GRID_SQL}, {GRIDDED_SQL},
 b AS (SELECT point_id, CAST(floor((lat + 90) / 30) * 12 + floor(lon / 30) AS INTEGER) AS box FROM grid)
-SELECT step, box AS point_id, round(avg(value), 6) AS mean, round(max(value), 6) AS top FROM fields JOIN b USING (point_id) GROUP BY ALL"""
+SELECT step, box AS point_id, round(avg(value) + 1e-9, 6) AS mean, round(max(value), 6) AS top FROM fields JOIN b USING (point_id) GROUP BY ALL"""
 
 
 def regrid_bilinear(spark, sf):
@@ -385,7 +385,7 @@ SELECT l_orderkey, l_linenumber, round((CASE WHEN (simple + f) / 2 < 80 THEN sim
     "utci_validity": (utci_validity, UTCI_SQL),
     "rain_weather_types": (rain_weather_types, f"WITH {RAIN_SQL}\nSELECT coalesce(wt, -1) AS wt, CAST(count(*) AS BIGINT) AS n, sum(rain) AS rain FROM typed GROUP BY ALL"),
     "rain_point_quantiles": (rain_point_quantiles, f"{POINTS_SQL}\nSELECT step, point_id, [0.1::DOUBLE, 0.5, 0.9][i] AS level, round(q[i], 5) AS value FROM (SELECT step, point_id, quantile_cont(p, [0.1, 0.5, 0.9]) AS q FROM points GROUP BY ALL), range(1, 4) t(i)"),
-    "rain_grid_scale": (rain_grid_scale, f"WITH {RAIN_SQL},\ng AS (SELECT step, point_id, CASE WHEN wt = 99999 OR wt IS NULL THEN rain ELSE (SELECT avg(greatest(rain * (-0.5 + 0.1 * k + 0.01 * wt + 1), 0)) FROM range(0, 5) t(k)) END AS g FROM typed)\nSELECT step, point_id, round(avg(g), 6) AS grid_scale FROM g GROUP BY ALL"),
+    "rain_grid_scale": (rain_grid_scale, f"WITH {RAIN_SQL},\ng AS (SELECT step, point_id, CASE WHEN wt = 99999 OR wt IS NULL THEN rain ELSE (SELECT avg(greatest(rain * (-0.5 + 0.1 * k + 0.01 * wt + 1), 0)) FROM range(0, 5) t(k)) END AS g FROM typed)\nSELECT step, point_id, round(avg(g) + 1e-9, 6) AS grid_scale FROM g GROUP BY ALL"),
     "region_weights": (region_weights, f"WITH {GRID_SQL},\nw AS (SELECT point_id, CASE WHEN lat BETWEEN 15 AND 65 AND (lon >= 300 OR lon <= 40) THEN cos(radians(lat)) ELSE 0 END AS w FROM grid)\nSELECT point_id, round(w / (SELECT sum(w) FROM w), 8) AS weight FROM w"),
     "strike_probability": (strike_probability, STRIKE_SQL),
     "regrid_box": (regrid_box, REGRID_BOX_SQL),

@@ -55,7 +55,8 @@ def test_requests():
     text = Q.serialise("retrieve", {"step": range(0, 13, 6), "date": dt.date(2024, 5, 1), "param": ["t", "u"]})
     assert "step=0/to/12/by/6" in text and "date=20240501" in text and "param=t/u" in text
     assert Q.parse_values("0/to/12/by/6") == [0, 6, 12] and Q.parse_values("1-3,7") == [1, 2, 3, 7] and Q.parse_values("t/u") == ["t", "u"]
-    assert Q.common_requests([[{"a": 1}], [{"a": 2}]]) == [] and Q.common_requests([[{"a": 1}], [{"a": 1, "b": 2}]]) == [{"a": 1}]
+    assert Q.common_requests([{"a": 1}], [{"a": 2}]) == [] and Q.common_requests([{"a": 1}, {"a": 3}], [{"a": 1}]) == []
+    assert Q.common_requests([{"a": 1, "number": 7}, {"a": 1}], [{"a": 1, "b": 2}, {"a": 1, "number": 4}, {"a": 2}]) == [{"a": 1, "b": 2}, {"a": 1, "number": 4}]
 
 
 RULES = {
