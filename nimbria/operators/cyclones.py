@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbria.functions.geo import haversine_km
+from nimbria.operators.components import components
+from nimbria.sources.shared import shared_dir
 
 
 def track_motion(tracks: DataFrame, keys: list[str], time: str = "step") -> DataFrame:
@@ -84,30 +85,27 @@ def best_track(rows: DataFrame, agencies: list[str], missing: float = -999.0) ->
 
 def density_clusters(cells: DataFrame, keys: list[str], eps: float, min_weight: float) -> DataFrame:
     """(keys, cluster, i, j, weight): weighted density clustering of each step's cells (i, j, weight) above a detection
-    threshold; i and j are weighted centroids. A step's detected cells are few and go to one task."""
-    fields = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x, w = rows[["i", "j"]].to_numpy(float), rows["weight"].to_numpy(float)
-        around = [np.flatnonzero(((x - p) ** 2).sum(1) <= eps * eps) for p in x]
-        core = np.array([w[a].sum() >= min_weight for a in around], bool)
-        label = np.full(len(x), -1)
-        n = 0
-        for start in range(len(x)):
-            if label[start] >= 0 or not core[start]:
-                continue
-            stack, label[start] = [start], n
-            while stack:
-                at = stack.pop()
-                for other in around[at] if core[at] else ():
-                    if label[other] < 0:
-                        label[other] = n
-                        stack.append(other)
-            n += 1
-        out = [(*key, c, float(np.average(x[label == c, 0], weights=w[label == c])), float(np.average(x[label == c, 1], weights=w[label == c])), float(w[label == c].sum())) for c in range(n)]
-        return pd.DataFrame(out, columns=[*keys, "cluster", "i", "j", "weight"])
-
-    return cells.groupBy(*keys).applyInPandas(run, f"{fields}, cluster int, i double, j double, weight double")
+    threshold; i and j are weighted centroids.
+
+    A cell whose neighbours within ``eps``, itself included, weigh at least ``min_weight`` is a core; cores within ``eps`` of each
+    other are one cluster, numbered by its least core (i, then j); another cell joins the first cluster that has a core
+    within ``eps`` of it. Cells meet by an equi-join on blocks as wide as ``eps``, clusters are connected components.
+    """
+    shared_dir(cells.sparkSession)
+    block = lambda c, d=0: F.floor(F.col(c) / eps) + d
+    rows = cells.select(*keys, "i", "j", "weight").withColumn("n", F.monotonically_increasing_id()).checkpoint()
+    own = rows.withColumn("bi", F.explode(F.array(*[block("i", k) for k in (-1, 0, 1)]))).withColumn("bj", F.explode(F.array(*[block("j", k) for k in (-1, 0, 1)])))
+    other = rows.select(*keys, F.col("i").alias("oi"), F.col("j").alias("oj"), F.col("weight").alias("ow"), F.col("n").alias("o"), block("i").alias("bi"), block("j").alias("bj"))
+    near = own.join(other, [*keys, "bi", "bj"]).where((F.col("i") - F.col("oi")) ** 2 + (F.col("j") - F.col("oj")) ** 2 <= eps * eps).select("n", "o", "ow").checkpoint()
+    core = near.groupBy("n").agg(F.sum("ow").alias("w")).where(F.col("w") >= min_weight).select("n").checkpoint()
+    reach = near.join(core.withColumnRenamed("n", "o"), "o").select("n", "o")  # of any cell, the cores near it
+    roots = components(reach.join(core, "n").select(F.col("n").alias("a"), F.col("o").alias("b")))
+    labelled = core.join(roots.withColumnRenamed("node", "n"), "n", "left").withColumn("root", F.coalesce("root", "n"))
+    placed = labelled.join(rows, "n").groupBy("root", *keys).agg(F.min(F.struct("i", "j")).alias("first"))
+    numbered = placed.withColumn("cluster", F.row_number().over(Window.partitionBy(*keys).orderBy("first")) - 1).select("root", "cluster")  # a row a cluster
+    of = reach.join(labelled.select(F.col("n").alias("o"), "root"), "o").join(numbered, "root").groupBy("n").agg(F.min("cluster").alias("cluster"))
+    w = F.sum("weight")
+    return rows.join(of, "n").groupBy(*keys, "cluster").agg((F.sum(F.col("i") * F.col("weight")) / w).alias("i"), (F.sum(F.col("j") * F.col("weight")) / w).alias("j"), w.cast("double").alias("weight"))
 
 
 def joined_predictions(predictions: DataFrame, annotations: DataFrame, keys: list[str]) -> DataFrame:

@@ -269,11 +269,11 @@ def season_climatology(spark, sf):
     daily = o.groupBy("date", "point_id").agg(F.sum("o_totalprice").alias("value"))
     months = K.season("5-9")
     clim = daily.withColumn("dos", K.day_of_season(F.col("date"), months)).where("dos is not null").groupBy("dos", "point_id").agg(F.avg("value").alias("value"))
-    return K.climatology_on(daily, clim, months).select("date", "point_id", F.round(F.col("value") - F.col("clim"), 3).alias("anomaly"))
+    return K.climatology_on(daily, clim, months).select("date", "point_id", F.round(F.col("value") - F.col("clim") + 1e-6, 3).alias("anomaly"))
 
 
 SEASON_CLIM_SQL = """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_custkey % 5 AS INTEGER) AS point_id, sum(o_totalprice) AS value FROM orders WHERE month(o_orderdate) BETWEEN 5 AND 9 GROUP BY ALL)
-SELECT date, point_id, round(value - avg(value) OVER (PARTITION BY month(date), day(date), point_id), 3) AS anomaly FROM d"""
+SELECT date, point_id, round(value - avg(value) OVER (PARTITION BY month(date), day(date), point_id) + 1e-6, 3) AS anomaly FROM d"""
 
 
 def cluster_centroids(spark, sf):
@@ -282,6 +282,28 @@ def cluster_centroids(spark, sf):
     return K.centroids(C.fields(spark, sf), labels).select("cluster", "step", "point_id", F.round("value", 6).alias("value"))
 
 
+def density_clusters(spark, sf):
+    """Clusters of the grid cells that hold far more than a step's mean."""
+    items = C.table(spark, sf, "lineitem")
+    cells = items.groupBy((F.col("l_partkey") % 3).cast("int").alias("step"), (F.col("l_suppkey") % 30).cast("int").alias("i"), (F.col("l_partkey") % 31).cast("int").alias("j")).agg(F.sum("l_quantity").alias("weight"))
+    mean = cells.groupBy("step").agg(F.avg("weight").alias("mean"))
+    found = cells.join(mean, "step").where("weight > 1.4 * mean").withColumn("weight", F.col("weight") / F.col("mean"))
+    out = Y.density_clusters(found.select("step", "i", "j", "weight"), ["step"], 2.0, 5.0)
+    return out.select("step", "cluster", F.round("i", 4).alias("i"), F.round("j", 4).alias("j"), F.round("weight", 5).alias("weight"))
+
+
+DENSITY_SQL = """WITH RECURSIVE g AS (SELECT CAST(l_partkey % 3 AS INTEGER) AS step, CAST(l_suppkey % 30 AS INTEGER) AS i, CAST(l_partkey % 31 AS INTEGER) AS j, sum(l_quantity) AS weight FROM lineitem GROUP BY ALL),
+c AS (SELECT step, i, j, weight / mean AS w, 1000 * i + j AS n FROM g JOIN (SELECT step, avg(weight) AS mean FROM g GROUP BY ALL) USING (step) WHERE weight > 1.4 * mean),
+near AS (SELECT a.step, a.n, b.n AS o, b.w FROM c a JOIN c b ON a.step = b.step AND pow(a.i - b.i, 2) + pow(a.j - b.j, 2) <= 4),
+core AS (SELECT step, n FROM near GROUP BY ALL HAVING sum(w) >= 5),
+e AS (SELECT near.step, near.n, near.o FROM near JOIN core a ON a.step = near.step AND a.n = near.n JOIN core b ON b.step = near.step AND b.n = near.o),
+reach AS (SELECT step, n, n AS o FROM core UNION SELECT r.step, r.n, e.o FROM reach r JOIN e ON e.step = r.step AND e.n = r.o),
+root AS (SELECT step, n, min(o) AS root FROM reach GROUP BY ALL),
+num AS (SELECT step, root, CAST(row_number() OVER (PARTITION BY step ORDER BY root) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT step, root FROM root)),
+member AS (SELECT near.step, near.n, min(cluster) AS cluster FROM near JOIN root ON root.step = near.step AND root.n = near.o JOIN num ON num.step = root.step AND num.root = root.root GROUP BY ALL)
+SELECT step, cluster, round(sum(i * w) / sum(w), 4) AS i, round(sum(j * w) / sum(w), 4) AS j, round(sum(w), 5) AS weight FROM member JOIN c USING (step, n) GROUP BY ALL"""
+
+
 def detection(spark, sf):
     """A user's model over packed arrays, a batch a call: here the sum and the greatest of the components."""
     e = C.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("values"))
@@ -375,6 +397,7 @@ QUERIES = {
     "regimes": (regimes, REGIMES_SQL),
     "season_climatology": (season_climatology, SEASON_CLIM_SQL),
     "cluster_centroids": (cluster_centroids, f"WITH {C.FIELDS_SQL}\nSELECT CAST(number % 3 AS INTEGER) AS cluster, step, point_id, round(avg(value), 6) AS value FROM fields GROUP BY ALL"),
+    "density_clusters": (density_clusters, DENSITY_SQL),
     "detection": (detection, "SELECT vec_id, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total, round(list_max(CAST(embedding AS DOUBLE[])), 6) AS greatest FROM embeddings"),
     "prediction_pairs": (prediction_pairs, PAIRS_SQL),
     "table_summaries": (table_summaries, "WITH t AS (SELECT c_mktsegment AS basin, c_acctbal AS wind FROM customer UNION ALL SELECT 'none', s_acctbal FROM supplier)\nSELECT basin, CAST(count(*) AS BIGINT) AS n, round(max(wind), 4) AS wind FROM t GROUP BY ALL"),
