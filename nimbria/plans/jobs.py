@@ -17,14 +17,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbria.functions import thermal
 from nimbria.functions.columns import clip
 from nimbria.operators import accumulate as A
+from nimbria.operators import cluster as K
+from nimbria.operators import cyclones as Y
 from nimbria.operators import ensemble as E
 from nimbria.operators import extremes as X
+from nimbria.operators import pointrain as R
 from nimbria.operators import preprocess as P
 from nimbria.operators import spatial as S
 from nimbria.plans import windows as W
-from nimbria.plans.requests import deep_update
+from nimbria.plans.requests import deep_update, unique_requests
 from nimbria.sources import readers, sinks
 
 PRODUCTS: dict[str, Callable[[SparkSession, dict, DataFrame, list[str]], DataFrame]] = {}
@@ -159,6 +163,114 @@ def _regrid(spark, config, found, by):
     return S.regrid(found, weights, [c for c in by if c != "point_id"] + ["number"], config.get("statistic"))
 
 
+@product("wind")
+def _wind(spark, config, found, by):
+    """Mean and deviation over members of the speed of two components (``params``: u and v)."""
+    u, v = config.get("params", ["u", "v"])
+    by = [b for b in by if b != "param"]
+    speed = P.norm("ws")(found.where(F.col("param").isin(u, v)), [*by, "number"])
+    return E.mean_std(speed, by, config.get("sample", False))
+
+
+@product("anomaly-probabilities")
+def _anomaly_probabilities(spark, config, found, by):
+    clim = _climate(spark, config)
+    away = E.anomaly(found, clim, [c for c in clim.columns if c not in ("mean", "std")], config.get("standardised", False))
+    return _probabilities(spark, config, away, by)
+
+
+#: Products that read a whole table rather than windows of fields: name -> (session, configuration, table).
+TABLES: dict[str, Callable[[SparkSession, dict, DataFrame], DataFrame]] = {}
+
+
+def table_product(name: str):
+    def register(function):
+        TABLES[name] = function
+        return function
+
+    return register
+
+
+@table_product("thermal-indices")
+def _thermal(spark, config, df):
+    """``indices`` of cells whose columns are their inputs, beside ``keys``."""
+    return thermal.indices(df, config["indices"]).select(*config.get("keys", []), *config["indices"])
+
+
+@table_product("point-rainfall")
+def _point_rainfall(spark, config, df):
+    """Quantiles (``levels``) and mean of point rainfall by ``keys``: cells meet weather types (``types``) by their
+    ``predictors`` and spread by the types' error ratios (``ratios``)."""
+    typed = R.weather_types(df, source(spark, config["types"]), config["predictors"], min_rain=config.get("min_rain", 0.04))
+    spread = R.calibrate(typed, source(spark, config["ratios"]))
+    keys = config["keys"]
+    mean = spread.groupBy(*keys).agg(F.avg("grid_scale").alias("grid_scale"))
+    return R.point_quantiles(spread, keys, config["levels"]).join(mean, keys)
+
+
+@table_product("strike-probability")
+def _strikes(spark, config, df):
+    grid = source(spark, config["grid"])
+    chosen = df.where(F.col("number").isin(config["numbers"])) if "numbers" in config else df
+    members = config.get("members") or chosen.select("number").distinct().count()
+    return S.strike_probability(chosen, grid, config["radius_km"], members, config.get("sub_steps", 4), config.get("min_wind"), config.get("step_range"))
+
+
+@table_product("spectrum")
+def _spectrum(spark, config, df):
+    return S.spectrum(df, config.get("keys", []), config.get("kinetic", False), config.get("log", True))
+
+
+@table_product("track-motion")
+def _motion(spark, config, df):
+    return Y.track_motion(df, config.get("keys", ["number", "id"]))
+
+
+@table_product("storm-matching")
+def _matching(spark, config, df):
+    """Observed storms (the source) against ``predicted`` ones, or with ``confusion`` the counts of each step."""
+    found = Y.match(df, source(spark, config["predicted"]), config["threshold_km"])
+    return Y.confusion(found) if config.get("confusion") else found
+
+
+@table_product("storm-annotation")
+def _annotation(spark, config, df):
+    return Y.annotate(df, source(spark, config["cells"]), config["radius"])
+
+
+@table_product("storm-clusters")
+def _storm_clusters(spark, config, df):
+    return Y.density_clusters(df, config.get("keys", ["step"]), config["eps"], config["min_weight"])
+
+
+@table_product("best-track")
+def _best_track(spark, config, df):
+    return Y.best_track(df, config["agencies"], config.get("missing", -999.0))
+
+
+@table_product("clusters")
+def _clusters(spark, config, df):
+    """(number, cluster): the partition of members in the space of the components that explain ``variance`` percent, into the
+    number of ``clusters`` (a list to choose from by significance against ``samples`` surrogates) that reaches ``significance``
+    percent. If none does, all members are cluster 0."""
+    made = K.components(K.anomalies(df, config.get("clip")), source(spark, config["weights"]), config.get("components", 10))
+    x = made.pc[:, : K.choose_components(made.var_cum, config.get("variance", 80.0))]
+    sizes, seed = config.get("clusters", [2, 3, 4, 5, 6]), config.get("seed", 1)
+    k = K.choose_partition(K.significance(spark, x, sizes, config.get("samples", 20), seed), config.get("significance", 0.0)) if len(sizes) > 1 else sizes[0]
+    label = K.by_size(K.lloyd(x, k, seed)[0], k) if k > 1 else [0] * len(made.members)
+    return spark.createDataFrame([(int(m), int(c)) for m, c in zip(made.members, label, strict=True)], "number int, cluster int")
+
+
+@table_product("cluster-centroids")
+def _centroids(spark, config, df):
+    return K.centroids(df, source(spark, config["labels"]))
+
+
+@table_product("regime-attribution")
+def _attribution(spark, config, df):
+    return K.attribute(df, source(spark, config["regimes"]), config["keys"])
+
+
 def run(spark: SparkSession, config: dict) -> DataFrame:
     """Compute a job, write it if it has a target, and return the result.
 
@@ -166,8 +278,13 @@ def run(spark: SparkSession, config: dict) -> DataFrame:
     that was stopped goes on with the rest, and what it writes again replaces what it wrote. Success clears the notes.
     """
     name = config.get("product")
+    if name in TABLES:
+        out = TABLES[name](spark, config, source(spark, config["source"]))
+        if config.get("target"):
+            sinks.sink_for(config["target"])(out)
+        return out
     if name not in PRODUCTS:
-        raise ValueError(f"unknown product {name!r}; known: {sorted(PRODUCTS)}")
+        raise ValueError(f"unknown product {name!r}; known: {sorted([*PRODUCTS, *TABLES])}")
     keys = config.get("keys", [])
     todo = windows_of(config)
     recovery = sinks.Recovery(spark, config["recover"], {k: v for k, v in config.items() if k != "recover"}) if config.get("recover") else None
@@ -192,5 +309,11 @@ def run(spark: SparkSession, config: dict) -> DataFrame:
 
 
 def listing(config: dict) -> dict:
-    """The requests that a job reads and the windows it makes, without running it."""
-    return {"inputs": [{**r, "step": W.needed_coords(windows_of(config))} for r in config["source"].get("requests", [{}])], "windows": [w.window_id for w in windows_of(config)]}
+    """The requests that a job reads, the windows it makes and its outputs, without running it."""
+    requests = config["source"].get("requests", [{}])
+    if config.get("product") in TABLES:
+        return {"inputs": requests, "windows": [], "outputs": [{"product": config["product"]}]}
+    windows = windows_of(config)
+    keyed = [{k: r[k] for k in config.get("keys", []) if k in r} for r in requests]
+    outputs = [{"product": config.get("product"), "window_id": w.window_id, **k} for k in unique_requests(keyed) for w in windows]
+    return {"inputs": [{**r, "step": W.needed_coords(windows)} for r in requests], "windows": [w.window_id for w in windows], "outputs": outputs}

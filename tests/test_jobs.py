@@ -73,7 +73,8 @@ def test_command_line(fields, tmp_path, capsys):
     (tmp_path / "job.json").write_text(json.dumps(config(fields, product="ensms")))
     main([str(tmp_path / "job.json"), "--list", "--set", "source.requests=[{\"param\": \"u\"}]"])
     got = json.loads(capsys.readouterr().out)
-    assert got == {"inputs": [{"param": "u", "step": [0, 6, 12, 18, 24]}], "windows": ["0-12", "6-18", "12-24"]}
+    windows = ["0-12", "6-18", "12-24"]
+    assert got == {"inputs": [{"param": "u", "step": [0, 6, 12, 18, 24]}], "windows": windows, "outputs": [{"product": "ensms", "window_id": w, "param": "u"} for w in windows]}
 
 
 def test_metadata():
@@ -94,3 +95,50 @@ def test_metadata():
     assert M.inherited({"a": 1, "x": {"b": 2, "y": {"a": 3}}}, "x", "y") == {"a": 3, "b": 2}
     p = M.Parameters({131: ["u", "U component"], 132: ["v"], 138: ["vo"], 155: ["d"]}, [("u", "v", "vo", "d")])
     assert p.number("U") == 131 and p.number("131.128") == 131 and p.number("5.228") == 228005 and p.spectral[131, 132] == (138, 155) and p.wind[138, 155] == (131, 132)
+
+
+def test_table_products(spark, fields, tmp_path):
+    """Every product that reads a whole table, as a configured job."""
+    put = lambda name, rows, schema: (spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(str(tmp_path / name)), {"location": str(tmp_path / name)})[1]
+    job = lambda product, source, **more: jobs.run(spark, {"product": product, "source": source, **more})
+    wind = put("wind", [(p, n, s, 0, 3.0 if p == "u" else 4.0) for p in "uv" for n in range(3) for s in (0, 6)], "param string, number int, step int, point_id int, value double")
+    out = jobs.run(spark, {"product": "wind", "source": wind, "keys": ["param"], "windows": [{"coords": [6], "operation": "aggregation"}]})
+    assert [(r.mean, r["std"]) for r in out.collect()] == [(5.0, 0.0)]
+    clim = put("clim", [(p, 1.0, 2.0) for p in range(3)], "point_id int, mean double, std double")
+    out = jobs.run(spark, config(fields, product="anomaly-probabilities", climatology=clim, thresholds=[{"comparison": ">", "value": 0}]))
+    assert out.count() == 9 and all(0 <= r.probability <= 100 for r in out.collect())
+    cells = put("cells", [(0, 300.0, 290.0)], "cell int, t double, td double")
+    assert job("thermal-indices", cells, indices=["relative_humidity", "humidex"], keys=["cell"]).columns == ["cell", "relative_humidity", "humidex"]
+    rain = put("rain", [(0, 1, 5.0, 10.0), (0, 2, 0.0, 10.0)], "point_id int, number int, rain double, p1 double")
+    types = put("types", [(1, 0.0, 20.0), (2, 20.0, 40.0)], "wt int, inf_1 double, sup_1 double")
+    ratios = put("ratios", [(1, [-0.5, 0.0, 0.5]), (2, [0.0])], "wt int, fer array<double>")
+    got = job("point-rainfall", rain, types=types, ratios=ratios, predictors=["p1"], keys=["point_id"], levels=[0.0, 0.5, 1.0]).orderBy("level").collect()
+    assert [r.value for r in got] == [0.0, 3.75, 7.5] and got[0].grid_scale == 2.5  # of 2.5, 5, 7.5 and the dry 0
+    tracks = put("tracks", [(n, 1, s, 10.0 * n, 5.0 * s, 30.0) for n in range(4) for s in range(3)], "number int, id int, step int, lat double, lon double, wind double")
+    grid = put("grid", [(0, 0.0, 0.0), (1, 0.0, 7.5), (2, -80.0, 0.0)], "point_id int, lat double, lon double")
+    assert {r.point_id: r.probability for r in job("strike-probability", tracks, grid=grid, radius_km=100.0, numbers=[0, 1]).collect()} == {0: 50.0, 1: 50.0}
+    coefficients = put("coefficients", [(1, 0, 2.0, 0.0), (1, 1, 1.0, 1.0)], "n int, m int, re double, im double")
+    assert [r.energy for r in job("spectrum", coefficients, log=False).collect()] == [4.0]
+    moving = put("moving", [(1, 1, 0, 0.0, 0.0, 1000.0), (1, 1, 6, 0.0, 1.0, 994.0)], "number int, id int, step int, lat double, lon double, pres double")
+    assert [r.dpdt for r in job("track-motion", moving).orderBy("step").collect()] == [None, -1.0]
+    seen, told = put("seen", [(0, 1, 10.0, 10.0), (0, 2, 50.0, 359.9)], "step int, id long, lat double, lon double"), put("told", [(0, 7, 10.5, 10.0), (0, 8, 50.0, 0.1)], "step int, id long, lat double, lon double")
+    assert sorted((r.obs, r.pred) for r in job("storm-matching", seen, predicted=told, threshold_km=200.0).collect()) == [(1, 7), (2, 8)]  # one across the date line
+    assert [(r.tp, r.fn, r.fp) for r in job("storm-matching", seen, predicted=told, threshold_km=200.0, confusion=True).collect()] == [(2, 0, 0)]
+    values = put("values", [(0, 5, 5, 990.0, 20.0), (0, 6, 5, 980.0, 10.0)], "step int, i int, j int, pres double, wind double")
+    spots = put("spots", [(1, 0, 5.0, 5.0)], "id int, step int, i double, j double")
+    assert [(r.pres_min, r.wind_max) for r in job("storm-annotation", spots, cells=values, radius=2.0).collect()] == [(980.0, 20.0)]
+    weighed = put("weighed", [(0, 1, 1, 3.0), (0, 1, 2, 3.0), (0, 9, 9, 1.0)], "step int, i int, j int, weight double")
+    assert [(r.cluster, r.j, r.weight) for r in job("storm-clusters", weighed, eps=1.5, min_weight=5.0).collect()] == [(0, 1.5, 6.0)]
+    agencies = put("agencies", [(1, -999.0, 990.0, 20.0, 980.0)], "id int, a_wind double, a_pres double, b_wind double, b_pres double")
+    assert [(r.wind, r.pres) for r in job("best-track", agencies, agencies=["a", "b"]).collect()] == [(20.0, 990.0)]
+    members = put("members", [(n, s, p, float((n % 2) * 10 + p + n * 0.01)) for n in range(8) for s in range(2) for p in range(3)], "number int, step int, point_id int, value double")
+    weights = put("weights", [(p, 1.0) for p in range(3)], "point_id int, weight double")
+    labels = job("clusters", members, weights=weights, components=3, clusters=[2])
+    assert len({frozenset(r.number for r in labels.collect() if r.cluster == c) for c in (0, 1)} & {frozenset({0, 2, 4, 6}), frozenset({1, 3, 5, 7})}) == 2
+    chosen = job("clusters", members, weights=weights, components=3, clusters=[2, 3], samples=4, significance=101.0)
+    assert {r.cluster for r in chosen.collect()} == {0}  # nothing is significant enough
+    labels.write.parquet(str(tmp_path / "labels"))
+    assert job("cluster-centroids", members, labels={"location": str(tmp_path / "labels")}).count() == 12
+    pcs, regimes = put("pcs", [(1, 0, 1.0), (1, 1, 0.0)], "day int, component int, pc double"), put("regimes", [(5, 0, 1.0), (5, 1, 0.1), (6, 0, 9.0), (6, 1, 0.0)], "regime int, component int, pc double")
+    assert [r.regime for r in job("regime-attribution", pcs, regimes=regimes, keys=["day"]).collect()] == [5]
+    assert jobs.listing({"product": "spectrum", "source": {"location": "x"}})["outputs"] == [{"product": "spectrum"}]
