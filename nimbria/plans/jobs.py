@@ -146,6 +146,9 @@ def _extreme(spark, config, found, by):
         q = found.select(*by).distinct().join(q, [c for c in by if c in q.columns])
     n = config.get("quantiles", 101)
     out = X.efi(found, q, by, n, config.get("eps", -1.0))
+    if "control" in config:  # the number of the control member
+        alone = X.efi(found.where(F.col("number") == config["control"]), q, by, n, config.get("eps", -1.0))
+        out = out.join(alone.withColumnRenamed("efi", "efi_control"), by)
     for level in config.get("sot", []):
         out = out.join(X.sot(found, q, by, level).withColumnRenamed("sot", f"sot{level}"), by)
     return out.join(X.cpf(found, q, by, n), by) if config.get("cpf") else out

@@ -132,6 +132,26 @@ def point_tracks(spark, sf):
     return readers.open_source(spark, f"tracks-points:{path}")
 
 
+def tracker_text(spark, sf):
+    """Tracker text in fixed columns: a cyclone for each group of users, ended by a line of its own; the last is not ended."""
+    path = shared_path(spark, "tracker")
+    e = C.table(spark, sf, "events").select((F.col("user_id") % 20).alias("tc"), "event_id", "ts")
+    digits = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    lat, lon = digits(F.col("event_id") % 900, 3), digits(F.col("event_id") % 3600, 4)
+    line = F.concat(F.lit("00010 "), F.date_format("ts", "yyyy/MM/dd/HH"), F.lit("*"), lat, lon, F.lit(" "), digits(F.col("event_id") % 130, 3), F.lit(" "), digits(900 + F.col("event_id") % 120, 4), F.lit(" "), lat, lon)
+    ends = e.where("tc < 19").groupBy("tc").agg(F.max("event_id").alias("event_id")).select("tc", "event_id", F.lit("00015 END").alias("value"), F.lit(1).alias("o"))
+    lines = e.select("tc", "event_id", line.alias("value"), F.lit(0).alias("o")).union(ends)
+    lines.coalesce(1).sortWithinPartitions("tc", "event_id", "o").select("value").write.text(path)
+    out = readers.read_tracker(spark, path, base="2024-01-01", basin="aus")
+    return out.groupBy("name").agg(F.count("*").alias("n"), F.round(F.avg("lat_p"), 5).alias("lat"), F.round(F.avg("lon_w"), 5).alias("lon"), F.round(F.max("wind"), 5).alias("wind"), F.min("pres").alias("pres"), F.sum("step").alias("steps"))
+
+
+TRACKER_SQL = """WITH e AS (SELECT user_id % 20 AS tc, event_id, ts FROM events WHERE year(ts) = 2024 AND user_id % 20 < 19),
+r AS (SELECT *, dense_rank() OVER (ORDER BY tc) AS k FROM e)
+SELECT 'unnamed_aus' || k AS name, CAST(count(*) AS BIGINT) AS n, round(avg(-(event_id % 900) / 10.0::DOUBLE + 0.05), 5) AS lat, round(avg((event_id % 3600) / 10.0::DOUBLE + 0.05), 5) AS lon, round(max((event_id % 130) * 0.514444::DOUBLE), 5) AS wind,
+  CAST(min(900 + event_id % 120) AS DOUBLE) AS pres, CAST(sum(date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts))) AS BIGINT) AS steps FROM r GROUP BY k"""
+
+
 def preprocess_reshape(spark, sf):
     """A stacked read taken apart: of each cell's values in order, evens are u and odds v."""
     out = P.from_config([{"operation": "reshape", "inputs": ["u", "v"]}])(C.fields(spark, sf), ["step", "point_id", "number"])
@@ -382,6 +402,7 @@ QUERIES = {
     "text_tracks": (text_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id AS INTEGER) AS step, CAST(event_id % 120 - 60 AS DOUBLE) AS lat, CAST(event_id % 350 - 175 AS DOUBLE) AS lon, strftime(ts, '%Y%m%d') AS date, value AS wind FROM events"),
     "csv_tracks": (csv_tracks, "WITH t AS (SELECT user_id % 25 AS number, date_trunc('second', ts) AS t, value FROM events), s AS (SELECT number, value, floor(epoch(t - min(t) OVER (PARTITION BY number)) / 3600) AS step FROM t)\nSELECT CAST(number AS INTEGER) AS number, CAST(count(*) AS BIGINT) AS n, CAST(max(step) AS INTEGER) AS last, CAST(sum(step) AS BIGINT) AS steps, round(sum(value), 4) AS wind FROM s GROUP BY ALL"),
     "point_tracks": (point_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(user_id % 25 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, CAST(event_id % 60 AS DOUBLE) AS lat, CAST(event_id % 360 AS DOUBLE) AS lon, value AS wind FROM events"),
+    "tracker_text": (tracker_text, TRACKER_SQL),
     "preprocess_reshape": (preprocess_reshape, f"WITH {C.FIELDS_SQL},\nr AS (SELECT *, row_number() OVER (PARTITION BY step, point_id ORDER BY number) - 1 AS r FROM fields)\nSELECT step, point_id, CASE r % 2 WHEN 0 THEN 'u' ELSE 'v' END AS param, CAST(r // 2 AS INTEGER) AS number, value FROM r"),
     "event_ratios": (event_ratios, "SELECT event_id, round(CASE WHEN user_id % 4 = 0 THEN 0 ELSE value / (user_id % 4) END, 6) AS ratio FROM events"),
     "angles": (angles, "WITH a AS (SELECT o_orderkey, (o_totalprice - 100000) - 360 * floor((o_totalprice - 100000) / 360) AS a FROM orders)\nSELECT o_orderkey, round(a, 4) AS positive, round(a - 180, 4) AS signed FROM a"),

@@ -154,13 +154,32 @@ def read_tracks_points(spark: SparkSession, path: str, request: dict | None = No
 KNOT = 0.514444
 
 
+#: Where the columns of a tracker line begin and how long they are (counted from 0).
+TRACKER = {"year": (6, 4), "month": (11, 2), "day": (14, 2), "hour": (17, 2), "lat_p": (20, 3), "lon_p": (23, 4), "wind": (28, 3), "pres": (32, 4), "lat_w": (37, 3), "lon_w": (40, 4)}
+SOUTHERN = ("aus", "spc", "sin")
+
+
 @reader("tracker")
-def read_tracker(spark: SparkSession, path: str, request: dict | None = None) -> DataFrame:
-    """Tracker text, comma separated ``name, step, lat, lon, wind in knots, pres``: winds to m/s, positions to the cell
-    centre (0.05 degrees), southern latitudes by suffix."""
-    df = spark.read.schema("name string, step int, lat string, lon string, knots double, pres double").csv(path, comment="#", ignoreLeadingWhiteSpace=True)
-    number = lambda c, minus: F.regexp_extract(c, r"([\d.\-]+)", 1).cast("double") * F.when(F.col(c).rlike(f"(?i){minus}"), -1).otherwise(1) + 0.05
-    return df.select("name", "step", number("lat", "S").alias("lat"), number("lon", "W").alias("lon"), (F.col("knots") * KNOT).alias("wind"), "pres")
+def read_tracker(spark: SparkSession, path: str, request: dict | None = None, base: str = "1970-01-01", basin: str = "nat") -> DataFrame:
+    """Tracker text in fixed columns: (name, datetime, step, lat_p, lon_p, wind, pres, lat_w, lon_w).
+
+    A line whose second word begins with the year of ``base`` is a point; one whose first word has no 0 at its fifth place
+    ends a cyclone. Cyclones are numbered in the file's order; one that no line ends is left out. Positions are tenths of
+    a degree, taken at the cell's centre, south in southern basins; winds are knots, made m/s; steps are hours after ``base``.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), F.posexplode(F.split("value", "\n")).alias("n", "v"))
+    words = F.split("v", " ")
+    point = F.coalesce(F.startswith(F.get(words, F.lit(1)), F.lit(base[:4])), F.lit(False))
+    ends = ~point & (F.length(F.get(words, F.lit(0))) >= 5) & (F.substring(F.get(words, F.lit(0)), 5, 1) != "0")
+    order, all_lines = Window.partitionBy("f").orderBy("n"), Window.partitionBy("f")
+    marked = lines.withColumn("point", point).withColumn("part", F.sum(F.when(ends, 1).otherwise(0)).over(order)).withColumn("parts", F.max("part").over(all_lines))
+    points = marked.where("point and part < parts").withColumn("tc", F.dense_rank().over(Window.partitionBy("f").orderBy("part")))
+    at = lambda name, kind="double": F.trim(F.substring("v", TRACKER[name][0] + 1, TRACKER[name][1])).cast(kind)
+    when = F.make_timestamp(at("year", "int"), at("month", "int"), at("day", "int"), at("hour", "int"), F.lit(0), F.lit(0))
+    south = -1.0 if basin in SOUTHERN else 1.0
+    where = [c for side in ("p", "w") for c in ((south * at(f"lat_{side}") / 10 + 0.05).alias(f"lat_{side}"), (at(f"lon_{side}") / 10 + 0.05).alias(f"lon_{side}"))]
+    step = F.timestamp_diff("HOUR", F.lit(base).cast("timestamp"), when).cast("int")
+    return points.select(F.concat(F.lit(f"unnamed_{basin}"), F.col("tc")).alias("name"), when.alias("datetime"), step.alias("step"), *where[:2], (at("wind") * KNOT).alias("wind"), at("pres").alias("pres"), *where[2:])
 
 
 @reader("best-track")

@@ -29,8 +29,8 @@ def test_products(spark, fields, product, options, rows):
 def test_climatology_products(spark, fields, tmp_path):
     q = [(p, i, float(i)) for p in range(3) for i in range(101)]
     spark.createDataFrame(q, "point_id int, quantile int, value double").write.parquet(str(tmp_path / "q"))
-    out = jobs.run(spark, config(fields, product="extreme", climatology={"location": str(tmp_path / "q")}, sot=[10, 90], cpf=True))
-    assert out.count() == 9 and {"efi", "sot10", "sot90", "cpf"} <= set(out.columns)
+    out = jobs.run(spark, config(fields, product="extreme", climatology={"location": str(tmp_path / "q")}, sot=[10, 90], cpf=True, control=0))
+    assert out.count() == 9 and {"efi", "efi_control", "sot10", "sot90", "cpf"} <= set(out.columns)
     spark.createDataFrame([(p, 1.0, 2.0) for p in range(3)], "point_id int, mean double, std double").write.parquet(str(tmp_path / "c"))
     assert jobs.run(spark, config(fields, product="anomaly", climatology={"location": str(tmp_path / "c")}, standardised=True)).count() == 45
     same = jobs.run(spark, config(fields, product="significance", climatology={"location": fields}))
