@@ -21,8 +21,9 @@ from nimbria.llm.common import cut
 #: A candidate: a value of 6 characters or more that is assigned to a secret's name, else 16 key characters or more that are
 #: no part of a longer word or run.
 CANDIDATE = (
+    r"(?<![\p{L}\p{N}+/_\-])(?:"
     r"(?<=[=:\"']\s{0,2})(?<=(?i:passw(?:or)?d|pwd|secret|token|api[_\-]?key|access[_\-]?key|credentials?)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_\-!@$%^*.~]{6,}+"
-    r"|(?<![\p{L}\p{N}+/_\-])[A-Za-z0-9+/_\-]{16,}+(?!\p{L})"
+    r"|[A-Za-z0-9+/_\-]{16,}+(?!\p{L}))"
 )
 #: Characters of the text before and after a candidate that are its neighbourhood; its own place in it.
 BEFORE, AFTER, PLACE = 80, 40, "●"
