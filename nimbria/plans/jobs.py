@@ -56,7 +56,7 @@ def load(path: str, changes: dict | None = None) -> dict:
 
 
 def windows_of(config: dict) -> list[W.Window]:
-    """Windows of a configuration: ``type`` default, ranges, monthly or legacy."""
+    """Windows of a configuration: ``type`` default, named, ranges, monthly or legacy."""
     out: list[W.Window] = []
     for spec in config.get("windows", []):
         s = dict(spec)
@@ -67,6 +67,8 @@ def windows_of(config: dict) -> list[W.Window]:
             s["weights"] = tuple(s["weights"])
         if kind == "default":
             out += W.default([s.pop("coords")], op, **s)
+        elif kind == "named":
+            out.append(W.Window(s.pop("name"), tuple(s.pop("coords")), op, **s))
         elif kind == "ranges":
             out += W.step_ranges(op=op, **s)
         elif kind == "legacy":

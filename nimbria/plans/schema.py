@@ -135,6 +135,16 @@ class Job:
         return Job(self.param, windows, unique_requests(self.inputs + other.inputs), self.settings)
 
 
+    def config(self, location: str, **more) -> dict:
+        """What ``jobs.run`` takes: the settings' product, operation, keys and options, this job's windows under the steps' names,
+        and its input requests at a location."""
+        op = self.settings.get("operation", "aggregation")
+        made = {"product": self.settings["product"], "keys": self.settings.get("keys", []), **self.settings.get("options", {})}
+        made["source"] = {"location": location, "requests": self.inputs}
+        made["windows"] = [{"type": "named", "name": w["step"], "coords": w["coords"], "operation": op} for w in self.windows]
+        return {**made, **more}
+
+
 class Schema:
     """Rules ``config`` and ``inputs`` (each a tree)."""
 

@@ -2,11 +2,13 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from nimbria.__main__ import main
 from nimbria.model import Step
 from nimbria.plans import jobs
 from nimbria.plans import metadata as M
+from nimbria.plans.schema import Schema
 
 
 @pytest.fixture(scope="module")
@@ -142,3 +144,19 @@ def test_table_products(spark, fields, tmp_path):
     pcs, regimes = put("pcs", [(1, 0, 1.0), (1, 1, 0.0)], "day int, component int, pc double"), put("regimes", [(5, 0, 1.0), (5, 1, 0.1), (6, 0, 9.0), (6, 1, 0.0)], "regime int, component int, pc double")
     assert [r.regime for r in job("regime-attribution", pcs, regimes=regimes, keys=["day"]).collect()] == [5]
     assert jobs.listing({"product": "spectrum", "source": {"location": "x"}})["outputs"] == [{"product": "spectrum"}]
+
+
+def test_planned_job_runs(spark, tmp_path):
+    """From requested outputs to inputs, to a configuration, to results."""
+    rows = [("cf" if n == 0 else "pf", n, s, p, float(10 * p + n + s)) for n in range(5) for s in range(0, 25, 6) for p in range(2)]
+    spark.createDataFrame(rows, "type string, number int, step int, point_id int, value double").withColumn("param", F.lit("t")).write.parquet(str(tmp_path / "t"))
+    rules = {
+        "config": {"keys": ["param"], "filter:type": {"em": {"product": "ensms", "operation": "mean"}}},
+        "inputs": {"filter:type": {"em": {"sources": [{"type": "cf"}, {"type": "pf"}], "steps": {"available": {"from": 0, "to": 24, "by": 6}}}}},
+    }
+    planned = Schema(rules).from_outputs([{"type": "em", "param": "t", "step": "0-12"}, {"type": "em", "param": "t", "step": "12-24"}])
+    assert len(planned) == 1
+    made = planned[0].config(str(tmp_path / "t"))
+    assert jobs.listing(made)["windows"] == ["0-12", "12-24"]
+    got = {(r.window_id, r.point_id): r.mean for r in jobs.run(spark, made).collect()}
+    assert got == {("0-12", p): 10 * p + 2 + 9.0 for p in range(2)} | {("12-24", p): 10 * p + 2 + 21.0 for p in range(2)}
