@@ -37,7 +37,7 @@ def _stream(spark, sf) -> DataFrame:
 
 def stream_complete_windows(spark, sf):
     """Completion-driven windows of hours: the batch fold as state."""
-    first = _stream(spark, sf).select(F.hour("ts").alias("step"), (F.col("user_id") % 300).cast("int").alias("number"), F.lit(1.0).alias("value"), "ts")
+    first = _stream(spark, sf).select(F.hour("ts").alias("step"), (F.col("user_id") % 60).cast("int").alias("number"), F.lit(1.0).alias("value"), "ts")
     windows = W.default([{"from": q, "to": q + 3} for q in range(0, 21)], "sum")
     return _finished(stream_accumulate(first, windows, ["number"], "ts")).select("window_id", "number", "value")
 
@@ -56,7 +56,7 @@ QUERIES = {
     ),
     "stream_complete_windows": (
         stream_complete_windows,
-        """WITH f AS (SELECT DISTINCT hour(ts) AS step, CAST(user_id % 300 AS INTEGER) AS number FROM events)
+        """WITH f AS (SELECT DISTINCT hour(ts) AS step, CAST(user_id % 60 AS INTEGER) AS number FROM events)
 SELECT CAST(q AS VARCHAR) || '-' || CAST(q + 3 AS VARCHAR) AS window_id, number, CAST(count(*) AS DOUBLE) AS value FROM f, range(0, 21) t(q) WHERE step BETWEEN q AND q + 3 GROUP BY q, number HAVING count(*) = 4""",
     ),
 }
