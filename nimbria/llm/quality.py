@@ -32,8 +32,9 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 VECTOR = ["x_words", "x_length", "x_symbols", "x_lines", "x_repeats"]
 #: Share of a group that a concentration step keeps, steps, least group.
 SUPPORT, STEPS, LEAST_GROUP = 0.75, 4, 50
-#: Added to variances, so that a statistic that hardly varies in a group cannot reject by itself.
-FLOOR = 0.05
+#: Added to the variances of VECTOR, so that a statistic that hardly varies in a group does not reject by itself: a line or two
+#: that a sound text repeats stay within the cut-off, repeats of over a fifth of the words do not.
+FLOORS = (0.05, 0.05, 0.05, 0.15, 0.15)
 
 
 def _beyond(x: float, df: int) -> float:
@@ -138,7 +139,7 @@ def _shape(moments: DataFrame, keys: list[str]) -> DataFrame:
             inverse = []
             for at, mean in zip(rows.itertuples(index=False), centre, strict=True):
                 cov = np.array([[getattr(at, f"p{min(i, j)}{max(i, j)}") for j in range(n)] for i in range(n)]) / at.n - np.outer(mean, mean)
-                inverse.append(np.linalg.inv(cov * _consistency(at.share) + FLOOR * np.eye(n)).ravel().tolist())
+                inverse.append(np.linalg.inv(cov * _consistency(at.share) + np.diag(FLOORS)).ravel().tolist())
             out["centre"], out["inverse"] = [c.tolist() for c in centre], inverse
             out["precision"] = [np.linalg.slogdet(np.reshape(x, (n, n)))[1] for x in inverse]
             yield out
@@ -155,7 +156,7 @@ def estimate(vectors: DataFrame, keys: tuple[str, ...] = ("lang", "source"), sup
     both = [*keys, "__start"]
     few = [F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(f"q{i}") for i, v in enumerate(VECTOR)]
     start = cut(vectors.groupBy(*keys).agg(*few, *_moments(), F.lit(1.0).alias("share")))
-    diagonal = [F.lit(0.0) if i != j else 1 / (F.pow((F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349, 2) + FLOOR) for i in range(n) for j in range(n)]
+    diagonal = [F.lit(0.0) if i != j else 1 / (F.pow((F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349, 2) + FLOORS[i]) for i in range(n) for j in range(n)]
     robust = start.select(*keys, F.lit(0).alias("__start"), F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(n)]).alias("centre"), F.array(*diagonal).alias("inverse"), F.lit(0.0).alias("precision"))
     shape = robust.union(_shape(start.withColumn("__start", F.lit(1)), both))
     for _ in range(steps):

@@ -536,16 +536,16 @@ def fast_mcd(x, support, steps, floor, starts=60):
     rng, n, best = np.random.default_rng(0), x.shape[1], None
     for _ in range(starts):
         pick = x[rng.choice(len(x), 2 * n, replace=False)]
-        centre, cov = pick.mean(0), np.cov(pick.T, bias=True) + floor * np.eye(n)
+        centre, cov = pick.mean(0), np.cov(pick.T, bias=True) + np.diag(floor)
         for _ in range(steps + 6):
             d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
             own = x[d <= np.sort(d)[math.ceil(support * len(x)) - 1]]
-            centre, cov = own.mean(0), np.cov(own.T, bias=True) * quality._consistency(support) + floor * np.eye(n)
+            centre, cov = own.mean(0), np.cov(own.T, bias=True) * quality._consistency(support) + np.diag(floor)
         if best is None or np.linalg.slogdet(cov)[1] < best[0]:
             best = np.linalg.slogdet(cov)[1], centre, cov
     d = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
     own = x[d <= quality._point(1 - quality.INNER, n)]
-    return own.mean(0), np.cov(own.T, bias=True) * quality._consistency(quality.INNER) + floor * np.eye(n)
+    return own.mean(0), np.cov(own.T, bias=True) * quality._consistency(quality.INNER) + np.diag(floor)
 
 
 def test_mcd_matches_numpy(spark):
@@ -554,7 +554,7 @@ def test_mcd_matches_numpy(spark):
     x = np.concatenate([rng.normal(0, 1, (900, 5)) @ mix, rng.normal(8, 1, (150, 5))])
     df = spark.createDataFrame([("e", "s", *map(float, r)) for r in x], "lang string, source string, " + ", ".join(f"{v} double" for v in quality.VECTOR))
     made = quality.estimate(df).first()
-    centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOOR)
+    centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOORS)
     ours = np.linalg.inv(np.reshape(made.inverse, (5, 5)))
     assert np.abs(np.array(made.centre) - centre).max() < 0.05 and np.abs(ours - cov).max() < 0.05 * np.abs(cov).max()
     far = lambda c, v: np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(v), x - c) > quality.CUTOFF
@@ -573,7 +573,7 @@ def test_kept_matches_numpy(spark):
         if len(own) < quality.LEAST_GROUP:
             continue
         x = np.array([v for _, v in own])
-        centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOOR)
+        centre, cov = fast_mcd(x, quality.SUPPORT, quality.STEPS, quality.FLOORS)
         far = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre) > quality.CUTOFF
         worse = (x[:, 2:] > centre[2:]).any(axis=1) | (np.abs(x[:, 1] - centre[1]) > 0.5)
         same += sum(got[d].kept == (not (f and w)) for (d, _), f, w in zip(own, far, worse, strict=True))
@@ -597,7 +597,7 @@ def test_quality_cutoff_is_the_chi_square_point(spark):
     x = rng.normal(0, 1, (4000, 5))
     df = spark.createDataFrame([("e", "s", *map(float, r)) for r in x], "lang string, source string, " + ", ".join(f"{v} double" for v in quality.VECTOR))
     inverse = np.array(quality.estimate(df).first().inverse).reshape(5, 5)
-    assert np.abs(inverse - np.eye(5) / (1 + quality.FLOOR)).max() < 0.1  # consistent for normal data
+    assert np.abs(inverse - np.diag(1 / (1 + np.array(quality.FLOORS)))).max() < 0.1  # consistent for normal data
     vocab = [f"w{i}" for i in range(500)]
     clean = [(i, " ".join(rng.choice(vocab, int(rng.integers(60, 400)))), "en", "s", 0) for i in range(300)]
     bars = [(1000 + i, " | ".join(" ".join(p) for p in rng.choice(vocab, (60, 2))), "en", "s", 0) for i in range(5)]  # a third of the words
