@@ -203,7 +203,11 @@ def _shapes(sound: DataFrame, keys: tuple[str, ...], least_group: int) -> DataFr
     for level in needed:
         own = shape.where(F.col("__level") == level).select(*keys[:level], "centre", "inverse")
         mine = groups.where(F.col("__level") == level).select(*keys)
-        made.append((_with(mine, own, list(keys[:level])) if level else mine.crossJoin(F.broadcast(own))).select(*keys, "centre", "inverse"))
+        if level:
+            made.append(_with(mine, own, list(keys[:level])).select(*keys, "centre", "inverse"))
+        else:  # the whole table's estimate: one row of 30 numbers
+            whole = own.first()
+            made.append(mine.select(*keys, *[F.array(*[F.lit(float(x)) for x in whole[c]]).alias(c) for c in ("centre", "inverse")]))
     return cut(reduce(DataFrame.unionByName, made))
 
 

@@ -212,7 +212,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     roots = components(links(sketched, similarity, distance, **blocks))
     rows = sketched.select("id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = cut(rows)
-    least = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    least = cut(rows.groupBy("root").agg(F.min("id").alias("component_id")))  # so that the join may split a large class
     return rows.join(least, "root").select(F.col("id").alias(id_col), "node", "root", "component_id")
 
 
