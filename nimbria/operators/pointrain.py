@@ -27,9 +27,12 @@ def weather_types(cells: DataFrame, breakpoints: DataFrame, predictors: list[str
     for i, p in enumerate(predictors[:BINNED], 1):
         ends = [c for c in (f"inf_{i}", f"sup_{i}")]
         edges = sorted({float(e) for r in table.select(*ends).distinct().collect() for e in r})  # of at most MOST_TYPES types
-        steps = F.array(*[F.lit(e) for e in edges])
-        place = lambda x, steps=steps: F.size(F.filter(steps, lambda e: e <= x))
-        binned = binned.withColumn(f"__b{i}", place(F.col(p).cast("double")))
+        steps, x = F.array(*[F.lit(e) for e in edges]), F.col(p).cast("double")
+        if len(edges) <= 64:  # few edges are counted by compiled comparisons
+            place = sum((F.when(x >= e, 1).otherwise(0) for e in edges), F.lit(0))
+        else:
+            place = F.size(F.filter(steps, lambda e, x=x: e <= x))
+        binned = binned.withColumn(f"__b{i}", place)
         low, high = (F.array_position(steps, F.col(c).cast("double")) for c in ends)
         table = table.withColumn(f"__t{i}", F.explode(F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))))
         inside = inside & (F.col(f"__b{i}") == F.col(f"__t{i}"))
