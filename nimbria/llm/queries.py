@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbria.llm import ann, linededup, lm, mixing, pieces, quality, secrets, simhash, tokenfile, urlfilter
+from nimbria.llm import ann, decontam, dialogue, linededup, lm, mixing, pieces, quality, secrets, simhash, spelling, tokenfile, urlfilter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +67,20 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.digests(dialogue.repair(dialogue.damage(_read(spark, sf_dir, "conversations"))))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 OP3_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, list_extract(parts, i) AS line
@@ -97,6 +111,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_quality": op9_quality,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_dialogue": op11_dialogue,
+        "op12_spelling": op12_spelling,
+        "op13_decontam": op13_decontam,
     }
 
 
@@ -105,4 +122,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": OP3_SQL,
         "op4_mixing": mixing.PLAN_SQL.format(docs="documents"),
         "op8_url_filter": urlfilter.judge_sql(),
+        "op11_dialogue": dialogue.REPAIR_SQL,
+        "op12_spelling": spelling.VARIANTS_SQL,
+        "op13_decontam": decontam.DIGEST_SQL,
     }
