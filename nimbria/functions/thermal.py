@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from nimbria.operators import intervals
+
 ZERO_C = 273.15
 STEFAN = 5.67e-8
 
@@ -174,3 +176,28 @@ def indices(df, names: list[str]):
             raise KeyError(f"{name} needs {missing}")
         df = df.withColumn(name, function(*[F.col(i) for i in inputs]))
     return df
+
+
+#: Instantaneous inputs at the end of an hour range and accumulated ones whose change over it makes a mean flux.
+INSTANT, ACCUMULATED = ("t", "td", "u10", "v10"), ("ssrd", "ssr", "strd", "strr", "fdir")
+
+
+def inputs(fields, windows: list[tuple[int, int]], keys: list[str], grid=None, day: int | None = None, hour: int = 0):
+    """(keys, window_id, t, td, u10, v10, mean fluxes in W/m2, cossza) from fields (keys, param, step, value).
+
+    ``windows`` are (first, last) steps in hours. Instantaneous parameters are those of the last step, accumulated ones the
+    change from the first to the last by second. With ``grid`` (point_id, lat, lon) and the ``day`` of the year of step 0,
+    which begins at ``hour`` UTC, ``cossza`` is the mean cosine of the zenith angle in between. Cells that lack a field are
+    left out.
+    """
+    rows = [(f"{a}-{b}", a, b, float(b - a)) for a, b in windows]
+    table = fields.sparkSession.createDataFrame(rows, "window_id string, start int, end int, hours double")
+    kept = fields.where(F.col("param").isin(*INSTANT, *ACCUMULATED))
+    roles = intervals.roles(kept, table, {p: (p, "") for p in ACCUMULATED}, {}, latest={p: p for p in INSTANT})
+    made = intervals.gather(kept, roles, keys, [*INSTANT, *ACCUMULATED])
+    made = made.join(F.broadcast(table), "window_id")
+    out = made.select(*keys, "window_id", "start", "end", *INSTANT, *[(F.col(p) / (F.col("hours") * 3600)).alias(p) for p in ACCUMULATED])
+    if grid is None:
+        return out.drop("start", "end")
+    sun = cos_zenith_integrated(F.col("lat"), F.col("lon"), F.lit(day) + F.floor((F.col("start") + hour) / 24), F.pmod(F.col("start") + hour, F.lit(24)), F.pmod(F.col("start") + hour, F.lit(24)) + F.col("end") - F.col("start"))
+    return out.join(grid.select("point_id", "lat", "lon"), "point_id").withColumn("cossza", sun).drop("lat", "lon", "start", "end")

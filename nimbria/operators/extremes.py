@@ -39,15 +39,51 @@ def _sides(members: DataFrame, quantiles: DataFrame, keys: list[str]) -> DataFra
 def efi(members: DataFrame, quantiles: DataFrame, keys: list[str], n_quantiles: int = 101, eps: float = -1.0) -> DataFrame:
     """(keys, efi): quantiles (keys, quantile 0..n-1, value). With ``eps`` >= 0 members and quantiles at most eps count as
     eps, and quantiles not above it take no part, the rest being rescaled. NaN if a member or quantile is NaN."""
-    alpha, beta = efi_coefficients(n_quantiles)
-    rows = _sides(members, quantiles, keys)
-    share = F.transform("q", lambda q: F.size(F.filter("m", lambda m: m <= q)) / F.size("m"))
+    return _sides(members, quantiles, keys).select(*keys, _efi("m", n_quantiles, eps).alias("efi"))
+
+
+def _efi(m: str, n: int, eps: float) -> Column:
+    """The index of the members in the array column ``m`` against the quantiles in ``q``."""
+    alpha, beta = efi_coefficients(n)
+    share = F.transform("q", lambda q: F.size(F.filter(m, lambda x: x <= q)) / F.size(m))
     weights = F.array(*[F.lit(a) for a in alpha])
     value = F.aggregate(F.zip_with(share, weights, lambda f, a: f * a), F.lit(beta), lambda acc, x: acc + x)
     if eps >= 0:
-        value = _efi_above(share, eps, n_quantiles)
-    bad = F.exists("m", F.isnan) | F.exists("q", F.isnan)
-    return rows.select(*keys, F.when(bad | (F.size("q") != n_quantiles), F.lit(NAN)).otherwise(value).alias("efi"))
+        value = _efi_above(share, eps, n)
+    bad = F.exists(m, F.isnan) | F.exists("q", F.isnan) | (F.size(m) == 0)
+    return F.when(bad | (F.size("q") != n), F.lit(NAN)).otherwise(value)
+
+
+def indices(members: DataFrame, quantiles: DataFrame, keys: list[str], n_quantiles: int = 101, eps: float = -1.0, control: int | None = None, tails: tuple[int, ...] = (), crossing: bool = False) -> DataFrame:
+    """(keys, efi, efi_control, sot10, sot90, cpf as asked for): members and climatology meet once for all indices.
+
+    ``control`` is the number of the control member, whose index alone is ``efi_control`` (NaN without it); ``tails`` are the
+    levels of the shift of tails, which needs percentiles (``n_quantiles`` = 101).
+    """
+    if tails and n_quantiles != 101:
+        raise ValueError("the shift of tails needs 101 quantiles")
+    alone = members.where(F.col("number") == control).groupBy(*keys).agg(F.collect_list("value").alias("c")) if control is not None else None
+    rows = _sides(members, quantiles, keys)
+    out = {"efi": _efi("m", n_quantiles, eps)}
+    if alone is not None:
+        rows = rows.join(alone, keys, "left").withColumn("c", F.coalesce("c", F.array().cast("array<double>")))
+        out["efi_control"] = _efi("c", n_quantiles, eps)
+    for level in tails:
+        out[f"sot{level}"] = _sot(level)
+    if crossing:
+        rows, out["cpf"] = _cpf(rows, n_quantiles, True)
+    return rows.select(*keys, *[c.alias(name) for name, c in out.items()])
+
+
+def _sot(level: int) -> Column:
+    """The shift of tails from the sorted members ``m`` and the percentiles ``q``."""
+    if level not in (10, 90):
+        raise ValueError("shift of tails is defined at 10 and 90")
+    place = (F.size("m") - 1) * (level / 100)
+    low, high = F.get("m", F.floor(place).cast("int")), F.get("m", F.ceil(place).cast("int"))
+    q0, qc = F.get("q", F.lit(99 if level == 90 else 1)), F.get("q", F.lit(level))
+    value = (low + (high - low) * (place - F.floor(place)) - q0) / F.when(q0 == qc, F.lit(None)).otherwise(q0 - qc)
+    return F.when(F.exists("m", F.isnan), F.lit(NAN)).otherwise(F.coalesce(value, F.lit(NAN)))
 
 
 def _efi_above(share: Column, eps: float, n: int) -> Column:
@@ -82,8 +118,12 @@ def cpf(members: DataFrame, quantiles: DataFrame, keys: list[str], n_quantiles:
     """(keys, cpf): the climatological level at which forecast and climatological distribution cross (Ben Bouallegue
     2015). The ensemble's function counts members below a quantile; the first level from which it lies below the
     climatological one, interpolated; from above (symmetric) if the forecast lies under the climate throughout."""
-    rows = _sides(members, quantiles, keys)
-    n = n_quantiles
+    rows, value = _cpf(_sides(members, quantiles, keys), n_quantiles, symmetric)
+    return rows.select(*keys, value.alias("cpf"))
+
+
+def _cpf(rows: DataFrame, n: int, symmetric: bool) -> tuple[DataFrame, Column]:
+    """``rows`` (m, q) with the gaps between both distributions, and the level of their crossing."""
     level = F.sequence(F.lit(0), F.lit(n - 1))
     gap = F.transform(level, lambda i: F.size(F.filter("m", lambda m: m <= F.get("q", i))) / F.size("m") - i / (n - 1))
     rows = rows.withColumn("gap", gap)
@@ -92,7 +132,7 @@ def cpf(members: DataFrame, quantiles: DataFrame, keys: list[str], n_quantiles:
     before, after = F.get("gap", F.col("at") - 1), F.get("gap", "at")
     value = F.when(F.col("at").isNull(), F.when(F.aggregate("gap", F.lit(0.0), lambda a, x: a + x) > 0, 0.0).otherwise(1.0)).otherwise((F.col("at") - 1 + before / (before - after)) / (n - 1))
     bad = F.exists("m", F.isnan) | F.exists("q", F.isnan) | (F.size("q") != n)
-    return rows.select(*keys, F.when(bad, F.lit(NAN)).otherwise(value).alias("cpf"))
+    return rows, F.when(bad, F.lit(NAN)).otherwise(value)
 
 
 def significance(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbria.functions.columns import NAN
+from nimbria.functions.columns import NAN, ratio
+from nimbria.operators import intervals
 
 PREDICTORS = 5
 MOST_TYPES, MOST_ROWS, BINNED = 20_000, 200_000, 2
@@ -74,3 +75,46 @@ def dependencies(main_steps: list[int], available: dict[str, list[int]]) -> dict
     """Steps of each predictor strictly inside the main window, its ends included."""
     low, high = min(main_steps), max(main_steps)
     return {p: [s for s in steps if low <= s <= high] for p, steps in available.items()}
+
+
+#: Parameters of the predictand and the predictors, by role; a configuration may name others.
+PARAMS = {"rain": "tp", "convective": "cp", "u": "u", "v": "v", "cape": "mxcape6", "radiation": "cdir"}
+PREDICTOR_COLUMNS = ["cpr", "rain", "ws", "cape", "radiation"]
+
+
+def predictors(fields: DataFrame, windows: list[tuple[int, int]], keys: list[str], params: dict[str, str] | None = None) -> DataFrame:
+    """(keys, window_id, rain, cpr, ws, cape, radiation) from fields (keys, param, step, value); keys hold member and point.
+
+    Rain and convective rain are changes over the window (start, end), radiation over the 24 hours that ``radiation_window``
+    names. Each wind component is a mean weighted by the time within the window that a step stands for, and the speed is
+    of these means; cape is the greatest of the steps that reach into the window. Windows that lack a step, and cells that
+    lack a field of any parameter, are left out; the steps of the parameters may differ.
+    """
+    names = {**PARAMS, **(params or {})}
+    spark = fields.sparkSession
+    rows = [(f"{a}-{b}", a, b, *radiation_window(a, b)) for a, b in windows]
+    table = spark.createDataFrame(rows, "window_id string, start int, end int, sun_start int, sun_end int")
+    kept = fields.where(F.col("param").isin(sorted(set(names.values()))))
+    changes = {"rain": (names["rain"], ""), "convective": (names["convective"], ""), "radiation": (names["radiation"], "sun_")}
+    roles = intervals.roles(kept, table, changes, {"u": names["u"], "v": names["v"]}, greatest={"cape": names["cape"]})
+    made = intervals.gather(kept, roles, keys, [*changes, "u", "v"], ["cape"])
+    speed = F.sqrt(F.col("u") * F.col("u") + F.col("v") * F.col("v"))
+    return made.select(*keys, "window_id", "rain", ratio(F.col("convective"), F.col("rain")).alias("cpr"), speed.alias("ws"), "cape", "radiation")
+
+
+def from_fields(fields: DataFrame, windows: list[tuple[int, int]], keys: list[str], types: DataFrame, ratios: DataFrame, params: dict[str, str] | None = None, min_rain: float = 0.04) -> DataFrame:
+    """Calibrated cells (keys, window_id, wt, grid_scale, points) from fields: predictors, weather types, error ratios.
+
+    Rain below ``min_rain`` is 0, and so is that of a cell that no type holds; a cell with a missing predictor is NaN.
+    """
+    cells = predictors(fields, windows, keys, params)
+    missing = F.lit(False)
+    for c in PREDICTOR_COLUMNS:
+        missing = missing | F.isnan(c)
+    typed = weather_types(cells, types, PREDICTOR_COLUMNS, min_rain=min_rain).withColumn("__missing", missing)
+    wt = F.when(F.col("__missing"), NAN).otherwise(F.coalesce(F.col("wt").cast("double"), F.lit(0.0)))
+    rain = F.when(F.col("__missing"), NAN).when((F.col("rain") < min_rain) | F.col("wt").isNull(), 0.0).otherwise(F.col("rain"))
+    done = calibrate(typed.withColumn("rain", rain), ratios)
+    alike = ratios.agg(F.max(F.size("fer"))).first()[0] or 1  # a cell without type has as many points as any other
+    points = F.when(F.size("points") == 1, F.array_repeat(F.col("points")[0], int(alike))).otherwise(F.col("points"))
+    return done.select(*keys, "window_id", wt.alias("wt"), "grid_scale", points.alias("points"))

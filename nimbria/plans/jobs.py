@@ -24,6 +24,7 @@ from nimbria.operators import cluster as K
 from nimbria.operators import cyclones as Y
 from nimbria.operators import ensemble as E
 from nimbria.operators import extremes as X
+from nimbria.operators import grids, spectral
 from nimbria.operators import pointrain as R
 from nimbria.operators import preprocess as P
 from nimbria.operators import spatial as S
@@ -146,14 +147,7 @@ def _extreme(spark, config, found, by):
     q = _climate(spark, config)
     if "window_id" not in q.columns:  # one climatology for all windows
         q = found.select(*by).distinct().join(q, [c for c in by if c in q.columns])
-    n = config.get("quantiles", 101)
-    out = X.efi(found, q, by, n, config.get("eps", -1.0))
-    if "control" in config:  # the number of the control member
-        alone = X.efi(found.where(F.col("number") == config["control"]), q, by, n, config.get("eps", -1.0))
-        out = out.join(alone.withColumnRenamed("efi", "efi_control"), by)
-    for level in config.get("sot", []):
-        out = out.join(X.sot(found, q, by, level).withColumnRenamed("sot", f"sot{level}"), by)
-    return out.join(X.cpf(found, q, by, n), by) if config.get("cpf") else out
+    return X.indices(found, q, by, config.get("quantiles", 101), config.get("eps", -1.0), config.get("control"), tuple(config.get("sot", [])), config.get("cpf", False))
 
 
 @product("significance")
@@ -164,7 +158,13 @@ def _significance(spark, config, found, by):
 
 @product("regrid")
 def _regrid(spark, config, found, by):
-    weights = source(spark, config["weights"])
+    """To a table of ``weights``, or from a Gaussian ``grid`` to the ``points`` of a table (point_id, lat, lon) by ``method``
+    ``linear`` or ``nearest``."""
+    if "grid" in config:
+        way = {"linear": grids.bilinear_weights, "nearest": grids.nearest_weights}[config.get("method", "linear")]
+        weights = way(config["grid"], source(spark, config["points"]), config.get("lengths"))
+    else:
+        weights = source(spark, config["weights"])
     return S.regrid(found, weights, [c for c in by if c != "point_id"] + ["number"], config.get("statistic"))
 
 
@@ -226,6 +226,48 @@ def _spectrum(spark, config, df):
     return S.spectrum(df, config.get("keys", []), config.get("kinetic", False), config.get("log", True))
 
 
+@table_product("spectral-to-grid")
+def _to_grid(spark, config, df):
+    """Fields on a Gaussian ``grid`` from coefficients (``keys``, n, m, re, im) up to ``truncation``; with ``wind``, u and v from
+    vorticity and divergence (param vo and d)."""
+    make = spectral.wind_on_grid if config.get("wind") else spectral.synthesis
+    return make(df, config.get("keys", []), config["grid"], config["truncation"])
+
+
+@table_product("grid-to-spectral")
+def _to_spectral(spark, config, df):
+    return spectral.analysis(df, config.get("keys", []), config["grid"], config["truncation"])
+
+
+def _hours(config: dict) -> list[tuple[int, int]]:
+    """The first and last coordinates of a configuration's windows."""
+    return [(min(w.coords), max(w.coords)) for w in windows_of(config)]
+
+
+@table_product("point-rainfall-fields")
+def _point_rainfall_fields(spark, config, df):
+    """Point rainfall from fields (``keys``, param, number, step, point_id, value): for each window the quantiles (``levels``)
+    over members and error ratios. ``params`` renames the parameters, ``output`` is quantiles, ``cells`` (weather type and
+    mean of each member) or ``predictors``."""
+    keys = [*config.get("keys", []), "number", "point_id"]
+    if config.get("output") == "predictors":
+        return R.predictors(df, _hours(config), keys, config.get("params"))
+    spread = R.from_fields(df, _hours(config), keys, source(spark, config["types"]), source(spark, config["ratios"]), config.get("params"), config.get("min_rain", 0.04))
+    if config.get("output") == "cells":
+        return spread.drop("points")
+    return R.point_quantiles(spread, [*config.get("keys", []), "window_id", "point_id"], config["levels"])
+
+
+@table_product("thermal-fields")
+def _thermal_fields(spark, config, df):
+    """``indices`` for each window: instants of its last step, mean fluxes of its hours, and the sun above ``grid`` if that and
+    the ``day`` of the year are given."""
+    keys = [*config.get("keys", []), "number", "point_id"]
+    grid = source(spark, config["grid"]) if "grid" in config else None
+    made = thermal.inputs(df, _hours(config), keys, grid, config.get("day"), config.get("hour", 0))
+    return thermal.indices(made, config["indices"]).select(*keys, "window_id", *config["indices"])
+
+
 @table_product("track-motion")
 def _motion(spark, config, df):
     return Y.track_motion(df, config.get("keys", ["number", "id"]))
