@@ -1,6 +1,6 @@
 """The same windows on Structured Streaming.
 
-``stream_accumulate`` keeps a running state per key and window and emits a window once it is complete, like the batch
+``stream_accumulate`` keeps state variables per key and window (``transformWithState``) and emits a window once it is complete, like the batch
 operator; a coordinate that arrives again, or after its window was emitted, is dropped. State goes when the watermark
 passes the window's last field by ``late``, complete or not, so it is bounded by the stream's recent past. ``stream_windows``
 is the event-time form (tumbling or sliding), whose watermark bounds state alike. ``run_once`` writes what a stream
@@ -13,12 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from nimbria.plans import windows as W
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 FOLDS = ("sum", "minimum", "maximum", "mean")
 
 
@@ -30,6 +31,66 @@ def stream_windows(events: DataFrame, time: str, keys: list[str], width: str, sl
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total", "mean", "low", "high")
 
 
+class WindowFold(StatefulProcessor):
+    """The state of one key's window: the map ``coords`` of coordinates to values that arrived, the running ``fold``, and a
+    timer for when the watermark has passed the last of them by ``grace`` milliseconds; then all of it goes.
+
+    A finished window keeps its fold without coordinates until then, so that what comes late or again is known.
+    """
+
+    FOLD = "n int, total double, low double, high double, last int, done boolean, timer bigint"
+
+    def __init__(self, keys: list[str], grace: int):
+        self.keys, self.grace = keys, grace
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.coords = handle.getMapState("coords", "coord int", "value double")
+        self.fold = handle.getValueState("fold", self.FOLD)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        n, total, low, high, last, done, timer = self.fold.get() if self.fold.exists() else (0, 0.0, float("inf"), float("-inf"), -(2**31), False, 0)
+        until, emitted = timer, []
+        for batch in rows:
+            until = max(until, int(batch["at"].max().timestamp() * 1000) + self.grace)
+            if done:
+                continue
+            way, new = batch.iloc[0], batch.drop_duplicates("coord")
+            if way.sequential:
+                new = new[(new.coord > last) & (new.coord == new.coord.cummax())]
+            else:
+                new = new[[not self.coords.containsKey((int(c),)) for c in new.coord]]
+            if new.empty:
+                continue
+            values = new.value.to_numpy(float)
+            for coord, value in zip(new.coord, values, strict=True):
+                self.coords.updateValue((int(coord),), (float(value),))
+            n, last, total = n + len(new), int(new.coord.max()), total + values.sum()
+            low, high = np.minimum(low, values.min()), np.maximum(high, values.max())  # a missing value stays
+            done = bool(last == way.last_coord if way.sequential else n == way.n_coords)
+            if done:
+                emitted.append((*key, float({"sum": total, "mean": total / n, "minimum": low, "maximum": high}[way.op])))
+                self.coords.clear()
+        until = max(until, timerValues.getCurrentWatermarkInMs() + 1)
+        if until != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(until)
+        self.fold.update((n, float(total), float(low), float(high), last, done, until))
+        if emitted:
+            yield pd.DataFrame(emitted, columns=["window_id", *self.keys, "value"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.coords.clear()
+        self.fold.clear()
+        yield from ()
+
+
+def held_state(spark: SparkSession, checkpoint: str, variable: str = "fold") -> DataFrame:
+    """What a stopped query's state holds: ``fold`` has a row for each key and window, ``coords`` one for each coordinate."""
+    return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+
+
 def stream_accumulate(fields: DataFrame, windows: list[W.Window], keys: list[str], time: str, dim: str = "step", late: str = "1 day") -> DataFrame:
     """(keys, window_id, value) of completed windows; operations sum, minimum, maximum and mean. ``time`` is the fields'
     event time. Of fields that repeat a coordinate the first to arrive counts; sequential windows drop coordinates that
@@ -39,42 +100,13 @@ def stream_accumulate(fields: DataFrame, windows: list[W.Window], keys: list[str
     small = sum(len(w.coords) for w in windows) <= 100_000
     table = W.frame(fields.sparkSession, windows).join(fields.sparkSession.createDataFrame([(w.window_id, w.op) for w in windows], "window_id string, op string"), "window_id")
     table = table.withColumnRenamed("coord", "__coord")
-    timed = fields.withColumn("__t", F.col(time).cast("timestamp")).withWatermark("__t", late)
-    joined = timed.join(F.broadcast(table) if small else table, F.col(dim) == F.col("__coord")).select("window_id", *keys, F.col(dim).alias("coord"), "value", "op", "sequential", "n_coords", "last_coord", "__t")
+    timed = fields.withColumn("at", F.col(time).cast("timestamp")).withWatermark("at", late)
+    joined = timed.join(F.broadcast(table) if small else table, F.col(dim) == F.col("__coord")).select("window_id", *keys, F.col(dim).alias("coord"), "value", "op", "sequential", "n_coords", "last_coord", "at")
+    spark = fields.sparkSession
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # state variables need it
     kinds = ", ".join(f"`{k}` {fields.schema[k].dataType.simpleString()}" for k in keys)
-    grace = int(pd.Timedelta(late).total_seconds() * 1000)
-
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen, total, low, high, done, last, until = state.get if state.exists else ("", 0.0, float("inf"), float("-inf"), False, -(2**31), 0)
-        held, emitted = {int(c) for c in seen.split(",") if c}, []
-        for batch in batches:
-            until = max(until, int(batch["__t"].max().timestamp() * 1000) + grace)
-            if done:
-                continue
-            way = batch.iloc[0]
-            new = batch.drop_duplicates("coord")
-            new = new[~new.coord.isin(held)]
-            if way.sequential:
-                new = new[(new.coord > last) & (new.coord == new.coord.cummax())]
-            if new.empty:
-                continue
-            held |= set(new.coord.tolist())
-            last, total = int(new.coord.max()), total + new.value.sum(skipna=False)
-            low, high = np.minimum(low, new.value.to_numpy().min()), np.maximum(high, new.value.to_numpy().max())  # a missing value stays
-            done = last == way.last_coord if way.sequential else len(held) == way.n_coords
-            if done:
-                emitted.append((*key, float({"sum": total, "mean": total / len(held), "minimum": low, "maximum": high}[way.op])))
-        state.update(("" if done else ",".join(map(str, sorted(held))), float(total), float(low), float(high), bool(done), last, until))
-        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        if emitted:
-            yield pd.DataFrame(emitted, columns=["window_id", *keys, "value"])
-
-    grouped = joined.groupBy("window_id", *keys)
-    kept = "seen string, total double, low double, high double, done boolean, last int, until long"
-    return grouped.applyInPandasWithState(fold, f"window_id string, {kinds}, value double", kept, "append", GroupStateTimeout.EventTimeTimeout)
+    fold = WindowFold(keys, int(pd.Timedelta(late).total_seconds() * 1000))
+    return joined.groupBy("window_id", *keys).transformWithStateInPandas(fold, f"window_id string, {kinds}, value double", "append", "eventTime")
 
 
 def run_once(out: DataFrame, path: str, checkpoint: str) -> DataFrame:

@@ -197,6 +197,26 @@ def test_stream_equals_batch(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0  # no state is left
 
 
+def test_stream_state_can_be_read(spark, tmp_path):
+    """After a stop the state holds the coordinates of unfinished windows, and finished ones without theirs."""
+    from nimbria.streaming.windows import held_state
+
+    rows = [(0, s, float(s), f"2024-01-01 0{s}:00:00") for s in (0, 1, 2, 5)] + [(1, 1, 7.0, "2024-01-01 01:00:00")]
+    df = spark.createDataFrame(rows, "number int, step int, value double, t string").withColumn("ts", F.to_timestamp("t")).drop("t")
+    df.write.parquet(str(tmp_path / "in"))
+    windows = W.default([{"to": 2}, {"from": 4, "to": 6}], "sum")
+    place = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    stream = lambda: stream_accumulate(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), windows, ["number"], "ts")
+    assert [tuple(r) for r in run_once(stream(), *place).collect()] == [("0-2", 0, 3.0)]
+    folds = {(r.key.window_id, r.key.number): (r.value.n, r.value.total, r.value.done) for r in held_state(spark, place[1]).collect()}
+    assert folds == {("0-2", 0): (3, 3.0, True), ("4-6", 0): (1, 5.0, False), ("0-2", 1): (1, 7.0, False)}
+    held = {(r.key.window_id, r.key.number, r.user_map_key.coord, r.user_map_value.value) for r in held_state(spark, place[1], "coords").collect()}
+    assert held == {("4-6", 0, 5, 5.0), ("0-2", 1, 1, 7.0)}
+    more = [(0, 4, 4.0, "2024-01-01 04:00:00"), (0, 6, 6.0, "2024-01-01 06:00:00"), (0, 5, 50.0, "2024-01-01 05:00:00")]
+    spark.createDataFrame(more, "number int, step int, value double, t string").withColumn("ts", F.to_timestamp("t")).drop("t").write.mode("append").parquet(str(tmp_path / "in"))
+    assert sorted(tuple(r) for r in run_once(stream(), *place).collect()) == [("0-2", 0, 3.0), ("4-6", 0, 15.0)]
+
+
 def test_detection_inputs(spark):
     cells = spark.createDataFrame([("a", 1, 2, 10.0), ("a", 5, 2, 99.0)], "param string, i int, j int, value double")
     factors = spark.createDataFrame([("a", 4.0, 2.0)], "param string, shift double, norm double")
