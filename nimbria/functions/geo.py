@@ -13,7 +13,12 @@ EARTH_M = 6371229.0
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_KM) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * radius * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return 2 * radius * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))  # null stays null, which least() would not keep
+
+
+def displacement_km(dlat: Column, dlon: Column, lat: Column, radius: float = EARTH_KM) -> Column:
+    """The length of a displacement by degrees from ``lat``, its other end taken at ``lat`` + ``dlat``."""
+    return haversine_km(lat, F.lit(0.0), lat + dlat, dlon, radius)
 
 
 def cartesian(lat: Column, lon: Column, radius: float = EARTH_M) -> tuple[Column, Column, Column]:

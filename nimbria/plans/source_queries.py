@@ -109,8 +109,9 @@ def text_tracks(spark, sf):
     lat, lon = F.col("event_id") % 120 - 60, F.col("event_id") % 350 - 175
     line = F.concat_ws(" ", (F.col("user_id") % 25).cast("string"), F.concat(F.abs(lat), F.when(lat < 0, "S").otherwise("N")), F.concat(F.abs(lon), F.when(lon < 0, "W").otherwise("E")), F.date_format("ts", "yyyyMMdd"), F.col("event_id").cast("string"), F.col("value").cast("string"), F.lit("99000"))
     lines = e.select(F.explode(F.when(F.col("event_id") % 10 == 0, F.array(F.lit("CATEGORY x"), line)).otherwise(F.array(line))).alias("value"), "event_id")
-    lines.coalesce(1).sortWithinPartitions("event_id").select("value").write.text(path)
-    return readers.open_source(spark, f"tracks-text:{path}").select("number", "step", "lat", "lon", "date", "wind")
+    lines = lines.withColumn("part", F.floor(F.col("event_id") / 1000))  # a file for each thousand, begun by a category
+    lines.repartition("part").sortWithinPartitions("part", "event_id", F.desc("value")).select("value", "part").write.partitionBy("part").text(path)
+    return readers.open_source(spark, f"tracks-text:{path}").select("number", "id", "step", "lat", "lon", "date", "wind")
 
 
 def csv_tracks(spark, sf):
@@ -133,23 +134,35 @@ def point_tracks(spark, sf):
 
 
 def tracker_text(spark, sf):
-    """Tracker text in fixed columns: a cyclone for each group of users, ended by a line of its own; the last is not ended."""
+    """Tracker text in fixed columns: a file for every five of 200 groups of users, a cyclone for each of them, ended by a line
+    of its own; the last of a file is not ended."""
     path = shared_path(spark, "tracker")
-    e = C.table(spark, sf, "events").select((F.col("user_id") % 20).alias("tc"), "event_id", "ts")
+    e = C.table(spark, sf, "events").select((F.col("user_id") % 200).alias("tc"), "event_id", "ts")
     digits = lambda x, n: F.lpad(x.cast("string"), n, "0")
-    lat, lon = digits(F.col("event_id") % 900, 3), digits(F.col("event_id") % 3600, 4)
-    line = F.concat(F.lit("00010 "), F.date_format("ts", "yyyy/MM/dd/HH"), F.lit("*"), lat, lon, F.lit(" "), digits(F.col("event_id") % 130, 3), F.lit(" "), digits(900 + F.col("event_id") % 120, 4), F.lit(" "), lat, lon)
-    ends = e.where("tc < 19").groupBy("tc").agg(F.max("event_id").alias("event_id")).select("tc", "event_id", F.lit("00015 END").alias("value"), F.lit(1).alias("o"))
-    lines = e.select("tc", "event_id", line.alias("value"), F.lit(0).alias("o")).union(ends)
-    lines.coalesce(1).sortWithinPartitions("tc", "event_id", "o").select("value").write.text(path)
+    lat, lon = digits(F.col("event_id") * 7 % 900, 3), digits(F.col("event_id") * 11 % 3600, 4)
+    seen, far = digits(F.col("event_id") * 5 % 890 + 3, 3), digits(F.col("event_id") * 11 % 3600 + 7, 4)
+    line = F.concat(F.lit("00010 "), F.date_format("ts", "yyyy/MM/dd/HH"), F.lit("*"), lat, lon, F.lit(" "), digits(F.col("event_id") % 130, 3), F.lit(" "), digits(900 + F.col("event_id") % 120, 4), F.lit(" "), seen, far)
+    ends = e.where("tc % 5 < 4").groupBy("tc").agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id")).select("tc", "ts", "event_id", F.lit("00015 END").alias("value"), F.lit(1).alias("o"))
+    lines = e.select("tc", "ts", "event_id", line.alias("value"), F.lit(0).alias("o")).unionByName(ends).withColumn("part", F.floor(F.col("tc") / 5))
+    lines.repartition("part").sortWithinPartitions("part", "tc", "o", "ts", "event_id").select("value", "part").write.partitionBy("part").text(path)
     out = readers.read_tracker(spark, path, base="2024-01-01", basin="aus")
-    return out.groupBy("name").agg(F.count("*").alias("n"), F.round(F.avg("lat_p"), 5).alias("lat"), F.round(F.avg("lon_w"), 5).alias("lon"), F.round(F.max("wind"), 5).alias("wind"), F.min("pres").alias("pres"), F.sum("step").alias("steps"))
+    far = [F.round(F.max("accdist"), 3).alias("accdist"), F.round(F.avg("speed"), 5).alias("speed"), F.round(F.sum("dpdt"), 6).alias("dpdt"), F.round(F.avg("windrad"), 4).alias("windrad")]
+    return out.groupBy("name").agg(F.count("*").alias("n"), F.round(F.avg("lat_p"), 5).alias("lat"), F.round(F.avg("lon_w"), 5).alias("lon"), F.round(F.max("wind"), 5).alias("wind"), F.min("pres").alias("pres"), F.sum("step").alias("steps"), *far)
 
 
-TRACKER_SQL = """WITH e AS (SELECT user_id % 20 AS tc, event_id, ts FROM events WHERE year(ts) = 2024 AND user_id % 20 < 19),
-r AS (SELECT *, dense_rank() OVER (ORDER BY tc) AS k FROM e)
-SELECT 'unnamed_aus' || k AS name, CAST(count(*) AS BIGINT) AS n, round(avg(-(event_id % 900) / 10.0::DOUBLE + 0.05), 5) AS lat, round(avg((event_id % 3600) / 10.0::DOUBLE + 0.05), 5) AS lon, round(max((event_id % 130) * 0.514444::DOUBLE), 5) AS wind,
-  CAST(min(900 + event_id % 120) AS DOUBLE) AS pres, CAST(sum(date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts))) AS BIGINT) AS steps FROM r GROUP BY k"""
+TRACKER_SQL = """WITH e AS (
+  SELECT user_id % 200 AS tc, event_id, ts, date_trunc('hour', ts) AS h, -(event_id * 7 % 900) / 10.0::DOUBLE + 0.05 AS la, (event_id * 11 % 3600) / 10.0::DOUBLE + 0.05 AS lo,
+    -(event_id * 5 % 890 + 3) / 10.0::DOUBLE + 0.05 AS wa, (event_id * 11 % 3600 + 7) / 10.0::DOUBLE + 0.05 AS wo, 900.0::DOUBLE + event_id % 120 AS pres
+  FROM events WHERE year(ts) = 2024 AND user_id % 200 % 5 < 4),
+m AS (
+  SELECT *, dense_rank() OVER (PARTITION BY tc // 5 ORDER BY tc) AS k, date_diff('hour', TIMESTAMP '2024-01-01', h) AS step, la - lag(la) OVER o AS da, lo - lag(lo) OVER o AS dl, pres - lag(pres) OVER o AS dp, date_diff('hour', lag(h) OVER o, h) AS dh
+  FROM e WINDOW o AS (PARTITION BY tc ORDER BY ts, event_id)),
+d AS (
+  SELECT *, CASE WHEN da IS NOT NULL THEN 2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(da) / 2), 2) + cos(radians(la)) * cos(radians(la + da)) * pow(sin(radians(dl) / 2), 2)))) END AS d,
+    2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(la - wa) / 2), 2) + cos(radians(la)) * cos(radians(la + la - wa)) * pow(sin(radians(lo - wo) / 2), 2)))) AS windrad FROM m),
+a AS (SELECT *, sum(d) OVER (PARTITION BY tc) AS accdist FROM d)
+SELECT 'unnamed_aus' || k AS name, CAST(count(*) AS BIGINT) AS n, round(avg(la), 5) AS lat, round(avg(wo), 5) AS lon, round(max((event_id % 130) * 0.514444::DOUBLE), 5) AS wind, min(pres) AS pres, CAST(sum(step) AS BIGINT) AS steps,
+  round(max(accdist), 3) AS accdist, round(avg(d * 1000 / (nullif(dh, 0) * 3600)), 5) AS speed, round(sum(dp / nullif(dh, 0)), 6) AS dpdt, round(avg(windrad), 4) AS windrad FROM a GROUP BY k"""
 
 
 def preprocess_reshape(spark, sf):
@@ -399,7 +412,7 @@ QUERIES = {
     "climatology_pair": (climatology_pair, f"WITH {C.FIELDS_SQL}\nSELECT point_id, CAST(step + 20 AS INTEGER) AS step, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM fields WHERE step BETWEEN 0 AND 7 GROUP BY ALL"),
     "climatology_window": (climatology_window, f"WITH {C.FIELDS_SQL},\nm AS (SELECT number, point_id, max(value) AS v FROM fields WHERE step BETWEEN 0 AND 3 GROUP BY ALL HAVING count(*) = 4)\nSELECT '0-3' AS window_id, point_id, CAST(i AS VARCHAR) || ':2' AS quantile, round(list_extract(q, i + 1), 6) AS value FROM (SELECT point_id, quantile_cont(v, [0.0, 0.5, 1.0]) AS q FROM m GROUP BY ALL), range(0, 3) t(i)"),
     "packed_fields": (packed_fields, f"WITH {C.FIELDS_SQL}\nSELECT step, number, CAST(row_number() OVER (PARTITION BY step, number ORDER BY point_id) - 1 AS INTEGER) AS point_id, value FROM fields"),
-    "text_tracks": (text_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id AS INTEGER) AS step, CAST(event_id % 120 - 60 AS DOUBLE) AS lat, CAST(event_id % 350 - 175 AS DOUBLE) AS lon, strftime(ts, '%Y%m%d') AS date, value AS wind FROM events"),
+    "text_tracks": (text_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id % 1000 // 10 + 1 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, CAST(event_id % 120 - 60 AS DOUBLE) AS lat, CAST(event_id % 350 - 175 AS DOUBLE) AS lon, strftime(ts, '%Y%m%d') AS date, value AS wind FROM events"),
     "csv_tracks": (csv_tracks, "WITH t AS (SELECT user_id % 25 AS number, date_trunc('second', ts) AS t, value FROM events), s AS (SELECT number, value, floor(epoch(t - min(t) OVER (PARTITION BY number)) / 3600) AS step FROM t)\nSELECT CAST(number AS INTEGER) AS number, CAST(count(*) AS BIGINT) AS n, CAST(max(step) AS INTEGER) AS last, CAST(sum(step) AS BIGINT) AS steps, round(sum(value), 4) AS wind FROM s GROUP BY ALL"),
     "point_tracks": (point_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(user_id % 25 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, CAST(event_id % 60 AS DOUBLE) AS lat, CAST(event_id % 360 AS DOUBLE) AS lon, value AS wind FROM events"),
     "tracker_text": (tracker_text, TRACKER_SQL),

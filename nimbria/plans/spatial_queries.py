@@ -246,7 +246,7 @@ def track_motion(spark, sf):
 
 MOTION_SQL = """WITH t AS (SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id % 3 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, ((event_id * 7) % 120 - 60)::DOUBLE AS lat, ((event_id * 11) % 360)::DOUBLE AS lon, 1000 - value AS pres FROM events),
 l AS (SELECT *, lag(lat) OVER o AS plat, lag(lon) OVER o AS plon, step - lag(step) OVER o AS h, pres - lag(pres) OVER o AS dp FROM t WINDOW o AS (PARTITION BY number, id ORDER BY step)),
-d AS (SELECT *, 2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))) AS dist FROM l)
+d AS (SELECT *, CASE WHEN plat IS NOT NULL THEN 2 * 6371.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))) END AS dist FROM l)
 SELECT number, id, step, round(dist, 4) AS dist, round(dist * 1000 / (h * 3600), 5) AS speed, round(coalesce(sum(dist) OVER (PARTITION BY number, id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0), 3) AS accdist, round(dp / h, 9) AS dpdt FROM d"""
 
 

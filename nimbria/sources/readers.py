@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from nimbria.functions.geo import displacement_km
+
 READERS: dict[str, Callable[..., DataFrame]] = {}
 
 
@@ -120,13 +122,31 @@ def single_window(df: DataFrame) -> DataFrame:
     return df
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, n, v): trimmed lines of text files. Spark reads a large file in blocks of bytes, each by a task; lines are
+    in order of (block, n), n counting only within a block."""
+    lines = spark.read.text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), F.rtrim("value").alias("v"))
+
+
+def running_count(lines: DataFrame, flag: Column, name: str) -> DataFrame:
+    """``lines`` with how many lines of their file up to theirs have ``flag``: counts of whole blocks are added up first (a row
+    a block), then each block counts its own lines, so that no file is one task's."""
+    one = F.when(flag, 1).otherwise(0)
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum(one).alias("__k"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("__k").over(ahead), F.lit(0)).alias("__before"))
+    within = F.sum(one).over(Window.partitionBy("file", "block").orderBy("n"))
+    return lines.withColumn(name, within).join(blocks, ["file", "block"]).withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+
+
 @reader("tracks-text")
 def read_tracks_text(spark: SparkSession, path: str, request: dict | None = None) -> DataFrame:
     """Fixed-form track text: category lines (starting with a letter) begin a new track; rows are
     ``number lat[N|S] lon[E|W] date step wind msl``. A track's id is the running count of category lines of its file."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"), F.trim("value").alias("v")).where("v <> ''")
+    lines = numbered_lines(spark, path).withColumn("v", F.ltrim("v")).where("v <> ''")
     header = F.col("v").rlike("^[A-Za-z]")
-    lines = lines.withColumn("id", F.sum(F.when(header, 1).otherwise(0)).over(Window.partitionBy("f").orderBy("n"))).where(~header)
+    lines = running_count(lines, header, "id").where(~header)
     part = F.split("v", r"\s+")
     signed = lambda i, minus: F.regexp_extract(F.get(part, F.lit(i)), r"^([\d.\-]+)", 1).cast("double") * F.when(F.get(part, F.lit(i)).rlike(f"(?i){minus}$"), -1).otherwise(1)
     return lines.select(F.get(part, F.lit(0)).cast("int").alias("number"), F.col("id").cast("int"), F.get(part, F.lit(4)).cast("int").alias("step"), signed(1, "S").alias("lat"), signed(2, "W").alias("lon"), F.get(part, F.lit(3)).alias("date"), F.get(part, F.lit(5)).cast("double").alias("wind"), F.get(part, F.lit(6)).cast("double").alias("msl"))
@@ -161,25 +181,35 @@ SOUTHERN = ("aus", "spc", "sin")
 
 @reader("tracker")
 def read_tracker(spark: SparkSession, path: str, request: dict | None = None, base: str = "1970-01-01", basin: str = "nat") -> DataFrame:
-    """Tracker text in fixed columns: (name, datetime, step, lat_p, lon_p, wind, pres, lat_w, lon_w).
+    """Tracker text in fixed columns: (file, name, datetime, step, lat_p, lon_p, wind, pres, lat_w, lon_w, windrad, speed,
+    accdist, dpdt).
 
     A line whose second word begins with the year of ``base`` is a point; one whose first word has no 0 at its fifth place
-    ends a cyclone. Cyclones are numbered in the file's order; one that no line ends is left out. Positions are tenths of
+    ends a cyclone. Cyclones are numbered in a file's order; one that no line ends is left out. Positions are tenths of
     a degree, taken at the cell's centre, south in southern basins; winds are knots, made m/s; steps are hours after ``base``.
+    ``windrad`` is the distance of the strongest wind in km; ``speed`` (m/s), ``accdist`` (km from the first point) and ``dpdt``
+    (an hour) are those since the cyclone's line before, null on its first; a speed or change over no time is null.
     """
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), F.posexplode(F.split("value", "\n")).alias("n", "v"))
     words = F.split("v", " ")
     point = F.coalesce(F.startswith(F.get(words, F.lit(1)), F.lit(base[:4])), F.lit(False))
     ends = ~point & (F.length(F.get(words, F.lit(0))) >= 5) & (F.substring(F.get(words, F.lit(0)), 5, 1) != "0")
-    order, all_lines = Window.partitionBy("f").orderBy("n"), Window.partitionBy("f")
-    marked = lines.withColumn("point", point).withColumn("part", F.sum(F.when(ends, 1).otherwise(0)).over(order)).withColumn("parts", F.max("part").over(all_lines))
-    points = marked.where("point and part < parts").withColumn("tc", F.dense_rank().over(Window.partitionBy("f").orderBy("part")))
+    marked = running_count(numbered_lines(spark, path), ends, "part").where(point)
+    ended = numbered_lines(spark, path).where(ends).groupBy("file").agg(F.count("*").alias("parts"))
+    held = marked.join(ended, "file").where("part < parts").drop("parts")
+    numbers = held.select("file", "part").distinct().withColumn("tc", F.row_number().over(Window.partitionBy("file").orderBy("part")))  # a row a cyclone
     at = lambda name, kind="double": F.trim(F.substring("v", TRACKER[name][0] + 1, TRACKER[name][1])).cast(kind)
     when = F.make_timestamp(at("year", "int"), at("month", "int"), at("day", "int"), at("hour", "int"), F.lit(0), F.lit(0))
     south = -1.0 if basin in SOUTHERN else 1.0
     where = [c for side in ("p", "w") for c in ((south * at(f"lat_{side}") / 10 + 0.05).alias(f"lat_{side}"), (at(f"lon_{side}") / 10 + 0.05).alias(f"lon_{side}"))]
     step = F.timestamp_diff("HOUR", F.lit(base).cast("timestamp"), when).cast("int")
-    return points.select(F.concat(F.lit(f"unnamed_{basin}"), F.col("tc")).alias("name"), when.alias("datetime"), step.alias("step"), *where[:2], (at("wind") * KNOT).alias("wind"), at("pres").alias("pres"), *where[2:])
+    rows = held.join(numbers, ["file", "part"]).select("file", "part", "block", "n", F.concat(F.lit(f"unnamed_{basin}"), F.col("tc")).alias("name"), when.alias("datetime"), step.alias("step"), *where[:2], (at("wind") * KNOT).alias("wind"), at("pres").alias("pres"), *where[2:])
+    order = Window.partitionBy("file", "part").orderBy("block", "n")
+    since = lambda c: F.col(c) - F.lag(c).over(order)
+    rows = rows.withColumn("windrad", displacement_km(F.col("lat_p") - F.col("lat_w"), F.col("lon_p") - F.col("lon_w"), F.col("lat_p")))
+    rows = rows.withColumn("__d", displacement_km(since("lat_p"), since("lon_p"), F.col("lat_p"))).withColumn("__h", since("step"))
+    rows = rows.withColumn("speed", F.try_divide(F.col("__d") * 1000, F.col("__h") * 3600.0)).withColumn("dpdt", F.try_divide(since("pres"), F.col("__h").cast("double")))
+    rows = rows.withColumn("accdist", F.when(F.col("__d").isNotNull(), F.sum("__d").over(order.rowsBetween(Window.unboundedPreceding, 0))))
+    return rows.select("file", "name", "datetime", "step", "lat_p", "lon_p", "wind", "pres", "lat_w", "lon_w", "windrad", "speed", "accdist", "dpdt")
 
 
 @reader("best-track")
