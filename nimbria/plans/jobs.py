@@ -329,6 +329,8 @@ def run(spark: SparkSession, config: dict) -> DataFrame:
         out = TABLES[name](spark, config, source(spark, config["source"]))
         if config.get("target"):
             sinks.sink_for(config["target"])(out)
+            kept = sinks.read_back(spark, config["target"], out)
+            return out if kept is None else kept
         return out
     if name not in PRODUCTS:
         raise ValueError(f"unknown product {name!r}; known: {sorted([*PRODUCTS, *TABLES])}")
@@ -352,6 +354,9 @@ def run(spark: SparkSession, config: dict) -> DataFrame:
                 recovery.add([w.window_id for w in todo[first : first + size]])
         if recovery:
             recovery.clean()  # all is done: the next run starts anew
+        kept = sinks.read_back(spark, config["target"], made(todo))
+        if kept is not None:  # all windows of the job, those of an earlier run that was stopped too
+            return kept.where(F.col("window_id").isin([w.window_id for w in windows_of(config)])) if "window_id" in kept.columns else kept
     return made(todo)
 
 

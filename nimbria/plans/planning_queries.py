@@ -2,44 +2,53 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import math
-
 from pyspark.sql import functions as F
 
-from nimbria.functions import geo
-from nimbria.model import Step
-from nimbria.operators import pointrain as R
 from nimbria.plans import requests as Q
-from nimbria.plans import schema as N
+from nimbria.plans import tables as B
 from nimbria.plans import windows as W
 from nimbria.sources import cubes as C
 
 
-def _values(spark, sf, table: str, column: str) -> list:
-    """The few distinct values of a coded column, in order."""
-    return sorted(r[0] for r in C.table(spark, sf, table).select(column).distinct().collect())
-
-
 def request_expand(spark, sf):
     """One request per combination of the values of two keys; a third stays as it is."""
-    made = Q.expand({"segment": _values(spark, sf, "customer", "c_mktsegment"), "status": _values(spark, sf, "orders", "o_orderstatus"), "type": "pf"})
-    assert [{k: r[k] for k in ("segment", "status")} for r in made] == Q.dict_product({"segment": _values(spark, sf, "customer", "c_mktsegment"), "status": _values(spark, sf, "orders", "o_orderstatus")})
-    return spark.createDataFrame([(r["segment"], r["status"], r["type"]) for r in made], "segment string, status string, type string")
+    cube = B.cube_of({"segment": (C.table(spark, sf, "customer"), "c_mktsegment"), "status": (C.table(spark, sf, "orders"), "o_orderstatus")})
+    return B.expand(cube.withColumn("type", F.lit("pf")), ["segment", "status"])
+
+
+def request_product(spark, sf):
+    """The cross product of three keys, counted by the cube and by its rows."""
+    o = C.table(spark, sf, "orders")
+    cube = B.cube_of({"status": (o, "o_orderstatus"), "priority": (o, "o_orderpriority"), "segment": (C.table(spark, sf, "customer"), "c_mktsegment")})
+    counted = cube.withColumn("cells", B.volume(cube, cube.columns))
+    return B.expand(counted, ["status", "priority", "segment"]).groupBy("status").agg(F.count("*").alias("n"), F.max("cells").alias("cells"))
 
 
 def request_squeeze(spark, sf):
     """Requests equal but for the priority as one with the list of its values."""
-    rows = C.table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct().collect()  # codes only
-    made = Q.squeeze([{"status": r.o_orderstatus, "priority": r.o_orderpriority} for r in rows], ["priority"])
-    return spark.createDataFrame([(r["status"], "/".join(r["priority"]) if isinstance(r["priority"], list) else r["priority"]) for r in made], "status string, priority string")
+    rows = C.table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    return B.squeeze(rows, ["priority"]).select("status", F.array_join("priority", "/").alias("priority"))
+
+
+def request_cover(spark, sf):
+    """The days, priorities and statuses that no order has, as disjoint hypercubes; SQL counts what they stand for."""
+    o = C.table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), F.dayofyear("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"))
+    asked = B.cube_of({c: (o, c) for c in o.columns})
+    gaps = B.missing(asked, B.cover(o.distinct(), o.columns), o.columns)
+    cells = B.expand(gaps, o.columns)
+    return cells.groupBy("year", "priority").agg(F.count("*").alias("n"), F.count_distinct("day").alias("days"))
+
+
+def request_cache(spark, sf):
+    """Requests of urgent orders' years that what was read for high ones holds whole: containment of arrays."""
+    o = C.table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("cust"), F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"), "o_orderpriority")
+    written, asked = (B.squeeze(o.where(F.col("o_orderpriority") == p).drop("o_orderpriority"), ["year"]) for p in ("2-HIGH", "1-URGENT"))
+    return B.contained(asked, written, ["year"], ["cust", "status"]).select("cust", "status", F.size("year").cast("long").alias("years"))
 
 
 def request_unique(spark, sf):
     """Requests without repeats."""
-    rows = C.table(spark, sf, "nation").select("n_regionkey", (F.col("n_nationkey") % 2).cast("int").alias("half")).collect()
-    made = Q.unique_requests([{"region": r.n_regionkey, "half": r.half} for r in rows])
-    return spark.createDataFrame([(r["region"], r["half"]) for r in made], "region int, half int")
+    return C.table(spark, sf, "nation").select(F.col("n_regionkey").alias("region"), (F.col("n_nationkey") % 2).cast("int").alias("half")).distinct()
 
 
 def request_intersection(spark, sf):
@@ -53,21 +62,18 @@ def request_intersection(spark, sf):
 
 def request_text(spark, sf):
     """Requests as text and back: lists, ranges and dates."""
-    rows = C.table(spark, sf, "nation").select("n_nationkey").collect()
-    out = []
-    for r in rows:
-        n = r.n_nationkey
-        text = Q.serialise("retrieve", {"step": range(0, 6 * n + 1, 6), "date": dt.date(2024, 1, 1) + dt.timedelta(days=n), "type": ["cf", "pf"]})
-        steps = next(line.split("=")[1].rstrip(",") for line in text.split("\n") if line.strip().startswith("step"))
-        out.append((n, sum(Q.parse_values(steps)), len(Q.parse_values(f"0-{n}")), text.split("date=")[1].split(",")[0], text.split("type=")[1]))
-    return spark.createDataFrame(out, "key int, steps long, span long, date string, types string")
+    n = F.col("n_nationkey")
+    rows = C.table(spark, sf, "nation").select(n.cast("int").alias("key"), B.range_text(F.lit(0), n * 6, F.lit(6)).alias("step"), F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int")).alias("date"), F.array(F.lit("cf"), F.lit("pf")).alias("type"))
+    text = B.request_text(rows, "retrieve", ["step", "date", "type"])
+    back = rows.select("key", *[F.regexp_extract(text, rf"\n  {k}=([^,]*)", 1).alias(k) for k in ("step", "date", "type")])
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda a, v: a + v)
+    return back.select("key", total(B.numbers_of(F.col("step"))).alias("steps"), F.size(B.numbers_of(F.concat(F.lit("0-"), F.col("key")))).cast("long").alias("span"), "date", F.col("type").alias("types"))
 
 
 def month_windows(spark, sf):
     """Full calendar months after the first order, in hours, and their number as forecast months."""
-    first = C.table(spark, sf, "orders").agg(F.min("o_orderdate")).first()[0].date()
-    made = W.month_ranges(first, 24, 24 * 400)
-    return spark.createDataFrame([(m.start, m.end, W.forecast_month(first, m)) for m in made], "first int, last int, month int")
+    first = C.table(spark, sf, "orders").agg(F.min("o_orderdate").alias("date"))
+    return B.month_ranges(first, "date", 24, 24 * 400).select("first", "last", "month")
 
 
 MONTH_SQL = """WITH z AS (SELECT CAST(min(o_orderdate) AS DATE) AS z FROM orders),
@@ -86,9 +92,7 @@ def model_steps(spark, sf):
 
 def output_ranges(spark, sf):
     """Ranges of four steps at an interval of two that the table's steps can make, and the inputs of each."""
-    steps = [r[0] for r in C.fields(spark, sf).select("step").distinct().collect()]  # one a quarter
-    made = N.output_steps(steps, "range", 4, 2)
-    return spark.createDataFrame([(s.start, s.end, len(N.input_steps(s, steps)), N.input_steps(s, steps, include_start=True)[0]) for s in made], "first int, last int, inputs int, base int")
+    return B.output_ranges(C.fields(spark, sf), 4, 2)
 
 
 RANGES_SQL = f"""WITH {C.FIELDS_SQL}, s AS (SELECT DISTINCT step FROM fields), l AS (SELECT min(step) AS a, max(step) AS b FROM s)
@@ -98,9 +102,21 @@ FROM l, range(0, 200) t(i) WHERE i >= a AND i + 4 <= b AND (i - a) % 2 = 0 AND i
 
 def climatology_steps(spark, sf):
     """The climatology window nearest by time of day to each hour of events."""
-    hours = [r[0] for r in C.table(spark, sf, "events").select(F.hour("ts")).distinct().collect()]
-    windows = [Step(a, a + 12) for a in (0, 6, 12, 18)]
-    return spark.createDataFrame([(h, N.climatology_step(Step(h, h + 12), windows, 6).start) for h in hours], "hour int, first int")
+    hours = C.table(spark, sf, "events").select(F.hour("ts").alias("hour")).distinct()
+    return hours.select("hour", B.nearest_window(F.col("hour"), [0, 6, 12, 18], 6).alias("first"))
+
+
+def calendar_dates(spark, sf):
+    """Each order's day with the last day of the calendar of urgent orders up to it."""
+    o = C.table(spark, sf, "orders")
+    calendar = o.where("o_orderpriority = '1-URGENT' and o_custkey % 20 = 0").select(F.to_date("o_orderdate").alias("day")).distinct()
+    days = o.select(F.to_date("o_orderdate").alias("date")).distinct()
+    out = B.as_of_calendar(days, calendar, "date", "day")
+    return out.select(F.date_format("date", "yyyy-MM-dd").alias("date"), F.date_format("calendar_day", "yyyy-MM-dd").alias("day"))
+
+
+CALENDAR_SQL = """WITH c AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 20 = 0), d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)
+SELECT strftime(date, '%Y-%m-%d') AS date, strftime(c.day, '%Y-%m-%d') AS day FROM d ASOF LEFT JOIN c ON d.date >= c.day"""
 
 
 CLIM_STEP_SQL = """WITH h AS (SELECT DISTINCT hour(ts) AS h FROM events),
@@ -110,36 +126,37 @@ SELECT CAST(h AS INTEGER) AS hour, CAST(a AS INTEGER) AS first FROM d QUALIFY ro
 
 def gaussian_numbers(spark, sf):
     """Gaussian numbers of truncations and back, for linear, quadratic and cubic grids."""
-    rows = [(r.s_suppkey, o) for r in C.table(spark, sf, "supplier").select("s_suppkey").collect() for o in (1, 2, 3)]
-    return spark.createDataFrame([(t, o, geo.truncation_to_gaussian(t, o), geo.gaussian_to_truncation(t, o)) for t, o in rows], "number long, grid int, gaussian long, truncation long")
+    rows = C.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("number"), F.explode(F.array(*[F.lit(o) for o in (1, 2, 3)])).alias("grid"))
+    return rows.select("number", "grid", B.truncation_to_gaussian(F.col("number"), F.col("grid")).alias("gaussian"), B.gaussian_to_truncation(F.col("number"), F.col("grid")).alias("truncation"))
 
 
 def circle_overlaps(spark, sf):
     """Root finding: the spacing of two circles whose overlap is a share of one, put back into the area's formula."""
-    shares = _values(spark, sf, "lineitem", "l_discount")
-    out = []
-    for s in shares:
-        half = geo.overlap_spacing(100.0, s) / 200
-        out.append((s, round((2 * math.acos(half) - 2 * half * math.sqrt(max(0.0, 1 - half * half))) / math.pi, 6)))
-    return spark.createDataFrame(out, "share double, overlap double")
+    shares = C.table(spark, sf, "lineitem").select(F.col("l_discount").alias("share")).distinct()
+    return shares.select("share", F.round(B.overlap_of(B.overlap_spacing(F.col("share"), 100.0), 100.0), 6).alias("overlap"))
 
 
 def radiation_windows(spark, sf):
     """The 24 hours whose radiation goes with each window of six steps."""
-    steps = [r[0] for r in C.fields(spark, sf).select("step").distinct().collect()]
-    return spark.createDataFrame([(s, *R.radiation_window(s, s + 6)) for s in steps], "step int, first int, last int")
+    steps = C.fields(spark, sf).select("step").distinct()
+    first, last = B.radiation_window(F.col("step") + 6)
+    return steps.select("step", first.alias("first"), last.alias("last"))
 
 
 def window_products(spark, sf):
-    """Names of all combinations of windows over members and steps."""
-    dims = {"number": W.default([{"to": 3}, {"from": 4, "to": 7}, 9]), "step": W.step_ranges(0, 12, 6, 3)}
-    return spark.createDataFrame([(W.combined_name(c), len(c["number"].coords) * len(c["step"].coords)) for c in W.product_windows(dims)], "name string, cells int")
+    """Combinations of windows over members and steps, and the cells of the fields that each holds."""
+    dims = {"number": W.default([{"to": 3}, {"from": 4, "to": 6}, 7]), "step": W.step_ranges(0, 12, 6, 3)}
+    cells = C.fields(spark, sf).select("number", "step").distinct()
+    for dim, windows in dims.items():
+        table = W.frame(spark, windows).select(F.col("coord").alias(dim), F.concat(F.lit(f"{dim}_"), F.col("window_id")).alias(f"{dim}_window"))
+        cells = cells.join(F.broadcast(table), dim)
+    return cells.groupBy(F.concat_ws(":", "number_window", "step_window").alias("name")).agg(F.count("*").cast("int").alias("cells"))
 
 
 def quantile_labels(spark, sf):
-    """Levels of quantile labels, and what a list of members counts to."""
-    rows = [r.r_regionkey for r in C.table(spark, sf, "region").select("r_regionkey").collect()]
-    return spark.createDataFrame([(k, N.quantile_list(f"{k}:4")[0], N.total_fields([{"number": list(range(k + 1))}, {"number": 0}])) for k in rows], "key int, level double, members int")
+    """Levels of quantile labels, and how many fields two requests of members return together."""
+    rows = C.table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.concat(F.col("r_regionkey"), F.lit(":4")).alias("label"), F.explode(F.array(F.sequence(F.lit(0), F.col("r_regionkey")), F.array(F.lit(0)))).alias("number"))
+    return rows.groupBy("key", "label").agg(F.sum(B.volume(rows, ["number"])).cast("int").alias("members")).select("key", B.level_of(F.col("label")).alias("level"), "members")
 
 
 RULES = {
@@ -153,13 +170,13 @@ RULES = {
 
 
 def product_rules(spark, sf):
-    """Settings that a tree of rules gives to requests, and which requests lead to a setting."""
-    out = []
-    for r in Q.expand({"type": ["em", "es", "pf", "fc"], "param": _values(spark, sf, "lineitem", "l_returnflag") + ["t"]}):
-        s = N.traverse(RULES, r)
-        back = sum(k.get("type") == r["type"] for k, _ in N.enumerate_outputs(RULES, {"product": s["product"]}))
-        out.append((r["type"], r["param"], s["product"], s.get("steps", 0), s.get("members", 0), s["class"], back))
-    return spark.createDataFrame(out, "type string, param string, product string, steps int, members int, class string, found int")
+    """Settings that a tree of rules gives to requests, and how many of its leaves of a request's type lead to its product."""
+    params = C.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("param")).distinct().union(spark.createDataFrame([("t",)], "param string"))
+    requests = params.withColumn("type", F.explode(F.array(*[F.lit(t) for t in ("em", "es", "pf", "fc")])))
+    keys = {"type": "type", "param": "param"}
+    made = requests.select("type", "param", *[F.coalesce(B.settings(RULES, keys, n, k), F.lit(d)).alias(n) for n, k, d in (("product", "string", ""), ("steps", "int", 0), ("members", "int", 0), ("class", "string", ""))])
+    leaves = B.rule_leaves(spark, RULES, ["type", "param"], {"product": "string"}).where("type is not null").groupBy("type", "product").agg(F.count("*").cast("int").alias("found"))
+    return made.join(F.broadcast(leaves), ["type", "product"], "left").fillna(0, ["found"])
 
 
 RULES_SQL = """WITH r AS (SELECT type, param FROM (VALUES ('em'), ('es'), ('pf'), ('fc')) t(type), (SELECT DISTINCT l_returnflag AS param FROM lineitem UNION SELECT 't') p)
@@ -179,7 +196,14 @@ QUERIES = {
     "gaussian_numbers": (gaussian_numbers, "SELECT s_suppkey AS number, CAST(o AS INTEGER) AS grid, CAST((s_suppkey + 1) * (o + 1) // 4 AS BIGINT) AS gaussian, CAST(ceil(4.0::DOUBLE * s_suppkey / (o + 1)) - 1 AS BIGINT) AS truncation FROM supplier, range(1, 4) t(o)"),
     "circle_overlaps": (circle_overlaps, "SELECT DISTINCT l_discount AS share, round(l_discount, 6) AS overlap FROM lineitem"),
     "radiation_windows": (radiation_windows, f"WITH {C.FIELDS_SQL}\nSELECT DISTINCT step, CAST(greatest(greatest(step + 6, 24) - 24, 0) AS INTEGER) AS first, CAST(greatest(step + 6, 24) AS INTEGER) AS last FROM fields"),
-    "window_products": (window_products, "SELECT 'number_' || n || ':step_' || a || '-' || (a + 6) AS name, CAST(c * 7 AS INTEGER) AS cells FROM (VALUES ('0-3', 4), ('4-7', 4), ('9', 1)) v(n, c), (VALUES (0), (3), (6)) s(a)"),
+    "window_products": (window_products, f"WITH {C.FIELDS_SQL}, c AS (SELECT DISTINCT number, step FROM fields)\nSELECT 'number_' || n || ':step_' || a || '-' || (a + 6) AS name, CAST(count(*) AS INTEGER) AS cells FROM c, (VALUES ('0-3', 0, 3), ('4-6', 4, 6), ('7', 7, 7)) v(n, lo, hi), (VALUES (0), (3), (6)) s(a) WHERE number BETWEEN lo AND hi AND step BETWEEN a AND a + 6 GROUP BY ALL"),
+    "request_product": (request_product, "WITH v AS (SELECT DISTINCT o_orderstatus AS status FROM orders), n AS (SELECT (SELECT count(DISTINCT o_orderpriority) FROM orders) * (SELECT count(DISTINCT c_mktsegment) FROM customer) AS n)\nSELECT status, CAST(n AS BIGINT) AS n, CAST(n * (SELECT count(*) FROM v) AS BIGINT) AS cells FROM v, n"),
+    "request_cover": (request_cover, """WITH o AS (SELECT DISTINCT year(o_orderdate) AS y, dayofyear(o_orderdate) AS d, o_orderpriority AS p FROM orders)
+SELECT CAST(y AS INTEGER) AS year, p AS priority, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT d) AS BIGINT) AS days FROM (SELECT DISTINCT y FROM o), (SELECT DISTINCT d FROM o), (SELECT DISTINCT p FROM o) WHERE (y, d, p) NOT IN (SELECT (y, d, p) FROM o) GROUP BY ALL"""),
+    "request_cache": (request_cache, """WITH o AS (SELECT DISTINCT o_custkey % 50 AS cust, o_orderstatus AS status, year(o_orderdate) AS y, o_orderpriority AS p FROM orders),
+w AS (SELECT cust, status, list(y) AS held FROM o WHERE p = '2-HIGH' GROUP BY ALL), a AS (SELECT cust, status, list(y) AS asked FROM o WHERE p = '1-URGENT' GROUP BY ALL)
+SELECT cust, status, CAST(len(asked) AS BIGINT) AS years FROM a JOIN w USING (cust, status) WHERE list_has_all(held, asked)"""),
+    "calendar_dates": (calendar_dates, CALENDAR_SQL),
     "quantile_labels": (quantile_labels, "SELECT r_regionkey AS key, r_regionkey / 4.0::DOUBLE AS level, CAST(r_regionkey + 2 AS INTEGER) AS members FROM region"),
     "product_rules": (product_rules, RULES_SQL),
 }

@@ -21,6 +21,7 @@ from nimbria.plans.product_queries import EFI_SQL, ENSMS_SQL
 from nimbria.plans.spatial_queries import GRID_SQL
 from nimbria.sources import cubes as C
 from nimbria.sources import readers, sinks
+from nimbria.sources.cache import RequestCache
 from nimbria.sources.shared import shared_path
 
 
@@ -114,6 +115,16 @@ def text_tracks(spark, sf):
     return readers.open_source(spark, f"tracks-text:{path}").select("number", "id", "step", "lat", "lon", "date", "wind")
 
 
+def cached_fields(spark, sf):
+    """Fields through the write-through cache: two requests that overlap, then one that both hold together."""
+    table = C.fields(spark, sf)
+    cache = RequestCache(spark, shared_path(spark, "cache"), lambda r: table.where(F.col("step").isin(r["step"]) & F.col("number").isin(r["number"])), {"step": "int", "number": "int"})
+    cache.read({"step": list(range(0, 14)), "number": [1, 2, 3, 4]})
+    cache.read({"step": list(range(10, 28)), "number": [1, 2, 3, 4, 5, 6, 7]})
+    out = cache.read({"step": list(range(5, 20)), "number": [2, 3]})
+    return out.groupBy("step", "number").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+
+
 def csv_tracks(spark, sf):
     """Tracks as CSV: steps are hours after each track's first point."""
     path = shared_path(spark, "tracks")
@@ -412,6 +423,7 @@ QUERIES = {
     "climatology_pair": (climatology_pair, f"WITH {C.FIELDS_SQL}\nSELECT point_id, CAST(step + 20 AS INTEGER) AS step, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM fields WHERE step BETWEEN 0 AND 7 GROUP BY ALL"),
     "climatology_window": (climatology_window, f"WITH {C.FIELDS_SQL},\nm AS (SELECT number, point_id, max(value) AS v FROM fields WHERE step BETWEEN 0 AND 3 GROUP BY ALL HAVING count(*) = 4)\nSELECT '0-3' AS window_id, point_id, CAST(i AS VARCHAR) || ':2' AS quantile, round(list_extract(q, i + 1), 6) AS value FROM (SELECT point_id, quantile_cont(v, [0.0, 0.5, 1.0]) AS q FROM m GROUP BY ALL), range(0, 3) t(i)"),
     "packed_fields": (packed_fields, f"WITH {C.FIELDS_SQL}\nSELECT step, number, CAST(row_number() OVER (PARTITION BY step, number ORDER BY point_id) - 1 AS INTEGER) AS point_id, value FROM fields"),
+    "cached_fields": (cached_fields, f"WITH {C.FIELDS_SQL}\nSELECT step, number, CAST(count(*) AS BIGINT) AS n, sum(value) AS value FROM fields WHERE step BETWEEN 5 AND 19 AND number IN (2, 3) GROUP BY ALL"),
     "text_tracks": (text_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(event_id % 1000 // 10 + 1 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, CAST(event_id % 120 - 60 AS DOUBLE) AS lat, CAST(event_id % 350 - 175 AS DOUBLE) AS lon, strftime(ts, '%Y%m%d') AS date, value AS wind FROM events"),
     "csv_tracks": (csv_tracks, "WITH t AS (SELECT user_id % 25 AS number, date_trunc('second', ts) AS t, value FROM events), s AS (SELECT number, value, floor(epoch(t - min(t) OVER (PARTITION BY number)) / 3600) AS step FROM t)\nSELECT CAST(number AS INTEGER) AS number, CAST(count(*) AS BIGINT) AS n, CAST(max(step) AS INTEGER) AS last, CAST(sum(step) AS BIGINT) AS steps, round(sum(value), 4) AS wind FROM s GROUP BY ALL"),
     "point_tracks": (point_tracks, "SELECT CAST(user_id % 25 AS INTEGER) AS number, CAST(user_id % 25 AS INTEGER) AS id, CAST(event_id AS INTEGER) AS step, CAST(event_id % 60 AS DOUBLE) AS lat, CAST(event_id % 360 AS DOUBLE) AS lon, value AS wind FROM events"),

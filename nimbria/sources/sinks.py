@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,6 +51,15 @@ def sink_for(location: str, **options) -> Writer:
     return SINKS[kind](path, **options)
 
 
+def read_back(spark: SparkSession, location: str, like: DataFrame) -> DataFrame | None:
+    """What a sink wrote at a location, with the columns and types of ``like``; None for a sink that keeps nothing."""
+    kind, colon, path = location.partition(":")
+    if kind == "null":
+        return None
+    path = path if colon and kind in SINKS else location
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
 def keep_latest(df: DataFrame, keys: list[str], run: str = "run") -> DataFrame:
     """One row per key: the one of the latest run."""
     order = Window.partitionBy(*keys).orderBy(F.desc(run))
@@ -75,7 +83,8 @@ class Recovery:
     """Checkpoints of finished windows of one configuration, in a shared table; restarts skip what is done.
 
     The table is only ever appended to, so that jobs may share it: a row without a window forgets what its configuration
-    wrote before it.
+    wrote before it. Notes are numbered: each follows the greatest number of its configuration, so that machines whose clocks
+    differ keep the order in which they saw each other's notes.
     """
 
     def __init__(self, spark: SparkSession, path: str, config: dict, enabled: bool = True):
@@ -102,7 +111,7 @@ class Recovery:
 
     def _write(self, window_ids: list[str | None]) -> None:
         if self.enabled and window_ids:
-            now = time.time_ns()
+            now = (self._own().agg(F.max("at")).first()[0] or 0) + 1  # later than all that this job can know of, whatever the machines' clocks say
             self.spark.createDataFrame([(self.key, w, now) for w in window_ids], CHECKPOINTS).coalesce(1).write.mode("append").parquet(self.path)
 
     def add(self, window_ids: list[str]) -> None:
