@@ -61,6 +61,16 @@ class Components:
     values: np.ndarray
     pc: np.ndarray
 
+    @property
+    def sd(self) -> np.ndarray:
+        """Standard deviation of each component's pattern."""
+        return np.sqrt(self.values / len(self.members))
+
+    def scaled(self, n: int) -> np.ndarray:
+        """The first ``n`` components of the members by their deviations, shifted to zero mean: distances are those of fields."""
+        x = self.pc[:, :n] * self.sd[:n]
+        return x - x.mean(0)
+
     @property
     def var_pct(self) -> np.ndarray:
         return 100 * self.values / max(self.total, 1e-300)
@@ -105,29 +115,82 @@ def choose_components(var_cum: np.ndarray, threshold: float) -> int:
     return int(enough[0]) + 1
 
 
-def lloyd(x: np.ndarray, k: int, seed: int, passes: int = 20, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
+def settle(x: np.ndarray, centres: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """The K-means partition that given centres lead to: labels, centroids, variance within and between clusters."""
+    centres, label = centres.astype(float), None
+    for _ in range(rounds):
+        new = ((x[:, None, :] - centres[None]) ** 2).sum(-1).argmin(1)
+        if label is not None and (new == label).all():
+            break
+        label = new
+        for c in range(len(centres)):
+            if (label == c).any():
+                centres[c] = x[label == c].mean(0)
+    within = float(((x - centres[label]) ** 2).sum() / len(x))
+    between = float(((centres[label] - x.mean(0)) ** 2).sum() / len(x))
+    return label, centres, within, between
+
+
+def random_seeds(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    return x[rng.choice(len(x), k, replace=False)]
+
+
+def sector_seeds(x: np.ndarray, k: int, rng: np.random.Generator, reach: float = 1.5, apart: float = 0.5, tries: int = 10) -> np.ndarray:
+    """Seeds near the middle, apart from each other and in different sectors of the first two components.
+
+    Distances are in units of the root of the total variance. The first seed is a member within ``reach`` (the innermost if
+    there is none); each further one is the best of ``tries`` members, scored by one point for being within ``reach`` and up
+    to one each for the shares of earlier seeds that are more than ``apart`` away and more than pi / k to the side.
+    """
+    square = (x * x).sum(1)
+    unit = square.mean()
+    near = np.flatnonzero(square <= reach**2 * unit)
+    chosen = [int(rng.choice(near)) if len(near) else int(square.argmin())]
+    flat = x[:, :2] if x.shape[1] > 1 else np.c_[x, np.zeros(len(x))]
+    length = np.sqrt((flat * flat).sum(1))
+    while len(chosen) < k:
+        free = np.setdiff1d(np.arange(len(x)), chosen)
+        drawn = free[rng.integers(len(free), size=tries)]
+        far = ((x[drawn][:, None] - x[chosen][None]) ** 2).sum(-1) > apart**2 * unit
+        aside = flat[drawn] @ flat[chosen].T < np.cos(np.pi / k) * length[drawn][:, None] * length[chosen][None]
+        chosen.append(int(drawn[((square[drawn] <= reach**2 * unit) + far.mean(1) + aside.mean(1)).argmax()]))
+    return x[chosen]
+
+
+SEEDS = {"random": random_seeds, "sectors": sector_seeds}
+
+
+def lloyd(x: np.ndarray, k: int, seed: int, passes: int = 20, rounds: int = 100, seeds: str = "random") -> tuple[np.ndarray, np.ndarray, float]:
     """Best of ``passes`` K-means partitions: labels, centroids, and the ratio of variance between to within clusters."""
     rng = np.random.default_rng(seed)
     best = None
     for _ in range(passes):
-        centres = x[rng.choice(len(x), k, replace=False)].astype(float)
-        label = None
-        for _ in range(rounds):
-            new = ((x[:, None, :] - centres[None]) ** 2).sum(-1).argmin(1)
-            if label is not None and (new == label).all():
-                break
-            label = new
-            for c in range(k):
-                if (label == c).any():
-                    centres[c] = x[label == c].mean(0)
-        within = float(((x - centres[label]) ** 2).sum() / len(x))
-        between = float(((centres[label] - x.mean(0)) ** 2).sum() / len(x))
+        label, centres, within, between = settle(x, SEEDS[seeds](x, k, rng), rounds)
         ratio = between / within if within else float("inf")
         if best is None or ratio > best[2]:
-            best = label, centres.copy(), ratio
+            best = label, centres, ratio
     return best
 
 
+def partitions(spark: SparkSession, x: np.ndarray, ks: list[int], passes: int = 100, seed: int = 1, seeds: str = "sectors") -> DataFrame:
+    """(k, within, between, ratio, label array<int> numbered by size): the best of ``passes`` partitions for each number of
+    clusters. Every pass is a row that Spark deals to tasks; what travels is the small matrix of members and components.
+    Passes are seeded by their number, so the result doesn't depend on where they ran."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k, p in zip(batch["k"], batch["pass"], strict=True):
+                label, _, within, between = settle(x, SEEDS[seeds](x, int(k), np.random.default_rng([seed, int(k), int(p)])))
+                rows.append((int(k), int(p), within, between, between / within if within else float("inf"), by_size(label, int(k)).tolist()))
+            yield pd.DataFrame(rows, columns=["k", "pass", "within", "between", "ratio", "label"])
+
+    asked = spark.range(passes).withColumnRenamed("id", "pass").withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
+    tried = asked.repartition(max(1, min(len(ks) * passes // 8, 200))).mapInPandas(run, "k int, pass long, within double, between double, ratio double, label array<int>")
+    best = F.max(F.struct("ratio", (-F.col("pass")).alias("pass"), "within", "between", "label")).alias("b")
+    return tried.groupBy("k").agg(best).select("k", "b.within", "b.between", "b.ratio", "b.label")
+
+
 def by_size(label: np.ndarray, k: int) -> np.ndarray:
     """Labels renumbered by descending size; of equals the later cluster comes first."""
     sizes = np.bincount(label, minlength=k)
@@ -167,8 +230,7 @@ def surrogate_ratios(spark: SparkSession, x: np.ndarray, ks: list[int], samples:
 
 def significance(spark: SparkSession, x: np.ndarray, ks: list[int], samples: int, seed: int = 1, passes: int = 20) -> dict[int, float]:
     """For each number of clusters the percentage of surrogates whose ratio is below that of the data."""
-    own = {k: lloyd(x, k, seed, passes)[2] for k in ks}
-    table = spark.createDataFrame([(k, float(v)) for k, v in own.items()], "k int, own double")
+    table = partitions(spark, x, ks, passes, seed, "random").select("k", F.col("ratio").alias("own"))
     below = surrogate_ratios(spark, x, ks, samples, seed, passes).join(F.broadcast(table), "k").groupBy("k").agg(F.avg(F.when(F.col("ratio") < F.col("own"), 100.0).otherwise(0.0)).alias("p"))
     return {r.k: r.p for r in below.collect()}
 
@@ -185,6 +247,27 @@ def choose_partition(significances: dict[int, float], least: float) -> int:
     return k if significances[k] >= least else 1
 
 
+def choose_constrained(found: list[tuple[int, float, float, float]], spread: float, thresholds: dict[int, float], max_sig: float = 100.0, med_sig: float = 100.0, min_sig: float = 100.0, tolerance: float = 0.0) -> int:
+    """The number of clusters from (k, variance within, variance ratio, significance in percent), 1 if none will do.
+
+    Those count whose clusters are at least as wide as ``spread`` and whose ratio reaches their threshold. Of them the first
+    that reaches ``max_sig`` is taken, else the most significant. If that is the largest number asked for, the smallest that
+    reaches ``med_sig`` is preferred; if it stays the largest and clears ``min_sig`` by the tolerance, the smallest that is
+    less significant by no more than the tolerance.
+    """
+    largest = max((k for k, *_ in found), default=1)
+    good = {k: sig for k, within, ratio, sig in sorted(found) if within >= spread and ratio >= thresholds.get(k, 0.0) and sig > 0}
+    if not good:
+        return 1
+    best = next((k for k, sig in good.items() if sig >= max_sig), max(good, key=lambda k: (good[k], -k)))
+    smaller = {k: sig for k, sig in good.items() if k < largest}
+    if best == largest:
+        best = next((k for k, sig in smaller.items() if sig >= med_sig), best)
+    if best == largest and good[best] >= min_sig + tolerance:
+        best = next((k for k, sig in smaller.items() if sig >= good[largest] - tolerance), best)
+    return best
+
+
 def centroids(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(cluster, step, point_id, value): mean field of each cluster; ``labels`` (number, cluster) has a row a member."""
     return members.join(labels, "number").groupBy("cluster", "step", "point_id").agg(F.avg("value").alias("value"))

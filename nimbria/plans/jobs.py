@@ -299,12 +299,26 @@ def _best_track(spark, config, df):
 def _clusters(spark, config, df):
     """(number, cluster): the partition of members in the space of the components that explain ``variance`` percent, into the
     number of ``clusters`` (a list to choose from by significance against ``samples`` surrogates) that reaches ``significance``
-    percent. If none does, all members are cluster 0."""
+    percent. If none does, all members are cluster 0. ``seeds`` are random or sectors; ``scaled`` weighs components by their
+    deviations. With ``constraints`` (``spread`` as a share of the ensemble's, and what ``choose_constrained`` takes) the
+    number is chosen under them, against the variance ratios that so many clusters of one normal cloud would have."""
     made = K.components(K.anomalies(df, config.get("clip")), source(spark, config["weights"]), config.get("components", 10))
-    x = made.pc[:, : K.choose_components(made.var_cum, config.get("variance", 80.0))]
-    sizes, seed = config.get("clusters", [2, 3, 4, 5, 6]), config.get("seed", 1)
-    k = K.choose_partition(K.significance(spark, x, sizes, config.get("samples", 20), seed), config.get("significance", 0.0)) if len(sizes) > 1 else sizes[0]
-    label = K.by_size(K.lloyd(x, k, seed)[0], k) if k > 1 else [0] * len(made.members)
+    n = K.choose_components(made.var_cum, config.get("variance", 80.0))
+    x = made.scaled(n) if config.get("scaled") else made.pc[:, :n]
+    sizes, seed, passes = config.get("clusters", [2, 3, 4, 5, 6]), config.get("seed", 1), config.get("passes", 20)
+    found = {r.k: r for r in K.partitions(spark, x, sizes, passes, seed, config.get("seeds", "random")).collect()}  # a row a number
+    k = sizes[0]
+    if len(sizes) > 1:
+        sure = K.significance(spark, x, sizes, config.get("samples", 20), seed)
+        if "constraints" in config:
+            c = dict(config["constraints"])
+            least = c.pop("spread", 0.0) * float((x * x).sum(1).mean())
+            limits = {s: K.variance_threshold(s, c.get("cumulative", 0.0)) for s in sizes}
+            c.pop("cumulative", None)
+            k = K.choose_constrained([(s, found[s].within, found[s].ratio, sure[s]) for s in sizes], least, limits, **c)
+        else:
+            k = K.choose_partition(sure, config.get("significance", 0.0))
+    label = found[k].label if k > 1 else [0] * len(made.members)
     return spark.createDataFrame([(int(m), int(c)) for m, c in zip(made.members, label, strict=True)], "number int, cluster int")
 
 

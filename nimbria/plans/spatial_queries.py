@@ -321,6 +321,29 @@ def ensemble_clusters(spark, sf):
     return spark.createDataFrame([(int(m), int(c)) for m, c in zip(made.members, label, strict=True)], "number int, cluster int")
 
 
+def cluster_partitions(spark, sf):
+    """The best partitions of the members into two to four clusters; SQL tries all there are."""
+    weights = spark.range(20).select(F.col("id").cast("int").alias("point_id"), ((F.col("id") + 1) / 210.0).alias("weight"))
+    made = K.components(K.anomalies(C.fields(spark, sf)), weights, 7)
+    out = K.partitions(spark, made.scaled(7), [2, 3, 4], 200)
+    sizes = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda c: F.size(F.filter("label", lambda x: x == c)))
+    return out.select("k", F.round("within", 3).alias("within"), F.round("between", 3).alias("between"), F.round("ratio", 5).alias("ratio"), F.array_join(sizes, "/").alias("sizes"))
+
+
+PARTITIONS_SQL = f"""WITH {C.FIELDS_SQL},
+a AS (SELECT number, step, point_id, value - avg(value) OVER (PARTITION BY step, point_id) AS a FROM fields),
+g AS (SELECT x.number AS i, y.number AS j, sum(x.a * y.a * (point_id + 1) / 210.0::DOUBLE) / (SELECT count(DISTINCT step) FROM fields) AS g FROM a x JOIN a y USING (step, point_id) GROUP BY ALL),
+d AS (SELECT p.i, p.j, q.g + r.g - 2 * p.g AS d FROM g p JOIN g q ON q.i = p.i AND q.j = p.i JOIN g r ON r.i = p.j AND r.j = p.j WHERE p.i < p.j),
+members AS (SELECT number, row_number() OVER (ORDER BY number) - 1 AS place FROM (SELECT DISTINCT number FROM fields)),
+tried AS (SELECT k, code, number, CAST(floor(code / pow(k, place)) AS BIGINT) % k AS c FROM (VALUES (2), (3), (4)) AS t(k), range(0, 16384) AS u(code), members WHERE code < pow(k, 7)),
+sizes AS (SELECT k, code, c, count(*) AS n FROM tried GROUP BY ALL),
+fit AS (SELECT k, code, list(n ORDER BY n DESC) AS sizes FROM sizes GROUP BY ALL HAVING count(*) = k),
+spread AS (SELECT x.k, x.code, sum(d / n) / (SELECT count(*) FROM members) AS within FROM tried x JOIN tried y ON x.k = y.k AND x.code = y.code AND x.c = y.c AND x.number < y.number JOIN d ON d.i = x.number AND d.j = y.number JOIN sizes s ON s.k = x.k AND s.code = x.code AND s.c = x.c GROUP BY ALL),
+best AS (SELECT k, min(coalesce(within, 0)) AS within, arg_min(sizes, coalesce(within, 0)) AS sizes FROM fit LEFT JOIN spread USING (k, code) GROUP BY k),
+total AS (SELECT sum(d) / pow((SELECT count(*) FROM members), 2) AS t FROM d)
+SELECT CAST(k AS INTEGER) AS k, round(within, 3) AS within, round(t - within, 3) AS between, round((t - within) / within, 5) AS ratio, array_to_string(sizes, '/') AS sizes FROM best, total"""
+
+
 def red_noise(spark, sf):
     """Variance ratios of red-noise surrogates (random, so no SQL)."""
     weights = spark.range(20).select(F.col("id").cast("int").alias("point_id"), F.lit(0.05).alias("weight"))
@@ -399,6 +422,7 @@ SELECT l_orderkey, l_linenumber, round((CASE WHEN (simple + f) / 2 < 80 THEN sim
     "cluster_gram": (cluster_gram, GRAM_SQL),
     "principal_components": (principal_components, None),
     "ensemble_clusters": (ensemble_clusters, None),
+    "cluster_partitions": (cluster_partitions, PARTITIONS_SQL),
     "red_noise": (red_noise, None),
     "regime_attribution": (regime_attribution, ATTRIBUTION_SQL),
     "cluster_representatives": (cluster_representatives, REPRESENTATIVES_SQL),
