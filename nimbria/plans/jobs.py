@@ -28,6 +28,7 @@ from nimbria.operators import grids, spectral
 from nimbria.operators import pointrain as R
 from nimbria.operators import preprocess as P
 from nimbria.operators import spatial as S
+from nimbria.plans import metadata as M
 from nimbria.plans import windows as W
 from nimbria.plans.requests import deep_update, unique_requests
 from nimbria.sources import readers, sinks
@@ -107,7 +108,9 @@ def members(config: dict, fields: DataFrame, keys: list[str], todo: list[W.Windo
 @product("monthly-stats")
 @product("histogram-windows")
 def _accumulate(spark, config, found, by):
-    return found
+    """The windows' values; ``relabel`` ({key, values?, order?}) labels outputs anew where they are not the input's fields."""
+    label = config.get("relabel")
+    return M.relabelled(found, label["key"], label.get("values"), label.get("order", "number")) if label else found
 
 
 @product("ensms")

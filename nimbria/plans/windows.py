@@ -113,56 +113,76 @@ FOLDING = ("sum", "minimum", "maximum", "mean", "aggregation", "standard_deviati
 LONG_STEP, LONG_RANGE_UNIT, LONG_INSTANT, FIRST_INSTANT, INSTANT = 256, 11, 10, 1, 0
 
 
-def _legacy_header(first: int, last: int, given: dict) -> dict:
-    """The time keys of a window's header; keys that are given stay, but for the range itself."""
-    if first == last:
-        code = LONG_INSTANT if last >= LONG_STEP else FIRST_INSTANT if last == 0 else INSTANT
-        header = {"timeRangeIndicator": code} | given
-        if "step" not in given:
-            return header | {"step": str(last)}
-        return {"stepType": "max"} | header | {"stepRange": str(last)}
-    long = last >= LONG_STEP and given.get("edition", 1) == 1
-    return {"stepType": "max"} | ({"unitOfTimeRange": LONG_RANGE_UNIT} if long else {}) | given | {"stepRange": f"{first}-{last}"}
+@dataclass(frozen=True)
+class Span:
+    """What an older configuration says of one window: its ends, its coordinates and whether the first of them counts."""
+
+    first: int
+    last: int
+    coords: tuple
+    whole: bool
+
+    @classmethod
+    def of(cls, coords, include_start: bool) -> Span:
+        """``coords`` is {from, to, by}, a list of coordinates, or the text "a-b" in a list, one coordinate that is whole."""
+        match coords:
+            case dict():
+                steps = coordinates({"from": 0, **coords})
+            case [str() as text]:
+                return cls(*map(int, text.split("-")), (text,), True)
+            case _:
+                steps = list(coords)
+        return cls(steps[0], steps[-1], tuple(steps), include_start or steps[0] == steps[-1])
+
+    def inputs(self, op: str) -> tuple:
+        """A folding operation works on what follows the range's beginning, unless the range is whole."""
+        return self.coords if self.whole or op not in FOLDING else self.coords[1:]
+
+    def label(self, prefix: str, number: int, op: str | None) -> str:
+        return "_".join([f"{prefix}{name((self.first, self.last))}", *([op] if op else []), str(number)])
+
+    def header(self, given: dict) -> dict:
+        """Time keys: an indicator for an instant, a type for a range, a longer unit for one far out in the first edition. What is
+        given stays, but for the range, which is always the window's; an instant whose step is given keeps a range as well."""
+        instant, far = self.first == self.last, self.last >= LONG_STEP
+        keys = {}
+        if instant:
+            keys["timeRangeIndicator"] = LONG_INSTANT if far else INSTANT if self.last else FIRST_INSTANT
+        elif far and given.get("edition", 1) == 1:
+            keys["unitOfTimeRange"] = LONG_RANGE_UNIT
+        if instant and "step" not in given:
+            return {**keys, **given, "step": str(self.last)}
+        return {"stepType": "max", **keys, **given, "stepRange": name((self.first, self.last))}
+
+
+def _by_operation(spec: dict) -> dict[str, list[dict]]:
+    """The thresholds of a specification under its operation, or under those that their senses ask for."""
+    limits = [{**t, "value": float(t["value"])} for t in spec.get("thresholds", [])]
+    if "operation" in spec:
+        return {spec["operation"]: limits}
+    ops = [infer_operation(t["comparison"]) for t in limits]
+    return {op: [t for t, o in zip(limits, ops, strict=True) if o == op] for op in dict.fromkeys(ops)} or {"aggregation": []}
 
 
 def legacy(config: dict, keys: dict | None = None) -> tuple[list[Window], list[dict]]:
     """Windows of older configurations and the thresholds of each: ``windows`` and, named with the prefix ``std_``,
     ``std_anomaly_windows``, lists of {coords, operation?, thresholds?, include_start?, factor?, deaccumulate?, metadata?}.
 
-    ``coords`` is a list of windows, each a list of coordinates (taken as they are), the text "a-b" in a list (the one coordinate "a-b")
-    or {from, to, by}. Windows are sequential. A folding operation leaves out the first coordinate unless it is the only one,
-    ``include_start`` is set or the window is text. Without an operation the thresholds' sense decides; thresholds of
-    unlike sense make a window for each. ``keys`` and metadata go to the header, which windows carry as ``meta``.
+    ``coords`` is a list of windows as ``Span.of`` reads them. Windows are sequential. Without an operation the thresholds'
+    sense decides; thresholds of unlike sense make a window for each. ``keys`` and metadata go to the header, which windows
+    carry as ``meta``.
     """
-    made, thresholds = [], []
+    made: list[Window] = []
+    thresholds: list[dict] = []
     for prefix, part in (("", "windows"), ("std_", "std_anomaly_windows")):
         for number, spec in enumerate(config.get(part, [])):
-            limits = [{**t, "value": float(t["value"])} for t in spec.get("thresholds", [])]
-            if "operation" in spec:
-                by_op = {spec["operation"]: limits}
-            else:
-                by_op = {}
-                for t in limits:
-                    by_op.setdefault(infer_operation(t["comparison"]), []).append(t)
-                by_op = by_op or {"aggregation": []}
-            for op, own in by_op.items():
-                for coords in spec["coords"]:
-                    start = bool(spec.get("include_start", False))
-                    if isinstance(coords, dict):
-                        coords = coordinates({"from": 0} | coords)
-                        first, last = coords[0], coords[-1]
-                    elif len(coords) == 1 and isinstance(coords[0], str):
-                        (first, last), start = map(int, coords[0].split("-")), True
-                    else:
-                        first, last = coords[0], coords[-1]
-                    label = name((first, last))
-                    if op in FOLDING and first != last and not start:
-                        coords = coords[1:]
-                    window_id = f"{prefix}{label}_{op}_{number}" if len(by_op) > 1 else f"{prefix}{label}_{number}"
-                    meta = _legacy_header(first, last, {**(keys or {}), **spec.get("metadata", {})})
-                    factor = float(spec.get("factor", 1.0)) if op == "difference_rate" else 1.0
-                    made.append(Window(window_id, tuple(coords), op, sequential=True, deaccumulate=spec.get("deaccumulate", False), factor=factor, meta=meta))
-                    thresholds += [{"window_id": window_id, "comparison": t["comparison"], "threshold": t["value"]} for t in own]
+            found, given = _by_operation(spec), {**(keys or {}), **spec.get("metadata", {})}
+            spans = [Span.of(c, bool(spec.get("include_start", False))) for c in spec["coords"]]
+            for op, span in product(found, spans):
+                window_id = span.label(prefix, number, op if len(found) > 1 else None)
+                factor = float(spec.get("factor", 1.0)) if op == "difference_rate" else 1.0
+                made.append(Window(window_id, span.inputs(op), op, sequential=True, deaccumulate=spec.get("deaccumulate", False), factor=factor, meta=span.header(given)))
+                thresholds += [{"window_id": window_id, "comparison": t["comparison"], "threshold": t["value"]} for t in found[op]]
     return made, thresholds
 
 

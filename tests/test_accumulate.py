@@ -6,12 +6,13 @@ import pytest
 from nimbria.operators.accumulate import accumulate, accumulate_dims, check_members, remaining
 from nimbria.plans import windows as W
 
-BASE = [[1.0, 4.0, 9.0], [1.0, 8.0, 27.0]]
-HIST = (0.5, 5.5, 10.5, 20.5, 40.5)
+#: Two members at three points; the value at a coordinate is the base and twice the coordinate.
+BASE = [[2.0, -3.0, 10.0], [0.5, 6.0, 40.0]]
+HIST = (-4.0, 1.0, 9.0, 20.0, 60.0)
 
 
 def feed(spark, coords):
-    rows = [(n, p, c, BASE[n][p] + c) for n in range(2) for p in range(3) for c in coords]
+    rows = [(n, p, c, BASE[n][p] + 2 * c) for n in range(2) for p in range(3) for c in coords]
     return spark.createDataFrame(rows, "number int, point_id int, step int, value double")
 
 
@@ -26,22 +27,29 @@ def full(x):
     return np.full((2, 3), float(x))
 
 
+def plus(x, times=1):
+    """``times`` the base and ``x``: what linear operations make of values that grow by 2."""
+    return times * np.array(BASE) + x
+
+
 CASES = [
-    ("sum", (0, 2, 4), {}, [[9, 18, 33], [9, 30, 87]]),
-    ("minimum", (0, 2, 4), {}, BASE),
-    ("maximum", (0, 2, 4), {}, [[5, 8, 13], [5, 12, 31]]),
-    ("integral", (0, 3, 4), {}, [[17, 29, 49], [17, 45, 121]]),
-    ("difference", (0, 4), {}, full(4)),
-    ("difference", (4,), {}, [[5, 8, 13], [5, 12, 31]]),
-    ("difference_rate", (0, 4), {}, full(1)),
-    ("difference_rate", (0, 4), {"factor": 0.5}, full(2)),
-    ("difference_rate", (4,), {"factor": 0.125}, [[10, 16, 26], [10, 24, 62]]),
-    ("mean", (0, 2, 4), {}, [[3, 6, 11], [3, 10, 29]]),
-    ("weighted_mean", (0, 3, 4), {}, [[4.25, 7.25, 12.25], [4.25, 11.25, 30.25]]),
-    ("mean", (0, 1, 2, 3, 4), {"sequential": True}, [[3.25, 6.25, 11.25], [3.25, 10.25, 29.25]]),
-    ("standard_deviation", (0, 2, 4), {}, full(1.632993161855452)),
-    ("mean", (0, 2, 4), {"deaccumulate": True}, full(2)),
-    ("sum", (0, 1, 2, 3, 4), {"deaccumulate": True, "sequential": True}, full(4)),
+    ("sum", (0, 2, 4), {}, plus(12, 3)),  # 0 + 4 + 8
+    ("minimum", (2, 3, 4), {}, plus(4)),
+    ("maximum", (0, 2, 4), {}, plus(8)),
+    ("integral", (0, 3, 4), {}, plus(26, 4)),  # 3 (base + 6) + 1 (base + 8)
+    ("integral", (2, 4), {}, plus(16, 2)),
+    ("difference", (0, 4), {}, full(8)),
+    ("difference", (3,), {}, plus(6)),
+    ("difference_rate", (0, 4), {}, full(2)),
+    ("difference_rate", (2, 4), {"factor": 0.25}, full(8)),
+    ("difference_rate", (4,), {"factor": 0.5}, plus(8) / 2),
+    ("mean", (0, 2, 4), {}, plus(4)),
+    ("weighted_mean", (0, 3, 4), {}, plus(6.5)),  # 3/4 of base + 6 and 1/4 of base + 8
+    ("weighted_mean", (2, 4), {"weights": (0.25, 0.75)}, plus(7)),
+    ("mean", (0, 1, 2, 3, 4), {"sequential": True}, plus(4.5)),  # of 0, 4, 6, 8: coordinate 1 is not there
+    ("standard_deviation", (0, 2, 4), {}, full(math.sqrt(32 / 3))),  # of 0, 4, 8
+    ("mean", (0, 2, 4), {"deaccumulate": True}, full(4)),
+    ("sum", (0, 1, 2, 3, 4), {"deaccumulate": True, "sequential": True}, full(8)),
     ("mean", (0, 1, 2), {}, full(np.nan)),  # coordinate 1 is missing: not complete
 ]
 
@@ -62,7 +70,7 @@ def test_histogram(spark):
     rows = {(r.number, r.point_id, r.bin): r.value for r in accumulate(feed(spark, (0, 2, 4)), [w], ["number", "point_id"]).collect()}
     for n in range(2):
         for p in range(3):
-            expected = np.histogram([BASE[n][p] + c for c in (0, 2, 4)], HIST)[0]
+            expected = np.histogram([BASE[n][p] + 2 * c for c in (0, 2, 4)], HIST)[0]
             assert [rows[n, p, b] for b in range(4)] == expected.tolist()
 
 
@@ -72,10 +80,10 @@ def test_empty_histogram_is_nan(spark):
 
 
 def test_overlapping_windows_share_a_scan(spark):
-    df = spark.createDataFrame([(0, p, s, float(s * v)) for p, v in enumerate((1, 2, 4)) for s in range(6, 49, 6)], "number int, point_id int, step int, value double")
-    windows = [W.Window(n, tuple(range(a, b + 1, 6)), "mean") for n, a, b in (("6-24", 6, 24), ("18-36", 18, 36), ("30-48", 30, 48))]
+    df = spark.createDataFrame([(p, s, float(s + 100 * p)) for p in range(3) for s in range(0, 31, 5)], "point_id int, step int, value double")
+    windows = [W.Window(n, tuple(range(a, b + 1, 5)), "mean") for n, a, b in (("0-10", 0, 10), ("5-25", 5, 25), ("20-30", 20, 30))]
     got = {(r.window_id, r.point_id): r.value for r in accumulate(df, windows, ["point_id"]).collect()}
-    assert [[got[w.window_id, p] for p in range(3)] for w in windows] == [[15, 30, 60], [27, 54, 108], [39, 78, 156]]
+    assert [[got[w.window_id, p] for p in range(3)] for w in windows] == [[m + 100 * p for p in range(3)] for m in (5, 15, 25)]
 
 
 def test_dims_fold_last_first(spark):

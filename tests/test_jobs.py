@@ -28,6 +28,11 @@ def test_products(spark, fields, product, options, rows):
     assert jobs.run(spark, config(fields, product=product, **options)).count() == rows
 
 
+def test_relabelled_job(spark, fields):
+    out = jobs.run(spark, config(fields, product="accumulate", relabel={"key": "quantile", "values": [10, 30, 50, 70, 90]}))
+    assert {(r.number, r.quantile) for r in out.collect()} == {(n, 10 + 20 * n) for n in range(5)}
+
+
 def test_climatology_products(spark, fields, tmp_path):
     q = [(p, i, float(i)) for p in range(3) for i in range(101)]
     spark.createDataFrame(q, "point_id int, quantile int, value double").write.parquet(str(tmp_path / "q"))
@@ -95,8 +100,35 @@ def test_metadata():
     with pytest.raises(ValueError):
         M.against_climate({"edition": 1}, {"edition": 2})
     assert M.inherited({"a": 1, "x": {"b": 2, "y": {"a": 3}}}, "x", "y") == {"a": 3, "b": 2}
-    p = M.Parameters({131: ["u", "U component"], 132: ["v"], 138: ["vo"], 155: ["d"]}, [("u", "v", "vo", "d")])
-    assert p.number("U") == 131 and p.number("131.128") == 131 and p.number("5.228") == 228005 and p.spectral[131, 132] == (138, 155) and p.wind[138, 155] == (131, 132)
+
+
+def test_parameter_tables(spark):
+    names = M.parameter_names(spark.createDataFrame([(131, ["u", "U component"]), (132, ["v"]), (138, ["vo"]), (155, ["d"]), (999, ["U"])], "number int, names array<string>"))
+    asked = spark.createDataFrame([(x,) for x in ("U", " v", "131.128", "5.228", "167", "no such")], "param string")
+    got = {r.param: r.number for r in M.numbered(asked, "param", names).collect()}
+    assert got == {"U": 131, " v": 132, "131.128": 131, "5.228": 228005, "167": 167, "no such": None}
+    pairs = M.wind_pairs(spark.createDataFrame([("u", "v", "vo", "d")], "u string, v string, vorticity string, divergence string"), names).first()
+    assert (pairs.u_number, pairs.v_number, pairs.vorticity_number, pairs.divergence_number) == (131, 132, 138, 155)
+
+
+def test_product_headers():
+    assert M.ensemble({"type": "em"}, {"stepRange": "0-24", "type": "pf"}) == {"stepRange": "0-24", "type": "em"}
+    assert M.wind({"edition": 1, "timeRangeIndicator": 7}, 300) == {"bitsPerValue": 24, "step": 300, "edition": 1, "timeRangeIndicator": 10}
+    assert [M.wind({}, s)["timeRangeIndicator"] for s in (0, 24, 255, 256)] == [1, 0, 0, 10]
+    mean = M.calibrated({"edition": 2}, "grid-mean", process=153)
+    assert (mean["type"], mean["productDefinitionTemplateNumber"], mean["inputProcessIdentifier"]) == ("gbf", 73, 153)
+    assert M.calibrated({"edition": 2}, "weather-type", 153)["packingType"] == "grid_ieee"
+    point = M.calibrated({"edition": 2}, "point-quantile", 153, 7, 99)
+    assert (point["productDefinitionTemplateNumber"], point["quantileValue"], point["totalNumberOfQuantiles"]) == (90, 7, 99)
+    assert M.calibrated({"edition": 1}, "point-quantile", 153, 7, 99) == {"edition": 1, "totalNumber": 99, "perturbationNumber": 7}
+    with pytest.raises(ValueError):
+        M.calibrated({"edition": 3}, "grid-mean")
+
+
+def test_relabelled_outputs(spark):
+    df = spark.createDataFrame([(w, n, 1.0) for w in ("a", "b") for n in (3, 7, 9)], "window_id string, number int, value double")
+    assert sorted((r.window_id, r.number, r.level) for r in M.relabelled(df, "level").collect()) == [(w, n, i) for w in "ab" for i, n in enumerate((3, 7, 9))]
+    assert sorted({(r.number, r.level) for r in M.relabelled(df, "level", ["x", "y"]).collect()}, key=str) == [(3, "x"), (7, "y"), (9, None)]
 
 
 def test_table_products(spark, fields, tmp_path):

@@ -92,7 +92,8 @@ def test_scalars():
 
 
 def test_legacy_windows():
-    """Lists are coordinates as they are, ids carry the window's number and, if it has several, the operation."""
+    """Lists are coordinates as they are, ids carry the window's number and, if it has several, the operation. Ids and header
+    values are fixed: other programs look outputs up by them."""
     w, t = W.legacy({"windows": [{"coords": [[0], [0, 3], [300, 306], {"from": 6, "to": 12, "by": 3}]}]}, {"expver": "1"})
     assert [(x.window_id, x.coords, x.op) for x in w] == [("0_0", (0,), "aggregation"), ("0-3_0", (3,), "aggregation"), ("300-306_0", (306,), "aggregation"), ("6-12_0", (9, 12), "aggregation")]
     assert w[0].meta == {"expver": "1", "timeRangeIndicator": 1, "step": "0"} and w[1].meta == {"expver": "1", "stepType": "max", "stepRange": "0-3"}
