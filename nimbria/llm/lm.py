@@ -4,12 +4,15 @@ A count is stored as its level on a logarithmic scale: the n-gram is entered onc
 lookup probes level after level until one is missing. Uni- and bigrams share the filter; smoothed probabilities come
 from those probes: P(w | h) = (c(hw) + mu P(w)) / (c(h) + mu), P(w) = (c(w) + 1) / (N + V + 1).
 
-Scale: every training n-gram of the corpus is kept, so the filter grows with it. It is therefore cut into segments of
-the n-grams' hash space, one for about ``segment_tokens`` tokens, and instead of all segments being broadcast the probes
-are sent to their segment: what a task holds is bounded whatever the corpus. Texts are read once and become blocks of
-token numbers in the shared folder. A block sends each of its distinct words and bigrams once to their segments, with
-its own training counts (so a frequent one is one entry a block); the segment sums them, builds its part of the filter,
-probes it for each block's keys and sends back a byte a key, and the words' exact counts for the base score.
+``fit`` counts the n-grams of the training documents and writes the model, a table: for each segment of the n-grams' hash
+space, of about ``segment_tokens`` tokens, the bits of its filter, and its words with their exact counts (for the base
+score). ``score`` reads nothing but that table and works on any documents.
+
+Scale: every training n-gram is kept, so the model grows with the corpus. Texts are read once and become blocks of token
+numbers in the shared folder. For the counts a block sends its distinct training n-grams to their segments, packed, each
+once; a task sums one segment. For the scores the segments are broadcast in groups of at most ``group_bytes``, one group after
+the other: in its turn each block probes the n-grams that lie in the group and notes a byte each. A worker's memory is a
+group and a block whatever the corpus; the turns grow with it, each a pass over the packed blocks alone.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.taskcontext import TaskContext
 from nimbria.llm.common import small_batches, texts, written
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_TOKENS, SEGMENT_TOKENS, BITS_PER_EVENT, PROBES, MU = 1_000_000, 1_000_000, 12, 5, 200.0
+BLOCK_TOKENS, SEGMENT_TOKENS, BITS_PER_EVENT, PROBES, MU, GROUP_BYTES = 1_000_000, 1_000_000, 12, 5, 200.0, 128 << 20
 #: The counts at which levels begin: powers of 5/4, rounded down.
 LEVELS = np.unique(np.floor(1.25 ** np.arange(180)).astype(np.int64))
 #: What a level stands for: the middle of its counts.
@@ -151,124 +154,201 @@ class Filter:
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key: probes go on while a level is found; 0 for a key that was not entered."""
-        out, live = np.zeros(len(keys), np.uint8), np.arange(len(keys))
-        for level in range(1, self.top + 1):
-            spot, step = self._first(keys[live], level)
-            for _ in range(PROBES):
-                at = spot % np.uint64(self.size)
-                hit = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                live, spot, step = live[hit], spot[hit] + step[hit], step[hit]
-            if not len(live):
-                break
-            out[live] = level
-        return out
+        return levels(self.bits, keys, np.full(len(keys), self.size, np.uint64), np.zeros(len(keys), np.uint64), self.top)
+
+
+def levels(bits: np.ndarray, keys: np.ndarray, sizes: np.ndarray, bases: np.ndarray, top: int) -> np.ndarray:
+    """The levels of keys, each in a filter of its own that begins at bit ``bases`` and has ``sizes`` bits."""
+    out, live = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+    for level in range(1, top + 1):
+        spot, step = Filter._first(keys[live], level)
+        for _ in range(PROBES):
+            at = bases[live] + spot % sizes[live]
+            hit = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            live, spot, step = live[hit], spot[hit] + step[hit], step[hit]
+        if not len(live):
+            break
+        out[live] = level
+    return out
 
 
 @dataclass
 class Block:
-    """A block opened again: its documents, token numbers, word hashes (the begin of a document last) and distinct bigrams."""
+    """A block opened again: its documents, token numbers, word hashes (the begin of a document last) and each token's bigram."""
 
     sizes: np.ndarray
     out: np.ndarray
     at: np.ndarray
     words: np.ndarray
     pairs: np.ndarray
-    pair_of: np.ndarray
 
     @classmethod
     def of(cls, sizes: bytes, out: bytes, tokens: bytes, hashes: bytes) -> Block:
         sizes, out, at, words = _open(sizes, np.int64), _open(out, bool), _open_planes(tokens, np.uint32), np.append(_open(hashes, np.uint64), BEGIN)
         before = np.roll(at, 1)
         before[np.cumsum(sizes) - sizes] = len(words) - 1
-        return cls(sizes, out, at, words, *np.unique(pair(words[before], words[at]), return_inverse=True))
+        return cls(sizes, out, at, words, pair(words[before], words[at]))
 
-    def orders(self, segments: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-        """For words and bigrams: the order by segment, in which they travel, and each segment's edges in it."""
-        made = []
-        for keys, place in ((self.words, single(self.words)), (self.pairs, self.pairs)):
-            place = (place % np.uint64(segments)).astype(np.int64)
-            order = np.lexsort((keys, place))
-            made.append((order, np.searchsorted(place[order], np.arange(segments + 1))))
-        return made[0], made[1]
 
+def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
+    return (keys % np.uint64(segments)).astype(np.int64)
 
-def asked(made: DataFrame, segments: int) -> DataFrame:
-    """(block, segment, words, word_counts, pairs, pair_counts): each block's distinct keys by segment, with its own training
-    counts, packed; a row for each segment that has any."""
+
+def counted(made: DataFrame, segments: int) -> DataFrame:
+    """(segment, words, word_counts, pairs, pair_counts): each block's distinct training n-grams by segment, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, *packed, counts in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for *packed, counts in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 own = Block.of(*packed)
                 counts = np.append(_open(counts, np.int64), (~own.out).sum())
-                stay = np.repeat(~own.out, own.sizes)
-                pair_counts = np.bincount(own.pair_of[stay], minlength=len(own.pairs))
-                (words, word_edges), (pairs, pair_edges) = own.orders(segments)
-                sides = [(own.words[words], counts[words], word_edges), (own.pairs[pairs], pair_counts[pairs], pair_edges)]
-                full = np.flatnonzero(np.diff(word_edges) + np.diff(pair_edges))
+                trained = np.flatnonzero(counts)
+                pairs, pair_counts = np.unique(own.pairs[np.repeat(~own.out, own.sizes)], return_counts=True)
+                sides = []
+                for keys, n, place in ((own.words[trained], counts[trained], single(own.words[trained])), (pairs, pair_counts, pairs)):
+                    place = _segment(place, segments)
+                    order = np.lexsort((keys, place))
+                    sides.append((keys[order], n[order], np.searchsorted(place[order], np.arange(segments + 1))))
+                full = np.flatnonzero(sum(np.diff(edges) for *_, edges in sides))
                 for first in range(0, len(full), 64):
                     some, columns = full[first : first + 64], []
                     for keys, n, edges in sides:
                         spans = [slice(edges[s], edges[s + 1]) for s in some]
                         columns += [[_pack_planes(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], [_pack_planes(n[s]) for s in spans]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], names=["block", "segment", "words", "word_counts", "pairs", "pair_counts"])
-
-    return made.select("block", "sizes", "out", "tokens", "hashes", "counts").mapInArrow(run, "block bigint, segment int, words binary, word_counts binary, pairs binary, pair_counts binary")
-
-
-def answered(questions: DataFrame) -> DataFrame:
-    """(block, segment, counts, word_levels, pair_levels, known) for every row of ``asked``: the words' exact counts and the
-    levels of words and bigrams in the segment's filter, packed in the order of the keys; ``known`` is the number of the
-    segment's distinct training words at its first row, else 0."""
-
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        opened = [[x if i % 2 else np.cumsum(x, dtype=np.uint64) for i, c in enumerate(("words", "word_counts", "pairs", "pair_counts")) for x in [_open_planes(row[c], np.int64 if i % 2 else np.uint64)]] for row in rows.select(["words", "word_counts", "pairs", "pair_counts"]).to_pylist()]
-        words, back = np.unique(np.concatenate([o[0] for o in opened]), return_inverse=True)
-        counts = np.zeros(len(words), np.int64)
-        np.add.at(counts, back, np.concatenate([o[1] for o in opened]))
-        pairs, pair_back = np.unique(np.concatenate([o[2] for o in opened]), return_inverse=True)
-        pair_counts = np.zeros(len(pairs), np.int64)
-        np.add.at(pair_counts, pair_back, np.concatenate([o[3] for o in opened]))
-        held = Filter.of(np.concatenate([single(words), pairs]), np.concatenate([counts, pair_counts]))
-        word_levels, pair_levels = held.level(single(words)), held.level(pairs)
-        ends, pair_ends = np.cumsum([len(o[0]) for o in opened]), np.cumsum([len(o[2]) for o in opened])
-        spans = [(back[b - len(o[0]) : b], pair_back[d - len(o[2]) : d]) for o, b, d in zip(opened, ends, pair_ends, strict=True)]
-        known = int(((counts > 0) & (words != BEGIN)).sum())
-        return pa.table({
-            "block": rows["block"], "segment": rows["segment"], "counts": pa.array([_pack_planes(counts[w]) for w, _ in spans], pa.binary()),
-            "word_levels": pa.array([_pack(word_levels[w]) for w, _ in spans], pa.binary()), "pair_levels": pa.array([_pack(pair_levels[p]) for _, p in spans], pa.binary()),
-            "known": pa.array([known] + [0] * (len(spans) - 1), pa.int64()),
-        })
-
-    return questions.groupBy("segment").applyInArrow(run, "block bigint, segment int, counts binary, word_levels binary, pair_levels binary, known bigint")
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, block_tokens: int = BLOCK_TOKENS, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], names=["segment", "words", "word_counts", "pairs", "pair_counts"])
+
+    return made.select("sizes", "out", "tokens", "hashes", "counts").mapInArrow(run, "segment int, words binary, word_counts binary, pairs binary, pair_counts binary")
+
+
+def _sum(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of packed runs, sorted, and their summed counts."""
+    found, back = np.unique(np.concatenate([np.cumsum(_open_planes(k, np.uint64), dtype=np.uint64) for k in keys]), return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, back, np.concatenate([_open_planes(c, np.int64) for c in counts]))
+    return found, total
+
+
+MODEL = "segment int, size bigint, top int, bits binary, words binary, counts binary, n_words bigint, n_tokens bigint, segments int"
+
+
+def _fit(made: DataFrame, total: int, segment_tokens: int) -> DataFrame:
+    segments = max(1, -(-total // segment_tokens))
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        words, counts = _sum(rows["words"].to_pylist(), rows["word_counts"].to_pylist())
+        pairs, pair_counts = _sum(rows["pairs"].to_pylist(), rows["pair_counts"].to_pylist())
+        held, real = Filter.of(np.concatenate([single(words), pairs]), np.concatenate([counts, pair_counts])), words != BEGIN
+        made = [key[0].as_py(), held.size, held.top, held.bits.tobytes(), words.tobytes(), _pack_planes(counts), int(real.sum()), int(counts[real].sum()), segments]
+        return pa.table([pa.array([v], t) for v, t in zip(made, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=[f.split()[0] for f in MODEL.split(", ")])
+
+    return written(counted(made, segments).groupBy("segment").applyInArrow(build, MODEL), "lm-model")
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
+    """The model of the documents of ``docs`` that are not held out (see ``score``), as a table in the shared folder: a row a
+    segment that has n-grams, with its filter, its words (64-bit hashes) and their counts. It can be written elsewhere and
+    read again as it is; N and V are sums of its columns ``n_tokens`` and ``n_words``."""
+    made = written(blocks(docs, id_col, text_col, block_tokens), "lm-blocks")
+    return _fit(made, made.agg(F.sum("n_tokens")).first()[0] or 0, segment_tokens)
+
+
+@dataclass
+class Group:
+    """Neighbouring segments of a model, as they are broadcast: their filters' bits in a row, where each begins and how many it
+    has, and their words, sorted, with counts."""
+
+    first: int
+    sizes: np.ndarray
+    bases: np.ndarray
+    bits: np.ndarray
+    top: int
+    words: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list, first: int, last: int) -> Group:
+        sizes, parts = np.full(last - first, 64, np.uint64), {r.segment: np.frombuffer(r.bits, np.uint8) for r in rows}
+        for r in rows:
+            sizes[r.segment - first] = r.size
+        bits = [parts.get(s, np.zeros(8, np.uint8)) for s in range(first, last)]  # a segment without n-grams has an empty filter
+        words = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r.words, np.uint64) for r in rows]])
+        counts = np.concatenate([np.zeros(0, np.int64), *[_open_planes(r.counts, np.int64) for r in rows]])
+        order = np.argsort(words)
+        return cls(first, sizes, np.cumsum(sizes) - sizes, np.concatenate(bits), max((r.top for r in rows), default=0), words[order], counts[order])
+
+    def level(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        return levels(self.bits, keys, self.sizes[segment - self.first], self.bases[segment - self.first], self.top)
+
+    def count(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.counts[at], 0)
+
+
+def _turns(model: DataFrame, segments: int, group_bytes: int) -> list[tuple[int, int]]:
+    """Ranges of segments that together take at most ``group_bytes``, by the largest segment's bytes (one segment at least)."""
+    largest = model.agg(F.max(F.length("bits") + F.length("words") + F.length("counts"))).first()[0] or 1
+    step = max(1, group_bytes // largest)
+    return [(first, min(first + step, segments)) for first in range(0, segments, step)]
+
+
+def probed(made: DataFrame, model: DataFrame, segments: int, turn: tuple[int, int]) -> DataFrame:
+    """(block, turn, counts, word_levels, pair_levels): what the turn's segments say of each block's words and tokens that lie
+    in them, in their order, packed."""
+    first, last = turn
+    shared = made.sparkSession.sparkContext.broadcast(Group.of(model.where(F.col("segment").between(first, last - 1)).collect(), first, last))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = shared.value
+        for batch in batches:
+            for block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = Block.of(*packed)
+                keys = single(own.words)
+                place, pair_place = _segment(keys, segments), _segment(own.pairs, segments)
+                here, pairs_here = (place >= first) & (place < last), (pair_place >= first) & (pair_place < last)
+                found = [_pack_planes(group.count(own.words[here])), _pack(group.level(keys[here], place[here])), _pack(group.level(own.pairs[pairs_here], pair_place[pairs_here]))]
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([first], pa.int32()), *[pa.array([f], pa.binary()) for f in found]], names=["block", "turn", "counts", "word_levels", "pair_levels"])
+
+    found = made.select("block", "sizes", "out", "tokens", "hashes").mapInArrow(run, "block bigint, turn int, counts binary, word_levels binary, pair_levels binary")
+    found = written(found, "lm-answers")
+    shared.unpersist()
+    return found
+
+
+def score(docs: DataFrame, model: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, block_tokens: int = BLOCK_TOKENS, segment_tokens: int = SEGMENT_TOKENS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Tokens are the words (A-Z lower-cased) and one end a document. Documents whose crc32(id as text) mod 7 is 2 are held
-    out; the rest train the counts and the filter. base_score adds log10((c + 1) / (N + V + 1)) over tokens with exact
-    counts (words are told apart by 64-bit hashes, n-grams in the filter by 48 bits); score is the model's log10
-    probability: its counts are the middles of the filter's levels, a bigram's no more than its words'. A null or empty
-    text is its end alone; bytes that are no UTF-8 are words like others; a null id trains; rows that repeat an id each
-    count and each return a row. Without training documents N and V are 0. Other columns, whatever their names, are not
-    read. An empty table gives an empty result. Memory a task: a block, and a document is never split.
+    ``model`` is a table made by ``fit``, of these documents or others; without one it is fitted to ``docs`` on the way. Tokens
+    are the words (A-Z lower-cased) and one end a document. Documents whose crc32(id as text) mod 7 is 2 are held out; the
+    rest train. base_score adds log10((c + 1) / (N + V + 1)) over tokens with exact counts (words are told apart by 64-bit
+    hashes, n-grams in the filter by 48 bits); score is the model's log10 probability: its counts are the middles of the
+    filter's levels, a bigram's no more than its words'. A null or empty text is its end alone; bytes that are no UTF-8 are
+    words like others; a null id trains; rows that repeat an id each count and each return a row. Without training documents
+    N and V are 0. Other columns, whatever their names, are not read. An empty table gives an empty result. Memory a task: a
+    group and a block, and a document is never split.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     made = written(blocks(docs, id_col, text_col, block_tokens), "lm-blocks")
-    total, train = (x or 0 for x in made.agg(F.sum("n_tokens"), F.sum("n_train")).first())
-    segments = max(1, -(-total // segment_tokens))
-    answers = written(answered(asked(made, segments)), "lm-answers")
-    whole = float(train + (answers.agg(F.sum("known")).first()[0] or 0) + 1)
+    if model is None:
+        model = _fit(made, made.agg(F.sum("n_tokens")).first()[0] or 0, segment_tokens)
+    segments, train, known = (x or 0 for x in model.agg(F.max("segments"), F.sum("n_tokens"), F.sum("n_words")).first())
+    segments, whole = max(segments, 1), float(train + known + 1)
+    turns, answers = _turns(model, segments, group_bytes), None
+    for turn in turns:
+        found = probed(made, model, segments, turn)
+        answers = found if answers is None else answers.unionByName(found)
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         block = Block.of(*(own[c][0].as_py() for c in ("sizes", "out", "tokens", "hashes")))
-        found = found.sort_by("segment")
-        (words, _), (pairs, _) = block.orders(segments)
-        c, near, together = np.empty(len(words), np.int64), np.empty(len(words)), np.empty(len(pairs))
-        c[words] = np.concatenate([_open_planes(x, np.int64) for x in found["counts"].to_pylist()])
-        near[words] = MIDDLES[np.concatenate([_open(x, np.uint8) for x in found["word_levels"].to_pylist()])]
-        together[pairs] = MIDDLES[np.concatenate([_open(x, np.uint8) for x in found["pair_levels"].to_pylist()])]
+        place, pair_place = _segment(single(block.words), segments), _segment(block.pairs, segments)
+        c, near, together = np.empty(len(block.words), np.int64), np.empty(len(block.words)), np.empty(len(block.pairs))
+        for row in found.to_pylist():
+            first, last = next(t for t in turns if t[0] == row["turn"])
+            here, pairs_here = (place >= first) & (place < last), (pair_place >= first) & (pair_place < last)
+            c[here] = _open_planes(row["counts"], np.int64)
+            near[here] = MIDDLES[_open(row["word_levels"], np.uint8)]
+            together[pairs_here] = MIDDLES[_open(row["pair_levels"], np.uint8)]
         sizes, at = block.sizes, block.at
         starts = np.cumsum(sizes) - sizes
         base = np.add.reduceat(np.log10((c + 1) / whole)[at], starts)
@@ -276,10 +356,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: f
         alone = np.minimum(near + 1, whole) / whole  # a level may stand for more than was counted
         history = np.roll(near[at], 1)
         history[starts] = near[-1]
-        both = np.minimum(together[block.pair_of], np.minimum(history, near[at]))  # a bigram is no more frequent than its words
+        both = np.minimum(together, np.minimum(history, near[at]))  # a bigram is no more frequent than its words
         logs = np.log10((both + mu * alone[at]) / (history + mu))
         n = len(sizes)
         return pa.table({id_col: own["ids"].combine_chunks().values, "held_out": pa.array(block.out), "n_tokens": pa.array(sizes), "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(n, train, np.int64)), "base_score": pa.array(base), "score": pa.array(np.add.reduceat(logs, starts))})
 
     result = f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return made.drop("counts", "n_tokens", "n_train").groupBy("block").cogroup(answers.drop("known").groupBy("block")).applyInArrow(run, result)
+    return made.drop("counts", "n_tokens", "n_train").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, result)

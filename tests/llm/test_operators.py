@@ -448,13 +448,51 @@ def test_lm_equals_exact_counts(request, table, parts, segment):
     df = request.getfixturevalue(table)
     rows = df.collect()
     want = sorted(zip([str(r.doc_id) for r in rows], brute_lm(rows, 50.0), strict=True))
-    got = sorted((str(r.doc_id), r.score) for r in lm.score(df.repartition(parts).withColumn("score", F.lit("clash")), mu=50.0, block_tokens=3000, segment_tokens=segment).collect())
+    got = sorted((str(r.doc_id), r.score) for r in lm.score(df.repartition(parts).withColumn("score", F.lit("clash")), mu=50.0, block_tokens=3000, segment_tokens=segment, group_bytes=60_000).collect())
     n = sum(len(words(r.text)) + 1 for r in rows)
     assert [d for d, _ in got] == [d for d, _ in want]
     off = sum(abs(a - b) for (_, a), (_, b) in zip(got, want, strict=True))
     assert off < 0.01 * n  # under a hundredth of a decimal a token
 
 
+def test_lm_model_scores_other_documents(spark, docs, tmp_path):
+    """The written model alone scores documents that it was not fitted to, whatever the groups in which it is broadcast."""
+    model = lm.fit(docs, segment_tokens=4000)
+    model.write.parquet(str(tmp_path / "model"))
+    model = spark.read.parquet(str(tmp_path / "model"))
+    assert model.count() > 5
+    c, n_docs = Counter(), 0
+    for r in docs.collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 7 != 2:
+            c.update([*words(r.text.translate(LOWER) if r.text else ""), None])
+            n_docs += 1
+    n, v = sum(c.values()), len(c)
+    assert tuple(model.agg(F.sum("n_tokens"), F.sum("n_words")).first()) == (n, v)
+    common = [w for w, _ in c.most_common(30) if w]
+    new = spark.createDataFrame([(1, " ".join(common)), (2, "Qqqq zzzz never seen"), (3, None), (4, " ".join(common).upper())], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(new, model, group_bytes=20_000).collect()}
+    assert got == {r.doc_id: r for r in lm.score(new, model).collect()}
+    assert got[1].train_tokens == n and got[1].n_known == len(common) + 1 and got[2].n_known == 1
+    assert got[1].base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in [*common, None]))
+    assert (got[4].score, got[4].base_score) == (got[1].score, got[1].base_score)
+    assert got[1].score / got[1].n_tokens > got[2].score / got[2].n_tokens
+
+
+def test_lm_rows_grow_with_the_input(spark, docs):
+    """Rows that blocks are answered by: a row a block and turn. At 2, 4 and 8 times the input they grow in proportion."""
+    rows, sizes = [], []
+    for times in (1, 2, 4, 8):
+        more = docs.select("doc_id", "text").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        more = more.select((F.col("doc_id") * 10 + F.col("k")).alias("doc_id"), F.regexp_replace("text", "e", F.concat(F.lit("e"), F.col("k"))).alias("text")).repartition(4)
+        made = lm.written(lm.blocks(more, "doc_id", "text", 5000), "test-blocks")
+        model = lm._fit(made, made.agg(F.sum("n_tokens")).first()[0], 5000)
+        segments = model.agg(F.max("segments")).first()[0]
+        turns = lm._turns(model, segments, lm.GROUP_BYTES)
+        rows.append(sum(lm.probed(made, model, segments, t).count() for t in turns))
+        sizes.append(model.count())
+    assert all(b <= 2.3 * a + 4 for a, b in zip(rows, rows[1:], strict=False)) and all(b <= 2.3 * a + 2 for a, b in zip(sizes, sizes[1:], strict=False))
+
+
 def test_lm_filter():
     keys = np.unique(np.random.default_rng(4).integers(0, 2**48, 4000, dtype=np.uint64))
     counts = np.random.default_rng(5).zipf(1.5, len(keys)).clip(1, 10**6)
