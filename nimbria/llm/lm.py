@@ -33,7 +33,7 @@ from pyspark.taskcontext import TaskContext
 from nimbria.llm.common import small_batches, texts, written
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_TOKENS, SEGMENT_TOKENS, BITS_PER_EVENT, PROBES, MU, GROUP_BYTES = 1_000_000, 1_000_000, 12, 5, 200.0, 128 << 20
+BLOCK_TOKENS, SEGMENT_TOKENS, BITS_PER_EVENT, PROBES, MU, GROUP_BYTES = 1_000_000, 1_000_000, 12, 5, 200.0, 64 << 20
 #: The counts at which levels begin: powers of 5/4, rounded down.
 LEVELS = np.unique(np.floor(1.25 ** np.arange(180)).astype(np.int64))
 #: What a level stands for: the middle of its counts.
@@ -297,7 +297,8 @@ def probed(made: DataFrame, model: DataFrame, segments: int, turn: tuple[int, in
     """(block, turn, counts, word_levels, pair_levels): what the turn's segments say of each block's words and tokens that lie
     in them, in their order, packed."""
     first, last = turn
-    shared = made.sparkSession.sparkContext.broadcast(Group.of(model.where(F.col("segment").between(first, last - 1)).collect(), first, last))
+    rows = model.where(F.col("segment").between(first, last - 1)).select("segment", "size", "top", "bits", "words", "counts")
+    shared = made.sparkSession.sparkContext.broadcast(Group.of(list(rows.toLocalIterator()), first, last))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = shared.value
