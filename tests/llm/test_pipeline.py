@@ -53,7 +53,7 @@ def test_sql(spark, sf):
 
 def test_queries_are_named():
     names = list(queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and np.unique(names).size == 10
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and np.unique(names).size == 13
 
 
 EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
