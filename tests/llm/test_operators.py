@@ -392,6 +392,32 @@ def test_ann_keeps_near_copies(spark):
         assert got[q] == np.lexsort((np.arange(600), -scores))[:20].tolist()
 
 
+def test_ann_scan_selects(spark, sf):
+    """The codes leave under a twentieth of the rows for exact products, and lose none of the nearest."""
+    x = np.array([r.embedding for r in spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.1')}/embeddings.parquet").collect()], float)
+    ids = np.arange(len(x))
+    q = ann.fit(x)
+    found = list(ann.nearest(q, ids, x, *q.encode(x), ids[::20], x[::20]))
+    assert np.mean([exact for *_, exact in found]) < 0.05 * len(x)
+    for me, best, score, _ in found:
+        scores = x @ x[me]
+        scores[me] = -np.inf
+        assert best.tolist() == np.lexsort((ids, -scores))[:20].tolist() and score == pytest.approx(scores[best])
+
+
+def test_ann_bound_holds_for_long_vectors():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (300, 2048)) * rng.uniform(0.01, 100, (300, 1))
+    q = ann.fit(x[:200], rounds=1)
+    codes, errors = q.encode(x)
+    tables, true = q.tables(x[:20]), x[:20] @ x.T
+    rough = np.zeros((20, 300), np.float32)
+    for depth in range(len(codes)):
+        for m in range(codes.shape[2]):
+            rough += tables[depth, :, m].take(codes[depth, :, m], axis=1)
+        assert (np.abs(rough - true) <= errors[depth] * np.linalg.norm(x[:20], axis=1)[:, None]).all()
+
+
 def test_ann_edges(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(100, None), (120, [0.0, 0.0]), (140, [nan, 1.0]), (160, [inf, 1.0]), (180, [None, 1.0]), (None, [1.0, 1.0]), (200, []), (220, [1.0])]
