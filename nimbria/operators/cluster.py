@@ -281,6 +281,41 @@ def representatives(pcs: DataFrame, labels: DataFrame) -> DataFrame:
     return away.groupBy("cluster").agg(F.min(F.struct("rms", "number")).alias("b")).select("cluster", "b.number", "b.rms")
 
 
+def undivided(pcs: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Where no partition will do: labels (keys, number, cluster) of one cluster with all members, and its representative
+    (keys, cluster, number), the member of the smallest norm in component space; ties go to the smaller number."""
+    square = pcs.groupBy(*keys, "number").agg(F.sum(F.col("pc") * F.col("pc")).alias("square"), F.lit(0).alias("cluster"))
+    chosen = square.groupBy(*keys, "cluster").agg(F.min(F.struct("square", "number")).alias("b")).select(*keys, "cluster", "b.number")
+    return square.select(*keys, "number", "cluster"), chosen
+
+
+def records(labels: DataFrame, chosen: DataFrame, steps: list[tuple[int, int | None]], keys: list[str], control: int = 0, deterministic: DataFrame | None = None, regime_of: DataFrame | None = None, at_least: int = 0) -> DataFrame:
+    """The headers of a clustering's output, a row for each cluster and step: keys, ``n_clusters``, ``control_cluster``,
+    ``cluster`` (from 1), ``n_members``, ``members`` (sorted array), ``deterministic_cluster``, ``representative``, ``first_step``,
+    ``last_step`` (null: an instant) and ``regime``.
+
+    ``labels`` (keys, number, cluster from 0) has a row a member, ``chosen`` (keys, cluster, number) one a cluster, ``steps``
+    are pairs of first and last step or None, ``deterministic`` (keys, cluster) where the deterministic forecast
+    falls, ``regime_of`` (keys, cluster, first_step, regime) the regimes; what is not known is 0. Where there are fewer than
+    ``at_least`` clusters, the numbers up to it get placeholders without members and with zeros. A clustering is told apart
+    by ``keys``; its members are an ensemble's, so that one row holds them. Fields are in ``centroids`` and meet by cluster.
+    """
+    one = labels.groupBy(*keys).agg((F.max("cluster") + 1).cast("int").alias("n_clusters"), (F.max(F.when(F.col("number") == control, F.col("cluster"))) + 1).alias("control_cluster"))
+    groups = labels.groupBy(*keys, "cluster").agg(F.count("*").cast("int").alias("n_members"), F.sort_array(F.collect_list("number")).alias("members"))
+    chosen = chosen.select(*keys, "cluster", F.col("number").alias("representative"))
+    places = one.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.greatest("n_clusters", F.lit(at_least)) - 1)))
+    rows = places.join(groups, [*keys, "cluster"], "left").join(chosen, [*keys, "cluster"], "left")
+    zero, found = F.lit(0).cast("int"), F.col("n_members").isNotNull()
+    own = rows.select(*keys).distinct().withColumn("own", zero) if deterministic is None else deterministic.select(*keys, (F.col("cluster") + 1).alias("own"))
+    rows = rows.join(own, keys, "left").withColumnRenamed("own", "deterministic_cluster")
+    spans = F.array(*[F.struct(F.lit(a).cast("int").alias("first_step"), F.lit(b).cast("int").alias("last_step")) for a, b in steps])
+    rows = rows.withColumn("__step", F.explode(spans)).select("*", "__step.*").drop("__step")
+    rows = rows.withColumn("regime", zero) if regime_of is None else rows.join(regime_of.select(*keys, "cluster", "first_step", "regime"), [*keys, "cluster", "first_step"], "left")
+    known = lambda c: F.when(found, F.coalesce(F.col(c), zero)).otherwise(zero).cast("int").alias(c)
+    members = F.coalesce("members", F.array().cast(groups.schema["members"].dataType))
+    return rows.select(*keys, "n_clusters", known("control_cluster"), (F.col("cluster") + 1).cast("int").alias("cluster"), known("n_members"), members.alias("members"), known("deterministic_cluster"), known("representative"), "first_step", "last_step", known("regime"))
+
+
 def project(fields: DataFrame, eof: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, component, pc): weighted projection of fields on EOFs, divided by the EOF's weighted norm."""
     e = eof.join(weights, "point_id")

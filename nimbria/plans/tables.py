@@ -135,6 +135,14 @@ def nearest_window(hour: Column, starts: list[int], base_time: int = 0) -> Colum
     return F.array_min(F.array(*away))["start"]
 
 
+def cluster_steps(jobs: DataFrame, first: str = "first", last: str = "last", every: str = "every") -> DataFrame:
+    """``jobs`` with ``monthly`` and a row for each ``step`` from ``first`` to ``last``: every ``every`` hours, or seven times that for
+    monthly jobs, which are those of one step and those longer than 120 hours."""
+    monthly = (F.col(last) - F.col(first) > 120) | (F.col(last) == F.col(first))
+    rows = jobs.withColumn("monthly", monthly).where((F.col(first) <= F.col(last)) & (F.col(every) > 0))
+    return rows.withColumn("step", F.explode(F.sequence(F.col(first).cast("int"), F.col(last).cast("int"), (F.col(every) * F.when(F.col("monthly"), 7).otherwise(1)).cast("int"))))
+
+
 def as_of_calendar(dates: DataFrame, calendar: DataFrame, date: str, day: str) -> DataFrame:
     """``dates`` with ``calendar_day``: the last day of a calendar not after each date; an error is left to the caller (null)."""
     from nimbria.operators.intervals import asof
