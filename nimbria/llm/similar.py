@@ -4,13 +4,16 @@ Two texts are linked if the sets of their word shingles have a Jaccard similarit
 words by default); classes are the transitive closure. At 0.8 two 64-bit fingerprints differ in 10 bits on average and in
 over ``DISTANCE`` = 24 with a chance of about one in a million, too many for segments of the fingerprint to serve as join keys: at
 any such distance the keys would be a few bits long and put a fixed share of the corpus in each bucket. So texts meet by
-min-hash bands (24 bands of three: a pair at 0.8 misses all with a chance of 4e-8), candidates are pruned by the chains
-of the fingerprints' ring, then by the full Hamming check, and what remains is settled by the exact sets.
+min-hash bands (36 bands of five: a pair at 0.8 misses all with a chance of 6e-7, one at 0.3 meets in some with 8 %, at 0.1
+with 4e-4), candidates are pruned by the chains of the fingerprints' ring, then by the full Hamming check, and what remains
+is settled by the exact sets.
 
 Scale: texts are read once; copies of a shingle set are one node. A bucket of a band only links its nodes to its least one,
-so nothing collects a bucket. The candidate groups that this makes are settled in blocks: a group that fits in a block in
-one task; a larger one first against two of its own members, by an equi-join that adaptive execution may split, and
-then only what is not linked to the first of them is compared with the group, block against block. A row is a block, never a pair.
+so nothing collects a bucket. A candidate group that this makes and that fits in a block is settled in one task. A larger one
+is first compared with four of its own members, by an equi-join that adaptive execution may split. What that does not connect
+to the first of them is not compared with the whole group, which chance hits may have chained together, but with the buckets it is in:
+each in one task if it fits in a block, else with four of the bucket's members and then block against block. So work follows
+the buckets, not the closure over unverified hits. Buckets of the same nodes count once. A row is a block, never a pair.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from nimbria.llm.components import components
 from nimbria.llm.simhash import SEED, chain_budgets, simhash_of
 
 SHINGLE, SIMILARITY, DISTANCE, SEGMENTS = 5, 0.8, 24, 8
-BANDS, ROWS = 24, 3
+BANDS, ROWS, LEADERS = 36, 5, 4
 BLOCK_DOCS, BLOCK_SHINGLES, MOST_NUMBERS = 1024, 1 << 18, 1 << 20
 _ODD = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.random.default_rng(SEED + 1).integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,38 +169,68 @@ def candidate_groups(sketched: DataFrame) -> DataFrame:
     return components(keyed.join(least, "band").where("node <> b").select(F.col("node").alias("a"), "b"))
 
 
+def _blocks(block_docs: int, block_shingles: int):
+    return F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")
+
+
+MEMBER = ("node", "fp", "held", "label")
+
+
+def _stars(rows: DataFrame, key: str, run) -> tuple[DataFrame, DataFrame]:
+    """Edges of the ``rows`` of each group to ``LEADERS`` of its members, chosen by hash, and the rows with ``in_first``: true if
+    these edges connect them to the first leader, null if not."""
+    leaders = cut(rows.groupBy(key).agg(*[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "fp", "held")).alias(f"l{i}") for i in range(LEADERS)]))
+    many = F.array(*[F.struct(f"l{i}.node", f"l{i}.fp", f"l{i}.held", F.lit(i).cast("long").alias("label")) for i in range(LEADERS)])
+    tested = rows.join(leaders.select(key, many.alias("many")), key).select(F.array(F.struct(*MEMBER)).alias("one"), "many")
+    star = written(tested.mapInArrow(run, "a bigint, b bigint"), "near-stars")
+    own = leaders.select(key, F.explode(F.array(*[F.struct(F.col(f"l{i}.node").alias("b"), F.lit(1 << i).alias("bit")) for i in range(LEADERS)])).alias("x")).select(key, "x.*")
+    linked = star.join(own, "b").select(key, F.col("a").alias("node"), "bit").union(own.select(key, "b", "bit"))
+    linked = cut(linked.groupBy(key, "node").agg(F.bit_or("bit").alias("mask")))  # which leaders a node is linked to
+    meets = lambda x, y: x.bitwiseAND(y) != 0
+    grown = lambda r: F.aggregate("masks", r, lambda q, m: F.when(meets(q, m), q.bitwiseOR(m)).otherwise(q))
+    masks = linked.groupBy(key).agg(F.collect_set("mask").alias("masks"))  # at most 2 ** LEADERS of them
+    reach = masks.select(key, F.aggregate(F.sequence(F.lit(1), F.lit(LEADERS)), F.lit(1), lambda r, _: grown(r)).alias("reach"))
+    reached = linked.join(reach, key).where(meets(F.col("mask"), F.col("reach"))).select(key, "node", F.lit(True).alias("in_first"))
+    return star, rows.join(reached, [key, "node"], "left")
+
+
 def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = DISTANCE, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Edges (a, b) between nodes of ``sketched`` whose components are those of all links between their sets."""
     groups = candidate_groups(sketched)
     groups = cut(groups.unionByName(groups.select(F.col("root").alias("node"), "root")).distinct())
     one = sketched.groupBy("node").agg(F.min("at").alias("at"), F.max("n").alias("n"))
     chosen = cut(one.join(groups, "node").select("at", "root", "n"))
-    blocks = F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_shingles)).cast("int")
-    weights = cut(chosen.groupBy("root").agg(blocks.alias("blocks")))
-    member = F.struct("node", "fp", "held", "label")
+    weights = cut(chosen.groupBy("root").agg(_blocks(block_docs, block_shingles)))
+    within = lambda rows, key: rows.groupBy(key).agg(F.collect_list(F.struct(*MEMBER)).alias("members")).select("members").mapInArrow(_within(similarity, distance), "a bigint, b bigint")
+    between = _between(similarity, distance)
 
     def members(groups: DataFrame) -> DataFrame:
-        """(root, blocks, node, fp, held, label) of the nodes of ``groups``. Their numbers are broadcast after counting them."""
-        asked = chosen.join(groups, "root").select("at", "root", "blocks")
+        """The rows of ``sketched`` of the nodes of ``groups``, with their root. Their numbers are broadcast after counting them."""
+        asked = chosen.join(groups, "root").select("at", "root")
         few = asked.limit(MOST_NUMBERS + 1).count() <= MOST_NUMBERS
-        return sketched.select("at", "node", "fp", "held").join(F.broadcast(asked) if few else asked, "at").select("root", "blocks", "node", "fp", "held", F.lit(0).cast("long").alias("label"))
+        rows = sketched.select("at", "node", "fp", "n", "bands", "held", F.lit(0).cast("long").alias("label"))
+        return rows.join(F.broadcast(asked) if few else asked, "at").drop("at")
 
-    small = members(weights.where("blocks = 1")).groupBy("root").agg(F.collect_list(member).alias("members"))
-    found = small.select("members").mapInArrow(_within(similarity, distance), "a bigint, b bigint")
+    found = within(members(weights.where("blocks = 1")), "root")
     if weights.where("blocks > 1").isEmpty():
         return found
     large = written(members(weights.where("blocks > 1")), "near-members")
-    leaders = cut(large.groupBy("root").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "fp", "held")).alias(f"l{i}") for i in (0, 1)]))
-    tested = large.join(leaders.select("root", *[F.array(F.struct(f"l{i}.node", f"l{i}.fp", f"l{i}.held", F.lit(i).cast("long").alias("label"))).alias(f"m{i}") for i in (0, 1)]), "root")
-    stars = [written(tested.select(F.array(member).alias("one"), f"m{i}").mapInArrow(_between(similarity, distance), "a bigint, b bigint"), "near-stars") for i in (0, 1)]
-    first = leaders.select(F.col("l0.node").alias("node"))
-    reached = stars[0].select(F.col("a").alias("node")).union(first).distinct().withColumn("in_first", F.lit(True))
-    labelled = large.join(reached, "node", "left").withColumn("label", F.when(F.col("in_first"), F.col("root")).otherwise(F.col("node")))
+    star, tested = _stars(large, "root", between)
+    found = found.union(star)
+    place = cut(tested.select("node", "n", F.explode("bands").alias("band"), F.col("in_first").isNull().alias("rest")))
+    held = place.groupBy("band").agg(_blocks(block_docs, block_shingles), F.count("*").alias("nodes"), F.max("rest").alias("rest"), F.expr("bit_xor(xxhash64(node))").alias("same")).where("rest and nodes > 1")
+    buckets = cut(held.groupBy("same", "nodes", "blocks").agg(F.min("band").alias("band")).select("band", "blocks"))
+    inside = lambda some: large.join(place.join(buckets.where(some), "band").select("node", "band", "blocks"), "node").select("band", "blocks", *MEMBER)
+    found = found.union(within(inside("blocks = 1"), "band"))
+    if buckets.where("blocks > 1").isEmpty():
+        return found
+    star, tested = _stars(written(inside("blocks > 1"), "near-buckets"), "band", between)
+    labelled = tested.withColumn("label", F.when(F.col("in_first"), F.lit(-1).cast("long")).otherwise(F.col("node")))
     block = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks"))
-    packed = lambda rows, salt: rows.groupBy("root", block(salt).alias("block")).agg(F.collect_list(member).alias("members"))
-    rest = packed(labelled.where("in_first is null"), 2).select("root", F.col("members").alias("asked"))
-    across = rest.join(packed(labelled, 3), "root").select("asked", "members").mapInArrow(_between(similarity, distance), "a bigint, b bigint")
-    return found.union(stars[0]).union(stars[1]).union(across)
+    packed = lambda rows, salt: rows.groupBy("band", block(salt).alias("block")).agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
+    rest = packed(labelled.where("in_first is null"), 2).select("band", F.col("members").alias("asked"))
+    across = rest.join(packed(labelled, 3), "band").select("asked", "members").mapInArrow(between, "a bigint, b bigint")
+    return found.union(star).union(across)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE, **blocks) -> DataFrame:

@@ -188,6 +188,34 @@ def test_similar_dedup(edge, empty):
     assert similar.classes(empty).count() == 0 and similar.dedup(empty).count() == 0
 
 
+def test_similar_groups_by_verified_links(spark):
+    """Texts of one pool of sentences (alike to 0.1 to 0.3, no links) with planted classes: classes equal brute force, whether
+    chance hits chain the texts together or not, and the compared rows follow the buckets."""
+    rng = np.random.default_rng(8)
+    pool = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 12)) for _ in range(60)]
+    rows = [". ".join(pool[i] for i in rng.choice(60, 14, replace=False)) for _ in range(700)]
+    for c in range(3):  # each copy differs from its class's base in another word
+        base = " ".join(f"c{c}x{x}" for x in range(120)).split()
+        rows += [" ".join(w if k != at else f"odd{at}" for k, w in enumerate(base)) for at in range(0, 118, 2)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sets = [set(similar.shingles(t.encode()).tolist()) for t in rows]
+    want = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and want[i] != want[j]:
+                gone, to = max(want[i], want[j]), min(want[i], want[j])
+                want = [to if w == gone else w for w in want]
+    assert sorted(np.bincount(want, minlength=1))[-3:] == [59, 59, 59]
+    for block in (1024, 40, 7):
+        got = {r.doc_id: r.component_id for r in similar.classes(df, block_docs=block).collect()}
+        assert got == dict(enumerate(want))
+    sketched = similar.written(similar.sketches(df, "doc_id", "text"), "test-sketches")
+    sizes = sketched.where("id < 700").select(F.explode("bands").alias("b")).groupBy("b").count()
+    met = sizes.agg(F.sum(F.col("count") * (F.col("count") - 1))).first()[0]
+    assert met < 0.001 * 36 * 700**2  # of all pairs in all bands
+
+
 def test_similar_chains_keep_all_within_distance():
     """By the pigeonring principle no pair within the distance is pruned."""
     rng = np.random.default_rng(13)
