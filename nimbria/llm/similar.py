@@ -11,7 +11,7 @@ is settled by the exact sets.
 Scale: texts are read once; copies of a shingle set are one node. A bucket of a band only links its nodes to its least one,
 so nothing collects a bucket. A candidate group that this makes and that fits in a block is settled in one task. A larger one
 is first compared with four of its own members, by an equi-join that adaptive execution may split. What that does not connect
-to the first of them is not compared with the whole group, which chance hits may have chained together, but with the buckets it is in:
+to the first of them is compared with the group's blocks if they are fewer than the bands, else with the buckets it is in alone:
 each in one task if it fits in a block, else with four of the bucket's members and then block against block. So work follows
 the buckets, not the closure over unverified hits. Buckets of the same nodes count once. A row is a block, never a pair.
 """
@@ -194,8 +194,20 @@ def _stars(rows: DataFrame, key: str, run) -> tuple[DataFrame, DataFrame]:
     return star, rows.join(reached, [key, "node"], "left")
 
 
-def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = DISTANCE, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """Edges (a, b) between nodes of ``sketched`` whose components are those of all links between their sets."""
+def _across(tested: DataFrame, key: str, run) -> DataFrame:
+    """Edges of the rows that are not ``in_first`` to all rows of their group, block against block."""
+    labelled = tested.withColumn("label", F.when(F.col("in_first"), F.lit(-1).cast("long")).otherwise(F.col("node")))
+    block = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks"))
+    packed = lambda rows, salt: rows.groupBy(key, block(salt).alias("block")).agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
+    rest = packed(labelled.where("in_first is null"), 2).select(key, F.col("members").alias("asked"))
+    return rest.join(packed(labelled, 3), key).select("asked", "members").mapInArrow(run, "a bigint, b bigint")
+
+
+def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = DISTANCE, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES, most_blocks: int = BANDS) -> DataFrame:
+    """Edges (a, b) between nodes of ``sketched`` whose components are those of all links between their sets.
+
+    The rest of a group of at most ``most_blocks`` blocks meets each of them, that of a larger group its buckets: a set travels as
+    often as there are blocks, and at most as often as there are bands."""
     groups = candidate_groups(sketched)
     groups = cut(groups.unionByName(groups.select(F.col("root").alias("node"), "root")).distinct())
     one = sketched.groupBy("node").agg(F.min("at").alias("at"), F.max("n").alias("n"))
@@ -206,7 +218,7 @@ def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = D
 
     def members(groups: DataFrame) -> DataFrame:
         """The rows of ``sketched`` of the nodes of ``groups``, with their root. Their numbers are broadcast after counting them."""
-        asked = chosen.join(groups, "root").select("at", "root")
+        asked = chosen.join(groups, "root").select("at", "root", "blocks")
         few = asked.limit(MOST_NUMBERS + 1).count() <= MOST_NUMBERS
         rows = sketched.select("at", "node", "fp", "n", "bands", "held", F.lit(0).cast("long").alias("label"))
         return rows.join(F.broadcast(asked) if few else asked, "at").drop("at")
@@ -216,8 +228,11 @@ def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = D
         return found
     large = written(members(weights.where("blocks > 1")), "near-members")
     star, tested = _stars(large, "root", between)
-    found = found.union(star)
-    place = cut(tested.select("node", "n", F.explode("bands").alias("band"), F.col("in_first").isNull().alias("rest")))
+    found = found.union(star).union(_across(tested.where(F.col("blocks") <= most_blocks), "root", between))
+    if weights.where(F.col("blocks") > max(1, most_blocks)).isEmpty():
+        return found
+    large = large.where(F.col("blocks") > most_blocks).drop("blocks")
+    place = cut(tested.where(F.col("blocks") > most_blocks).select("node", "n", F.explode("bands").alias("band"), F.col("in_first").isNull().alias("rest")))
     held = place.groupBy("band").agg(_blocks(block_docs, block_shingles), F.count("*").alias("nodes"), F.max("rest").alias("rest"), F.expr("bit_xor(xxhash64(node))").alias("same")).where("rest and nodes > 1")
     buckets = cut(held.groupBy("same", "nodes", "blocks").agg(F.min("band").alias("band")).select("band", "blocks"))
     inside = lambda some: large.join(place.join(buckets.where(some), "band").select("node", "band", "blocks"), "node").select("band", "blocks", *MEMBER)
@@ -225,12 +240,7 @@ def links(sketched: DataFrame, similarity: float = SIMILARITY, distance: int = D
     if buckets.where("blocks > 1").isEmpty():
         return found
     star, tested = _stars(written(inside("blocks > 1"), "near-buckets"), "band", between)
-    labelled = tested.withColumn("label", F.when(F.col("in_first"), F.lit(-1).cast("long")).otherwise(F.col("node")))
-    block = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks"))
-    packed = lambda rows, salt: rows.groupBy("band", block(salt).alias("block")).agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
-    rest = packed(labelled.where("in_first is null"), 2).select("band", F.col("members").alias("asked"))
-    across = rest.join(packed(labelled, 3), "band").select("asked", "members").mapInArrow(between, "a bigint, b bigint")
-    return found.union(star).union(across)
+    return found.union(star).union(_across(tested, "band", between))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE, **blocks) -> DataFrame:

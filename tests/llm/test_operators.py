@@ -207,8 +207,8 @@ def test_similar_groups_by_verified_links(spark):
                 gone, to = max(want[i], want[j]), min(want[i], want[j])
                 want = [to if w == gone else w for w in want]
     assert sorted(np.bincount(want, minlength=1))[-3:] == [59, 59, 59]
-    for block in (1024, 40, 7):
-        got = {r.doc_id: r.component_id for r in similar.classes(df, block_docs=block).collect()}
+    for block, most in ((1024, 36), (40, 36), (40, 0), (7, 3)):
+        got = {r.doc_id: r.component_id for r in similar.classes(df, block_docs=block, most_blocks=most).collect()}
         assert got == dict(enumerate(want))
     sketched = similar.written(similar.sketches(df, "doc_id", "text"), "test-sketches")
     sizes = sketched.where("id < 700").select(F.explode("bands").alias("b")).groupBy("b").count()
