@@ -7,6 +7,8 @@ Only what is small leaves the executors: the member-by-member Gram matrix (membe
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MOST_MEMBERS = 2000
+MOST_CODES, CODES = 1 << 24, 1 << 14
 
 
 def anomalies(members: DataFrame, clip: float | None = None) -> DataFrame:
@@ -126,9 +129,12 @@ def settle(x: np.ndarray, centres: np.ndarray, rounds: int = 100) -> tuple[np.nd
         for c in range(len(centres)):
             if (label == c).any():
                 centres[c] = x[label == c].mean(0)
-    within = float(((x - centres[label]) ** 2).sum() / len(x))
-    between = float(((centres[label] - x.mean(0)) ** 2).sum() / len(x))
-    return label, centres, within, between
+    return label, centres, *_variances(x, centres[label])
+
+
+def _variances(x: np.ndarray, centre: np.ndarray) -> tuple[float, float]:
+    """Variance within and between clusters, given each member's centroid."""
+    return float(((x - centre) ** 2).sum() / len(x)), float(((centre - x.mean(0)) ** 2).sum() / len(x))
 
 
 def random_seeds(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -172,21 +178,49 @@ def lloyd(x: np.ndarray, k: int, seed: int, passes: int = 20, rounds: int = 100,
     return best
 
 
-def partitions(spark: SparkSession, x: np.ndarray, ks: list[int], passes: int = 100, seed: int = 1, seeds: str = "sectors") -> DataFrame:
-    """(k, within, between, ratio, label array<int> numbered by size): the best of ``passes`` partitions for each number of
-    clusters. Every pass is a row that Spark deals to tasks; what travels is the small matrix of members and components.
-    Passes are seeded by their number, so the result doesn't depend on where they ran."""
+def best_coded(x: np.ndarray, k: int, codes: np.ndarray) -> np.ndarray | None:
+    """The labels of the partition of least variance within clusters among ``codes``. A code's digits to the base k are the
+    labels of the members but the first; it stands for a partition if each of k labels occurs and they first occur in order."""
+    label = np.zeros((len(codes), len(x)), np.int64)
+    label[:, 1:] = codes[:, None] // k ** np.arange(len(x) - 1) % k
+    highest = np.maximum.accumulate(label, 1)
+    label = label[(highest[:, -1] == k - 1) & (label[:, 1:] <= highest[:, :-1] + 1).all(1)]
+    if not len(label):
+        return None
+    within = np.full(len(label), (x * x).sum())
+    for c in range(k):
+        mine = (label == c).astype(float)
+        within -= ((mine @ x) ** 2).sum(1) / mine.sum(1)
+    return label[within.argmin()]
+
+
+def partitions(spark: SparkSession, x: np.ndarray, ks: list[int], passes: int = 100, seed: int = 1, seeds: str = "sectors", every: bool = True) -> DataFrame:
+    """(k, within, between, ratio, label array<int> numbered by size): the best partition for each number of clusters.
+
+    With ``every``, all partitions are tried if at most MOST_CODES labellings make them up, a block of codes a row, as no
+    number of passes is sure to meet the best. Else it is the best of ``passes`` K-means partitions, a pass a row. Spark deals
+    the rows to tasks; what travels is the small matrix of members and components. Passes are seeded by their number, so the
+    result doesn't depend on where they ran."""
+    few = [k for k in ks if every and k <= len(x) and k ** (len(x) - 1) <= MOST_CODES]
 
     def run(batches):
         for batch in batches:
             rows = []
-            for k, p in zip(batch["k"], batch["pass"], strict=True):
-                label, _, within, between = settle(x, SEEDS[seeds](x, int(k), np.random.default_rng([seed, int(k), int(p)])))
-                rows.append((int(k), int(p), within, between, between / within if within else float("inf"), by_size(label, int(k)).tolist()))
+            for k, p in zip(batch["k"].astype(int), batch["pass"].astype(int), strict=True):
+                if k in few:
+                    label = best_coded(x, k, np.arange(p * CODES, min((p + 1) * CODES, k ** (len(x) - 1))))
+                    if label is None:
+                        continue
+                    within, between = _variances(x, np.array([x[label == c].mean(0) for c in range(k)])[label])
+                else:
+                    label, _, within, between = settle(x, SEEDS[seeds](x, k, np.random.default_rng([seed, k, p])))
+                rows.append((k, p, within, between, between / within if within else float("inf"), by_size(label, k).tolist()))
             yield pd.DataFrame(rows, columns=["k", "pass", "within", "between", "ratio", "label"])
 
-    asked = spark.range(passes).withColumnRenamed("id", "pass").withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
-    tried = asked.repartition(max(1, min(len(ks) * passes // 8, 200))).mapInPandas(run, "k int, pass long, within double, between double, ratio double, label array<int>")
+    turns = {k: -(-(k ** (len(x) - 1)) // CODES) if k in few else passes for k in ks}
+    asked = spark.range(max(turns.values())).withColumnRenamed("id", "pass").withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
+    asked = asked.where(reduce(or_, [(F.col("k") == k) & (F.col("pass") < n) for k, n in turns.items()]))
+    tried = asked.repartition(max(1, min(sum(turns.values()) // 8, 200))).mapInPandas(run, "k int, pass long, within double, between double, ratio double, label array<int>")
     best = F.max(F.struct("ratio", (-F.col("pass")).alias("pass"), "within", "between", "label")).alias("b")
     return tried.groupBy("k").agg(best).select("k", "b.within", "b.between", "b.ratio", "b.label")
 
@@ -229,8 +263,8 @@ def surrogate_ratios(spark: SparkSession, x: np.ndarray, ks: list[int], samples:
 
 
 def significance(spark: SparkSession, x: np.ndarray, ks: list[int], samples: int, seed: int = 1, passes: int = 20) -> dict[int, float]:
-    """For each number of clusters the percentage of surrogates whose ratio is below that of the data."""
-    table = partitions(spark, x, ks, passes, seed, "random").select("k", F.col("ratio").alias("own"))
+    """For each number of clusters the percentage of surrogates whose ratio is below that of the data, both by passes."""
+    table = partitions(spark, x, ks, passes, seed, "random", every=False).select("k", F.col("ratio").alias("own"))
     below = surrogate_ratios(spark, x, ks, samples, seed, passes).join(F.broadcast(table), "k").groupBy("k").agg(F.avg(F.when(F.col("ratio") < F.col("own"), 100.0).otherwise(0.0)).alias("p"))
     return {r.k: r.p for r in below.collect()}
 
