@@ -90,8 +90,10 @@ def normal_cdf(z: Column) -> Column:
 
 
 def bin_index(value: Column, edges: list[float]) -> Column:
-    """Right-open bin (0-based) of a value among ascending ``edges``; null outside them and for NaN."""
+    """Right-open bin (0-based) of a value among ascending ``edges``; null outside them and for NaN. An infinite last edge
+    takes infinity in."""
     out = F.lit(None).cast("int")
     for i in range(len(edges) - 2, -1, -1):
-        out = F.when((value >= edges[i]) & (value < edges[i + 1]), i).otherwise(out)
+        below = value <= edges[i + 1] if edges[i + 1] == float("inf") else value < edges[i + 1]
+        out = F.when((value >= edges[i]) & below, i).otherwise(out)
     return F.when(F.isnan(value), F.lit(None).cast("int")).otherwise(out)

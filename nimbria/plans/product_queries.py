@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -146,7 +147,8 @@ def quantiles(spark, sf):
 
 
 def histogram(spark, sf):
-    out = E.histogram(C.fields(spark, sf), ["step", "point_id"], [0.0, 50.0, 150.0, 400.0, 10000.0])
+    """Shares of the members by value; the outer bins are open, as sums grow with the table."""
+    out = E.histogram(C.fields(spark, sf), ["step", "point_id"], [-math.inf, 50.0, 150.0, 400.0, math.inf])
     return out.select("step", "point_id", "label", F.round("value", 6).alias("value"))
 
 

@@ -18,6 +18,12 @@ def remade(sf, folder, table, query):
     return made
 
 
+def test_histogram_has_open_ends(spark, sf, tmp_path):
+    con = remade(sf, tmp_path, "lineitem", "select * replace (case when l_linenumber = 1 then -l_quantity when l_linenumber < 5 then 1000 * l_quantity else l_quantity end as l_quantity) from lineitem")
+    query, sql = ALL["histogram"]
+    same(query(spark, str(tmp_path)), con, sql)
+
+
 def test_few_members_get_the_best_of_all_partitions(spark):
     def least(x, k):
         codes = np.arange(k ** len(x))
