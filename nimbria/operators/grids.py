@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbria.functions.geo import haversine_km
+from nimbria.functions.geo import EARTH_KM, haversine_km
 
 MOST_NUMBER, NEWTON = 8000, 6
 
@@ -97,6 +97,16 @@ def _beside(row: str, lon: Column) -> tuple[Column, Column, Column]:
     return F.col(f"{row}.first") + F.pmod(j, n), F.col(f"{row}.first") + F.pmod(j + 1, n), x - j
 
 
+def _first_within(row: str, lat: Column, lon: Column, km: Column) -> Column:
+    """The smallest number of a row's points that lie within a distance of a place, null if none does."""
+    n, north = F.col(f"{row}.n_lon"), F.col(f"{row}.lat")
+    part = (F.pow(F.sin(km / (2 * EARTH_KM)), 2) - F.pow(F.sin(F.radians(north - lat) / 2), 2)) / (F.cos(F.radians(lat)) * F.cos(F.radians(north)))
+    side = F.when(part >= 1, 180.0).when(part >= 0, F.degrees(2 * F.asin(F.sqrt(part))))  # degrees of longitude to either side
+    x = F.pmod(lon, F.lit(360.0))
+    j = F.when((x - side <= 0) | (x + side >= 360), 0).otherwise(F.ceil((x - side) * n / 360.0))
+    return F.when(j * 360.0 / n <= F.greatest(x + side, F.lit(0.0)), F.col(f"{row}.first") + j)
+
+
 def bilinear_weights(grid: str, target: DataFrame, lengths: list[int] | None = None) -> DataFrame:
     """(in_point, out_point, w) for ``target`` (point_id, lat, lon): linear along both rows around it, then between them.
     Beyond the outermost rows the nearer row alone counts. Targets with null or NaN coordinates have no weights."""
@@ -110,8 +120,8 @@ def bilinear_weights(grid: str, target: DataFrame, lengths: list[int] | None = N
 
 
 def nearest_weights(grid: str, target: DataFrame, lengths: list[int] | None = None) -> DataFrame:
-    """(in_point, out_point, w = 1): the nearest of the four points around each target by great-circle distance, ties to the
-    smaller number."""
+    """(in_point, out_point, w = 1): the nearest point of the two rows around each target by great-circle distance in units of
+    a tenth of a millimetre (1e-7 km), ties to the smaller number; so a pole takes the first point of its row."""
     both = _bracketed(grid, target.where("lat between -90 and 90 and not isnan(lon) and lon is not null"), lengths)
     near = []
     for row in ("n", "s"):
@@ -119,4 +129,7 @@ def nearest_weights(grid: str, target: DataFrame, lengths: list[int] | None = No
         for p in (west, east):
             lon = (p - F.col(f"{row}.first")) * 360.0 / F.col(f"{row}.n_lon")
             near.append(F.struct(haversine_km(F.col("lat"), F.col("lon"), F.col(f"{row}.lat"), lon).alias("d"), p.cast("int").alias("p")))
-    return both.select(F.array_min(F.array(*near))["p"].alias("in_point"), "out_point", F.lit(1.0).alias("w"))
+    best = both.withColumn("best", F.array_min(F.array(*near)))
+    reach = F.round("best.d", 7) + 5e-8  # what is nearer than this ties with the nearest
+    first = [_first_within(row, F.col("lat"), F.col("lon"), reach) for row in ("n", "s")]  # numbers rise from north to south
+    return best.select(F.coalesce(*first, F.col("best.p")).cast("int").alias("in_point"), "out_point", F.lit(1.0).alias("w"))
