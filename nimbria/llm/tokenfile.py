@@ -13,12 +13,15 @@ number a shard.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,9 @@ from pyspark.taskcontext import TaskContext
 from nimbria.llm.common import shared_path, small_batches, strings
 
 MAGIC, BLOCK = b"NWM2", 1 << 16
+MARKS, PIECE = ".,;:!?", 1 << 20
+SPACE = np.array([i < 128 and chr(i).isspace() for i in range(256)])
+OTHER_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])  # first bytes of the white space beyond ASCII
 
 
 class Plane:
@@ -194,116 +200,188 @@ def unpack(blob: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
     return WaveletMatrix(length, planes, [z for z, _, _ in heads]), docs, np.frombuffer(table, np.int64, n, 9 * n)
 
 
+def _gathered(ids: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The spans of ``ids`` that begin at ``start``, one after the other."""
+    at = np.repeat(start - (np.cumsum(length) - length), length)
+    at += np.arange(len(at))
+    return ids[at]
+
+
 class Encoder:
     """Whole texts to ids with a file of the tokenizers library, by way of the words that it splits texts into anyway.
 
     A byte-level pre-tokenizer never joins a non-space character to a space before another non-space one, so a text
-    may be cut before each such space and the parts encoded by the library apart. Parts are remembered (two
-    generations of about ``most`` entries), which spares encoding the same word over and over.
+    may be cut before each such space and the parts encoded by the library apart. Arrow cuts and numbers the parts; those
+    met before are looked up in a store of parts and their ids, which spares encoding the same word over and over. A store
+    of more than ``most`` parts is cut to those of the last few megabytes of text.
     """
 
     def __init__(self, path: str, most: int = 600_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words, self.ids = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
         self.line_bytes = self._whole("\n")
         self.line = int.from_bytes(self.line_bytes, "little")
         self.opens = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)  # ids that begin with the space before a part
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")
+        self.mark = np.zeros(256, np.uint32)  # the id of each mark that may end a word
+        for mark in MARKS:
+            (self.mark[ord(mark)],) = self._ids(mark)
+
+    def _ids(self, text: str) -> np.ndarray:
+        """The library's ids of a text; its batch call for one text spares the offsets, which nobody reads."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return self._ids(text).tobytes()
 
-    def _learn(self, words: list[str], gap: str, held: dict[str, bytes]) -> None:
-        """Remember the ids of words without white space: the library encodes them in one text with ``gap`` between, and
-        the ids tell where each begins: a space opens a word's first id, a line's end is an id of its own."""
+    def _learn(self, words: list[str], gap: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words without white space, and how many each has: the library encodes them in one text with ``gap``
+        between, and the ids tell where each begins: a space opens a word's first id, a line's end is an id of its own."""
+        made, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for first in range(0, len(words), 5000):
             some = words[first : first + 5000]
-            ids = np.array(self.tokenizer.encode(gap + gap.join(some), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(self.opens[ids] if gap == " " else ids == self.line)
+            ids = self._ids(gap + gap.join(some))
+            begins = self.opens[ids] if gap == " " else ids == self.line
+            cuts = np.flatnonzero(begins)
             if len(cuts) != len(some):
                 raise ValueError("this tokenizer does not keep words apart")
-            raw, skip = ids.tobytes(), 0 if gap == " " else 4
-            cuts = [*(4 * cuts).tolist(), len(raw)]
-            held.update(zip(some, [raw[a + skip : b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
-
-    def _add(self, parts: set[str]) -> None:
-        """Remember parts (each after a space) that no generation holds; a single line's end inside is taken apart."""
-        young, old = self.young, self.old
-        again = parts.intersection(old)
-        young.update(zip(again, map(old.__getitem__, again), strict=True))
-        plain, bare, spaced, marked, ended = set(), set(), [], [], []
-        for part in parts.difference(again):
-            if part.isalpha():
-                plain.add(part)
-                continue
-            stem = part.rstrip(".,;:!?")
-            if stem.isalpha():  # a letter ends the word that marks follow
-                plain.add(stem)
-                marked.append((part, stem, part[len(stem) :]))
-                continue
+            lengths.append(np.diff(cuts, append=len(ids)) - (gap != " "))
+            made.append(ids if gap == " " else ids[~begins])
+        return np.concatenate(made), np.concatenate(lengths)
+
+    def _hold(self, words: set[str], gap: str, held: dict[str, bytes]) -> None:
+        """Remember words that ``held`` lacks, which is emptied first if it has grown large."""
+        if len(held) > self.most // 4:
+            held.clear()
+        some = list(words.difference(held))
+        ids, length = self._learn(some, gap)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(length)).tolist()
+        held.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def _others(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts (each after a space) that are not letters and at most one mark; a single line's end inside is
+        taken apart."""
+        plain, bare, ways = set(), set(), []
+        for part in parts:
             line, end, rest = part.partition("\n")
-            words = part.split()
-            if "<|" in part or words != ([line, rest] if end else [part]) or end and not part.isascii():
-                spaced.append(part)
-            elif end:
-                plain.add(line)
+            if "<|" in part or part.split() != ([line, rest] if end else [part]) or end and not part.isascii():
+                ways.append(None)
+                continue
+            plain.add(line)
+            if end:
                 bare.add(rest)
-                ended.append((part, line, rest))
-            else:
-                plain.add(part)
-        self._learn(list(plain.difference(young)), " ", young)
-        self._learn_bare(bare)
-        tails = {tail: self._whole(tail) for tail in {m[2] for m in marked}}
-        for part, stem, tail in marked:
-            young[part] = young[stem] + tails[tail]
-        for part, line, rest in ended:
-            young[part] = young[line] + self.line_bytes + self.bare[rest]
-        for part in spaced:
-            young[part] = self._whole(" " + part)
-
-    def _learn_bare(self, words: set[str]) -> None:
-        """Words that follow no space: at a text's or a line's beginning."""
-        if len(self.bare) > self.most // 4:
-            self.bare = {}
-        self._learn(list(words.difference(self.bare)), "\n", self.bare)
+            ways.append((line, end, rest))
+        self._hold(plain, " ", self.spaced)
+        self._hold(bare, "\n", self.bare)
+        return [self._whole(" " + p) if w is None else self.spaced[w[0]] + self.line_bytes + self.bare[w[2]] if w[1] else self.spaced[p] for p, w in zip(parts, ways, strict=True)]
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where among them those of each of the distinct ``parts`` (each after a space) begin and how many they are.
+        Most parts are letters and a mark or none: the letters are encoded once, whatever ends them."""
+        stem = pc.utf8_rtrim(parts, MARKS)
+        coded = stem.dictionary_encode()
+        stems, code, n, size = coded.dictionary, coded.indices.to_numpy(), len(parts), len(self.words)
+        found = pc.fill_null(pc.index_in(pa.concat_arrays([parts, stems]), value_set=self.words), -1).to_numpy().astype(np.int64)
+        entry, stem_entry = found[:n].copy(), found[n:].copy()
+        new = entry < 0
+        met = np.zeros(len(stems), bool)
+        met[code[new]] = True
+        met = np.flatnonzero(met)
+        texts = stems.take(pa.array(met)).to_pylist()
+        alpha = np.zeros(len(stems), bool)
+        alpha[met] = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        fresh = alpha[met] & (stem_entry[met] < 0)
+        ids, length = self._learn(list(compress(texts, fresh.tolist())), " ")
+        fresh = met[fresh]
+        stem_entry[fresh] = size + np.arange(len(fresh))
+        ids, length = np.concatenate([self.ids, ids]), np.concatenate([self.length, length])
+        start = np.concatenate([self.start, len(self.ids) + np.cumsum(length[size:]) - length[size:]])
+
+        tail = pc.subtract(pc.binary_length(parts), pc.binary_length(stem)).to_numpy()
+        by_stem = new & alpha[code]
+        same, marked, other = by_stem & (tail == 0), np.flatnonzero(by_stem & (tail == 1)), np.flatnonzero(new & ~(by_stem & (tail < 2)))
+        entry[same] = stem_entry[code[same]]
+        last = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset + marked + 1] - 1
+        whole = stem_entry[code[marked]]
+        letters = np.ones(int(length[whole].sum()) + len(marked), bool)
+        letters[np.cumsum(length[whole] + 1) - 1] = False
+        with_mark = np.empty(len(letters), np.uint32)
+        with_mark[letters] = _gathered(ids, start[whole], length[whole])
+        with_mark[~letters] = self.mark[np.frombuffer(parts.buffers()[2] or b"", np.uint8)[last]]
+        rest = self._others(parts.take(pa.array(other)).to_pylist())
+        more = np.concatenate([length[whole] + 1, np.fromiter(map(len, rest), np.int64, len(rest)) // 4])
+        entry[np.concatenate([marked, other])] = len(length) + np.arange(len(more))
+        start = np.concatenate([start, len(ids) + np.cumsum(more) - more])
+        ids, length = np.concatenate([ids, with_mark, np.frombuffer(b"".join(rest), np.uint32)]), np.concatenate([length, more])
+
+        self.words = pa.concat_arrays([self.words, stems.take(pa.array(fresh)), parts.take(pa.array(marked)), parts.take(pa.array(other))])
+        self.ids, self.start, self.length = ids, start, length
+        if len(self.words) > self.most:
+            used = np.unique(entry)
+            self.words, self.ids, self.length = self.words.take(pa.array(used)), _gathered(ids, start[used], length[used]), length[used]
+            self.start = np.cumsum(self.length) - self.length
+        return ids, start[entry], length[entry]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
-        out, split, size = [], [], 0
+        out, some, size = [], [], 0
         for text in texts:
-            split.append((text or "").split(" "))
+            some.append(text or "")
             size += len(text or "")
-            if size > 1 << 22:  # so much text is cut into parts at a time
-                out += self._encode(split)
-                split, size = [], 0
-        return out + self._encode(split)
-
-    def _encode(self, split: list[list[str]]) -> list[bytes]:
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        new = set().union(*[parts[1:] for parts in split]).difference(self.young)
-        bad = {p for p in new if not p or p[0].isspace()}
-        if bad:
-            for i, parts in enumerate(split):
-                if not bad.isdisjoint(parts[1:]):
-                    split[i] = glued = parts[:1]
-                    for part in parts[1:]:
-                        if part and not part[0].isspace():
-                            glued.append(part)
-                        else:
-                            glued[-1] += " " + part
-                    new.update(glued[1:])
-            new = new.difference(bad)
-        self._add(new)
-        firsts = {p for parts in split if (p := parts[0]) and p.isascii() and "<|" not in p and p.split() == [p]}
-        self._learn_bare(firsts)
-        bare, at = self.bare, self.young.__getitem__
-        return [(bare[p] if (p := parts[0]) in bare else self._whole(p) if p else b"") + b"".join(map(at, parts[1:])) for parts in split]
+            if size > 1 << 23:  # so much text is cut into parts at a time
+                out += self._encode(some)
+                some, size = [], 0
+        return out + (self._encode(some) if some else [])
+
+    @staticmethod
+    def _glued(parts: list[str]) -> list[str]:
+        """Parts that are empty or begin with white space, joined to the part before them."""
+        out = parts[:1]
+        for part in parts[1:]:
+            if part and not part[0].isspace():
+                out.append(part)
+            else:
+                out[-1] += " " + part
+        return out
+
+    @staticmethod
+    def _loose(parts: pa.Array, inner: np.ndarray) -> bool:
+        """Whether one of the ``inner`` parts, which follow a space, is empty or begins with white space."""
+        at = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1]
+        first = np.append(np.frombuffer(parts.buffers()[2] or b"", np.uint8), np.uint8(32))[at[:-1]]
+        if (inner & (SPACE[first] | (at[1:] == at[:-1]))).any():
+            return True
+        return any(p[0].isspace() for p in parts.filter(pa.array(inner & OTHER_SPACE[first])).to_pylist())
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        parts, ends = split.flatten(), split.offsets.to_numpy()
+        inner = np.ones(len(parts), bool)
+        inner[ends[:-1]] = False
+        if self._loose(parts, inner):
+            glued = [self._glued(text.split(" ")) for text in texts]
+            parts, ends = pa.array(chain.from_iterable(glued), pa.large_string()), np.cumsum([0, *map(len, glued)])
+            inner = np.ones(len(parts), bool)
+            inner[ends[:-1]] = False
+        coded = parts.dictionary_encode()
+        codes, after = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), bool)
+        after[codes[inner]] = True
+        start, length = np.zeros(len(after), np.int64), np.zeros(len(after), np.int64)
+        ids, start[after], length[after] = self._parts(coded.dictionary.filter(pa.array(after)))
+        lengths = np.where(inner, length[codes], 0)  # a text's first part follows no space and is encoded apart
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        raw = b"".join(_gathered(ids, start[codes[a : a + PIECE]], lengths[a : a + PIECE]).tobytes() for a in range(0, len(codes), PIECE))
+        firsts = coded.dictionary.take(pa.array(codes[ends[:-1]])).to_pylist()
+        self._hold({p for p in firsts if p and p.isascii() and "<|" not in p and p.split() == [p]}, "\n", self.bare)
+        cuts, bare = (4 * before[ends]).tolist(), self.bare
+        return [(bare[p] if p in bare else self._whole(p) if p else b"") + raw[a:b] for p, a, b in zip(firsts, cuts, cuts[1:], strict=False)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
